@@ -177,3 +177,18 @@ FROM messages GROUP BY batch_id, topic, "partition\"""",
     "preview": with_views(f"SELECT event_id, {CLICK_OUT} FROM clicks ORDER BY event_id LIMIT 10", "clicks"),
     "archive_messages": with_views("SELECT value FROM messages", "messages"),
 }
+
+# The streams give the batch results (§7.2 #21-23); the watermarked trend gives
+# the windows its final watermark closed.
+STATEMENTS.update(
+    {
+        "stream_daily_city_ad_clicks": STATEMENTS["daily_city_ad_clicks"],
+        "stream_blacklist_users": STATEMENTS["blacklist_users"],
+        "stream_top_ads_by_province": STATEMENTS["top_ads_by_province"],
+        "stream_hourly_trend": STATEMENTS["hourly_trend"].replace(
+            "GROUP BY click_day, adv_id, ws",
+            "WHERE ws + INTERVAL 1 HOUR <= (SELECT max(ts) FROM clean) - INTERVAL 10 MINUTES\n"
+            "GROUP BY click_day, adv_id, ws",
+        ),
+    }
+)

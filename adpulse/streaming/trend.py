@@ -1,0 +1,45 @@
+"""The sliding last-hour trend as a streaming query of its own.
+
+A watermark on the click time bounds the state: a window is final once the
+watermark (latest click time seen minus `lateness`) passes its end; it is then
+written once (append mode) and its state dropped. Clicks later than the
+watermark are not counted, which is the price of bounded state.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from adpulse.operators.reports import DEFAULT_SLIDE, DEFAULT_WINDOW, hourly_trend
+
+DEFAULT_LATENESS = "10 minutes"
+
+
+def streaming_hourly_trend(
+    clicks: DataFrame,
+    length: str = DEFAULT_WINDOW,
+    slide: str = DEFAULT_SLIDE,
+    lateness: str = DEFAULT_LATENESS,
+    by=("click_day", "adv_id"),
+) -> DataFrame:
+    """`hourly_trend` on a stream of parsed clicks, with a watermark of `lateness` on `ts`.
+
+    The watermark needs a zoned TIMESTAMP, so `ts` is cast first (a stored
+    TIMESTAMP_NTZ is read in the session zone).
+    """
+    timed = clicks.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
+    return hourly_trend(timed, length, slide, by)
+
+
+def start_hourly_trend(trend: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Append each final window to Parquet at `path` (exactly once, via the file sink's log)."""
+    return (
+        trend.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "5 seconds"}))
+        .start()
+    )
