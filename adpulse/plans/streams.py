@@ -1,14 +1,20 @@
 """Registered queries that go through Structured Streaming.
 
-Each one stores the message log made from `events` in the shared folder (in
-`STREAM_SLICES` appends), replays it as a file stream, one slice per
-micro-batch (`availableNow`), and returns a DataFrame over what the stream wrote.
+Each one cuts the message log made from `events` into `STREAM_SLICES`
+consecutive slices and appends them one by one to a log folder on shared
+storage; after each append the streaming query is (re)started from its
+checkpoint with `availableNow`, which reads exactly the new slice as one
+micro-batch. So the log arrives in order, and every slice after the first also
+exercises recovery from the checkpoint. The query returns a DataFrame over
+what the stream wrote.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from adpulse.functions.parse import parse_clicks
 from adpulse.operators.blacklist import filter_blacklisted
@@ -16,7 +22,7 @@ from adpulse.plans.catalog import present
 from adpulse.schema import BLACKLIST_SCHEMA, DEFAULT_THRESHOLD
 from adpulse.session import fresh_dir
 from adpulse.sources.fixtures import LEDGER_GROUP, messages_from_events
-from adpulse.sources.stream import read_click_stream, write_message_log
+from adpulse.sources.stream import message_slices, read_click_stream
 from adpulse.streaming.feedback import (
     ClickTables,
     daily_city_counts,
@@ -30,27 +36,34 @@ STREAM_SLICES = 5
 TEST_THRESHOLD = 1
 
 
-def message_log(spark: SparkSession, sf_dir: str) -> str:
-    path = fresh_dir(spark, "message_log")
-    write_message_log(messages_from_events(spark, sf_dir, keep_event_id=True), path, STREAM_SLICES)
-    return path
-
-
-def _await(query) -> None:
+def _await(query: StreamingQuery) -> None:
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(f"stream failed: {query.exception()}")
 
 
+def replay_in_slices(spark: SparkSession, sf_dir: str, start: Callable[[str], StreamingQuery]) -> None:
+    """Append the fixture's message log slice by slice; after each, run `start(log_path)` until drained."""
+    log = fresh_dir(spark, "message_log")
+    messages = messages_from_events(spark, sf_dir, keep_event_id=True).persist()
+    try:
+        for part in message_slices(messages, STREAM_SLICES):
+            part.write.mode("append").parquet(log)
+            _await(start(log))
+    finally:
+        messages.unpersist()
+
+
 def run_fixture_stream(spark: SparkSession, sf_dir: str, threshold: int) -> ClickTables:
-    log = message_log(spark, sf_dir)
     tables = ClickTables(fresh_dir(spark, "click_stream"))
-    stream = read_click_stream(spark, path=log, max_files_per_trigger=1)
-    _await(
-        run_click_stream(
+
+    def start(log: str) -> StreamingQuery:
+        stream = read_click_stream(spark, path=log)
+        return run_click_stream(
             spark, stream, tables, group_id=LEDGER_GROUP, threshold=threshold, trigger={"availableNow": True}
         )
-    )
+
+    replay_in_slices(spark, sf_dir, start)
     return tables
 
 
@@ -72,14 +85,19 @@ def q_stream_hourly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     Emitted are the windows the final watermark closed: window_end <= latest
     click time - lateness (10 minutes).
     """
-    log = message_log(spark, sf_dir)
     out = fresh_dir(spark, "hourly_trend")
-    clicks = parse_clicks(read_click_stream(spark, path=log, max_files_per_trigger=1))
-    # Outside blacklist entries (none here) joined stream-static.
-    clean = filter_blacklisted(clicks, spark.createDataFrame([], BLACKLIST_SCHEMA))
-    trend = streaming_hourly_trend(clean, "1 hour", "10 minutes", DEFAULT_LATENESS)
-    _await(start_hourly_trend(trend, f"{out}/data", f"{out}/_checkpoint", {"availableNow": True}))
-    return present(spark.read.schema(trend.schema).parquet(f"{out}/data"))
+    schema = {}
+
+    def start(log: str) -> StreamingQuery:
+        clicks = parse_clicks(read_click_stream(spark, path=log))
+        # Outside blacklist entries (none here), joined stream-static.
+        clean = filter_blacklisted(clicks, spark.createDataFrame([], BLACKLIST_SCHEMA))
+        trend = streaming_hourly_trend(clean, "1 hour", "10 minutes", DEFAULT_LATENESS)
+        schema["trend"] = trend.schema
+        return start_hourly_trend(trend, f"{out}/data", f"{out}/_checkpoint", {"availableNow": True})
+
+    replay_in_slices(spark, sf_dir, start)
+    return present(spark.read.schema(schema["trend"]).parquet(f"{out}/data"))
 
 
 def stream_queries() -> dict:

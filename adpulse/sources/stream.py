@@ -76,20 +76,17 @@ def read_click_stream(
     return reader.load(path)
 
 
-def write_message_log(messages: DataFrame, path: str, slices: int, order: str = "event_id") -> None:
-    """Store a message log in `slices` appends, in `order`, to replay it as a file stream.
+def message_slices(messages: DataFrame, slices: int, order: str = "event_id") -> list[DataFrame]:
+    """Cut a message log into `slices` consecutive ranges of `order`, each as `topic, partition, offset, value`.
 
-    Each slice is one ordinary parallel write; slices are appended one after
-    the other so a file stream (oldest files first, `maxFilesPerTrigger`)
-    delivers them in order, as a Kafka partition would. Only
-    `topic, partition, offset, value` are stored.
+    Appending the slices one after the other (and letting the stream drain
+    after each) replays the log in order, as a Kafka partition would deliver it.
+    One small aggregate (min and max of `order`) fixes the cut points.
     """
     lo, hi = messages.agg(F.min(order), F.max(order)).first()
+    cols = MESSAGE_SCHEMA.fieldNames()
     if lo is None:
-        messages.select(*MESSAGE_SCHEMA.fieldNames()).write.mode("append").parquet(path)
-        return
+        return [messages.select(*cols)]
     width = (hi - lo) // slices + 1
     sliced = messages.withColumn("_slice", F.floor((F.col(order) - F.lit(lo)) / F.lit(width)))
-    for i in range(slices):
-        part = sliced.where(F.col("_slice") == i).select(*MESSAGE_SCHEMA.fieldNames())
-        part.write.mode("append").parquet(path)
+    return [sliced.where(F.col("_slice") == i).select(*cols) for i in range(slices)]

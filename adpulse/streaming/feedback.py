@@ -23,6 +23,7 @@ the count tables at any time (`adpulse.streaming.feedback.reports`).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -121,37 +122,51 @@ def process_batch(
     seed_path: str | None = None,
     parse_mode: str = "FAILFAST",
 ) -> None:
-    """One micro-batch of the click stream (steps 1-5 of the module doc)."""
+    """One micro-batch of the click stream (steps 1-5 of the module doc).
+
+    The batch is bounded by the source's admission cap, so its parsed, clean
+    clicks are persisted once and feed every count. The four writes of step
+    3-4 do not depend on each other and run as concurrent Spark jobs; the
+    blacklist is published after them and the ledger advances last.
+    """
     messages = messages.persist()
+    cached = [messages]
     try:
+        writes = []
         if parse_mode == "QUARANTINE":
             clicks, bad = parse_clicks(messages, mode="QUARANTINE")
-            write_batch(bad, tables.quarantine, batch_id)
+            writes.append((bad, tables.quarantine))
         else:
             clicks = parse_clicks(messages, mode=parse_mode)
 
-        clean = filter_blacklisted(clicks, blacklist_snapshot(spark, tables, batch_id, seed_path))
+        clean = filter_blacklisted(clicks, blacklist_snapshot(spark, tables, batch_id, seed_path)).persist()
         batch_counts = click_counts(clean).persist()
-        write_batch(batch_counts, tables.user_counts, batch_id)
-        write_batch(clean.groupBy(*CITY_KEYS).agg(F.count(F.lit(1)).alias("clicks")), tables.city_counts, batch_id)
-        minute = clean.where(F.col("ts").isNotNull()).groupBy(F.date_trunc("minute", "ts").alias("minute"), "adv_id")
-        write_batch(minute.agg(F.count(F.lit(1)).alias("clicks")), tables.minute_counts, batch_id)
+        cached += [clean, batch_counts]
 
-        # Totals of the groups this batch touched, over all batches up to this one.
-        history = read_batches(spark, tables.user_counts, COUNT_SCHEMA).where(F.col("batch_id") <= batch_id)
-        touched = history.join(batch_counts.select(*COUNT_KEYS), list(COUNT_KEYS), "left_semi")
-        write_batch(derive_blacklist(touched, threshold), tables.flagged, batch_id)
-        batch_counts.unpersist()
+        # Totals of the groups this batch touched: earlier partials of those groups plus this batch's.
+        earlier = read_batches(spark, tables.user_counts, COUNT_SCHEMA).where(F.col("batch_id") < batch_id)
+        touched = earlier.join(batch_counts.select(*COUNT_KEYS), list(COUNT_KEYS), "left_semi")
+        totals = touched.select(*COUNT_KEYS, "clicks").unionByName(batch_counts)
+        minute = clean.where(F.col("ts").isNotNull()).groupBy(F.date_trunc("minute", "ts").alias("minute"), "adv_id")
+        writes += [
+            (batch_counts, tables.user_counts),
+            (clean.groupBy(*CITY_KEYS).agg(F.count(F.lit(1)).alias("clicks")), tables.city_counts),
+            (minute.agg(F.count(F.lit(1)).alias("clicks")), tables.minute_counts),
+            (derive_blacklist(totals, threshold), tables.flagged),
+        ]
+        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+            for done in [pool.submit(write_batch, rows, table, batch_id) for rows, table in writes]:
+                done.result()
 
         published = _seed(spark, seed_path).unionByName(
             read_batches(spark, tables.flagged, FLAGGED_SCHEMA).select("user_id")
         )
         publish_blacklist(published.distinct(), path=tables.blacklist)
 
-        ranges = batch_offset_ranges(messages)
-        write_batch(advance_ledger(ranges, group_id), tables.ledger, batch_id)
+        write_batch(advance_ledger(batch_offset_ranges(messages), group_id), tables.ledger, batch_id)
     finally:
-        messages.unpersist()
+        for df in cached:
+            df.unpersist()
 
 
 def run_click_stream(
