@@ -22,9 +22,17 @@ DEFAULT_WINDOW = "1 hour"
 DEFAULT_SLIDE = "10 minutes"
 
 
-def daily_city_ad_clicks(clicks: DataFrame) -> DataFrame:
-    """Clicks per (day, province, city, ad): `click_day, province, city, adv_id, clicks`."""
-    return clicks.groupBy(*CITY_KEYS).agg(F.count(F.lit(1)).alias("clicks"))
+def _count(counted: bool):
+    return F.sum("clicks").cast("bigint").alias("clicks") if counted else F.count(F.lit(1)).alias("clicks")
+
+
+def daily_city_ad_clicks(clicks: DataFrame, counted: bool = False) -> DataFrame:
+    """Clicks per (day, province, city, ad): `click_day, province, city, adv_id, clicks`.
+
+    `counted=True` takes partial counts (a `clicks` column, any finer grouping)
+    instead of clicks.
+    """
+    return clicks.groupBy(*CITY_KEYS).agg(_count(counted))
 
 
 def top_ads(
@@ -42,11 +50,7 @@ def top_ads(
     `WindowGroupLimit` before the shuffle, so each map task sends at most `n`
     rows per group and no group is ever fully sorted in one task.
     """
-    keys = [*by, "adv_id"]
-    if counted:
-        counts = clicks.groupBy(*keys).agg(F.sum("clicks").cast("bigint").alias("clicks"))
-    else:
-        counts = clicks.groupBy(*keys).agg(F.count(F.lit(1)).alias("clicks"))
+    counts = clicks.groupBy(*by, "adv_id").agg(_count(counted))
     order = Window.partitionBy(*by).orderBy(F.col("clicks").desc(), F.col("adv_id").asc_nulls_last())
     return (
         counts.withColumn("rank", F.row_number().over(order))

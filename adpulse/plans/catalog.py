@@ -33,8 +33,10 @@ from adpulse.sources.fixtures import (
     TOPIC,
     clicks_from_events,
     ledger_from_messages,
+    message_positions,
     messages_from_events,
     read_fixture,
+    with_geography,
 )
 from adpulse.sources.tables import read_table
 
@@ -65,11 +67,24 @@ CLICK_OUT = ("topic", "partition", "offset", "user_id", "access_time", "province
 
 
 def clean_clicks(spark: SparkSession, sf_dir: str, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
-    """Clicks left after dropping the users blacklisted at `threshold` (input of every report)."""
-    clicks = clicks_from_events(spark, sf_dir)
+    """Clicks left after dropping the users blacklisted at `threshold` (input of the trend reports)."""
+    clicks = clicks_from_events(spark, sf_dir, geography=False)
     return filter_blacklisted(clicks, derive_blacklist(click_counts(clicks), threshold))
 
 
+def clean_city_counts(spark: SparkSession, sf_dir: str, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+    """Counts per (day, user, ad) of the users not blacklisted at `threshold`, with province and city.
+
+    Blacklisting and the place of a click are both properties of the user, so
+    they apply to per-user counts exactly as to clicks: `events` is scanned and
+    aggregated once (the blacklist and the filtered side share that exchange),
+    and the anti join and the geography join move counts, not clicks.
+    """
+    counts = click_counts(clicks_from_events(spark, sf_dir, geography=False))
+    clean = filter_blacklisted(counts, derive_blacklist(counts, threshold))
+    return with_geography(spark, sf_dir, clean)
+
+
 def with_batch(df: DataFrame) -> DataFrame:
     return df.withColumn("batch_id", F.expr(f"event_id div {BATCH_EVENTS}"))
 
@@ -85,16 +100,16 @@ def q_parse_click_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_click_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(click_counts(clicks_from_events(spark, sf_dir)))
+    return present(click_counts(clicks_from_events(spark, sf_dir, geography=False)))
 
 
 def q_blacklist_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    partials = click_counts(with_batch(clicks_from_events(spark, sf_dir)), batch_col="batch_id")
+    partials = click_counts(with_batch(clicks_from_events(spark, sf_dir, geography=False)), batch_col="batch_id")
     return present(blacklist_rows(partials, TEST_THRESHOLD))
 
 
 def q_blacklist_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive_blacklist(click_counts(clicks_from_events(spark, sf_dir)), TEST_THRESHOLD)
+    return derive_blacklist(click_counts(clicks_from_events(spark, sf_dir, geography=False)), TEST_THRESHOLD)
 
 
 LINE_KEYS = ("l_suppkey", "l_returnflag", "l_linestatus")
@@ -106,24 +121,25 @@ def q_blacklist_default_threshold(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def q_filter_blacklisted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clicks = clicks_from_events(spark, sf_dir)
+    """Clicks of users not blacklisted at threshold 1; province and city added after the filter."""
+    clicks = clicks_from_events(spark, sf_dir, geography=False)
     left = filter_blacklisted(clicks, derive_blacklist(click_counts(clicks), TEST_THRESHOLD))
-    return present(left.select(*CLICK_OUT))
+    return present(with_geography(spark, sf_dir, left).select(*CLICK_OUT))
 
 
 # ---- reports -------------------------------------------------------------------
 
 
 def q_daily_city_ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(daily_city_ad_clicks(clean_clicks(spark, sf_dir)))
+    return present(daily_city_ad_clicks(clean_city_counts(spark, sf_dir), counted=True))
 
 
 def q_top_ads_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_ads(clean_clicks(spark, sf_dir), by=("province",), n=3)
+    return top_ads(clean_city_counts(spark, sf_dir), by=("province",), n=3, counted=True)
 
 
 def q_top_ads_by_day_province(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(top_ads(clean_clicks(spark, sf_dir), by=("click_day", "province"), n=3))
+    return present(top_ads(clean_city_counts(spark, sf_dir), by=("click_day", "province"), n=3, counted=True))
 
 
 def q_hourly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,19 +151,20 @@ def q_trend_last_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clicks = clicks_from_events(spark, sf_dir)
-    return present(preview(clicks.select("event_id", *CLICK_OUT), 10, order=("event_id",)))
+    """First 10 clicks by `event_id`; the 10 rows are enriched after the top-k, not the log before it."""
+    first = preview(clicks_from_events(spark, sf_dir, geography=False), 10, order=("event_id",))
+    return present(with_geography(spark, sf_dir, first).select("event_id", *CLICK_OUT))
 
 
 # ---- offsets -------------------------------------------------------------------
 
 
 def q_latest_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_offsets(messages_from_events(spark, sf_dir))
+    return latest_offsets(message_positions(spark, sf_dir))
 
 
 def _starts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = messages_from_events(spark, sf_dir)
+    messages = message_positions(spark, sf_dir)
     committed = committed_offsets(ledger_from_messages(messages), LEDGER_GROUP, TOPIC)
     return start_positions(latest_offsets(messages), committed)
 
@@ -161,11 +178,11 @@ def q_resume_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_earliest_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return start_positions(latest_offsets(messages_from_events(spark, sf_dir)), mode="earliest")
+    return start_positions(latest_offsets(message_positions(spark, sf_dir)), mode="earliest")
 
 
 def q_batch_offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batch_offset_ranges(with_batch(messages_from_events(spark, sf_dir, keep_event_id=True)), "batch_id")
+    return batch_offset_ranges(with_batch(message_positions(spark, sf_dir)), "batch_id")
 
 
 # ---- sinks and read-back -------------------------------------------------------
@@ -174,7 +191,7 @@ def q_batch_offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_partial_then_final_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partial counts per made batch are stored (one partition per batch), read back and summed."""
     table = fresh_dir(spark, "clickcount")
-    partials = click_counts(with_batch(clicks_from_events(spark, sf_dir)), batch_col="batch_id")
+    partials = click_counts(with_batch(clicks_from_events(spark, sf_dir, geography=False)), batch_col="batch_id")
     append_click_counts(partials, table)
     return present(total_click_counts(read_table(spark, "clickcount", path=table)))
 
@@ -182,7 +199,7 @@ def q_partial_then_final_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_typed_click_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts stored as text (as a database binds them), read back as typed records."""
     table = fresh_dir(spark, "clickcount_text")
-    counts = click_counts(clicks_from_events(spark, sf_dir))
+    counts = click_counts(clicks_from_events(spark, sf_dir, geography=False))
     counts.select(
         "user_id", "adv_id", F.date_format("click_day", "yyyy-MM-dd").alias("click_day"), F.col("clicks").cast("string")
     ).write.parquet(table)

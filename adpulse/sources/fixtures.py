@@ -58,22 +58,45 @@ def message_coordinates(events: DataFrame) -> DataFrame:
     )
 
 
-def click_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fixture_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`user_id` (text) -> province, city, from the fixture's customer, nation and region tables."""
+    geo = user_geography(
+        read_fixture(spark, sf_dir, "customer"),
+        read_fixture(spark, sf_dir, "nation"),
+        read_fixture(spark, sf_dir, "region"),
+    )
+    return geo.select(F.col("c_custkey").cast("string").alias("user_id"), "province", "city")
+
+
+def with_geography(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """Adds `province` and `city` to rows keyed by `user_id` (a left join: unknown users get nulls).
+
+    Both are attributes of the user, so rows can be aggregated per user first
+    and enriched after: the join then moves aggregates, not clicks.
+    """
+    return rows.join(fixture_geography(spark, sf_dir), "user_id", "left")
+
+
+def click_rows(spark: SparkSession, sf_dir: str, geography: bool = True) -> DataFrame:
     """Click fields as text, one row per event, with message coordinates.
 
     Columns: event_id, topic, partition, offset, userId, accessTime, province,
     city, advId — the message body before it is encoded as JSON — and the
-    stored `ts`.
+    stored `ts`. `geography=False` leaves province and city out, and with them
+    the join with `customer`.
     """
     events = read_fixture(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props")
-    geo = user_geography(
-        read_fixture(spark, sf_dir, "customer"),
-        read_fixture(spark, sf_dir, "nation"),
-        read_fixture(spark, sf_dir, "region"),
-    )
+    rows = message_coordinates(events)
+    if geography:
+        geo = user_geography(
+            read_fixture(spark, sf_dir, "customer"),
+            read_fixture(spark, sf_dir, "nation"),
+            read_fixture(spark, sf_dir, "region"),
+        )
+        rows = rows.join(geo, F.col("user_id") == F.col("c_custkey"), "left")
+    place = ["province", "city"] if geography else []
     return (
-        message_coordinates(events)
-        .join(geo, F.col("user_id") == F.col("c_custkey"), "left")
+        rows
         .select(
             "event_id",
             "topic",
@@ -81,22 +104,23 @@ def click_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             "offset",
             F.col("user_id").cast("string").alias("userId"),
             F.date_format(F.col("ts"), ACCESS_TIME_FORMAT).alias("accessTime"),
-            "province",
-            "city",
+            *place,
             F.get_json_object("props", "$.k").alias("advId"),
             "ts",
         )
     )
 
 
-def clicks_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clicks_from_events(spark: SparkSession, sf_dir: str, geography: bool = True) -> DataFrame:
     """The parsed-click view of `events` without the JSON round trip.
 
     Same columns as `parse_clicks` gives, plus `event_id` and the message
     coordinates. `ts` stays the stored column (TIMESTAMP_NTZ, read in UTC) so
-    that time predicates reach the Parquet scan.
+    that time predicates reach the Parquet scan. `geography=False` leaves out
+    province and city (and the join that makes them).
     """
-    rows = click_rows(spark, sf_dir)
+    rows = click_rows(spark, sf_dir, geography)
+    place = ["province", "city"] if geography else []
     return rows.select(
         "event_id",
         "topic",
@@ -104,14 +128,19 @@ def clicks_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "offset",
         F.col("userId").alias("user_id"),
         F.col("accessTime").alias("access_time"),
-        "province",
-        "city",
+        *place,
         F.col("advId").alias("adv_id"),
         "ts",
         F.to_date("ts").alias("click_day"),
     )
 
 
+def message_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the coordinates of the click log: `event_id, topic, partition, offset` (no body, no join)."""
+    events = read_fixture(spark, sf_dir, "events").select("event_id")
+    return message_coordinates(events)
+
+
 def messages_from_events(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
     """The click log as Kafka would deliver it: topic, partition, offset, value (JSON text)."""
     from adpulse.schema import MESSAGE_KEYS

@@ -50,6 +50,9 @@ def read_table(
 
 
 def load_blacklist(table: DataFrame) -> DataFrame:
-    """The blacklist as `user_id` text: the first column of each row, whatever its name or type."""
+    """The blacklist as `user_id` text: the first column of each row, whatever its name or type.
+
+    A null entry names no user and is left out (the reference fails on one).
+    """
     first = table.columns[0]
-    return table.select(F.col(first).cast("string").alias("user_id"))
+    return table.select(F.col(first).cast("string").alias("user_id")).where(F.col("user_id").isNotNull())

@@ -1,0 +1,57 @@
+"""Reports: ties in the ranking, window borders, the last-hour trend."""
+
+import datetime as dt
+
+from adpulse.operators.reports import daily_city_ad_clicks, hourly_trend, preview, top_ads, trend_last_hour
+
+
+def ts(s):
+    return dt.datetime.fromisoformat(s)
+
+
+def clicks(spark, rows):
+    return spark.createDataFrame(
+        [(u, a, p, "c", ts(t), ts(t).date()) for u, a, p, t in rows],
+        "user_id string, adv_id string, province string, city string, ts timestamp, click_day date",
+    )
+
+
+def test_top_ads_ties_go_to_smaller_ad(spark):
+    rows = [("u", ad, "P", "2024-01-01 00:00:00") for ad in ["5", "5", "3", "3", "4", "4", "9"]]
+    got = [(r.adv_id, r.clicks, r.rank) for r in top_ads(clicks(spark, rows), n=3).orderBy("rank").collect()]
+    assert got == [("3", 2, 1), ("4", 2, 2), ("5", 2, 3)]
+
+
+def test_top_ads_per_group_and_from_partials(spark):
+    counted = spark.createDataFrame(
+        [("P", "1", 3), ("P", "1", 3), ("P", "2", 5), ("Q", "7", 1)], "province string, adv_id string, clicks long"
+    )
+    got = {(r.province, r.adv_id, r.clicks, r.rank) for r in top_ads(counted, n=1, counted=True).collect()}
+    assert got == {("P", "1", 6, 1), ("Q", "7", 1, 1)}
+
+
+def test_window_border_click_is_in_six_windows(spark):
+    rows = [("u", "1", "P", "2024-01-01 10:20:00")]
+    got = sorted((r.window_start.isoformat(), r.window_end.isoformat()) for r in hourly_trend(clicks(spark, rows)).collect())
+    assert len(got) == 6
+    assert got[0] == ("2024-01-01T09:30:00", "2024-01-01T10:30:00")  # start exclusive of the 09:20 window
+    assert got[-1] == ("2024-01-01T10:20:00", "2024-01-01T11:20:00")  # start inclusive
+
+
+def test_trend_last_hour_bounds(spark):
+    rows = [
+        ("u", "1", "P", "2024-01-15 11:00:00"),  # excluded: the span is open at its start
+        ("u", "1", "P", "2024-01-15 11:00:00.000001"),
+        ("u", "1", "P", "2024-01-15 11:59:30"),
+        ("u", "1", "P", "2024-01-15 12:00:00"),  # included: closed at as_of
+        ("u", "1", "P", "2024-01-15 12:00:00.5"),
+    ]
+    got = {(r.minute.isoformat(), r.clicks) for r in trend_last_hour(clicks(spark, rows), "2024-01-15 12:00:00").collect()}
+    assert got == {("2024-01-15T11:00:00", 1), ("2024-01-15T11:59:00", 1), ("2024-01-15T12:00:00", 1)}
+
+
+def test_daily_city_counts_and_preview(spark):
+    rows = [("u", "1", "P", "2024-01-01 00:00:01"), ("v", "1", "P", "2024-01-01 23:59:59"), ("u", "1", "P", "2024-01-02 00:00:00")]
+    got = {(str(r.click_day), r.clicks) for r in daily_city_ad_clicks(clicks(spark, rows)).collect()}
+    assert got == {("2024-01-01", 2), ("2024-01-02", 1)}
+    assert [r.user_id for r in preview(clicks(spark, rows), 2, order=("ts",)).collect()] == ["u", "v"]
