@@ -64,3 +64,23 @@ def filter_blacklisted(clicks: DataFrame, blacklist: DataFrame, broadcast: bool
     if broadcast:
         side = F.broadcast(side)
     return clicks.join(side, F.col("user_id") == F.col("_bl_user"), "left_anti")
+
+
+# The blacklist rule as SQL text over a table of partial counts.
+BLACKLIST_SQL = """
+SELECT user_id
+FROM {counts}
+GROUP BY click_day, user_id, adv_id
+HAVING sum(clicks) > :threshold
+"""
+
+
+def blacklist_sql(counts: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+    """`derive_blacklist(counts, threshold, distinct=False)` written as SQL text.
+
+    The DataFrame is bound into the statement (Spark registers it as a view for
+    the statement only, so concurrent callers cannot clash on a view name) and
+    the threshold is a named parameter. Catalyst plans it exactly like the
+    DataFrame form: partial and final aggregate, then the filter.
+    """
+    return counts.sparkSession.sql(BLACKLIST_SQL, args={"threshold": threshold}, counts=counts)

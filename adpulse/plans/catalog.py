@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adpulse.functions.parse import parse_clicks
-from adpulse.operators.blacklist import blacklist_rows, derive_blacklist, filter_blacklisted
+from adpulse.operators.blacklist import blacklist_rows, blacklist_sql, derive_blacklist, filter_blacklisted
 from adpulse.operators.counts import click_counts, total_click_counts, typed_click_counts
 from adpulse.operators.offsets import (
     batch_offset_ranges,
@@ -112,6 +112,12 @@ def q_blacklist_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive_blacklist(click_counts(clicks_from_events(spark, sf_dir, geography=False)), TEST_THRESHOLD)
 
 
+def q_blacklist_rows_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blacklist rule as SQL text over partial counts per made batch (one row per offending group)."""
+    partials = click_counts(with_batch(clicks_from_events(spark, sf_dir, geography=False)), batch_col="batch_id")
+    return blacklist_sql(partials, TEST_THRESHOLD)
+
+
 LINE_KEYS = ("l_suppkey", "l_returnflag", "l_linestatus")
 
 
@@ -218,6 +224,7 @@ def batch_queries() -> dict[str, Query]:
         "click_counts": q_click_counts,
         "blacklist_rows": q_blacklist_rows,
         "blacklist_users": q_blacklist_users,
+        "blacklist_rows_sql": q_blacklist_rows_sql,
         "blacklist_default_threshold": q_blacklist_default_threshold,
         "filter_blacklisted": q_filter_blacklisted,
         "daily_city_ad_clicks": q_daily_city_ad_clicks,

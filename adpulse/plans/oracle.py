@@ -119,6 +119,7 @@ GROUP BY click_day, user_id, adv_id HAVING sum(clicks) > 1""",
         "clicks",
     ),
     "blacklist_users": with_views("SELECT user_id FROM bl1", "bl1"),
+    "blacklist_rows_sql": with_views("SELECT user_id FROM counts WHERE clicks > 1", "counts"),
     "blacklist_default_threshold": """SELECT l_suppkey, l_returnflag, l_linestatus, count(*) AS clicks
 FROM lineitem GROUP BY l_suppkey, l_returnflag, l_linestatus HAVING count(*) > 100""",
     "filter_blacklisted": with_views(
@@ -185,6 +186,7 @@ STATEMENTS.update(
         "stream_daily_city_ad_clicks": STATEMENTS["daily_city_ad_clicks"],
         "stream_blacklist_users": STATEMENTS["blacklist_users"],
         "stream_top_ads_by_province": STATEMENTS["top_ads_by_province"],
+        "stream_trend_last_hour": STATEMENTS["trend_last_hour"],
         "stream_hourly_trend": STATEMENTS["hourly_trend"].replace(
             "GROUP BY click_day, adv_id, ws",
             "WHERE ws + INTERVAL 1 HOUR <= (SELECT max(ts) FROM clean) - INTERVAL 10 MINUTES\n"

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from adpulse.functions.parse import parse_clicks
 from adpulse.operators.blacklist import filter_blacklisted
-from adpulse.plans.catalog import present
+from adpulse.plans.catalog import TREND_AS_OF, present
 from adpulse.schema import BLACKLIST_SCHEMA, DEFAULT_THRESHOLD
 from adpulse.session import fresh_dir
 from adpulse.sources.fixtures import LEDGER_GROUP, messages_from_events
@@ -29,6 +29,7 @@ from adpulse.streaming.feedback import (
     published_blacklist,
     run_click_stream,
     top_ads_so_far,
+    trend_last_hour_so_far,
 )
 from adpulse.streaming.trend import DEFAULT_LATENESS, start_hourly_trend, streaming_hourly_trend
 
@@ -79,6 +80,12 @@ def q_stream_top_ads_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_ads_so_far(spark, run_fixture_stream(spark, sf_dir, DEFAULT_THRESHOLD), by=("province",), n=3)
 
 
+def q_stream_trend_last_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-minute clicks per ad in the hour up to 2024-01-15 12:00, from the stream's minute counts."""
+    tables = run_fixture_stream(spark, sf_dir, DEFAULT_THRESHOLD)
+    return present(trend_last_hour_so_far(spark, tables, TREND_AS_OF))
+
+
 def q_stream_hourly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 1 h / 10 min trend as a watermarked streaming aggregation (append mode).
 
@@ -105,5 +112,6 @@ def stream_queries() -> dict:
         "stream_daily_city_ad_clicks": q_stream_daily_city_ad_clicks,
         "stream_blacklist_users": q_stream_blacklist_users,
         "stream_top_ads_by_province": q_stream_top_ads_by_province,
+        "stream_trend_last_hour": q_stream_trend_last_hour,
         "stream_hourly_trend": q_stream_hourly_trend,
     }

@@ -66,11 +66,14 @@ CITY_COUNT_SCHEMA = T.StructType(
     ]
 )
 
+# `on_minute`: the clicks whose time is exactly the minute (no seconds), which
+# an open span start leaves out and a closed span end keeps.
 MINUTE_COUNT_SCHEMA = T.StructType(
     [
         T.StructField("minute", T.TimestampType()),
         T.StructField("adv_id", T.StringType()),
         T.StructField("clicks", T.LongType()),
+        T.StructField("on_minute", T.LongType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )

@@ -23,6 +23,7 @@ the count tables at any time (`adpulse.streaming.feedback.reports`).
 
 from __future__ import annotations
 
+import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -147,11 +148,15 @@ def process_batch(
         earlier = read_batches(spark, tables.user_counts, COUNT_SCHEMA).where(F.col("batch_id") < batch_id)
         touched = earlier.join(batch_counts.select(*COUNT_KEYS), list(COUNT_KEYS), "left_semi")
         totals = touched.select(*COUNT_KEYS, "clicks").unionByName(batch_counts)
-        minute = clean.where(F.col("ts").isNotNull()).groupBy(F.date_trunc("minute", "ts").alias("minute"), "adv_id")
+        timed = clean.where(F.col("ts").isNotNull()).withColumn("minute", F.date_trunc("minute", "ts"))
+        minute = timed.groupBy("minute", "adv_id").agg(
+            F.count(F.lit(1)).alias("clicks"),
+            F.count(F.when(F.col("ts") == F.col("minute"), True)).alias("on_minute"),
+        )
         writes += [
             (batch_counts, tables.user_counts),
             (clean.groupBy(*CITY_KEYS).agg(F.count(F.lit(1)).alias("clicks")), tables.city_counts),
-            (minute.agg(F.count(F.lit(1)).alias("clicks")), tables.minute_counts),
+            (minute, tables.minute_counts),
             (derive_blacklist(totals, threshold), tables.flagged),
         ]
         with ThreadPoolExecutor(max_workers=len(writes)) as pool:
@@ -226,8 +231,32 @@ def top_ads_so_far(spark: SparkSession, tables: ClickTables, by=("province",), n
 
 
 def minute_trend_so_far(spark: SparkSession, tables: ClickTables) -> DataFrame:
+    """Clicks per (minute, ad) so far."""
     return total_click_counts(read_batches(spark, tables.minute_counts, MINUTE_COUNT_SCHEMA), ("minute", "adv_id"))
 
 
+def trend_last_hour_so_far(spark: SparkSession, tables: ClickTables, as_of: str, span_minutes: int = 60) -> DataFrame:
+    """`trend_last_hour` (clicks with ts in (as_of - span, as_of], per minute and ad) from the stored minute counts.
+
+    Exact for a minute-aligned `as_of`: the first minute of the span loses its
+    clicks at exactly that minute (the span is open there), the minute `as_of`
+    keeps only those (the span is closed there), every minute between counts whole.
+    """
+    end_at = dt.datetime.fromisoformat(as_of)
+    if end_at.second or end_at.microsecond:
+        raise ValueError(f"as_of must fall on a minute: {as_of!r}")
+    start_at = end_at - dt.timedelta(minutes=span_minutes)
+    start = F.lit(start_at.isoformat(sep=" ")).cast("timestamp")
+    end = F.lit(end_at.isoformat(sep=" ")).cast("timestamp")
+    minutes = read_batches(spark, tables.minute_counts, MINUTE_COUNT_SCHEMA)
+    in_span = (
+        F.when(F.col("minute") == start, F.col("clicks") - F.col("on_minute"))
+        .when(F.col("minute") == end, F.col("on_minute"))
+        .otherwise(F.col("clicks"))
+    )
+    rows = minutes.where((F.col("minute") >= start) & (F.col("minute") <= end)).withColumn("clicks", in_span)
+    return total_click_counts(rows, ("minute", "adv_id")).where(F.col("clicks") > 0)
+
+
 def stream_committed_offsets(spark: SparkSession, tables: ClickTables, group_id: str) -> DataFrame:
     return committed_offsets(read_batches(spark, tables.ledger, LEDGER_LOG_SCHEMA), group_id)

@@ -69,3 +69,14 @@ def test_typed_read_back(spark):
 def test_total_counts(spark):
     partials = spark.createDataFrame([(DAY, "a", "1", 2), (DAY, "a", "1", 3)], "click_day date, user_id string, adv_id string, clicks long")
     assert total_click_counts(partials).collect()[0].clicks == 5
+
+
+def test_sql_form_equals_dataframe_form(spark):
+    from adpulse.operators.blacklist import blacklist_sql
+
+    rows = [(DAY, "a", "1")] * 3 + [(DAY, "a", "2")] * 3 + [(DAY, "b", "1")]
+    counts = click_counts(clicks(spark, rows))
+    assert sorted(r.user_id for r in blacklist_sql(counts, 2).collect()) == ["a", "a"]
+    assert sorted(r.user_id for r in blacklist_sql(counts, 2).collect()) == sorted(
+        r.user_id for r in derive_blacklist(counts, 2, distinct=False).collect()
+    )

@@ -149,3 +149,38 @@ def test_late_click_is_not_counted(spark):
     assert all(w.hour >= 9 for w in starts)  # no window from the late 08:00 click
     assert starts[dt.datetime(2024, 1, 1, 11, 10)] == 2  # [11:10, 12:10) holds 11:55 and 12:00
     assert starts[dt.datetime(2024, 1, 1, 11, 0)] == 1  # [11:00, 12:00) holds 11:55 only
+
+
+def test_trend_from_minute_counts_is_exact_at_the_span_borders(spark):
+    from adpulse.operators.reports import trend_last_hour
+
+    times = ["2024-01-15 11:00:00", "2024-01-15 11:00:00.5", "2024-01-15 11:59:59", "2024-01-15 12:00:00",
+             "2024-01-15 12:00:00.5", "2024-01-15 12:00:00"]
+    body = '{{"userId":"u","accessTime":"{}","province":"P","city":"C","advId":"1"}}'
+    batch = spark.createDataFrame([("t", 0, i, body.format(t)) for i, t in enumerate(times)], MESSAGE_SCHEMA)
+    tables = fb.ClickTables(fresh_dir(spark, "minutes"))
+    tables.create(spark)
+    fb.process_batch(spark, batch, 0, tables, group_id="g")
+    stored = rows_of(fb.trend_last_hour_so_far(spark, tables, "2024-01-15 12:00:00"))
+    direct = rows_of(trend_last_hour(parse_clicks(batch), "2024-01-15 12:00:00").select("minute", "adv_id", "clicks"))
+    assert stored == direct
+    assert [r[2] for r in stored] == [1, 1, 2]
+    with pytest.raises(ValueError):
+        fb.trend_last_hour_so_far(spark, tables, "2024-01-15 12:00:30")
+
+
+def test_message_archive_and_console_preview(spark):
+    from adpulse.streaming.sinks import start_console_preview, start_message_archive
+
+    log, out = fresh_dir(spark, "arch_log"), fresh_dir(spark, "arch_out")
+    rows = [("t", 0, i, f"m{i}") for i in range(25)]
+    spark.createDataFrame(rows, MESSAGE_SCHEMA).write.parquet(log)
+    q = start_message_archive(read_click_stream(spark, path=log), f"{out}/text", f"{out}/ck", trigger={"availableNow": True})
+    q.awaitTermination()
+    q.awaitTermination()  # a second run over the same checkpoint adds nothing
+    q = start_message_archive(read_click_stream(spark, path=log), f"{out}/text", f"{out}/ck", trigger={"availableNow": True})
+    q.awaitTermination()
+    assert sorted(r.value for r in spark.read.text(f"{out}/text").collect()) == sorted(f"m{i}" for i in range(25))
+    p = start_console_preview(read_click_stream(spark, path=log), 3, trigger={"availableNow": True})
+    p.awaitTermination()
+    assert p.exception() is None
