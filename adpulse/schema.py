@@ -44,24 +44,26 @@ CLICK_SCHEMA = T.StructType(
     ]
 )
 
-# Partial click counts, one partition directory per micro-batch.
+# Partial click counts of the stream's tables. Partition columns come last:
+# `click_day` then `batch_id` (one directory per day and micro-batch), so a
+# batch reads back only the days it touched and replaces only its own batch.
 COUNT_SCHEMA = T.StructType(
     [
-        T.StructField("click_day", T.DateType()),
         T.StructField("user_id", T.StringType()),
         T.StructField("adv_id", T.StringType()),
         T.StructField("clicks", T.LongType()),
+        T.StructField("click_day", T.DateType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
 
 CITY_COUNT_SCHEMA = T.StructType(
     [
-        T.StructField("click_day", T.DateType()),
         T.StructField("province", T.StringType()),
         T.StructField("city", T.StringType()),
         T.StructField("adv_id", T.StringType()),
         T.StructField("clicks", T.LongType()),
+        T.StructField("click_day", T.DateType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
@@ -74,6 +76,7 @@ MINUTE_COUNT_SCHEMA = T.StructType(
         T.StructField("adv_id", T.StringType()),
         T.StructField("clicks", T.LongType()),
         T.StructField("on_minute", T.LongType()),
+        T.StructField("click_day", T.DateType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )

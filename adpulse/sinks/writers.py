@@ -8,7 +8,10 @@ the same id needs for exactly-once results.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -16,19 +19,36 @@ def batch_path(table: str, batch_id: int) -> str:
     return f"{table.rstrip('/')}/batch_id={batch_id}"
 
 
-def ensure_table(spark: SparkSession, table: str, schema: T.StructType) -> None:
-    """Create an empty partitioned table (an empty `batch_id=-1`) unless one is there already."""
-    data = T.StructType([f for f in schema.fields if f.name != "batch_id"])
-    spark.createDataFrame([], data).write.mode("ignore").parquet(batch_path(table, -1))
+def ensure_table(spark: SparkSession, table: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
+    """Create an empty table partitioned by `partition_by` and `batch_id`, unless one is there already."""
+    if partition_by:
+        empty = spark.createDataFrame([], schema)
+        empty.write.mode("ignore").partitionBy(*partition_by, "batch_id").parquet(table)
+    else:
+        data = T.StructType([f for f in schema.fields if f.name != "batch_id"])
+        spark.createDataFrame([], data).write.mode("ignore").parquet(batch_path(table, -1))
 
 
-def write_batch(rows: DataFrame, table: str, batch_id: int) -> None:
-    """Replace partition `batch_id` of `table` with `rows` (which carry no `batch_id` column).
+def write_batch(rows: DataFrame, table: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
+    """Replace what batch `batch_id` wrote to `table` with `rows` (`batch_id` is set here).
 
-    An empty `rows` still replaces the partition, so a replayed batch that now
-    filters to nothing leaves no stale rows behind.
+    Without `partition_by` the table has one directory per batch, replaced as a
+    whole: an empty `rows` still empties it. With `partition_by` (for instance
+    the day) each (day, batch) directory is replaced by dynamic partition
+    overwrite; a replayed batch is deterministic, so it writes the same
+    directories again.
     """
-    rows.drop("batch_id").write.mode("overwrite").parquet(batch_path(table, batch_id))
+    rows = rows.drop("batch_id")
+    if not partition_by:
+        rows.write.mode("overwrite").parquet(batch_path(table, batch_id))
+        return
+    (
+        rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by, "batch_id")
+        .parquet(table)
+    )
 
 
 def read_batches(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:

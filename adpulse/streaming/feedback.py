@@ -48,6 +48,8 @@ from adpulse.schema import (
 from adpulse.sinks.writers import ensure_table, publish_blacklist, read_batches, write_batch
 from adpulse.sources.tables import load_blacklist
 
+BY_DAY = ("click_day",)
+
 FLAGGED_SCHEMA = T.StructType([*BLACKLIST_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
 
 
@@ -90,14 +92,14 @@ class ClickTables:
         return f"{self.root}/_checkpoint"
 
     def create(self, spark: SparkSession) -> None:
-        for path, schema in (
-            (self.user_counts, COUNT_SCHEMA),
-            (self.city_counts, CITY_COUNT_SCHEMA),
-            (self.minute_counts, MINUTE_COUNT_SCHEMA),
-            (self.flagged, FLAGGED_SCHEMA),
-            (self.ledger, LEDGER_LOG_SCHEMA),
+        for path, schema, by in (
+            (self.user_counts, COUNT_SCHEMA, BY_DAY),
+            (self.city_counts, CITY_COUNT_SCHEMA, BY_DAY),
+            (self.minute_counts, MINUTE_COUNT_SCHEMA, BY_DAY),
+            (self.flagged, FLAGGED_SCHEMA, ()),
+            (self.ledger, LEDGER_LOG_SCHEMA, ()),
         ):
-            ensure_table(spark, path, schema)
+            ensure_table(spark, path, schema, by)
 
 
 def _seed(spark: SparkSession, seed_path: str | None) -> DataFrame:
@@ -136,7 +138,7 @@ def process_batch(
         writes = []
         if parse_mode == "QUARANTINE":
             clicks, bad = parse_clicks(messages, mode="QUARANTINE")
-            writes.append((bad, tables.quarantine))
+            writes.append((bad, tables.quarantine, ()))
         else:
             clicks = parse_clicks(messages, mode=parse_mode)
 
@@ -145,22 +147,26 @@ def process_batch(
         cached += [clean, batch_counts]
 
         # Totals of the groups this batch touched: earlier partials of those groups plus this batch's.
-        earlier = read_batches(spark, tables.user_counts, COUNT_SCHEMA).where(F.col("batch_id") < batch_id)
+        # Only the days the batch touched are read (partition pruning); a batch spans few days.
+        days = [r.click_day for r in batch_counts.select("click_day").distinct().collect()]
+        earlier = read_batches(spark, tables.user_counts, COUNT_SCHEMA).where(
+            F.col("click_day").isin(days) & (F.col("batch_id") < batch_id)
+        )
         touched = earlier.join(batch_counts.select(*COUNT_KEYS), list(COUNT_KEYS), "left_semi")
         totals = touched.select(*COUNT_KEYS, "clicks").unionByName(batch_counts)
         timed = clean.where(F.col("ts").isNotNull()).withColumn("minute", F.date_trunc("minute", "ts"))
-        minute = timed.groupBy("minute", "adv_id").agg(
+        minute = timed.groupBy(F.to_date("minute").alias("click_day"), "minute", "adv_id").agg(
             F.count(F.lit(1)).alias("clicks"),
             F.count(F.when(F.col("ts") == F.col("minute"), True)).alias("on_minute"),
         )
         writes += [
-            (batch_counts, tables.user_counts),
-            (clean.groupBy(*CITY_KEYS).agg(F.count(F.lit(1)).alias("clicks")), tables.city_counts),
-            (minute, tables.minute_counts),
-            (derive_blacklist(totals, threshold), tables.flagged),
+            (batch_counts, tables.user_counts, BY_DAY),
+            (clean.groupBy(*CITY_KEYS).agg(F.count(F.lit(1)).alias("clicks")), tables.city_counts, BY_DAY),
+            (minute, tables.minute_counts, BY_DAY),
+            (derive_blacklist(totals, threshold), tables.flagged, ()),
         ]
         with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-            for done in [pool.submit(write_batch, rows, table, batch_id) for rows, table in writes]:
+            for done in [pool.submit(write_batch, rows, table, batch_id, by) for rows, table, by in writes]:
                 done.result()
 
         published = _seed(spark, seed_path).unionByName(
@@ -248,7 +254,9 @@ def trend_last_hour_so_far(spark: SparkSession, tables: ClickTables, as_of: str,
     start_at = end_at - dt.timedelta(minutes=span_minutes)
     start = F.lit(start_at.isoformat(sep=" ")).cast("timestamp")
     end = F.lit(end_at.isoformat(sep=" ")).cast("timestamp")
-    minutes = read_batches(spark, tables.minute_counts, MINUTE_COUNT_SCHEMA)
+    first = start_at.date()
+    days = [first + dt.timedelta(days=i) for i in range((end_at.date() - first).days + 1)]
+    minutes = read_batches(spark, tables.minute_counts, MINUTE_COUNT_SCHEMA).where(F.col("click_day").isin(days))
     in_span = (
         F.when(F.col("minute") == start, F.col("clicks") - F.col("on_minute"))
         .when(F.col("minute") == end, F.col("on_minute"))
