@@ -1,0 +1,21 @@
+"""Size checks that decide a join strategy."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a lookup side may hold to be broadcast (a few tens of MB for a narrow key -> attributes table).
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """`df` with a broadcast hint when it has at most `max_rows` rows, else `df` unchanged.
+
+    The check is a bounded count (`limit(max_rows + 1)`): it stops reading once
+    the bound is passed, so it stays cheap for a large table. Beyond the bound
+    the planner keeps its shuffle join (and AQE may still broadcast at run time).
+    Use it for lookup sides whose plan hides their size from the optimizer
+    (a join's size estimate is the product of its inputs).
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

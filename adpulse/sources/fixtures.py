@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adpulse.functions.sizing import broadcast_if_small
+
 # Fixed values of the fixture mapping.
 TOPIC = "clicks"
 TOPIC_PARTITIONS = 4
@@ -32,10 +34,9 @@ def user_geography(customer: DataFrame, nation: DataFrame, region: DataFrame) ->
     """user key -> (province, city).
 
     `nation` and `region` are fixed-size dimensions (25 and 5 rows at every
-    scale factor), so they are broadcast. `customer` grows with the data and is
-    left to the planner: broadcast while its statistics are under
-    `spark.sql.autoBroadcastJoinThreshold`, else a shuffle join that AQE can
-    still turn into a broadcast at run time.
+    scale factor), so they are broadcast. `customer` grows with the data; the
+    result is broadcast by the joins that use it only after a bounded row
+    count shows it is small (`broadcast_if_small`), else they shuffle.
     """
     nat = nation.select("n_nationkey", "n_regionkey", F.col("n_name").alias("city"))
     reg = region.select("r_regionkey", F.col("r_name").alias("province"))
@@ -65,7 +66,7 @@ def fixture_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_fixture(spark, sf_dir, "nation"),
         read_fixture(spark, sf_dir, "region"),
     )
-    return geo.select(F.col("c_custkey").cast("string").alias("user_id"), "province", "city")
+    return broadcast_if_small(geo.select(F.col("c_custkey").cast("string").alias("user_id"), "province", "city"))
 
 
 def with_geography(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
@@ -93,7 +94,7 @@ def click_rows(spark: SparkSession, sf_dir: str, geography: bool = True) -> Data
             read_fixture(spark, sf_dir, "nation"),
             read_fixture(spark, sf_dir, "region"),
         )
-        rows = rows.join(geo, F.col("user_id") == F.col("c_custkey"), "left")
+        rows = rows.join(broadcast_if_small(geo), F.col("user_id") == F.col("c_custkey"), "left")
     place = ["province", "city"] if geography else []
     return (
         rows
