@@ -169,12 +169,18 @@ def process_batch(
             for done in [pool.submit(write_batch, rows, table, batch_id, by) for rows, table, by in writes]:
                 done.result()
 
+        # After the data: the published blacklist and the ledger (independent of each other).
         published = _seed(spark, seed_path).unionByName(
             read_batches(spark, tables.flagged, FLAGGED_SCHEMA).select("user_id")
         )
-        publish_blacklist(published.distinct(), path=tables.blacklist)
-
-        write_batch(advance_ledger(batch_offset_ranges(messages), group_id), tables.ledger, batch_id)
+        ledger = advance_ledger(batch_offset_ranges(messages), group_id)
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            done = [
+                pool.submit(publish_blacklist, published.distinct(), path=tables.blacklist),
+                pool.submit(write_batch, ledger, tables.ledger, batch_id),
+            ]
+            for d in done:
+                d.result()
     finally:
         for df in cached:
             df.unpersist()

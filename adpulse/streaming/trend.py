@@ -30,7 +30,7 @@ def streaming_hourly_trend(
     TIMESTAMP_NTZ is read in the session zone).
     """
     timed = clicks.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
-    return hourly_trend(timed, length, slide, by)
+    return hourly_trend(timed, length, slide, by, pre_aggregate=False)
 
 
 def start_hourly_trend(trend: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

@@ -55,3 +55,22 @@ def test_daily_city_counts_and_preview(spark):
     got = {(str(r.click_day), r.clicks) for r in daily_city_ad_clicks(clicks(spark, rows)).collect()}
     assert got == {("2024-01-01", 2), ("2024-01-02", 1)}
     assert [r.user_id for r in preview(clicks(spark, rows), 2, order=("ts",)).collect()] == ["u", "v"]
+
+
+def test_bucketed_trend_equals_one_step_trend(spark):
+    rows = [("u", str(i % 3), "P", f"2024-01-01 {h:02d}:{m:02d}:{s:02d}") for i, (h, m, s) in
+            enumerate([(0, 0, 0), (0, 9, 59), (0, 10, 0), (0, 59, 59), (1, 0, 0), (23, 55, 1), (12, 30, 30)])]
+    df = clicks(spark, rows)
+    for length, slide in [("1 hour", "10 minutes"), ("30 minutes", "7 minutes"), ("1 day", "1 hour")]:
+        a = sorted(map(tuple, hourly_trend(df, length, slide).collect()))
+        b = sorted(map(tuple, hourly_trend(df, length, slide, pre_aggregate=False).collect()))
+        assert a == b, (length, slide)
+
+
+def test_interval_seconds():
+    from adpulse.operators.reports import interval_seconds
+
+    assert interval_seconds("10 minutes") == 600
+    assert interval_seconds("1 hour 30 minutes") == 5400
+    assert interval_seconds("INTERVAL 2 days") == 172800
+    assert interval_seconds("soon") is None
