@@ -9,13 +9,19 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Whether `df` has at most `max_rows` rows: a bounded count that stops reading past the bound."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
     """`df` with a broadcast hint when it has at most `max_rows` rows, else `df` unchanged.
 
-    The check is a bounded count (`limit(max_rows + 1)`): it stops reading once
-    the bound is passed, so it stays cheap for a large table. Beyond the bound
-    the planner keeps its shuffle join (and AQE may still broadcast at run time).
-    Use it for lookup sides whose plan hides their size from the optimizer
-    (a join's size estimate is the product of its inputs).
+    The check is a bounded count (see `has_at_most`), so it stays cheap for a
+    large table. `bound_by` counts a cheaper DataFrame that has at least as many
+    rows as `df` (the base table of a lookup that adds columns by key joins).
+    Beyond the bound the planner keeps its shuffle join (and AQE may still
+    broadcast at run time). Use it for lookup sides whose plan hides their size
+    from the optimizer (a join's size estimate is the product of its inputs).
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if has_at_most(bound_by if bound_by is not None else df, max_rows) else df

@@ -59,14 +59,16 @@ def message_coordinates(events: DataFrame) -> DataFrame:
     )
 
 
+def _geography(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`user_geography` of the fixture, broadcast when `customer` (one row per user) is small."""
+    customer = read_fixture(spark, sf_dir, "customer")
+    geo = user_geography(customer, read_fixture(spark, sf_dir, "nation"), read_fixture(spark, sf_dir, "region"))
+    return broadcast_if_small(geo, bound_by=customer)
+
+
 def fixture_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`user_id` (text) -> province, city, from the fixture's customer, nation and region tables."""
-    geo = user_geography(
-        read_fixture(spark, sf_dir, "customer"),
-        read_fixture(spark, sf_dir, "nation"),
-        read_fixture(spark, sf_dir, "region"),
-    )
-    return broadcast_if_small(geo.select(F.col("c_custkey").cast("string").alias("user_id"), "province", "city"))
+    return _geography(spark, sf_dir).select(F.col("c_custkey").cast("string").alias("user_id"), "province", "city")
 
 
 def with_geography(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
@@ -89,12 +91,7 @@ def click_rows(spark: SparkSession, sf_dir: str, geography: bool = True) -> Data
     events = read_fixture(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props")
     rows = message_coordinates(events)
     if geography:
-        geo = user_geography(
-            read_fixture(spark, sf_dir, "customer"),
-            read_fixture(spark, sf_dir, "nation"),
-            read_fixture(spark, sf_dir, "region"),
-        )
-        rows = rows.join(broadcast_if_small(geo), F.col("user_id") == F.col("c_custkey"), "left")
+        rows = rows.join(_geography(spark, sf_dir), F.col("user_id") == F.col("c_custkey"), "left")
     place = ["province", "city"] if geography else []
     return (
         rows
