@@ -44,15 +44,17 @@ def _await(query: StreamingQuery) -> None:
 
 
 def replay_in_slices(spark: SparkSession, sf_dir: str, start: Callable[[str], StreamingQuery]) -> None:
-    """Append the fixture's message log slice by slice; after each, run `start(log_path)` until drained."""
-    log = fresh_dir(spark, "message_log")
-    messages = messages_from_events(spark, sf_dir, keep_event_id=True).persist()
-    try:
-        for part in message_slices(messages, STREAM_SLICES):
-            part.write.mode("append").parquet(log)
-            _await(start(log))
-    finally:
-        messages.unpersist()
+    """Append the fixture's message log slice by slice; after each, run `start(log_path)` until drained.
+
+    The whole log is written once to shared storage, sorted by `event_id` within
+    files, and each slice is a range read of that copy (the range predicate
+    reaches the scan), so nothing is cached on executors that could be lost.
+    """
+    staged, log = fresh_dir(spark, "message_source"), fresh_dir(spark, "message_log")
+    messages_from_events(spark, sf_dir, keep_event_id=True).sortWithinPartitions("event_id").write.parquet(staged)
+    for part in message_slices(spark.read.parquet(staged), STREAM_SLICES):
+        part.write.mode("append").parquet(log)
+        _await(start(log))
 
 
 def run_fixture_stream(spark: SparkSession, sf_dir: str, threshold: int) -> ClickTables:

@@ -80,3 +80,12 @@ def test_sql_form_equals_dataframe_form(spark):
     assert sorted(r.user_id for r in blacklist_sql(counts, 2).collect()) == sorted(
         r.user_id for r in derive_blacklist(counts, 2, distinct=False).collect()
     )
+
+
+def test_registered_view_answers_sql(spark):
+    from adpulse.sinks.writers import register_views
+
+    rows = [(DAY, "a", "1")] * 3 + [(DAY, "b", "1")]
+    register_views(spark, clickcount=click_counts(clicks(spark, rows)))
+    got = spark.sql("SELECT user_id FROM clickcount GROUP BY click_day, user_id, adv_id HAVING sum(clicks) > 2").collect()
+    assert [r.user_id for r in got] == ["a"]

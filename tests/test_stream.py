@@ -216,3 +216,21 @@ def test_compaction_keeps_every_result(spark, fixture_messages):
     run(compacted, parts[3:])  # replay of the last batch before compaction, then the next one
     run(plain, parts[4:])
     assert results(compacted) == results(plain)
+
+
+def test_admission_cap_and_processing_time_trigger(spark):
+    log = fresh_dir(spark, "cap_log")
+    body = '{"userId":"u","accessTime":"2024-01-01 00:00:00","province":"P","city":"C","advId":"1"}'
+    for i in range(3):  # three files
+        rows = spark.createDataFrame([("t", 0, i * 10 + j, body) for j in range(10)], MESSAGE_SCHEMA)
+        rows.coalesce(1).write.mode("append").parquet(log)  # ten test rows, one file
+    tables = fb.ClickTables(fresh_dir(spark, "cap"))
+    q = fb.run_click_stream(spark, read_click_stream(spark, path=log, max_files_per_trigger=1), tables,
+                            group_id="g", trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+    assert sizes == [10, 10, 10]  # one file per micro-batch
+    assert fb.stream_committed_offsets(spark, tables, "g").collect()[0].committed_offset == 30
