@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adpulse.operators.counts import COUNT_KEYS, total_click_counts
@@ -48,12 +48,20 @@ def derive_blacklist(
     return users.distinct() if distinct else users
 
 
-def filter_blacklisted(clicks: DataFrame, blacklist: DataFrame, broadcast: bool | None = None) -> DataFrame:
-    """Drop the clicks of blacklisted users (equality on `user_id` only).
+def filter_blacklisted(
+    clicks: DataFrame, blacklist: DataFrame, broadcast: bool | None = None, method: str = "anti"
+) -> DataFrame:
+    """Drop the rows of blacklisted users (equality on `user_id` only): clicks, or counts per user.
+
+    Rows with a null `user_id` are kept and null or repeated blacklist entries
+    are harmless (a `NOT IN` would empty the result on one null entry).
 
-    A left anti join: clicks with a null `user_id` are kept and null or repeated
-    blacklist entries are harmless (a `NOT IN` would empty the result on one
-    null entry).
+    method="anti": a left anti join. Over an aggregate Catalyst pushes it below
+    the aggregation, onto the raw rows: ideal while the blacklist is broadcast,
+    a shuffle of the raw rows when it is not.
+    method="mark": a left join against the distinct blacklist that marks
+    blacklisted rows, which are then dropped. Catalyst keeps it where it is
+    written, so over counts the join moves counts, whatever the blacklist's size.
 
     broadcast=None leaves the strategy to the planner and AQE: the blacklist is
     broadcast while its (runtime) size is under the broadcast threshold, and
@@ -61,9 +69,45 @@ def filter_blacklisted(clicks: DataFrame, blacklist: DataFrame, broadcast: bool
     broadcast=True is for a caller that has bounded the blacklist's size.
     """
     side = blacklist.select(F.col("user_id").cast("string").alias("_bl_user")).where(F.col("_bl_user").isNotNull())
+    if method == "mark":
+        side = side.distinct().withColumn("_bl_mark", F.lit(True))
+    elif method != "anti":
+        raise ValueError(f"unknown method {method!r}; use anti or mark")
     if broadcast:
         side = F.broadcast(side)
-    return clicks.join(side, F.col("user_id") == F.col("_bl_user"), "left_anti")
+    if method == "anti":
+        return clicks.join(side, F.col("user_id") == F.col("_bl_user"), "left_anti")
+    marked = clicks.join(side, F.col("user_id") == F.col("_bl_user"), "left")
+    return marked.where(F.col("_bl_mark").isNull()).drop("_bl_user", "_bl_mark")
+
+
+def drop_flagged_users(
+    counts: DataFrame,
+    threshold: int = DEFAULT_THRESHOLD,
+    groups: Sequence[str] = COUNT_KEYS,
+    user_col: str = "user_id",
+    count_col: str = "clicks",
+) -> DataFrame:
+    """Rows of `counts` whose user has no group above `threshold` in these same counts.
+
+    Equal to `filter_blacklisted(counts, derive_blacklist(counts, threshold))`,
+    in one pass: the counts are partitioned by user once, each group's total is
+    a window sum and the user's largest group total a window max. So the input
+    of `counts` is read once and there is no join. Only aggregated rows move,
+    and a user's partition holds that user's groups (days x ads), not clicks.
+    `counts` may hold several rows per group (partials, or finer buckets such
+    as time slices); users with a null id are never blacklisted.
+    """
+    inner = [user_col, *[g for g in groups if g != user_col]]
+    total = F.sum(count_col).over(Window.partitionBy(*inner))
+    worst = F.max("_group_total").over(Window.partitionBy(user_col))
+    return (
+        counts.repartition(user_col)
+        .withColumn("_group_total", total)
+        .withColumn("_worst", worst)
+        .where((F.col("_worst") <= F.lit(threshold)) | F.col(user_col).isNull())
+        .drop("_group_total", "_worst")
+    )
 
 
 # The blacklist rule as SQL text over a table of partial counts.

@@ -99,14 +99,31 @@ def hourly_trend(
     aggregation, see `adpulse.streaming.trend`).
     """
     timed = clicks.where(F.col("ts").isNotNull())
+    if pre_aggregate and bucketable(length, slide):
+        return spread_buckets(trend_buckets(timed, slide, by), length, slide, by)
+    windows = timed.groupBy(*by, F.window("ts", length, slide).alias("w")).agg(F.count(F.lit(1)).alias("clicks"))
+    return windows.select(*by, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "clicks")
+
+
+def bucketable(length: str, slide: str) -> bool:
+    """Whether sliding windows of `length` every `slide` can be built from `slide`-long buckets."""
     step, span = interval_seconds(slide), interval_seconds(length)
-    if pre_aggregate and step and span and span % step == 0:
-        buckets = timed.groupBy(*by, F.window("ts", slide).start.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-        windows = buckets.groupBy(*by, F.window("bucket", length, slide).alias("w")).agg(
-            F.sum("n").cast("bigint").alias("clicks")
-        )
-    else:
-        windows = timed.groupBy(*by, F.window("ts", length, slide).alias("w")).agg(F.count(F.lit(1)).alias("clicks"))
+    return bool(step and span and span % step == 0)
+
+
+def trend_buckets(clicks: DataFrame, slide: str = DEFAULT_SLIDE, by: Sequence[str] = ("click_day", "adv_id")) -> DataFrame:
+    """Clicks per `by` and `slide`-long bucket (a tumbling window): `by..., bucket, clicks`."""
+    timed = clicks.where(F.col("ts").isNotNull())
+    return timed.groupBy(*by, F.window("ts", slide).start.alias("bucket")).agg(F.count(F.lit(1)).alias("clicks"))
+
+
+def spread_buckets(
+    buckets: DataFrame, length: str = DEFAULT_WINDOW, slide: str = DEFAULT_SLIDE, by: Sequence[str] = ("click_day", "adv_id")
+) -> DataFrame:
+    """Sliding-window counts from bucket counts (any finer grouping allowed): `by..., window_start, window_end, clicks`."""
+    windows = buckets.groupBy(*by, F.window("bucket", length, slide).alias("w")).agg(
+        F.sum("clicks").cast("bigint").alias("clicks")
+    )
     return windows.select(*by, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "clicks")
 
 

@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adpulse.functions.parse import parse_clicks
-from adpulse.operators.blacklist import blacklist_rows, blacklist_sql, derive_blacklist, filter_blacklisted
+from adpulse.operators.blacklist import (
+    blacklist_rows,
+    blacklist_sql,
+    derive_blacklist,
+    drop_flagged_users,
+    filter_blacklisted,
+)
 from adpulse.operators.counts import click_counts, total_click_counts, typed_click_counts
 from adpulse.operators.offsets import (
     batch_offset_ranges,
@@ -24,7 +30,14 @@ from adpulse.operators.offsets import (
     resume_read,
     start_positions,
 )
-from adpulse.operators.reports import daily_city_ad_clicks, hourly_trend, preview, top_ads, trend_last_hour
+from adpulse.operators.reports import (
+    daily_city_ad_clicks,
+    preview,
+    spread_buckets,
+    top_ads,
+    trend_buckets,
+    trend_last_hour,
+)
 from adpulse.schema import DEFAULT_THRESHOLD
 from adpulse.session import fresh_dir
 from adpulse.sinks.writers import append_click_counts, archive_messages
@@ -76,13 +89,13 @@ def clean_city_counts(spark: SparkSession, sf_dir: str, threshold: int = DEFAULT
     """Counts per (day, user, ad) of the users not blacklisted at `threshold`, with province and city.
 
     Blacklisting and the place of a click are both properties of the user, so
-    they apply to per-user counts exactly as to clicks: `events` is scanned and
-    aggregated once (the blacklist and the filtered side share that exchange),
-    and the anti join and the geography join move counts, not clicks.
+    they apply to per-user counts exactly as to clicks: `events` is read once,
+    the blacklist is applied to the counts by `drop_flagged_users` (windows
+    over the counts partitioned by user, no join), and the geography join
+    moves counts, not clicks.
     """
     counts = click_counts(clicks_from_events(spark, sf_dir, geography=False))
-    clean = filter_blacklisted(counts, derive_blacklist(counts, threshold))
-    return with_geography(spark, sf_dir, clean)
+    return with_geography(spark, sf_dir, drop_flagged_users(counts, threshold))
 
 
 def with_batch(df: DataFrame) -> DataFrame:
@@ -149,7 +162,16 @@ def q_top_ads_by_day_province(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_hourly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(hourly_trend(clean_clicks(spark, sf_dir), "1 hour", "10 minutes"))
+    """1 h / 10 min trend of the clicks of users not blacklisted at 100, in one read of `events`.
+
+    Clicks are counted per (day, user, ad, 10-minute bucket); the blacklist is
+    applied to those counts (`drop_flagged_users` totals them per (day, user,
+    ad)); the buckets of the remaining users are spread over the sliding windows.
+    """
+    clicks = clicks_from_events(spark, sf_dir, geography=False)
+    buckets = trend_buckets(clicks, "10 minutes", by=("click_day", "user_id", "adv_id"))
+    clean = drop_flagged_users(buckets, DEFAULT_THRESHOLD)
+    return present(spread_buckets(clean, "1 hour", "10 minutes", by=("click_day", "adv_id")))
 
 
 def q_trend_last_hour(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,3 +89,38 @@ def test_registered_view_answers_sql(spark):
     register_views(spark, clickcount=click_counts(clicks(spark, rows)))
     got = spark.sql("SELECT user_id FROM clickcount GROUP BY click_day, user_id, adv_id HAVING sum(clicks) > 2").collect()
     assert [r.user_id for r in got] == ["a"]
+
+
+def test_mark_method_equals_anti_join(spark):
+    data = clicks(spark, [(DAY, "a", "1"), (DAY, "b", "1"), (DAY, None, "1"), (DAY, "c", "2")])
+    bl = spark.createDataFrame([("a",), ("a",), (None,), ("c",)], "user_id string")
+    anti = filter_blacklisted(data, bl)
+    mark = filter_blacklisted(data, bl, method="mark")
+    assert mark.columns == data.columns
+    assert sorted(map(str, map(tuple, mark.collect()))) == sorted(map(str, map(tuple, anti.collect())))
+
+
+def test_mark_method_stays_above_the_aggregate(spark, capsys):
+    counts = click_counts(clicks(spark, [(DAY, "a", "1"), (DAY, "b", "1")]))
+    bl = spark.createDataFrame([("a",)], "user_id string")
+    capsys.readouterr()
+    filter_blacklisted(counts, bl, method="mark").explain()
+    plan = capsys.readouterr().out
+    join_at = min(plan.find("LeftOuter"), 10**9)
+    assert "LeftAnti" not in plan and join_at < plan.find("HashAggregate")  # join above (printed before) the aggregate
+
+
+def test_drop_flagged_users_equals_filter_of_derived_blacklist(spark):
+    from adpulse.operators.blacklist import drop_flagged_users
+
+    d2 = DAY + dt.timedelta(days=1)
+    rows = [(DAY, "a", "1")] * 3 + [(d2, "a", "2")] + [(DAY, "b", "1")] * 2 + [(DAY, None, "1")] * 5 + [(d2, "c", "3")]
+    counts = click_counts(clicks(spark, rows))
+    for threshold in (0, 1, 2, 3, 10):
+        one_pass = sorted(map(str, map(tuple, drop_flagged_users(counts, threshold).collect())))
+        two_pass = sorted(map(str, map(tuple, filter_blacklisted(counts, derive_blacklist(counts, threshold)).collect())))
+        assert one_pass == two_pass, threshold
+    # partial rows per group are totalled first: 2 + 2 > 3
+    partials = spark.createDataFrame([(DAY, "a", "1", 2), (DAY, "a", "1", 2), (DAY, "b", "1", 3)],
+                                     "click_day date, user_id string, adv_id string, clicks long")
+    assert [r.user_id for r in drop_flagged_users(partials, 3).collect()] == ["b"]

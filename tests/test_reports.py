@@ -74,3 +74,18 @@ def test_interval_seconds():
     assert interval_seconds("1 hour 30 minutes") == 5400
     assert interval_seconds("INTERVAL 2 days") == 172800
     assert interval_seconds("soon") is None
+
+
+def test_one_read_trend_equals_filter_then_trend(spark, sf_small):
+    """The registered trend's one-read plan against the two-read form, at a threshold that blacklists users."""
+    from adpulse.operators.blacklist import derive_blacklist, drop_flagged_users, filter_blacklisted
+    from adpulse.operators.counts import click_counts
+    from adpulse.operators.reports import spread_buckets, trend_buckets
+    from adpulse.sources.fixtures import clicks_from_events
+
+    clicks = clicks_from_events(spark, sf_small, geography=False)
+    buckets = trend_buckets(clicks, "10 minutes", by=("click_day", "user_id", "adv_id"))
+    one = spread_buckets(drop_flagged_users(buckets, 1), "1 hour", "10 minutes")
+    two = hourly_trend(filter_blacklisted(clicks, derive_blacklist(click_counts(clicks), 1)), "1 hour", "10 minutes")
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
+    assert one.count() > 0
