@@ -62,12 +62,16 @@ def append_click_counts(counts: DataFrame, table: str, batch_id: int | None = No
     With `batch_id`, replace that one partition; without it, `counts` must
     carry a `batch_id` column and each of its batches is replaced
     (dynamic partition overwrite), so re-running leaves the table unchanged.
+    The rows are range-partitioned on (batch_id, user_id) first: each task
+    writes a contiguous run of batches (files ~ batches + tasks, not batches x
+    tasks), and a large batch is still split over several tasks by user.
     """
     if batch_id is not None:
         write_batch(counts, table, batch_id)
         return
     (
-        counts.write.mode("overwrite")
+        counts.repartitionByRange("batch_id", "user_id")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id")
         .parquet(table)
