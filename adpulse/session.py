@@ -8,24 +8,36 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "adpulse") -> SparkSession:
-    """A local session configured like the cluster one, sized for one machine.
+# Settings the library is designed for, on a cluster as locally.
+# - AQE re-plans at run time: coalesces small shuffle partitions, splits skewed
+#   join partitions, turns shuffle joins into broadcasts once a side is small.
+# - Shuffle partitions start high (sized for the largest stage, ~256 MB each at
+#   the target scale); AQE coalesces toward the advisory size.
+# - The stream's window state lives in RocksDB (off-heap, spills to local disk,
+#   checkpointed incrementally) instead of executor heap maps.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
 
-    On a cluster, `spark.sql.shuffle.partitions` is sized from the input (about
-    128-256 MB per shuffle partition) and AQE coalesces what turns out small.
-    """
+
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "adpulse") -> SparkSession:
+    """A local session with `CLUSTER_CONF`, sized for one machine (few shuffle partitions, no UI)."""
+    builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
+    for key, value in {**CLUSTER_CONF, "spark.sql.shuffle.partitions": str(shuffle_partitions)}.items():
+        builder = builder.config(key, value)
     return (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
+        builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.forceDeleteTempCheckpointLocation", "true")
         .getOrCreate()
     )
