@@ -41,10 +41,15 @@ def derive_blacklist(
 ) -> DataFrame:
     """User ids of the offending groups, as `user_id`.
 
-    `distinct=False` keeps one row per offending group, as the reference's SQL
-    returns; `distinct=True` (the join side) gives each user once.
+    `distinct=False` keeps one row per offending group; `distinct=True` (the
+    join side) gives each user once. A group without a user id names no user,
+    so it adds no entry (it still shows in `blacklist_rows`).
     """
-    users = blacklist_rows(counts, threshold, keys, count_col).select(F.col(user_col).alias("user_id"))
+    users = (
+        blacklist_rows(counts, threshold, keys, count_col)
+        .select(F.col(user_col).alias("user_id"))
+        .where(F.col("user_id").isNotNull())
+    )
     return users.distinct() if distinct else users
 
 
@@ -114,6 +119,7 @@ def drop_flagged_users(
 BLACKLIST_SQL = """
 SELECT user_id
 FROM {counts}
+WHERE user_id IS NOT NULL
 GROUP BY click_day, user_id, adv_id
 HAVING sum(clicks) > :threshold
 """

@@ -32,8 +32,8 @@ LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
         ("clicks",),
         "SELECT click_day, user_id, adv_id, count(*) AS clicks FROM clicks GROUP BY click_day, user_id, adv_id",
     ),
-    "bl1": (("counts",), "SELECT DISTINCT user_id FROM counts WHERE clicks > 1"),
-    "bl100": (("counts",), "SELECT DISTINCT user_id FROM counts WHERE clicks > 100"),
+    "bl1": (("counts",), "SELECT DISTINCT user_id FROM counts WHERE clicks > 1 AND user_id IS NOT NULL"),
+    "bl100": (("counts",), "SELECT DISTINCT user_id FROM counts WHERE clicks > 100 AND user_id IS NOT NULL"),
     "clean": (
         ("clicks", "bl100"),
         "SELECT * FROM clicks k WHERE NOT EXISTS (SELECT 1 FROM bl100 b WHERE b.user_id = k.user_id)",
@@ -119,7 +119,7 @@ GROUP BY click_day, user_id, adv_id HAVING sum(clicks) > 1""",
         "clicks",
     ),
     "blacklist_users": with_views("SELECT user_id FROM bl1", "bl1"),
-    "blacklist_rows_sql": with_views("SELECT user_id FROM counts WHERE clicks > 1", "counts"),
+    "blacklist_rows_sql": with_views("SELECT user_id FROM counts WHERE clicks > 1 AND user_id IS NOT NULL", "counts"),
     "blacklist_default_threshold": """SELECT l_suppkey, l_returnflag, l_linestatus, count(*) AS clicks
 FROM lineitem GROUP BY l_suppkey, l_returnflag, l_linestatus HAVING count(*) > 100""",
     "filter_blacklisted": with_views(
