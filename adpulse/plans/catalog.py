@@ -181,7 +181,7 @@ def q_trend_last_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First 10 clicks by `event_id`; the 10 rows are enriched after the top-k, not the log before it."""
     first = preview(clicks_from_events(spark, sf_dir, geography=False), 10, order=("event_id",))
-    return present(with_geography(spark, sf_dir, first).select("event_id", *CLICK_OUT))
+    return present(with_geography(spark, sf_dir, first, few_rows=True).select("event_id", *CLICK_OUT))
 
 
 # ---- offsets -------------------------------------------------------------------

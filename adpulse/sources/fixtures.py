@@ -71,13 +71,19 @@ def fixture_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _geography(spark, sf_dir).select(F.col("c_custkey").cast("string").alias("user_id"), "province", "city")
 
 
-def with_geography(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+def with_geography(spark: SparkSession, sf_dir: str, rows: DataFrame, few_rows: bool = False) -> DataFrame:
     """Adds `province` and `city` to rows keyed by `user_id` (a left join: unknown users get nulls).
 
     Both are attributes of the user, so rows can be aggregated per user first
     and enriched after: the join then moves aggregates, not clicks.
+    `few_rows=True` is for a `rows` of a proven small size (a top-k): the
+    geography is first cut to those users by a semi join that broadcasts their
+    ids, so a large `customer` table is never shuffled for a handful of rows.
     """
-    return rows.join(fixture_geography(spark, sf_dir), "user_id", "left")
+    geo = fixture_geography(spark, sf_dir)
+    if few_rows:
+        geo = geo.join(F.broadcast(rows.select("user_id").distinct()), "user_id", "left_semi")
+    return rows.join(geo, "user_id", "left")
 
 
 def click_rows(spark: SparkSession, sf_dir: str, geography: bool = True) -> DataFrame:
