@@ -187,6 +187,9 @@ STATEMENTS.update(
         "stream_blacklist_users": STATEMENTS["blacklist_users"],
         "stream_top_ads_by_province": STATEMENTS["top_ads_by_province"],
         "stream_trend_last_hour": STATEMENTS["trend_last_hour"],
+        "stream_committed_offsets": with_views(
+            'SELECT topic, "partition", latest_offset AS committed_offset FROM latest', "latest"
+        ),
         "stream_hourly_trend": STATEMENTS["hourly_trend"].replace(
             "GROUP BY click_day, adv_id, ws",
             "WHERE ws + INTERVAL 1 HOUR <= (SELECT max(ts) FROM clean) - INTERVAL 10 MINUTES\n"

@@ -28,6 +28,7 @@ from adpulse.streaming.feedback import (
     daily_city_counts,
     published_blacklist,
     run_click_stream,
+    stream_committed_offsets,
     top_ads_so_far,
     trend_last_hour_so_far,
 )
@@ -82,6 +83,12 @@ def q_stream_top_ads_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_ads_so_far(spark, run_fixture_stream(spark, sf_dir, DEFAULT_THRESHOLD), by=("province",), n=3)
 
 
+def q_stream_committed_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offsets the stream committed to its ledger: once the log is drained, the end of every partition."""
+    tables = run_fixture_stream(spark, sf_dir, DEFAULT_THRESHOLD)
+    return stream_committed_offsets(spark, tables, LEDGER_GROUP)
+
+
 def q_stream_trend_last_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-minute clicks per ad in the hour up to 2024-01-15 12:00, from the stream's minute counts."""
     tables = run_fixture_stream(spark, sf_dir, DEFAULT_THRESHOLD)
@@ -114,6 +121,7 @@ def stream_queries() -> dict:
         "stream_daily_city_ad_clicks": q_stream_daily_city_ad_clicks,
         "stream_blacklist_users": q_stream_blacklist_users,
         "stream_top_ads_by_province": q_stream_top_ads_by_province,
+        "stream_committed_offsets": q_stream_committed_offsets,
         "stream_trend_last_hour": q_stream_trend_last_hour,
         "stream_hourly_trend": q_stream_hourly_trend,
     }
