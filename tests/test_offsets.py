@@ -64,3 +64,23 @@ def test_ranges_and_ledger_advance(spark):
 def test_latest_batch_entry_wins(spark):
     ledger = spark.createDataFrame([("g", "t", 0, 9, 0), ("g", "t", 0, 5, 1)], LEDGER_LOG_SCHEMA)
     assert as_map(committed_offsets(ledger, "g"), "committed_offset") == {("t", 0): 5}
+
+
+def test_starting_offsets_json(spark):
+    import json
+
+    from adpulse import starting_offsets_json
+
+    starts = spark.createDataFrame([("t", 1, 12), ("t", 0, 4), ("u", 0, 0)], "topic string, partition int, start_offset long")
+    assert json.loads(starting_offsets_json(starts)) == {"t": {"0": 4, "1": 12}, "u": {"0": 0}}
+
+
+def test_archive_as_table_appends(spark):
+    from adpulse import archive_messages
+    from adpulse.session import fresh_dir
+
+    path = fresh_dir(spark, "archive_table")
+    archive_messages(log(spark), path, format="table")
+    archive_messages(log(spark).limit(5), path, format="table")
+    assert spark.read.parquet(path).count() == 35
+    assert spark.read.parquet(path).columns == ["value"]
