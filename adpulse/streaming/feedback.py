@@ -132,6 +132,9 @@ def process_batch(
     3-4 do not depend on each other and run as concurrent Spark jobs; the
     blacklist is published after them and the ledger advances last.
     """
+    # The batch's own session: let AQE also size the partitions of the cached
+    # plans below (Spark keeps a cached plan's shuffle partition count otherwise).
+    spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
     messages = messages.persist()
     cached = [messages]
     try:

@@ -33,13 +33,32 @@ def streaming_hourly_trend(
     return hourly_trend(timed, length, slide, by, pre_aggregate=False)
 
 
-def start_hourly_trend(trend: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Append each final window to Parquet at `path` (exactly once, via the file sink's log)."""
-    return (
+def start_hourly_trend(
+    trend: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Append each final window to Parquet at `path` (exactly once, via the file sink's log).
+
+    The window state is split into `state_partitions` partitions, fixed for the
+    life of the checkpoint; by default one per core of the cluster
+    (`defaultParallelism`). The session's shuffle setting is only overridden
+    while the query starts; a restart keeps the count stored in the checkpoint.
+    """
+    spark = trend.sparkSession
+    parts = state_partitions or spark.sparkContext.defaultParallelism
+    writer = (
         trend.writeStream.outputMode("append")
         .format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
-        .start()
     )
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
