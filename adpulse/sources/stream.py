@@ -33,6 +33,7 @@ def read_click_stream(
     topic: str | None = None,
     starting_offsets: str | DataFrame | None = None,
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
     path: str | None = None,
     file_format: str = "parquet",
     max_files_per_trigger: int | None = None,
@@ -45,6 +46,9 @@ def read_click_stream(
     first start only, afterwards the query's checkpoint decides.
     `max_offsets_per_trigger` is the admission cap per micro-batch (a total
     over partitions: 10 messages/s/partition at a 5 s trigger is 50 x partitions).
+    `min_partitions` lets Spark split the offset range of a busy topic partition
+    over several tasks, so one hot partition (a third of all clicks, say) is not
+    read and parsed by a single task.
 
     Files (`path`): a stored message log with the same columns;
     `max_files_per_trigger` is the cap.
@@ -61,6 +65,8 @@ def read_click_stream(
             reader = reader.option("startingOffsets", starting_offsets)
         if max_offsets_per_trigger is not None:
             reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+        if min_partitions is not None:
+            reader = reader.option("minPartitions", min_partitions)
         for k, v in (options or {}).items():
             reader = reader.option(k, v)
         return reader.load().select(
