@@ -47,12 +47,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
     Read from `spark.checkpoint.dir`, which on a cluster names storage every
-    executor sees. Only when it is unset (local tests) a fresh folder under the
-    system temp dir is made and set as the checkpoint dir of the session.
+    executor sees. Only when it is unset in local mode (tests) a fresh folder
+    under the system temp dir is made and set as the checkpoint dir of the
+    session; on a cluster an unset value is an error, since a folder local to
+    the driver is invisible to the executors.
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on storage shared by all executors")
         base = tempfile.mkdtemp(prefix="adpulse-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir()

@@ -84,3 +84,12 @@ def test_archive_as_table_appends(spark):
     archive_messages(log(spark).limit(5), path, format="table")
     assert spark.read.parquet(path).count() == 35
     assert spark.read.parquet(path).columns == ["value"]
+
+
+def test_shared_dir_comes_from_the_session(spark):
+    from adpulse.session import fresh_dir, shared_dir
+
+    base = shared_dir(spark)
+    assert base == shared_dir(spark)  # stable within a session
+    a, b = fresh_dir(spark, "x"), fresh_dir(spark, "x")
+    assert a != b and a.startswith(base) and b.startswith(base)
