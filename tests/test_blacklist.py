@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from adpulse.operators.blacklist import blacklist_rows, derive_blacklist, filter_blacklisted
 from adpulse.operators.counts import click_counts, total_click_counts, typed_click_counts

@@ -2,7 +2,6 @@
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import Row
 
 from adpulse.functions.parse import parse_clicks
 from adpulse.schema import MESSAGE_SCHEMA
