@@ -21,8 +21,42 @@ NOTES = {
     "by windows over user partitions, then the bucket counts spread over the six sliding windows (no click is copied).",
     "trend_last_hour": "The time range reaches the Parquet scan (PushedFilters on ts): only row groups of that hour are read.",
     "resume_read": "Start positions (one row per topic partition) broadcast; the log is not shuffled.",
+    "parse_click_log": "Narrow: JSON encode and decode stay in one codegen stage per task; the geography lookup is a "
+    "broadcast join after a bounded count of customer (else a shuffle join with AQE skew splitting).",
+    "blacklist_rows": "Partial counts per batch, then their sum: two aggregations, both combined map-side.",
+    "blacklist_rows_sql": "The same rule as SQL text: Catalyst gives the same aggregate-then-filter plan.",
+    "blacklist_default_threshold": "One scan of three lineitem columns, partial + final aggregate, filter.",
+    "top_ads_by_day_province": "As top_ads_by_province with the day in the window partition.",
+    "latest_offsets": "One column-pruned scan (event_id only) and a partial aggregate per topic partition.",
+    "start_positions": "Two aggregates of a few rows each (one per topic partition) and a full outer join of them.",
+    "earliest_positions": "The partitions of the log, each starting at 0.",
+    "batch_offset_ranges": "One partial aggregate per (batch, topic partition).",
+    "partial_then_final_counts": "Partials written per batch (range-partitioned on batch and user, so files grow with "
+    "batches + tasks, not batches x tasks), read back and summed.",
+    "typed_click_counts": "A stored count table read back with casts: narrow.",
+    "preview": "Top-k by event_id (each task keeps 10), then only those users' geography rows are joined: the customer "
+    "table is cut by a broadcast of at most 10 ids, never shuffled whole.",
+    "archive_messages": "Narrow write of the message text, read back.",
 }
 
+STREAMS = """## Stream queries
+
+`explain` shows one micro-batch at a time; per batch of the click stream (`adpulse.streaming.feedback`):
+
+- parse (narrow) and anti join with the blacklist snapshot (`flagged` of earlier batches plus the seed: small,
+  broadcast while under the threshold), persisted once;
+- counts per (day, user, ad), (day, province, city, ad) and (minute, ad): partial + final aggregates of the batch,
+  written as four concurrent jobs into (day, batch) partitions;
+- flagged users: earlier partials of the groups this batch touched (partition pruning reads only the days it touched)
+  plus the batch's own, summed and filtered;
+- publish and ledger: the flagged table (one row per blacklisted user) and one row per topic partition.
+
+Per batch, the work grows with the batch and the days it touches, not with the history; `compact_tables` keeps the
+number of directories bounded. The watermarked trend is one stateful aggregation whose state (windows not yet
+closed) lives in RocksDB, one state partition per core.
+"""
+
+
 
 def main(argv: list[str]) -> None:
     sys.path.insert(0, ".")
@@ -45,7 +79,7 @@ def main(argv: list[str]) -> None:
             out += [NOTES[name], ""]
         out += ["```", tree.rstrip(), "```", ""]
     with open("PLANS.md", "w") as fh:
-        fh.write("\n".join(out))
+        fh.write("\n".join(out) + "\n" + STREAMS)
     spark.stop()
 
 
