@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,13 +103,20 @@ class ClickTables:
             ensure_table(spark, path, schema, by)
 
 
-def _seed(spark: SparkSession, seed_path: str | None) -> DataFrame:
-    if seed_path is None:
+SeedReader = Callable[[SparkSession], DataFrame]
+
+
+def _seed(spark: SparkSession, seed: str | SeedReader | None) -> DataFrame:
+    """The outside blacklist, read now: a Parquet path, or a function that reads it (e.g. over JDBC)."""
+    if seed is None:
         return spark.createDataFrame([], BLACKLIST_SCHEMA)
-    return load_blacklist(spark.read.parquet(seed_path))
+    table = seed(spark) if callable(seed) else spark.read.parquet(seed)
+    return load_blacklist(table)
 
 
-def blacklist_snapshot(spark: SparkSession, tables: ClickTables, batch_id: int, seed_path: str | None) -> DataFrame:
+def blacklist_snapshot(
+    spark: SparkSession, tables: ClickTables, batch_id: int, seed_path: str | SeedReader | None
+) -> DataFrame:
     """Users blacklisted when batch `batch_id` starts: seed plus users flagged by earlier batches."""
     flagged = read_batches(spark, tables.flagged, FLAGGED_SCHEMA).where(F.col("batch_id") < batch_id)
     return _seed(spark, seed_path).unionByName(flagged.select("user_id"))
@@ -122,7 +130,7 @@ def process_batch(
     *,
     threshold: int = DEFAULT_THRESHOLD,
     group_id: str,
-    seed_path: str | None = None,
+    seed_path: str | SeedReader | None = None,
     parse_mode: str = "FAILFAST",
 ) -> None:
     """One micro-batch of the click stream (steps 1-5 of the module doc).
@@ -196,13 +204,18 @@ def run_click_stream(
     *,
     group_id: str,
     threshold: int = DEFAULT_THRESHOLD,
-    seed_path: str | None = None,
+    seed_path: str | SeedReader | None = None,
     parse_mode: str = "FAILFAST",
     trigger: dict | None = None,
     query_name: str | None = None,
 ) -> StreamingQuery:
     """Start the click stream over a streaming `messages` DataFrame (see `read_click_stream`).
 
+    `seed_path` names the outside blacklist (entries that do not come from the
+    counts): a Parquet path, or a function `spark -> DataFrame` that reads it,
+    for instance `lambda s: read_table(s, "blacklist", url=..., properties=...)`
+    for a database table. It is read again at every batch.
+
     `trigger` is passed to `DataStreamWriter.trigger`: the reference's 5 s
     batches are `{"processingTime": "5 seconds"}` (the default);
     `{"availableNow": True}` drains what is there and stops.

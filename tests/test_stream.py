@@ -234,3 +234,18 @@ def test_admission_cap_and_processing_time_trigger(spark):
     sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
     assert sizes == [10, 10, 10]  # one file per micro-batch
     assert fb.stream_committed_offsets(spark, tables, "g").collect()[0].committed_offset == 30
+
+
+def test_seed_reader_is_called_every_batch(spark, fixture_messages):
+    calls = []
+
+    def reader(s):
+        calls.append(1)
+        return s.createDataFrame([("8",)], "anything string")
+
+    tables = fb.ClickTables(fresh_dir(spark, "seed_reader"))
+    tables.create(spark)
+    for k, part in enumerate(message_slices(fixture_messages, 2)):
+        fb.process_batch(spark, part.drop("event_id"), k, tables, group_id="g", seed_path=reader)
+    assert len(calls) >= 2
+    assert read_batches(spark, tables.user_counts, COUNT_SCHEMA).where(F.col("user_id") == "8").count() == 0
