@@ -51,6 +51,9 @@ from adpulse.sources.tables import load_blacklist
 
 BY_DAY = ("click_day",)
 
+# Merge the finished batches' partitions every this many micro-batches (one hour at 5 s).
+DEFAULT_COMPACT_EVERY = 720
+
 FLAGGED_SCHEMA = T.StructType([*BLACKLIST_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
 
 
@@ -132,6 +135,7 @@ def process_batch(
     group_id: str,
     seed_path: str | SeedReader | None = None,
     parse_mode: str = "FAILFAST",
+    compact_every: int | None = DEFAULT_COMPACT_EVERY,
 ) -> None:
     """One micro-batch of the click stream (steps 1-5 of the module doc).
 
@@ -139,7 +143,17 @@ def process_batch(
     clicks are persisted once and feed every count. The four writes of step
     3-4 do not depend on each other and run as concurrent Spark jobs; the
     blacklist is published after them and the ledger advances last.
+
+    Every `compact_every` batches, the batch first merges the partitions of
+    all batches before it (`compact_tables`), which keeps the number of
+    directories a batch lists and reads bounded in a stream that never stops.
+    A replay of the batch finishes an interrupted compaction.
     """
+    if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+        from adpulse.streaming.maintenance import compact_tables
+
+        compact_tables(spark, tables, through=batch_id - 1)
+
     # The batch's own session: let AQE also size the partitions of the cached
     # plans below (Spark keeps a cached plan's shuffle partition count otherwise).
     spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
@@ -208,6 +222,7 @@ def run_click_stream(
     parse_mode: str = "FAILFAST",
     trigger: dict | None = None,
     query_name: str | None = None,
+    compact_every: int | None = DEFAULT_COMPACT_EVERY,
 ) -> StreamingQuery:
     """Start the click stream over a streaming `messages` DataFrame (see `read_click_stream`).
 
@@ -232,6 +247,7 @@ def run_click_stream(
             group_id=group_id,
             seed_path=seed_path,
             parse_mode=parse_mode,
+            compact_every=compact_every,
         )
 
     writer = messages.writeStream.foreachBatch(each).option("checkpointLocation", tables.checkpoint)

@@ -1,4 +1,4 @@
-"""Compaction of a click stream's tables, between runs.
+"""Compaction of a click stream's tables.
 
 Every micro-batch adds one directory per (day, batch) to the count tables and
 one per batch to `flagged` and the ledger. Sums are associative, so all
@@ -7,19 +7,23 @@ batches up to `through` can be merged into one partition per day, labelled
 stream's reads ("batches before k", "days this batch touched") still see the
 same totals for every later batch.
 
-Rules: run it while the stream is stopped, and never over the last batch of a
-run (a restart may replay that batch and would then rewrite it on top of the
-merged data). It is restartable: phase 1 writes the merged copy to a staging
-folder and then a marker; phase 2 replaces each day directory (or the small
-tables as a whole) from that copy and then writes a second marker. A crash in
-phase 2 is repaired by running the same call again before the stream restarts:
-it finds the first marker and repeats only phase 2; once both markers exist the
-call does nothing.
+When: between runs (never over the last batch of a run, which a restart may
+replay), or inside the stream at the start of batch `k` over the batches
+before `k` (`process_batch(compact_every=...)`): batch `k` reads only those,
+and its own writes come after the compaction.
+
+How: per table, phase 1 writes the merged copy to the table's staging folder
+and records `through` in a marker; phase 2 replaces each day directory (or the
+small tables as a whole) from that copy and records `through` in a second
+marker. An interrupted compaction is finished by the next call (the replay of
+the same batch, or the next compaction) before anything else is merged, so no
+directory is ever left half replaced and the staging folder is reused: one copy
+per table at most.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -33,12 +37,16 @@ from adpulse.streaming.feedback import FLAGGED_SCHEMA, ClickTables
 MARKER_SCHEMA = T.StructType([T.StructField("through", T.LongType())])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _marker(spark: SparkSession, path: str) -> int | None:
     try:
-        spark.read.schema(MARKER_SCHEMA).parquet(path).count()
-        return True
+        row = spark.read.schema(MARKER_SCHEMA).parquet(path).first()
     except AnalysisException:
-        return False
+        return None
+    return None if row is None else row["through"]
+
+
+def _mark(spark: SparkSession, path: str, through: int) -> None:
+    spark.createDataFrame([(through,)], MARKER_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def _merge(rows: DataFrame, through: int, keys: Sequence[str], measures: dict[str, F.Column]) -> DataFrame:
@@ -52,59 +60,89 @@ def _merge(rows: DataFrame, through: int, keys: Sequence[str], measures: dict[st
     return merged.withColumn("batch_id", F.lit(through).cast("long")).unionByName(later.select(merged.columns + ["batch_id"]))
 
 
+def _two_phase(
+    spark: SparkSession,
+    staging: str,
+    through: int,
+    stage: Callable[[int, str], None],
+    apply: Callable[[str], None],
+) -> None:
+    """Run `stage(through, data_path)` then `apply(data_path)` once per `through`, restartably."""
+    data, phase1, phase2 = f"{staging}/data", f"{staging}/_phase1", f"{staging}/_phase2"
+    staged, applied = _marker(spark, phase1), _marker(spark, phase2)
+    if staged is not None and staged != applied:  # an earlier compaction stopped in phase 2: finish it first
+        apply(data)
+        _mark(spark, phase2, staged)
+        applied = staged
+    if applied is not None and applied >= through:
+        return
+    stage(through, data)
+    _mark(spark, phase1, through)
+    apply(data)
+    _mark(spark, phase2, through)
+
+
 def _compact_by_day(
     spark: SparkSession, table: str, schema: T.StructType, through: int, measures: dict[str, F.Column], staging: str
 ) -> None:
     keys = [f.name for f in schema.fields if f.name not in measures and f.name != "batch_id"]
-    marker, done = f"{staging}/_phase1_done", f"{staging}/_phase2_done"
-    if _exists(spark, done):
-        return
-    if not _exists(spark, marker):
+
+    def stage(upto: int, data: str) -> None:
         rows = read_batches(spark, table, schema)
-        days = [r.click_day for r in rows.where(F.col("batch_id") < through).select("click_day").distinct().collect()]
+        days = [r.click_day for r in rows.where(F.col("batch_id") < upto).select("click_day").distinct().collect()]
         touched = rows.where(F.col("click_day").isin(days))
-        _merge(touched, through, keys, measures).write.mode("overwrite").partitionBy("click_day", "batch_id").parquet(
-            f"{staging}/data"
-        )
-        spark.createDataFrame([(through,)], MARKER_SCHEMA).write.mode("overwrite").parquet(marker)
-    copy = spark.read.schema(schema).option("basePath", f"{staging}/data").parquet(f"{staging}/data")
-    for (day,) in copy.select("click_day").distinct().collect():
-        part = copy.where(F.col("click_day") == day).drop("click_day")
-        part.write.mode("overwrite").partitionBy("batch_id").parquet(f"{table}/click_day={day.isoformat()}")
-    spark.createDataFrame([(through,)], MARKER_SCHEMA).write.mode("overwrite").parquet(done)
-
-
-def _compact_whole(spark: SparkSession, table: str, schema: T.StructType, merged: DataFrame, staging: str) -> None:
-    marker, done = f"{staging}/_phase1_done", f"{staging}/_phase2_done"
-    if _exists(spark, done):
-        return
-    if not _exists(spark, marker):
-        merged.write.mode("overwrite").partitionBy("batch_id").parquet(f"{staging}/data")
-        spark.createDataFrame([(0,)], MARKER_SCHEMA).write.mode("overwrite").parquet(marker)
-    copy = spark.read.schema(schema).option("basePath", f"{staging}/data").parquet(f"{staging}/data")
-    copy.write.mode("overwrite").partitionBy("batch_id").parquet(table)
-    spark.createDataFrame([(0,)], MARKER_SCHEMA).write.mode("overwrite").parquet(done)
+        merged = _merge(touched, upto, keys, measures)
+        merged.write.mode("overwrite").partitionBy("click_day", "batch_id").parquet(data)
+
+    def apply(data: str) -> None:
+        copy = spark.read.schema(schema).option("basePath", data).parquet(data)
+        for (day,) in copy.select("click_day").distinct().collect():
+            part = copy.where(F.col("click_day") == day).drop("click_day")
+            part.write.mode("overwrite").partitionBy("batch_id").parquet(f"{table}/click_day={day.isoformat()}")
+
+    _two_phase(spark, staging, through, stage, apply)
+
+
+def _compact_whole(
+    spark: SparkSession,
+    table: str,
+    schema: T.StructType,
+    through: int,
+    merge: Callable[[DataFrame, int], DataFrame],
+    staging: str,
+) -> None:
+    def stage(upto: int, data: str) -> None:
+        merge(read_batches(spark, table, schema), upto).write.mode("overwrite").partitionBy("batch_id").parquet(data)
+
+    def apply(data: str) -> None:
+        copy = spark.read.schema(schema).option("basePath", data).parquet(data)
+        copy.write.mode("overwrite").partitionBy("batch_id").parquet(table)
+
+    _two_phase(spark, staging, through, stage, apply)
 
 
 def compact_tables(spark: SparkSession, tables: ClickTables, through: int) -> None:
     """Merge the partitions of batches `<= through` of every table of `tables` (see module doc)."""
-    staging = f"{tables.root}/_compaction/through={through}"
-    _compact_by_day(spark, tables.user_counts, COUNT_SCHEMA, through, {"clicks": F.sum("clicks")}, f"{staging}/user_counts")
-    _compact_by_day(spark, tables.city_counts, CITY_COUNT_SCHEMA, through, {"clicks": F.sum("clicks")}, f"{staging}/city_counts")
-    _compact_by_day(
+    staging = f"{tables.root}/_compaction"
+    clicks = {"clicks": F.sum("clicks")}
+    _compact_by_day(spark, tables.user_counts, COUNT_SCHEMA, through, clicks, f"{staging}/user_counts")
+    _compact_by_day(spark, tables.city_counts, CITY_COUNT_SCHEMA, through, clicks, f"{staging}/city_counts")
+    minutes = {"clicks": F.sum("clicks"), "on_minute": F.sum("on_minute")}
+    _compact_by_day(spark, tables.minute_counts, MINUTE_COUNT_SCHEMA, through, minutes, f"{staging}/minute_counts")
+    _compact_whole(
         spark,
-        tables.minute_counts,
-        MINUTE_COUNT_SCHEMA,
+        tables.flagged,
+        FLAGGED_SCHEMA,
         through,
-        {"clicks": F.sum("clicks"), "on_minute": F.sum("on_minute")},
-        f"{staging}/minute_counts",
-    )
-    flagged = read_batches(spark, tables.flagged, FLAGGED_SCHEMA)
-    _compact_whole(
-        spark, tables.flagged, FLAGGED_SCHEMA, _merge(flagged, through, ["user_id"], {}).distinct(), f"{staging}/flagged"
+        lambda rows, upto: _merge(rows, upto, ["user_id"], {}).distinct(),
+        f"{staging}/flagged",
     )
-    ledger = read_batches(spark, tables.ledger, LEDGER_LOG_SCHEMA)
     latest = {"offset": F.max_by("offset", "batch_id")}
     _compact_whole(
-        spark, tables.ledger, LEDGER_LOG_SCHEMA, _merge(ledger, through, ["group_id", "topic", "partition"], latest), f"{staging}/ledger"
+        spark,
+        tables.ledger,
+        LEDGER_LOG_SCHEMA,
+        through,
+        lambda rows, upto: _merge(rows, upto, ["group_id", "topic", "partition"], latest),
+        f"{staging}/ledger",
     )

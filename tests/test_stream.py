@@ -249,3 +249,41 @@ def test_seed_reader_is_called_every_batch(spark, fixture_messages):
         fb.process_batch(spark, part.drop("event_id"), k, tables, group_id="g", seed_path=reader)
     assert len(calls) >= 2
     assert read_batches(spark, tables.user_counts, COUNT_SCHEMA).where(F.col("user_id") == "8").count() == 0
+
+
+def test_compaction_inside_the_stream_and_after_an_interruption(spark, fixture_messages, monkeypatch):
+    import adpulse.streaming.maintenance as mt
+
+    parts = list(enumerate(message_slices(fixture_messages, 6)))
+    plain, inline = fb.ClickTables(fresh_dir(spark, "plain2")), fb.ClickTables(fresh_dir(spark, "inline"))
+    for t, every in ((plain, None), (inline, 2)):
+        t.create(spark)
+        for k, part in parts[:5]:
+            fb.process_batch(spark, part, k, t, threshold=1, group_id="g", compact_every=every)
+    batches = {r.batch_id for r in read_batches(spark, inline.user_counts, COUNT_SCHEMA).select("batch_id").distinct().collect()}
+    assert batches == {3, 4}  # compacted through 1 at batch 2, through 3 at batch 4
+
+    # Batch 5 compacts through 4; its first attempt dies after phase 1 of the first table.
+    real = mt._compact_by_day
+    state = {"failed": False}
+
+    def dying(spark_, table, schema, through, measures, staging):
+        if not state["failed"]:
+            state["failed"] = True
+            rows = read_batches(spark_, table, schema)
+            keys = [f.name for f in schema.fields if f.name not in measures and f.name != "batch_id"]
+            merged = mt._merge(rows, through, keys, measures)
+            merged.write.mode("overwrite").partitionBy("click_day", "batch_id").parquet(f"{staging}/data")
+            mt._mark(spark_, f"{staging}/_phase1", through)
+            raise RuntimeError("executor lost before phase 2")
+        return real(spark_, table, schema, through, measures, staging)
+
+    monkeypatch.setattr(mt, "_compact_by_day", dying)
+    fb.process_batch(spark, parts[5][1], 5, plain, threshold=1, group_id="g", compact_every=None)
+    with pytest.raises(RuntimeError):
+        fb.process_batch(spark, parts[5][1], 5, inline, threshold=1, group_id="g", compact_every=5)
+    monkeypatch.setattr(mt, "_compact_by_day", real)
+    fb.process_batch(spark, parts[5][1], 5, inline, threshold=1, group_id="g", compact_every=5)  # the replay
+    for read in (fb.daily_city_counts, fb.top_ads_so_far, fb.published_blacklist, fb.minute_trend_so_far):
+        assert rows_of(read(spark, inline)) == rows_of(read(spark, plain))
+    assert rows_of(fb.stream_committed_offsets(spark, inline, "g")) == rows_of(fb.stream_committed_offsets(spark, plain, "g"))
