@@ -18,14 +18,16 @@ Every write replaces the partition of batch `k` only, and step 1 reads only
 batches before `k`, so replaying batch `k` after a failure (Structured
 Streaming replays it under the same id from its checkpoint) gives the same
 tables: exactly-once results on at-least-once execution. Reports are read from
-the count tables at any time (`adpulse.streaming.feedback.reports`).
+the count tables at any time (`daily_city_counts`, `top_ads_so_far`,
+`minute_trend_so_far`, `trend_last_hour_so_far`, `published_blacklist`,
+`stream_committed_offsets` below).
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
