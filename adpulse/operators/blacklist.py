@@ -41,8 +41,8 @@ def derive_blacklist(
 ) -> DataFrame:
     """User ids of the offending groups, as `user_id`.
 
-    `distinct=False` keeps one row per offending group; `distinct=True` (the
-    join side) gives each user once. A group without a user id names no user,
+    `distinct=False` keeps one row per offending group (the form to join
+    against: see `filter_blacklisted`); `distinct=True` gives each user once. A group without a user id names no user,
     so it adds no entry (it still shows in `blacklist_rows`).
     """
     users = (
@@ -70,8 +70,13 @@ def filter_blacklisted(
 
     broadcast=None leaves the strategy to the planner and AQE: the blacklist is
     broadcast while its (runtime) size is under the broadcast threshold, and
-    beyond it the join is a shuffle join whose skewed partitions AQE splits.
-    broadcast=True is for a caller that has bounded the blacklist's size.
+    beyond it the join is a shuffle join whose skewed partitions AQE splits
+    (a user with a third of all clicks is read by many tasks). AQE splits only
+    when both sides arrive through their own shuffle, so pass a blacklist that
+    is not already partitioned by user, e.g. `derive_blacklist(...,
+    distinct=False)` rather than a `distinct()` one: repeated entries are
+    harmless here. broadcast=True is for a caller that has bounded the
+    blacklist's size.
     """
     side = blacklist.select(F.col("user_id").cast("string").alias("_bl_user")).where(F.col("_bl_user").isNotNull())
     if method == "mark":

@@ -82,7 +82,7 @@ CLICK_OUT = ("topic", "partition", "offset", "user_id", "access_time", "province
 def clean_clicks(spark: SparkSession, sf_dir: str, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
     """Clicks left after dropping the users blacklisted at `threshold` (input of the trend reports)."""
     clicks = clicks_from_events(spark, sf_dir, geography=False)
-    return filter_blacklisted(clicks, derive_blacklist(click_counts(clicks), threshold))
+    return filter_blacklisted(clicks, derive_blacklist(click_counts(clicks), threshold, distinct=False))
 
 
 def clean_city_counts(spark: SparkSession, sf_dir: str, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
@@ -142,7 +142,7 @@ def q_blacklist_default_threshold(spark: SparkSession, sf_dir: str) -> DataFrame
 def q_filter_blacklisted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks of users not blacklisted at threshold 1; province and city added after the filter."""
     clicks = clicks_from_events(spark, sf_dir, geography=False)
-    left = filter_blacklisted(clicks, derive_blacklist(click_counts(clicks), TEST_THRESHOLD))
+    left = filter_blacklisted(clicks, derive_blacklist(click_counts(clicks), TEST_THRESHOLD, distinct=False))
     return present(with_geography(spark, sf_dir, left).select(*CLICK_OUT))
 
 
