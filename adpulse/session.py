@@ -52,7 +52,13 @@ def shared_dir(spark: SparkSession) -> str:
     session; on a cluster an unset value is an error, since a folder local to
     the driver is invisible to the executors.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext: the setting is all there is
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            raise RuntimeError("set spark.checkpoint.dir to a folder on storage shared by all executors")
+        return base.rstrip("/")
     base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
         if not sc.master.startswith("local"):
@@ -63,6 +69,14 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def cluster_cores(spark: SparkSession, default: int = 8) -> int:
+    """Cores of the cluster (`defaultParallelism`), or `default` when the session does not expose them."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.default.parallelism", str(default)))
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared folder (never reused, never cleared)."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

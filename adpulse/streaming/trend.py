@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from adpulse.operators.reports import DEFAULT_SLIDE, DEFAULT_WINDOW, hourly_trend
+from adpulse.session import cluster_cores
 
 DEFAULT_LATENESS = "10 minutes"
 
@@ -48,7 +49,7 @@ def start_hourly_trend(
     while the query starts; a restart keeps the count stored in the checkpoint.
     """
     spark = trend.sparkSession
-    parts = state_partitions or spark.sparkContext.defaultParallelism
+    parts = state_partitions or cluster_cores(spark)
     writer = (
         trend.writeStream.outputMode("append")
         .format("parquet")
