@@ -41,8 +41,8 @@ LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
     "messages": (
         ("clicks",),
         """SELECT event_id, topic, "partition", "offset",
-       to_json(struct_pack(userId := user_id, accessTime := access_time, province := province,
-                           city := city, advId := adv_id)) AS value
+       CAST(to_json(struct_pack(userId := user_id, accessTime := access_time, province := province,
+                                city := city, advId := adv_id)) AS VARCHAR) AS value
 FROM clicks""",
     ),
     "latest": (

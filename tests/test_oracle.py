@@ -22,6 +22,7 @@ def test_query_matches_oracle(spark, sf_small, con, name):
     got = compare(spark, name, sf_small, con)
     assert got["cols_match"], got
     assert got["values_match"], got
+    assert got["types_match"], got
 
 
 def test_entry(spark):
