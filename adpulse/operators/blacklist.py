@@ -25,8 +25,8 @@ def blacklist_rows(
     """Offending groups: one row per (day, user, ad) whose total is above `threshold`.
 
     `counts` may hold several partial rows per group (one per batch); they are
-    summed first, as the reference's `SELECT sum(click_time) ... GROUP BY` does,
-    then the predicate runs over the aggregate (a HAVING).
+    summed per group first, then the predicate runs over the aggregate (a
+    HAVING).
     """
     return total_click_counts(counts, keys, count_col).where(F.col("clicks") > F.lit(threshold))
 
