@@ -142,9 +142,10 @@ def process_batch(
     """One micro-batch of the click stream (steps 1-5 of the module doc).
 
     The batch is bounded by the source's admission cap, so its parsed, clean
-    clicks are persisted once and feed every count. The four writes of step
-    3-4 do not depend on each other and run as concurrent Spark jobs; the
-    blacklist is published after them and the ledger advances last.
+    clicks are persisted once and feed every count. The writes of steps 3-4
+    (three count tables, the flagged users, the published blacklist) do not
+    depend on each other and run as concurrent Spark jobs; the ledger
+    advances last, after all of them.
 
     Every `compact_every` batches, the batch first merges the partitions of
     all batches before it (`compact_tables`), which keeps the number of
@@ -186,28 +187,27 @@ def process_batch(
             F.count(F.lit(1)).alias("clicks"),
             F.count(F.when(F.col("ts") == F.col("minute"), True)).alias("on_minute"),
         )
+        flagged_now = derive_blacklist(totals, threshold).persist()
+        cached.append(flagged_now)
         writes += [
             (batch_counts, tables.user_counts, BY_DAY),
             (clean.groupBy(*CITY_KEYS).agg(F.count(F.lit(1)).alias("clicks")), tables.city_counts, BY_DAY),
             (minute, tables.minute_counts, BY_DAY),
-            (derive_blacklist(totals, threshold), tables.flagged, ()),
+            (flagged_now, tables.flagged, ()),
         ]
-        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-            for done in [pool.submit(write_batch, rows, table, batch_id, by) for rows, table, by in writes]:
-                done.result()
-
-        # After the data: the published blacklist and the ledger (independent of each other).
-        published = _seed(spark, seed_path).unionByName(
-            read_batches(spark, tables.flagged, FLAGGED_SCHEMA).select("user_id")
+        # The published blacklist: seed, users flagged before this batch, and this batch's.
+        flagged_before = read_batches(spark, tables.flagged, FLAGGED_SCHEMA).where(F.col("batch_id") < batch_id)
+        published = (
+            _seed(spark, seed_path).unionByName(flagged_before.select("user_id")).unionByName(flagged_now).distinct()
         )
-        ledger = advance_ledger(batch_offset_ranges(messages), group_id)
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            done = [
-                pool.submit(publish_blacklist, published.distinct(), path=tables.blacklist),
-                pool.submit(write_batch, ledger, tables.ledger, batch_id),
-            ]
+        with ThreadPoolExecutor(max_workers=len(writes) + 1) as pool:
+            done = [pool.submit(write_batch, rows, table, batch_id, by) for rows, table, by in writes]
+            done.append(pool.submit(publish_blacklist, published, path=tables.blacklist))
             for d in done:
                 d.result()
+
+        # Last, once the data is written: the ledger.
+        write_batch(advance_ledger(batch_offset_ranges(messages), group_id), tables.ledger, batch_id)
     finally:
         for df in cached:
             df.unpersist()
