@@ -94,5 +94,8 @@ def message_slices(messages: DataFrame, slices: int, order: str = "event_id") ->
     if lo is None:
         return [messages.select(*cols)]
     width = (hi - lo) // slices + 1
-    sliced = messages.withColumn("_slice", F.floor((F.col(order) - F.lit(lo)) / F.lit(width)))
-    return [sliced.where(F.col("_slice") == i).select(*cols) for i in range(slices)]
+    # A range predicate on the stored column itself, so each slice's read is pushed into the scan.
+    return [
+        messages.where((F.col(order) >= lo + i * width) & (F.col(order) < lo + (i + 1) * width)).select(*cols)
+        for i in range(slices)
+    ]
