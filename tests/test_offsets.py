@@ -93,3 +93,19 @@ def test_shared_dir_comes_from_the_session(spark):
     assert base == shared_dir(spark)  # stable within a session
     a, b = fresh_dir(spark, "x"), fresh_dir(spark, "x")
     assert a != b and a.startswith(base) and b.startswith(base)
+
+
+def test_read_table_with_schema_types_partitions(spark):
+    from adpulse.session import fresh_dir
+    from adpulse.sources.tables import read_table
+
+    path = fresh_dir(spark, "typed_table")
+    spark.createDataFrame([("u", 3, 7)], "user_id string, clicks long, batch_id long").write.partitionBy("batch_id").parquet(path)
+    from pyspark.sql import types as T
+
+    schema = T.StructType(
+        [T.StructField("user_id", T.StringType()), T.StructField("clicks", T.LongType()), T.StructField("batch_id", T.LongType())]
+    )
+    df = read_table(spark, "clickcount", path=path, schema=schema)
+    assert dict(df.dtypes) == {"user_id": "string", "clicks": "bigint", "batch_id": "bigint"}
+    assert [tuple(r) for r in df.collect()] == [("u", 3, 7)]

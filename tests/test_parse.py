@@ -63,3 +63,12 @@ def test_quarantine_splits_good_and_bad(spark):
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         parse_clicks(messages(spark, [GOOD]), mode="DROP")
+
+
+def test_with_click_time_on_a_text_column(spark):
+    from adpulse.functions.parse import with_click_time
+
+    df = spark.createDataFrame([("2024-01-02 03:04:05",), ("2024-01-03",), ("soon",)], "access_time string")
+    rows = with_click_time(df).collect()
+    assert [str(r.click_day) for r in rows] == ["2024-01-02", "2024-01-03", "None"]
+    assert rows[0].ts is not None and rows[1].ts is None and rows[2].ts is None
