@@ -209,8 +209,9 @@ def process_batch(
         # Last, once the data is written: the ledger.
         write_batch(advance_ledger(batch_offset_ranges(messages), group_id), tables.ledger, batch_id)
     finally:
+        # Blocking, so no block of this batch is still being dropped when the next batch caches and reads.
         for df in cached:
-            df.unpersist()
+            df.unpersist(blocking=True)
 
 
 def run_click_stream(
