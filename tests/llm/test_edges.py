@@ -1,0 +1,115 @@
+"""Every operator on nulls, empty texts, ties, repeated rows, empty tables and clashing columns."""
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from adpulse.llm import (
+    embedding_dedup,
+    fingerprints,
+    language,
+    mixing,
+    near_dedup,
+    packing,
+    sharding,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
+
+
+def _toxicity(docs):
+    labels = docs.sparkSession.createDataFrame([(1, 0), (9, 0), (3, 1), (None, 1), (5, None)], "doc_id long, toxic int")
+    return toxicity.toxicity(docs, toxicity.fit(docs, labels))
+
+
+ONE_ROW_EACH = {
+    "mix": mixing.mix_report,
+    "fingerprints": fingerprints.fingerprints,
+    "language": lambda d: language.identify(d, language.fit(d)),
+    "near": near_dedup.near_duplicates,
+    "toxicity": _toxicity,
+    "suffix": suffix_dedup.repeated_spans,
+    "shard": sharding.sharded,
+}
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("name", ONE_ROW_EACH)
+def test_one_row_per_row_and_no_rows_for_none(name, edge_docs, no_docs, clashing_docs):
+    found = ONE_ROW_EACH[name](edge_docs)
+    rows = _rows(found)
+    assert sorted(r[0] if r[0] is not None else -1 for r in rows) == sorted(
+        r["doc_id"] if r["doc_id"] is not None else -1 for r in edge_docs.collect()
+    )
+    assert _rows(ONE_ROW_EACH[name](edge_docs.repartition(5))) == rows, "reruns agree"
+    if name in ("language", "toxicity"):
+        kept = ONE_ROW_EACH[name](clashing_docs)
+    else:
+        kept = ONE_ROW_EACH[name](clashing_docs)
+    assert kept.columns == found.columns and _rows(kept) == rows
+    empty = ONE_ROW_EACH[name](no_docs)
+    assert empty.columns == found.columns and empty.count() == 0
+
+
+def test_packing_edges(edge_docs, no_docs, clashing_docs):
+    found = _rows(packing.packed_sequences(edge_docs))
+    assert found == _rows(packing.packed_sequences(clashing_docs))
+    assert packing.packed_sequences(no_docs).count() == 0
+    assert sum(r[2] for r in found if r[0] == 4) == 1  # null text: the end id alone
+
+
+def test_embedding_edges(spark):
+    kind = "vec_id long, embedding array<float>, label int, cell int, node string"
+    rows = [
+        (1, [1.0, 0.0], 0), (2, [2.0, 0.0], 0), (3, [1.0, 0.0], 1), (4, [0.0, 0.0], 0), (5, None, 0),
+        (6, [1.0, None], 0), (7, [float("nan"), 1.0], 0), (8, [float("inf"), 1.0], 0), (9, [1.0, 0.0], None),
+        (None, [1.0, 0.0], 0), (10, [0.0, 1.0], 0), (10, [0.0, 1.0], 0), (11, [1.0, 0.0, 0.0], 0), (12, [], 0),
+        (13, [1e-30, 0.0], 0),
+    ]
+    df = spark.createDataFrame([(*r, 7, "x") for r in rows], kind)
+    found = sorted(((r[0] or 0, *r[1:]) for r in embedding_dedup.near_embeddings(df).collect()), key=repr)
+    want = [(0, 0, None, True), (1, 2, 1, True), (2, 2, 1, False), (10, 1, 10, True), (10, 1, 10, True), (13, 2, 1, False)]
+    want += [(k, 0, k, True) for k in (3, 4, 5, 6, 7, 8, 9, 11, 12)]
+    assert found == sorted(want, key=repr)
+    assert embedding_dedup.near_embeddings(df.filter("false")).count() == 0
+
+
+def test_url_edges(spark):
+    rows = [(1, None), (2, "no scheme"), (3, "http://A.COM"), (4, "http://a.com/?x"), (5, "x://net/es/1#a"), (5, "x://net/es/1#a"),
+            (None, "http://a.org/b/c/d/e/f/g/h/i/j"), (6, "://"), (7, "http://www.Example.com/en/1"), (8, "http://x.example.com/en/")]
+    df = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("z")).withColumn("classes", F.lit(1))
+    found = sorted([tuple(r)[:5] for r in url_filter.judge_urls(df).collect()], key=repr)
+    assert (3, "a.com", "", None, "allow") in found and (4, "a.com", "/", "com/", "allow") in found
+    assert found.count((5, "net", "/es/1", "net/es/", "block")) == 2
+    assert (7, "www.example.com", "/en/1", "www.example.com/en/", "allow") in found
+    assert (8, "x.example.com", "/en/", "example.com/en/", "block") in found
+    assert (1, "", "", None, "allow") in found and (2, "", "", None, "allow") in found and len(found) == len(rows)
+    assert url_filter.judge_urls(df.filter("false")).count() == 0
+
+
+def test_suffix_keeps_columns(edge_docs, clashing_docs):
+    cut = suffix_dedup.remove_repeats(edge_docs)
+    assert cut.schema.names == edge_docs.schema.names and cut.count() == edge_docs.count()
+    assert {r["text"] for r in cut.filter("doc_id = 1").collect()} == {""}
+    assert suffix_dedup.remove_repeats(edge_docs.filter("false")).count() == 0
+
+
+def test_mixed_keeps_columns(edge_docs, clashing_docs):
+    assert mixing.mixed(clashing_docs).columns == clashing_docs.columns
+    taken = {r["doc_id"]: r["taken"] for r in mixing.mix_report(edge_docs.filter("doc_id = 9")).collect()}
+    assert mixing.mixed(edge_docs.filter("doc_id = 9"), "copy").count() * 6000 == taken[9]
+    assert isinstance(mixing.mixed(edge_docs, "copy").schema["copy"].dataType, T.LongType)
+
+
+def test_pipeline_on_edges(spark, edge_docs, tmp_path):
+    import corpus_pipeline
+
+    for name, docs in (("some", edge_docs), ("none", edge_docs.filter("false"))):
+        docs.write.parquet(str(tmp_path / name / "documents.parquet"))
+        found = corpus_pipeline.run(spark, str(tmp_path / name))
+        assert found.columns[:2] == ["doc_id", "start"]
+        assert (found.count() > 0) == (name == "some")
