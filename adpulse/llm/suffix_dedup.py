@@ -14,9 +14,11 @@ others, this sorts content-marked places and derives the rest from them:
    that occurs once settles its run as unique. Runs with equal mark and equal
    extent settle each other as repeated.
 3. *Induced starts.* Only runs that share a mark but not the extent (the ends of
-   shared passages) are opened: their starts get a fingerprint of their own
-   200 bytes each, and those are counted. One run of every distinct extent takes
-   part, so a short passage also meets the inside of a longer one.
+   shared passages) are opened, one run of every distinct extent, so that a short
+   passage also meets the inside of a longer one. First in blocks of BLOCK starts,
+   counted from the mark: the bytes common to a block's strings settle it as unique
+   if they occur once. The starts of the others get a fingerprint of their own
+   200 bytes each, and those are counted.
 
 Distinct texts are worked on once, with their number of copies; they are bucketed
 by text hash, so that the later joins move no text. Fingerprints have 64 bits
@@ -46,6 +48,7 @@ LENGTH = 200
 GRAM = 80
 WINDOW = LENGTH - GRAM + 1
 PLACE_BITS = U64(10)  # more than WINDOW places
+BLOCK = 16
 EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
 #: Starts worked on at once: a very long text is read in pieces that overlap by LENGTH bytes.
 PIECE = 1 << 20
@@ -60,8 +63,8 @@ def _extents(sums: np.ndarray, start: np.ndarray, size) -> np.ndarray:
     return mix((sums[start + size] - sums[start]) * powers(len(sums), -1)[start] + size.astype(np.uint64))
 
 
-def marked_runs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(mark, extent fingerprint, first start, number of starts) of every run of the text."""
+def marked_runs(data: bytes) -> tuple[np.ndarray, ...]:
+    """(mark, extent fingerprint, first start, number of starts, place of the mark) of every run of the text."""
     whole = np.frombuffer(data, np.uint8)
     out = []
     for low in range(0, len(whole) - LENGTH + 1, PIECE):
@@ -76,16 +79,21 @@ def marked_runs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
         least = np.minimum(least[: len(part) - LENGTH + 1], least[WINDOW - width :][: len(part) - LENGTH + 1])
         first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
         count = np.diff(np.concatenate([first, [len(least)]]))
-        out.append((least[first] >> PLACE_BITS, _extents(sums, first, count + LENGTH - 1), first + low, count))
+        place = first + low + (((least[first] & U64(1023)).astype(np.int64) - first - low) & 1023)
+        out.append((least[first] >> PLACE_BITS, _extents(sums, first, count + LENGTH - 1), first + low, count, place))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
+MARK_DDL = "text_a long, text_b long, mark long, extent long, start int, starts int, place int, times int"
+PRINT_DDL = "text_a long, text_b long, print long, start int, starts int, times int"
+
+
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["text_a", "text_b", "mark", "extent", "start", "starts", "times"]
+    names = ["text_a", "text_b", "mark", "extent", "start", "starts", "place", "times"]
     for batch in batches:
         a, b, times = (batch.column(k).to_pylist() for k in ("text_a", "text_b", "copies"))
         for row, data in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
-            mark, extent, start, count = marked_runs(data)
+            mark, extent, *places = marked_runs(data)
             n = len(mark)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -93,42 +101,67 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(np.full(n, b[row], np.int64)),
                     pa.array(as_long(mark)),
                     pa.array(as_long(extent)),
-                    pa.array(start.astype(np.int32)),
-                    pa.array(count.astype(np.int32)),
+                    *[pa.array(x.astype(np.int32)) for x in places],
                     pa.array(np.full(n, min(times[row], 2), np.int32)),
                 ],
                 names=names,
             )
 
 
-def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The starts of the listed runs of each text, each with the fingerprint of its LENGTH bytes."""
+def block_cores(first: int, count: int, place: int) -> list[tuple[int, int, int, int]]:
+    """(first start, starts, from, to) of the blocks of a run: `from`..`to` are the bytes that the block's strings share.
+
+    Blocks are counted back from the mark's place, so they fall alike wherever the mark stands.
+    """
+    out = []
+    for number in range((place - (first + count - 1)) // BLOCK, (place - first) // BLOCK + 1):
+        low, high = place - number * BLOCK - BLOCK + 1, place - number * BLOCK
+        start = max(first, low)
+        out.append((start, min(first + count - 1, high) - start + 1, high, low + LENGTH))
+    return out
+
+
+def _opened(batches: Iterator[pa.RecordBatch], pieces) -> Iterator[pa.RecordBatch]:
+    """For each text and its `todo`: `pieces(todo)` gives starts, numbers of starts, from, to, times; their prints."""
     for batch in batches:
         a, b = batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()
         texts = batch.column("text").cast(pa.binary())
         for row in range(batch.num_rows):
-            todo = batch.column("todo")[row].as_py()
-            first = np.array([x["start"] for x in todo], np.int64)
-            count = np.array([x["starts"] for x in todo], np.int64)
-            times = np.repeat(np.array([x["times"] for x in todo], np.int32), count)
-            offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            start = np.repeat(first, count) + offset
+            start, starts, low, high, times = pieces(batch.column("todo")[row].as_py())
             sums = _sums(np.frombuffer(texts[row].as_buffer(), np.uint8))
-            n = len(start)
-            for low in range(0, n, PIECE):
-                part = start[low : low + PIECE]
+            for at in range(0, len(start), PIECE):
+                cut = slice(at, at + PIECE)
+                n = len(start[cut])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(part), a[row], np.int64)),
-                        pa.array(np.full(len(part), b[row], np.int64)),
-                        pa.array(as_long(_extents(sums, part, np.full(len(part), LENGTH)))),
-                        pa.array(part.astype(np.int32)),
-                        pa.array(times[low : low + PIECE]),
+                        pa.array(np.full(n, a[row], np.int64)),
+                        pa.array(np.full(n, b[row], np.int64)),
+                        pa.array(as_long(_extents(sums, low[cut], high[cut] - low[cut]))),
+                        pa.array(start[cut].astype(np.int32)),
+                        pa.array(starts[cut].astype(np.int32)),
+                        pa.array(times[cut].astype(np.int32)),
                     ],
-                    names=["text_a", "text_b", "print", "start", "times"],
+                    names=["text_a", "text_b", "print", "start", "starts", "times"],
                 )
 
 
+def _open_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces(todo: list[dict]) -> tuple[np.ndarray, ...]:
+        rows = [(*core, r["times"]) for r in todo for core in block_cores(r["start"], r["starts"], r["place"])]
+        return tuple(np.array(rows, np.int64).T)
+
+    return _opened(batches, pieces)
+
+
+def _open_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces(todo: list[dict]) -> tuple[np.ndarray, ...]:
+        first, count, times = (np.array([r[k] for r in todo], np.int64) for k in ("start", "starts", "times"))
+        start = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        return start, np.ones(len(start), np.int64), start, start + LENGTH, np.repeat(times, count)
+
+    return _opened(batches, pieces)
+
+
 def removed_runs(size: int, starts: np.ndarray, counts: np.ndarray) -> list[tuple[int, int]]:
     """Maximal [from, to) byte runs covered by the LENGTH-byte strings of the given runs of starts."""
     if not len(starts):
@@ -207,35 +240,37 @@ def _distinct_texts(docs: DataFrame) -> DataFrame:
 
 def _spans(texts: DataFrame) -> DataFrame:
     """`text_a`, `text_b`, `start`, `starts`: runs of starts whose LENGTH bytes occur again."""
-    marked = staged(
-        texts.mapInArrow(
-            _mark, "text_a long, text_b long, mark long, extent long, start int, starts int, times int"
-        ),
-        "suffix_marks",
-    )
-    place = F.struct("text_a", "text_b", "start", "starts")
-    extents = marked.groupBy("mark", "extent").agg(F.sum("times").alias("times"), F.min(place).alias("place"))
+    text = ["text_a", "text_b"]
+    marked = staged(texts.mapInArrow(_mark, MARK_DDL), "suffix_marks")
+    extents = marked.groupBy("mark", "extent").agg(F.sum("times").alias("all_times"))
     # Marks that occur once are settled; the extents of the others, with the number of extents of the mark.
-    kinds = extents.groupBy("mark").agg(F.sum("times").alias("all_times"), F.count("*").alias("extents"))
-    open_marks = staged(
-        extents.join(kinds.filter("all_times > 1"), "mark").drop("all_times"), "suffix_extents"
+    kinds = extents.groupBy("mark").agg(F.sum("all_times").alias("n"), F.count("*").alias("kinds")).filter("n > 1")
+    shared = staged(extents.join(kinds, "mark").select("mark", "extent", "all_times", "kinds"), "suffix_extents")
+    members = staged(marked.join(shared, ["mark", "extent"]), "suffix_members")
+    whole = members.filter("all_times > 1 AND times = 1").select(*text, "start", "starts")
+
+    place = F.struct(*text, "start", "starts", "place")
+    todo = members.filter("kinds > 1").groupBy("mark", "extent").agg(
+        F.min(place).alias("run"), F.least(F.sum("times"), F.lit(2)).alias("times")
     )
-    repeated = open_marks.filter("times > 1").select("mark", "extent")
-    whole = marked.filter("times = 1").join(repeated, ["mark", "extent"]).select("text_a", "text_b", "start", "starts")
-
-    todo = open_marks.filter("extents > 1").select("place.*", F.least("times", F.lit(2)).cast("int").alias("times"))
-    todo = todo.groupBy("text_a", "text_b").agg(F.collect_list(F.struct("start", "starts", "times")).alias("todo"))
-    opened = texts.select("text_a", "text_b", "text").join(todo, ["text_a", "text_b"])
-    opened = staged(
-        opened.mapInArrow(_open, "text_a long, text_b long, print long, start int, times int"), "suffix_starts"
+    todo = todo.select("run.*", "times").groupBy(*text).agg(
+        F.collect_list(F.struct("start", "starts", "place", "times")).alias("todo")
     )
-    again = opened.groupBy("print").agg(F.sum("times").alias("n")).filter("n > 1").select("print")
-    single = opened.filter("times = 1").join(again, "print").select(
-        "text_a", "text_b", "start", F.lit(1).alias("starts")
+    blocks = texts.select(*text, "text").join(todo, text).mapInArrow(_open_blocks, PRINT_DDL)
+    todo = _again(staged(blocks, "suffix_blocks")).groupBy(*text).agg(
+        F.collect_list(F.struct("start", "starts", "times")).alias("todo")
     )
+    opened = texts.select(*text, "text").join(todo, text).mapInArrow(_open_starts, PRINT_DDL)
+    single = _again(staged(opened, "suffix_starts"), "times = 1").select(*text, "start", "starts")
     return whole.unionAll(single)
 
 
+def _again(prints: DataFrame, only: str = "true") -> DataFrame:
+    """The rows (those that `only` asks for) whose print occurs more than once among all rows."""
+    again = prints.groupBy("print").agg(F.sum("times").alias("n")).filter("n > 1").select("print")
+    return prints.filter(only).join(again, "print")
+
+
 def _cut_texts(docs: DataFrame, with_text: bool) -> DataFrame:
     """Per distinct text of LENGTH bytes and more that loses bytes: its cuts as figures, and the kept text if asked."""
     small_batches(docs.sparkSession)
