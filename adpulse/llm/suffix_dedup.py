@@ -21,8 +21,8 @@ others, this sorts content-marked places and derives the rest from them:
    200 bytes each, and those are counted.
 
 Distinct texts are worked on once, with their number of copies; they are bucketed
-by text hash, so that the later joins move no text. Fingerprints have 64 bits
-beside the 54 bits of the mark.
+by text hash, so that the later joins move no text. Marks and fingerprints have 64
+bits each.
 
 Null texts are empty. Matches never cross documents. Cuts may split a UTF-8
 character: bytes are kept exactly, and `kept_text` leaves out what no longer forms
@@ -47,11 +47,11 @@ from adpulse.session import fresh_dir
 LENGTH = 200
 GRAM = 80
 WINDOW = LENGTH - GRAM + 1
-PLACE_BITS = U64(10)  # more than WINDOW places
 BLOCK = 16
 EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
-#: Starts worked on at once: a very long text is read in pieces that overlap by LENGTH bytes.
-PIECE = 1 << 20
+#: Starts worked on at once: a long text is read in pieces that overlap by LENGTH - 1 bytes.
+PIECE = 1 << 16
+PLACE_BITS = U64(17)  # of a place in a piece
 
 
 def _sums(data: np.ndarray) -> np.ndarray:
@@ -72,15 +72,16 @@ def marked_runs(data: bytes) -> tuple[np.ndarray, ...]:
         sums = _sums(part)
         at = np.arange(len(part) - GRAM + 1)
         grams = _extents(sums, at, np.full(len(at), GRAM))
-        keyed = (grams >> PLACE_BITS << PLACE_BITS) | ((at + low).astype(np.uint64) & U64(1023))
+        # The place in the low bits: of equal strings the leftmost marks, so equal strings are marked alike.
+        keyed = (grams >> PLACE_BITS << PLACE_BITS) | at.astype(np.uint64)
         least, width = keyed, 1
         while 2 * width <= WINDOW:
             least, width = np.minimum(least[:-width], least[width:]), 2 * width
         least = np.minimum(least[: len(part) - LENGTH + 1], least[WINDOW - width :][: len(part) - LENGTH + 1])
         first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
         count = np.diff(np.concatenate([first, [len(least)]]))
-        place = first + low + (((least[first] & U64(1023)).astype(np.int64) - first - low) & 1023)
-        out.append((least[first] >> PLACE_BITS, _extents(sums, first, count + LENGTH - 1), first + low, count, place))
+        place = (least[first] & U64((1 << int(PLACE_BITS)) - 1)).astype(np.int64)
+        out.append((grams[place], _extents(sums, first, count + LENGTH - 1), first + low, count, place + low))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 

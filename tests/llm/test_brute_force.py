@@ -422,3 +422,16 @@ def test_weights_and_movement(spark):
     for shard, weight in enumerate(weights):
         assert abs(count[shard] - 20000 * weight / sum(weights)) < 5 * math.sqrt(20000 * weight / sum(weights)) + 1e-9
     assert all(r["grown_shard"] in (r["shard"], 3) for r in rows)
+
+
+def test_repeated_lines(spark):
+    """Periods shorter than a mark's reach, cut at all places: ties must be marked alike in all copies."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for k in range(40):
+        line = "".join(rng.choice(list("abcdefgh "), int(rng.integers(3, 110))))
+        for part in range(2):
+            text = "".join(rng.choice(list("xyz"), int(rng.integers(0, 1500)))) + (line * 9)[int(rng.integers(0, 90)) :]
+            rows.append((2 * k + part, text + "".join(rng.choice(list("xyz"), int(rng.integers(0, 60))))))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, suffix_dedup.repeated_spans(df).collect())) == brute_spans(rows)
