@@ -110,8 +110,8 @@ def connected_components(edges: DataFrame, name: str) -> DataFrame:
     `edges` has longs `a`, `b`. Alternating large-star and small-star rounds: every
     round joins the edges with each node's smallest neighbour, and is written to
     the shared folder; the number of rounds grows with the logarithm of the
-    longest chain. Minima are pre-aggregated, and the joins are plain equi-joins
-    whose hot nodes AQE can split.
+    longest chain. Minima are pre-aggregated and written before they are joined, so
+    that each join has a shuffle on both sides and AQE can split a hot node's rows.
     """
     now = staged(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct(), name
@@ -123,8 +123,10 @@ def connected_components(edges: DataFrame, name: str) -> DataFrame:
             now.select(F.col("v").alias("x"), F.col("u").alias("y"))
         )
         least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
+        least = staged(least, f"{name}_least")
         large = both.join(least, "x").filter("y > x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = staged(large, f"{name}_large")
+        low = staged(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}_low")
         moved = large.join(low, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = staged(moved.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), name)
         after = now.agg(F.count("*"), sum_of).first()
