@@ -32,19 +32,21 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adpulse.llm.common import fold, pick, small_batches
+from adpulse.llm.common import fold, pick, scrambled, small_batches
 
 PER_CLASS = 1000
 SAMPLE_BYTES = 1 << 16
-WINDOW = 192
-STEP = 176
+WINDOW = 96
+STEP = 80
+WIDTH = 2
 SHORTEST, LONGEST = 3, 12
 #: A beginning is toxic if this many times as frequent (plus DOUBT documents) among toxic documents, and in LEAST of them.
 TIMES, DOUBT, LEAST = 10, 3, 3
 #: A form grows while the longer one occurs in this share of the shorter one's documents.
 SAME = 0.8
-FORM_BYTES = 1 << 13
+MOST_FORMS = 256
 GAP = b"\x00"
+_CODES = scrambled(256, 77).view(np.uint8).reshape(256, 8)[:, :WIDTH]
 _WORDS = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 
 
@@ -76,6 +78,26 @@ def toxic_forms(toxic: list[bytes], ordinary: list[bytes]) -> tuple[list[bytes],
     return [form for _, form in sorted(forms)], found
 
 
+def recoded(data: bytes) -> bytes:
+    return _CODES[np.frombuffer(data, np.uint8)].tobytes()
+
+
+def ordinary_pieces(forms: list[bytes], found: set[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """What ordinary text has of the forms, short pieces first."""
+    text = b" ".join(ordinary)
+    pieces: set[bytes] = set()
+    for form in forms:
+        word = b" " + form
+        pieces |= {word[at : at + 3] for at in range(len(word) - 2)}
+        pieces |= {b" " + form[:n] for n in range(3, len(form)) if form[:n] not in found}
+        for at in range(len(word)):
+            for end in range(len(word), at + 3, -1):
+                if word[at:end].lstrip() not in found and word[at:end] in text:
+                    pieces.add(word[at:end])
+                    break
+    return sorted(pieces, key=lambda p: (len(p), p))
+
+
 class Scorer:
     """Two dictionaries and a calibration."""
 
@@ -85,11 +107,10 @@ class Scorer:
         if self.constant is not None:
             return
         forms, found = toxic_forms(toxic, ordinary)
-        words = [b" " + form for form in forms]
-        pieces = {w[at : at + 3] for w in words for at in range(len(w) - 2)}
-        pieces |= {b" " + f[:n] for f in forms for n in range(3, len(f)) if f[:n] not in found}
-        self.ordinary_part = GAP.join(sorted(pieces, key=lambda p: (len(p), p)))[-FORM_BYTES:] + GAP
-        self.toxic_part = GAP.join(w + b" " for w in words)[-FORM_BYTES:]
+        forms = forms[-MOST_FORMS:]
+        pieces = ordinary_pieces(forms, found, ordinary)
+        self.ordinary_part = recoded(GAP.join(pieces) + GAP)
+        self.toxic_part = recoded(GAP.join(b" " + form for form in forms) + GAP)
         x = np.array([self.gains(data) for data in [*toxic, *ordinary]])
         y = np.array([1.0] * len(toxic) + [0.0] * len(ordinary))
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
@@ -109,11 +130,11 @@ class Scorer:
     def _ready(self):
         if self.compressors is None:
             settings = zstandard.ZstdCompressionParameters(
-                window_log=15, hash_log=12, chain_log=12, search_log=5, min_match=5, target_length=32,
+                window_log=15, hash_log=12, chain_log=12, search_log=6, min_match=6, target_length=64,
                 strategy=zstandard.STRATEGY_BTLAZY2, write_content_size=False,
             )
             self.compressors = []
-            for content in (self.ordinary_part, self.ordinary_part + self.toxic_part):
+            for content in (self.ordinary_part, self.toxic_part + self.ordinary_part):
                 kept = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 kept.precompute_compress(compression_params=settings)
                 self.compressors.append(zstandard.ZstdCompressor(compression_params=settings, dict_data=kept).compress)
@@ -122,10 +143,10 @@ class Scorer:
     def gains(self, data: bytes) -> tuple[float, float, float, float]:
         """Mean positive gain, mean gain, share of windows that gain clearly, and the largest gain."""
         plain, toxic = self._ready()
-        data = b" " + data.lower()
-        found = np.array(
-            [len(plain(w)) - len(toxic(w)) for at in range(0, len(data), STEP) for w in (data[at : at + WINDOW],)]
-        )
+        data = recoded(b" " + data.lower())
+        step, size = STEP * WIDTH, WINDOW * WIDTH
+        windows = (data[at : at + size] for at in range(0, len(data), step))
+        found = np.array([len(plain(w)) - len(toxic(w)) for w in windows])
         return found.clip(0).mean(), found.mean(), (found >= 2).mean(), min(found.max(), 12)
 
     def score(self, data: bytes) -> float:
