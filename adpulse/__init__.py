@@ -1,7 +1,6 @@
 """adpulse: ad-click stream analytics on Spark DataFrames and Structured Streaming."""
 
 from adpulse.functions.parse import parse_clicks
-from adpulse.functions.sizing import broadcast_if_small
 from adpulse.operators.blacklist import (
     blacklist_rows,
     blacklist_sql,
@@ -22,9 +21,8 @@ from adpulse.operators.reports import daily_city_ad_clicks, hourly_trend, previe
 from adpulse.sinks.writers import append_click_counts, archive_messages, publish_blacklist, register_views
 from adpulse.sources.stream import read_click_stream, starting_offsets_json
 from adpulse.sources.tables import load_blacklist, read_table
-from adpulse.streaming.feedback import ClickTables, process_batch, run_click_stream
+from adpulse.streaming.feedback import ClickTables, hourly_trend_so_far, process_batch, run_click_stream
 from adpulse.streaming.maintenance import compact_tables
-from adpulse.streaming.trend import start_hourly_trend, streaming_hourly_trend
 
 __all__ = [
     "ClickTables",
@@ -34,7 +32,6 @@ __all__ = [
     "batch_offset_ranges",
     "blacklist_rows",
     "blacklist_sql",
-    "broadcast_if_small",
     "click_counts",
     "committed_offsets",
     "compact_tables",
@@ -43,6 +40,7 @@ __all__ = [
     "drop_flagged_users",
     "filter_blacklisted",
     "hourly_trend",
+    "hourly_trend_so_far",
     "latest_offsets",
     "load_blacklist",
     "parse_clicks",
@@ -54,10 +52,8 @@ __all__ = [
     "register_views",
     "resume_read",
     "run_click_stream",
-    "start_hourly_trend",
     "start_positions",
     "starting_offsets_json",
-    "streaming_hourly_trend",
     "top_ads",
     "total_click_counts",
     "trend_last_hour",

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adpulse.operators.counts import COUNT_KEYS, total_click_counts
@@ -100,24 +100,24 @@ def drop_flagged_users(
 ) -> DataFrame:
     """Rows of `counts` whose user has no group above `threshold` in these same counts.
 
-    Equal to `filter_blacklisted(counts, derive_blacklist(counts, threshold))`,
-    in one pass: the counts are partitioned by user once, each group's total is
-    a window sum and the user's largest group total a window max. So the input
-    of `counts` is read once and there is no join. Only aggregated rows move,
-    and a user's partition holds that user's groups (days x ads), not clicks.
-    `counts` may hold several rows per group (partials, or finer buckets such
-    as time slices); users with a null id are never blacklisted.
+    Equal to `filter_blacklisted(counts, derive_blacklist(counts, threshold))`:
+    the groups are totalled, the offenders (a HAVING) are joined back to the
+    counts, and the marked rows are dropped. Both sides carry the same null-free
+    key pair, so their plans up to the counts' shuffle are equal and Spark reads
+    and shuffles the input once (a reused exchange). There is no partition by
+    user: rows of one user, or of null users, stay spread over the counts'
+    groups, the few offenders are broadcast by the planner, and a large set of
+    them gives a shuffle join that AQE can split. `counts` may hold several rows
+    per group (partials, or finer buckets such as time slices); users with a null
+    id are never blacklisted.
     """
-    inner = [user_col, *[g for g in groups if g != user_col]]
-    total = F.sum(count_col).over(Window.partitionBy(*inner))
-    worst = F.max("_group_total").over(Window.partitionBy(user_col))
-    return (
-        counts.repartition(user_col)
-        .withColumn("_group_total", total)
-        .withColumn("_worst", worst)
-        .where((F.col("_worst") <= F.lit(threshold)) | F.col(user_col).isNull())
-        .drop("_group_total", "_worst")
-    )
+    keyed = counts.withColumn("_user", F.coalesce(F.col(user_col).cast("string"), F.lit("")))
+    keyed = keyed.withColumn("_no_user", F.col(user_col).isNull())
+    others = [g for g in groups if g != user_col]
+    totals = keyed.groupBy(*others, "_user", "_no_user").agg(F.sum(count_col).alias("_total"))
+    offenders = totals.where(F.col("_total") > F.lit(threshold)).select("_user", "_no_user").distinct()
+    marked = keyed.join(offenders.withColumn("_flagged", F.lit(True)), ["_user", "_no_user"], "left")
+    return marked.where(F.col("_flagged").isNull() | F.col("_no_user")).select(*counts.columns)
 
 
 # The blacklist rule as SQL text over a table of partial counts.

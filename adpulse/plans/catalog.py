@@ -79,20 +79,20 @@ def present(df: DataFrame) -> DataFrame:
 CLICK_OUT = ("topic", "partition", "offset", "user_id", "access_time", "province", "city", "adv_id", "click_day")
 
 
-def clean_clicks(spark: SparkSession, sf_dir: str, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+def clean_clicks(spark: SparkSession, sf_dir: str, threshold: int = TEST_THRESHOLD) -> DataFrame:
     """Clicks left after dropping the users blacklisted at `threshold` (input of the trend reports)."""
     clicks = clicks_from_events(spark, sf_dir, geography=False)
     return filter_blacklisted(clicks, derive_blacklist(click_counts(clicks), threshold, distinct=False))
 
 
-def clean_city_counts(spark: SparkSession, sf_dir: str, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+def clean_city_counts(spark: SparkSession, sf_dir: str, threshold: int = TEST_THRESHOLD) -> DataFrame:
     """Counts per (day, user, ad) of the users not blacklisted at `threshold`, with province and city.
 
     Blacklisting and the place of a click are both properties of the user, so
     they apply to per-user counts exactly as to clicks: `events` is read once,
-    the blacklist is applied to the counts by `drop_flagged_users` (windows
-    over the counts partitioned by user, no join), and the geography join
-    moves counts, not clicks.
+    the blacklist is applied to the counts by `drop_flagged_users` (the
+    offenders joined back, over one shuffle of the counts), and the geography
+    join moves counts, not clicks.
     """
     counts = click_counts(clicks_from_events(spark, sf_dir, geography=False))
     return with_geography(spark, sf_dir, drop_flagged_users(counts, threshold))
@@ -162,7 +162,7 @@ def q_top_ads_by_day_province(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_hourly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """1 h / 10 min trend of the clicks of users not blacklisted at 100, in one read of `events`.
+    """1 h / 10 min trend of the clicks of users not blacklisted at 1, in one read of `events`.
 
     Clicks are counted per (day, user, ad, 10-minute bucket); the blacklist is
     applied to those counts (`drop_flagged_users` totals them per (day, user,
@@ -170,7 +170,7 @@ def q_hourly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     clicks = clicks_from_events(spark, sf_dir, geography=False)
     buckets = trend_buckets(clicks, "10 minutes", by=("click_day", "user_id", "adv_id"))
-    clean = drop_flagged_users(buckets, DEFAULT_THRESHOLD)
+    clean = drop_flagged_users(buckets, TEST_THRESHOLD)
     return present(spread_buckets(clean, "1 hour", "10 minutes", by=("click_day", "adv_id")))
 
 

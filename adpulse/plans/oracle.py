@@ -33,10 +33,27 @@ LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
         "SELECT click_day, user_id, adv_id, count(*) AS clicks FROM clicks GROUP BY click_day, user_id, adv_id",
     ),
     "bl1": (("counts",), "SELECT DISTINCT user_id FROM counts WHERE clicks > 1 AND user_id IS NOT NULL"),
-    "bl100": (("counts",), "SELECT DISTINCT user_id FROM counts WHERE clicks > 100 AND user_id IS NOT NULL"),
     "clean": (
-        ("clicks", "bl100"),
-        "SELECT * FROM clicks k WHERE NOT EXISTS (SELECT 1 FROM bl100 b WHERE b.user_id = k.user_id)",
+        ("clicks", "bl1"),
+        "SELECT * FROM clicks k WHERE NOT EXISTS (SELECT 1 FROM bl1 b WHERE b.user_id = k.user_id)",
+    ),
+    # The streams read the log in 5 slices of event_id: a group above 1 click at the end of slice s (the slice of its
+    # second click) drops its user from slice s + 1 on.
+    "sliced": (
+        ("clicks",),
+        """SELECT k.*, (event_id - lo) // ((hi - lo) // 5 + 1) AS slice
+FROM clicks k, (SELECT min(event_id) AS lo, max(event_id) AS hi FROM clicks) b""",
+    ),
+    "crossed": (
+        ("sliced",),
+        """SELECT user_id, min(slice) AS last_slice FROM (
+  SELECT user_id, slice, row_number() OVER (PARTITION BY click_day, user_id, adv_id ORDER BY slice) AS nth FROM sliced
+) WHERE nth = 2 AND user_id IS NOT NULL GROUP BY user_id""",
+    ),
+    "stream_clean": (
+        ("sliced", "crossed"),
+        """SELECT s.* FROM sliced s LEFT JOIN crossed c ON c.user_id = s.user_id
+WHERE c.last_slice IS NULL OR s.slice <= c.last_slice""",
     ),
     "messages": (
         ("clicks",),
@@ -95,14 +112,46 @@ CLICK_OUT = (
 COUNTS_OUT = f"SELECT strftime(click_day, {DAY}) AS click_day, user_id, adv_id, clicks FROM counts"
 
 
-def _top_ads(by: str, by_out: str) -> str:
+def _top_ads(by: str, by_out: str, clean: str = "clean") -> str:
     return with_views(
         f"""SELECT {by_out}, adv_id, clicks, "rank" FROM (
   SELECT {by}, adv_id, count(*) AS clicks,
          row_number() OVER (PARTITION BY {by} ORDER BY count(*) DESC, adv_id ASC) AS "rank"
-  FROM clean GROUP BY {by}, adv_id
+  FROM {clean} GROUP BY {by}, adv_id
 ) WHERE "rank" <= 3""",
-        "clean",
+        clean,
+    )
+
+
+def _daily_city_ad_clicks(clean: str = "clean") -> str:
+    return with_views(
+        f"""SELECT strftime(click_day, {DAY}) AS click_day, province, city, adv_id, count(*) AS clicks
+FROM {clean} GROUP BY click_day, province, city, adv_id""",
+        clean,
+    )
+
+
+def _hourly_trend(clean: str = "clean") -> str:
+    return with_views(
+        f"""SELECT strftime(click_day, {DAY}) AS click_day, adv_id,
+       strftime(ws, {TIME}) AS window_start,
+       strftime(ws + INTERVAL 1 HOUR, {TIME}) AS window_end,
+       count(*) AS clicks
+FROM (SELECT click_day, adv_id,
+             time_bucket(INTERVAL 10 MINUTES, ts) - unnest(generate_series(0, 5)) * INTERVAL 10 MINUTES AS ws
+      FROM {clean} WHERE ts IS NOT NULL) w
+GROUP BY click_day, adv_id, ws""",
+        clean,
+    )
+
+
+def _trend_last_hour(clean: str = "clean") -> str:
+    return with_views(
+        f"""SELECT strftime(date_trunc('minute', ts), {TIME}) AS minute, adv_id, count(*) AS clicks
+FROM {clean}
+WHERE ts > TIMESTAMP '2024-01-15 12:00:00' - INTERVAL 1 HOUR AND ts <= TIMESTAMP '2024-01-15 12:00:00'
+GROUP BY date_trunc('minute', ts), adv_id""",
+        clean,
     )
 
 
@@ -127,31 +176,11 @@ FROM lineitem GROUP BY l_suppkey, l_returnflag, l_linestatus HAVING count(*) > 1
         "clicks",
         "bl1",
     ),
-    "daily_city_ad_clicks": with_views(
-        f"""SELECT strftime(click_day, {DAY}) AS click_day, province, city, adv_id, count(*) AS clicks
-FROM clean GROUP BY click_day, province, city, adv_id""",
-        "clean",
-    ),
+    "daily_city_ad_clicks": _daily_city_ad_clicks(),
     "top_ads_by_province": _top_ads("province", "province"),
     "top_ads_by_day_province": _top_ads("click_day, province", f"strftime(click_day, {DAY}) AS click_day, province"),
-    "hourly_trend": with_views(
-        f"""SELECT strftime(click_day, {DAY}) AS click_day, adv_id,
-       strftime(ws, {TIME}) AS window_start,
-       strftime(ws + INTERVAL 1 HOUR, {TIME}) AS window_end,
-       count(*) AS clicks
-FROM (SELECT click_day, adv_id,
-             time_bucket(INTERVAL 10 MINUTES, ts) - unnest(generate_series(0, 5)) * INTERVAL 10 MINUTES AS ws
-      FROM clean WHERE ts IS NOT NULL) w
-GROUP BY click_day, adv_id, ws""",
-        "clean",
-    ),
-    "trend_last_hour": with_views(
-        f"""SELECT strftime(date_trunc('minute', ts), {TIME}) AS minute, adv_id, count(*) AS clicks
-FROM clean
-WHERE ts > TIMESTAMP '2024-01-15 12:00:00' - INTERVAL 1 HOUR AND ts <= TIMESTAMP '2024-01-15 12:00:00'
-GROUP BY date_trunc('minute', ts), adv_id""",
-        "clean",
-    ),
+    "hourly_trend": _hourly_trend(),
+    "trend_last_hour": _trend_last_hour(),
     "latest_offsets": with_views("SELECT * FROM latest", "latest"),
     "start_positions": with_views("SELECT * FROM starts", "starts"),
     "resume_read": with_views(
@@ -179,21 +208,15 @@ FROM messages GROUP BY batch_id, topic, "partition\"""",
     "archive_messages": with_views("SELECT value FROM messages", "messages"),
 }
 
-# The streams give the batch results (§7.2 #21-23); the watermarked trend gives
-# the windows its final watermark closed.
 STATEMENTS.update(
     {
-        "stream_daily_city_ad_clicks": STATEMENTS["daily_city_ad_clicks"],
+        "stream_daily_city_ad_clicks": _daily_city_ad_clicks("stream_clean"),
         "stream_blacklist_users": STATEMENTS["blacklist_users"],
-        "stream_top_ads_by_province": STATEMENTS["top_ads_by_province"],
-        "stream_trend_last_hour": STATEMENTS["trend_last_hour"],
+        "stream_top_ads_by_province": _top_ads("province", "province", "stream_clean"),
+        "stream_trend_last_hour": _trend_last_hour("stream_clean"),
         "stream_committed_offsets": with_views(
             'SELECT topic, "partition", latest_offset AS committed_offset FROM latest', "latest"
         ),
-        "stream_hourly_trend": STATEMENTS["hourly_trend"].replace(
-            "GROUP BY click_day, adv_id, ws",
-            "WHERE ws + INTERVAL 1 HOUR <= (SELECT max(ts) FROM clean) - INTERVAL 10 MINUTES\n"
-            "GROUP BY click_day, adv_id, ws",
-        ),
+        "stream_hourly_trend": _hourly_trend("stream_clean"),
     }
 )

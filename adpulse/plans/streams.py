@@ -16,23 +16,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from adpulse.functions.parse import parse_clicks
-from adpulse.operators.blacklist import filter_blacklisted
 from adpulse.plans.catalog import TREND_AS_OF, present
-from adpulse.schema import BLACKLIST_SCHEMA, DEFAULT_THRESHOLD
 from adpulse.session import fresh_dir
 from adpulse.sources.fixtures import LEDGER_GROUP, messages_from_events
 from adpulse.sources.stream import message_slices, read_click_stream
 from adpulse.streaming.feedback import (
     ClickTables,
     daily_city_counts,
+    hourly_trend_so_far,
     published_blacklist,
     run_click_stream,
     stream_committed_offsets,
     top_ads_so_far,
     trend_last_hour_so_far,
 )
-from adpulse.streaming.trend import DEFAULT_LATENESS, start_hourly_trend, streaming_hourly_trend
 
 STREAM_SLICES = 5
 TEST_THRESHOLD = 1
@@ -72,7 +69,7 @@ def run_fixture_stream(spark: SparkSession, sf_dir: str, threshold: int) -> Clic
 
 
 def q_stream_daily_city_ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(daily_city_counts(spark, run_fixture_stream(spark, sf_dir, DEFAULT_THRESHOLD)))
+    return present(daily_city_counts(spark, run_fixture_stream(spark, sf_dir, TEST_THRESHOLD)))
 
 
 def q_stream_blacklist_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,40 +77,24 @@ def q_stream_blacklist_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_top_ads_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_ads_so_far(spark, run_fixture_stream(spark, sf_dir, DEFAULT_THRESHOLD), by=("province",), n=3)
+    return top_ads_so_far(spark, run_fixture_stream(spark, sf_dir, TEST_THRESHOLD), by=("province",), n=3)
 
 
 def q_stream_committed_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The offsets the stream committed to its ledger: once the log is drained, the end of every partition."""
-    tables = run_fixture_stream(spark, sf_dir, DEFAULT_THRESHOLD)
+    tables = run_fixture_stream(spark, sf_dir, TEST_THRESHOLD)
     return stream_committed_offsets(spark, tables, LEDGER_GROUP)
 
 
 def q_stream_trend_last_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-minute clicks per ad in the hour up to 2024-01-15 12:00, from the stream's minute counts."""
-    tables = run_fixture_stream(spark, sf_dir, DEFAULT_THRESHOLD)
+    tables = run_fixture_stream(spark, sf_dir, TEST_THRESHOLD)
     return present(trend_last_hour_so_far(spark, tables, TREND_AS_OF))
 
 
 def q_stream_hourly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 1 h / 10 min trend as a watermarked streaming aggregation (append mode).
-
-    Emitted are the windows the final watermark closed: window_end <= latest
-    click time - lateness (10 minutes).
-    """
-    out = fresh_dir(spark, "hourly_trend")
-    schema = {}
-
-    def start(log: str) -> StreamingQuery:
-        clicks = parse_clicks(read_click_stream(spark, path=log))
-        # Outside blacklist entries (none here), joined stream-static.
-        clean = filter_blacklisted(clicks, spark.createDataFrame([], BLACKLIST_SCHEMA))
-        trend = streaming_hourly_trend(clean, "1 hour", "10 minutes", DEFAULT_LATENESS)
-        schema["trend"] = trend.schema
-        return start_hourly_trend(trend, f"{out}/data", f"{out}/_checkpoint", {"availableNow": True})
-
-    replay_in_slices(spark, sf_dir, start)
-    return present(spark.read.schema(schema["trend"]).parquet(f"{out}/data"))
+    """The 1 h / 10 min trend of the stream's clean clicks, open windows included."""
+    return present(hourly_trend_so_far(spark, run_fixture_stream(spark, sf_dir, TEST_THRESHOLD)))
 
 
 def stream_queries() -> dict:

@@ -69,14 +69,6 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def cluster_cores(spark: SparkSession, default: int = 8) -> int:
-    """Cores of the cluster (`defaultParallelism`), or `default` when the session does not expose them."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:
-        return int(spark.conf.get("spark.default.parallelism", str(default)))
-
-
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared folder (never reused, never cleared)."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -1,76 +1,118 @@
 """Sinks: per-batch count tables, the published blacklist, message archives, views.
 
-Per-batch writes replace the directory of that batch only, so writing batch
-`k` twice (a replay after a failure) leaves the table as one write would: the
-writes are idempotent, which Structured Streaming's replay of a batch under
-the same id needs for exactly-once results.
+A per-batch table is a folder with three parts:
+
+* `live/batch_id=k`: what batch `k` wrote, replaced as a whole, so writing a batch
+  twice (a replay after a failure) leaves the table as one write would, whatever
+  rows or days the first attempt had;
+* `merged/version=t`: rows of many finished batches merged by `compact_tables`,
+  never changed once written;
+* `manifest/through=t`: which merged version holds each day, and that batches up to
+  `t` are merged. It is written last and in one file: readers see the table as it
+  was before or after a compaction, never in between.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+MANIFEST_SCHEMA = T.StructType(
+    [
+        T.StructField("day", T.DateType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("marker", T.BooleanType()),
+        T.StructField("through", T.LongType()),
+    ]
+)
+
 
 def batch_path(table: str, batch_id: int) -> str:
-    return f"{table.rstrip('/')}/batch_id={batch_id}"
+    return f"{table.rstrip('/')}/live/batch_id={batch_id}"
+
+
+def merged_path(table: str) -> str:
+    return f"{table.rstrip('/')}/merged"
+
+
+def manifest_path(table: str) -> str:
+    return f"{table.rstrip('/')}/manifest"
+
+
+def replace_folder(rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Replace the whole folder `path` by `rows`; a day's rows are gathered first, and split again where they are many."""
+    rows = rows.hint("rebalance", *partition_by) if partition_by else rows
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def ensure_table(spark: SparkSession, table: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
-    """Create an empty table partitioned by `partition_by` and `batch_id`, unless one is there already."""
-    if partition_by:
-        empty = spark.createDataFrame([], schema)
-        empty.write.mode("ignore").partitionBy(*partition_by, "batch_id").parquet(table)
-    else:
-        data = T.StructType([f for f in schema.fields if f.name != "batch_id"])
-        spark.createDataFrame([], data).write.mode("ignore").parquet(batch_path(table, -1))
+    """Create an empty per-batch table, unless one is there already."""
+    empty = spark.createDataFrame([], schema)
+    empty.write.mode("ignore").partitionBy("batch_id", *partition_by).parquet(f"{table.rstrip('/')}/live")
 
 
 def write_batch(rows: DataFrame, table: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
-    """Replace what batch `batch_id` wrote to `table` with `rows` (`batch_id` is set here).
+    """Replace what batch `batch_id` wrote to `table` with `rows`, as a whole: empty `rows` empty it."""
+    replace_folder(rows.drop("batch_id"), batch_path(table, batch_id), partition_by)
 
-    Without `partition_by` the table has one directory per batch, replaced as a
-    whole: an empty `rows` still empties it. With `partition_by` (for instance
-    the day) each (day, batch) directory is replaced by dynamic partition
-    overwrite; a replayed batch is deterministic, so it writes the same
-    directories again.
-    """
-    rows = rows.drop("batch_id")
-    if not partition_by:
-        rows.write.mode("overwrite").parquet(batch_path(table, batch_id))
-        return
-    (
-        rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by, "batch_id")
-        .parquet(table)
-    )
+
+def current_manifest(spark: SparkSession, table: str) -> tuple[int, DataFrame | None]:
+    """The batch up to which `table` is merged (-1: none) and the rows of its manifest."""
+    try:
+        manifests = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path(table))
+        through = manifests.agg(F.max("through")).first()[0]
+    except AnalysisException:
+        return -1, None
+    if through is None:
+        return -1, None
+    return through, manifests.where(F.col("through") == through)
+
+
+def read_merged(spark: SparkSession, table: str, schema: T.StructType, manifest: DataFrame) -> DataFrame:
+    """The merged rows that the manifest names, `batch_id` being their version."""
+    path = merged_path(table)
+    columns = [f for f in schema.fields if f.name != "batch_id"]
+    stored = T.StructType([*columns, T.StructField("version", T.LongType())])
+    rows = spark.read.schema(stored).option("basePath", path).parquet(path)
+    named = manifest.where(~F.col("marker")).select(F.col("day").alias("_day"), F.col("version").alias("_version"))
+    same = F.col("version") == F.col("_version")
+    if "click_day" in schema.fieldNames():
+        same = same & F.col("click_day").eqNullSafe(F.col("_day"))
+    return rows.join(named, same, "left_semi").withColumnRenamed("version", "batch_id").select(*schema.fieldNames())
+
+
+def read_live(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+    path = f"{table.rstrip('/')}/live"
+    return spark.read.schema(schema).option("basePath", path).parquet(path).select(*schema.fieldNames())
 
 
 def read_batches(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
-    """All partitions of a per-batch table, `batch_id` typed from `schema`."""
-    return spark.read.schema(schema).option("basePath", table).parquet(table)
+    """All rows of a per-batch table: merged ones, and those of the batches since."""
+    through, manifest = current_manifest(spark, table)
+    live = read_live(spark, table, schema)
+    if manifest is None:
+        return live
+    return live.where(F.col("batch_id") > through).unionByName(read_merged(spark, table, schema, manifest))
 
 
 def append_click_counts(counts: DataFrame, table: str, batch_id: int | None = None) -> None:
     """Store partial click counts per batch.
 
     With `batch_id`, replace that one partition; without it, `counts` must
-    carry a `batch_id` column and each of its batches is replaced
-    (dynamic partition overwrite), so re-running leaves the table unchanged.
-    The rows are range-partitioned on (batch_id, user_id) first: each task
-    writes a contiguous run of batches (files ~ batches + tasks, not batches x
-    tasks), and a large batch is still split over several tasks by user.
+    carry a `batch_id` column and each of its batches is replaced (dynamic
+    partition overwrite). A batch's rows are gathered before the write, so files
+    number about as the batches, and AQE splits a large batch over several tasks.
     """
     if batch_id is not None:
-        write_batch(counts, table, batch_id)
+        replace_folder(counts.drop("batch_id"), f"{table.rstrip('/')}/batch_id={batch_id}")
         return
     (
-        counts.repartitionByRange("batch_id", "user_id")
+        counts.hint("rebalance", "batch_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id")

@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adpulse.functions.sizing import broadcast_if_small
-
 # Fixed values of the fixture mapping.
 TOPIC = "clicks"
 TOPIC_PARTITIONS = 4
@@ -34,9 +32,8 @@ def user_geography(customer: DataFrame, nation: DataFrame, region: DataFrame) ->
     """user key -> (province, city).
 
     `nation` and `region` are fixed-size dimensions (25 and 5 rows at every
-    scale factor), so they are broadcast. `customer` grows with the data; the
-    result is broadcast by the joins that use it only after a bounded row
-    count shows it is small (`broadcast_if_small`), else they shuffle.
+    scale factor), so they are broadcast. `customer` grows with the data: joins
+    with the result carry no hint, and AQE decides from its size at run time.
     """
     nat = nation.select("n_nationkey", "n_regionkey", F.col("n_name").alias("city"))
     reg = region.select("r_regionkey", F.col("r_name").alias("province"))
@@ -60,10 +57,9 @@ def message_coordinates(events: DataFrame) -> DataFrame:
 
 
 def _geography(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`user_geography` of the fixture, broadcast when `customer` (one row per user) is small."""
-    customer = read_fixture(spark, sf_dir, "customer")
-    geo = user_geography(customer, read_fixture(spark, sf_dir, "nation"), read_fixture(spark, sf_dir, "region"))
-    return broadcast_if_small(geo, bound_by=customer)
+    """`user_geography` of the fixture."""
+    customer, nation, region = (read_fixture(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    return user_geography(customer, nation, region)
 
 
 def fixture_geography(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,6 +74,8 @@ def read_click_stream(
         )
     if path is None:
         raise ValueError("give bootstrap_servers and topic (Kafka) or path (message log)")
+    if starting_offsets is not None or max_offsets_per_trigger is not None or min_partitions is not None:
+        raise ValueError("a message log is read from its start by whole files: give max_files_per_trigger instead")
     reader = spark.readStream.schema(MESSAGE_SCHEMA).format(file_format)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -95,7 +97,6 @@ def message_slices(messages: DataFrame, slices: int, order: str = "event_id") ->
         return [messages.select(*cols)]
     width = (hi - lo) // slices + 1
     # A range predicate on the stored column itself, so each slice's read is pushed into the scan.
-    return [
-        messages.where((F.col(order) >= lo + i * width) & (F.col(order) < lo + (i + 1) * width)).select(*cols)
-        for i in range(slices)
-    ]
+    ranges = [(F.col(order) >= lo + i * width) & (F.col(order) < lo + (i + 1) * width) for i in range(slices)]
+    ranges[-1] = ranges[-1] | F.col(order).isNull()  # messages without a place come last
+    return [messages.where(within).select(*cols) for within in ranges]

@@ -5,31 +5,35 @@ Per micro-batch `k` (one `foreachBatch` call):
 1. Snapshot of the blacklist = seed entries (an outside, read-only table,
    re-read every batch) plus every user flagged by batches before `k`.
 2. Parse the batch and drop the snapshot's users (left anti join).
-3. Store partial counts of the clean clicks in partition `k` of three tables:
+3. Store partial counts of the clean clicks as batch `k` of three tables:
    `user_counts` (day, user, ad) for the blacklist, `city_counts` (day,
    province, city, ad) for the daily and top-N reports, `minute_counts`
-   (minute, ad) for the last-hour trend.
+   (minute, ad) for the trends.
 4. Flag the users of groups touched in batch `k` whose total (all batches up
-   to `k`) is above the threshold; store them in partition `k` of `flagged`
-   and publish seed + flagged as the blacklist.
+   to `k`) is above the threshold; store them as batch `k` of `flagged`, and
+   append the users new to it to the published blacklist.
 5. Advance the offset ledger from the batch's own rows, last.
 
-Every write replaces the partition of batch `k` only, and step 1 reads only
+Every write replaces the folder of batch `k` as a whole, and step 1 reads only
 batches before `k`, so replaying batch `k` after a failure (Structured
-Streaming replays it under the same id from its checkpoint) gives the same
-tables: exactly-once results on at-least-once execution. Reports are read from
-the count tables at any time (`daily_city_counts`, `top_ads_so_far`,
-`minute_trend_so_far`, `trend_last_hour_so_far`, `published_blacklist`,
+Streaming replays it under the same id from its checkpoint) leaves what one
+run would, also if the seed changed in between. A step reads what the step
+before has written, never a cached result that another thread is still
+filling. Reports are read from the tables at any time, also while they are
+compacted (`daily_city_counts`, `top_ads_so_far`, `minute_trend_so_far`,
+`trend_last_hour_so_far`, `hourly_trend_so_far`, `published_blacklist`,
 `stream_committed_offsets` below).
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+import functools
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +43,15 @@ from adpulse.functions.parse import parse_clicks
 from adpulse.operators.blacklist import derive_blacklist, filter_blacklisted
 from adpulse.operators.counts import COUNT_KEYS, click_counts, total_click_counts
 from adpulse.operators.offsets import advance_ledger, batch_offset_ranges, committed_offsets
-from adpulse.operators.reports import CITY_KEYS, top_ads
+from adpulse.operators.reports import (
+    CITY_KEYS,
+    DEFAULT_SLIDE,
+    DEFAULT_WINDOW,
+    bucketable,
+    interval_seconds,
+    spread_buckets,
+    top_ads,
+)
 from adpulse.schema import (
     BLACKLIST_SCHEMA,
     CITY_COUNT_SCHEMA,
@@ -48,7 +60,7 @@ from adpulse.schema import (
     LEDGER_LOG_SCHEMA,
     MINUTE_COUNT_SCHEMA,
 )
-from adpulse.sinks.writers import ensure_table, publish_blacklist, read_batches, write_batch
+from adpulse.sinks.writers import batch_path, ensure_table, publish_blacklist, read_batches, write_batch
 from adpulse.sources.tables import load_blacklist
 
 BY_DAY = ("click_day",)
@@ -103,6 +115,7 @@ class ClickTables:
             (self.city_counts, CITY_COUNT_SCHEMA, BY_DAY),
             (self.minute_counts, MINUTE_COUNT_SCHEMA, BY_DAY),
             (self.flagged, FLAGGED_SCHEMA, ()),
+            (self.blacklist, FLAGGED_SCHEMA, ()),
             (self.ledger, LEDGER_LOG_SCHEMA, ()),
         ):
             ensure_table(spark, path, schema, by)
@@ -141,11 +154,9 @@ def process_batch(
 ) -> None:
     """One micro-batch of the click stream (steps 1-5 of the module doc).
 
-    The batch is bounded by the source's admission cap, so its parsed, clean
-    clicks are persisted once and feed every count. The writes of steps 3-4
-    (three count tables, the flagged users, the published blacklist) do not
-    depend on each other and run as concurrent Spark jobs; the ledger
-    advances last, after all of them.
+    The clean clicks are cached and counted before anything reads them; the
+    count tables are then written as concurrent Spark jobs of the query's own
+    job group, so stopping the query stops them too.
 
     Every `compact_every` batches, the batch first merges the partitions of
     all batches before it (`compact_tables`), which keeps the number of
@@ -169,42 +180,39 @@ def process_batch(
             writes.append((bad, tables.quarantine, ()))
         else:
             clicks = parse_clicks(messages, mode=parse_mode)
-
         clean = filter_blacklisted(clicks, blacklist_snapshot(spark, tables, batch_id, seed_path)).persist()
-        batch_counts = click_counts(clean).persist()
-        cached += [clean, batch_counts]
-
-        # Totals of the groups this batch touched: earlier partials of those groups plus this batch's.
-        # Only the days the batch touched are read (partition pruning); a batch spans few days.
-        days = [r.click_day for r in batch_counts.select("click_day").distinct().collect()]
-        earlier = read_batches(spark, tables.user_counts, COUNT_SCHEMA).where(
-            F.col("click_day").isin(days) & (F.col("batch_id") < batch_id)
-        )
-        touched = earlier.join(batch_counts.select(*COUNT_KEYS), list(COUNT_KEYS), "left_semi")
-        totals = touched.select(*COUNT_KEYS, "clicks").unionByName(batch_counts)
+        cached.append(clean)
+        clean.count()  # fills both caches: the concurrent jobs below only read them
+
         timed = clean.where(F.col("ts").isNotNull()).withColumn("minute", F.date_trunc("minute", "ts"))
         minute = timed.groupBy(F.to_date("minute").alias("click_day"), "minute", "adv_id").agg(
             F.count(F.lit(1)).alias("clicks"),
             F.count(F.when(F.col("ts") == F.col("minute"), True)).alias("on_minute"),
         )
-        flagged_now = derive_blacklist(totals, threshold).persist()
-        cached.append(flagged_now)
         writes += [
-            (batch_counts, tables.user_counts, BY_DAY),
+            (click_counts(clean), tables.user_counts, BY_DAY),
             (clean.groupBy(*CITY_KEYS).agg(F.count(F.lit(1)).alias("clicks")), tables.city_counts, BY_DAY),
             (minute, tables.minute_counts, BY_DAY),
-            (flagged_now, tables.flagged, ()),
         ]
-        # The published blacklist: seed, users flagged before this batch, and this batch's.
-        flagged_before = read_batches(spark, tables.flagged, FLAGGED_SCHEMA).where(F.col("batch_id") < batch_id)
-        published = (
-            _seed(spark, seed_path).unionByName(flagged_before.select("user_id")).unionByName(flagged_now).distinct()
-        )
-        with ThreadPoolExecutor(max_workers=len(writes) + 1) as pool:
-            done = [pool.submit(write_batch, rows, table, batch_id, by) for rows, table, by in writes]
-            done.append(pool.submit(publish_blacklist, published, path=tables.blacklist))
-            for d in done:
-                d.result()
+        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+            write = inheritable_thread_target(spark)(write_batch)
+            for done in [pool.submit(write, rows, table, batch_id, by) for rows, table, by in writes]:
+                done.result()
+
+        # Totals of the groups that this batch touched, from what is stored now.
+        stored = read_batches(spark, tables.user_counts, COUNT_SCHEMA).where(F.col("batch_id") <= batch_id)
+        now = stored.where(F.col("batch_id") == batch_id)
+        keys = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in COUNT_KEYS]
+        same = functools.reduce(lambda a, b: a & b, keys)
+        touched = stored.join(now.select(*[F.col(k).alias(f"_{k}") for k in COUNT_KEYS]), same, "left_semi")
+        write_batch(derive_blacklist(touched.select(*COUNT_KEYS, "clicks"), threshold), tables.flagged, batch_id)
+
+        # The published blacklist grows by the users that are new to it.
+        flagged = read_batches(spark, tables.flagged, FLAGGED_SCHEMA).where(F.col("batch_id") == batch_id)
+        entries = _seed(spark, seed_path).unionByName(flagged.select("user_id")).where(F.col("user_id").isNotNull())
+        known = read_batches(spark, tables.blacklist, FLAGGED_SCHEMA).where(F.col("batch_id") < batch_id)
+        new = entries.distinct().join(known.select("user_id"), "user_id", "left_anti")
+        publish_blacklist(new, path=batch_path(tables.blacklist, batch_id))
 
         # Last, once the data is written: the ledger.
         write_batch(advance_ledger(batch_offset_ranges(messages), group_id), tables.ledger, batch_id)
@@ -264,7 +272,8 @@ def run_click_stream(
 
 
 def published_blacklist(spark: SparkSession, tables: ClickTables) -> DataFrame:
-    return spark.read.schema(BLACKLIST_SCHEMA).parquet(tables.blacklist)
+    """Every user that the seed or the counts ever blacklisted, once (a blacklisting is permanent)."""
+    return read_batches(spark, tables.blacklist, FLAGGED_SCHEMA).select("user_id").distinct()
 
 
 def daily_city_counts(spark: SparkSession, tables: ClickTables) -> DataFrame:
@@ -307,5 +316,26 @@ def trend_last_hour_so_far(spark: SparkSession, tables: ClickTables, as_of: str,
     return total_click_counts(rows, ("minute", "adv_id")).where(F.col("clicks") > 0)
 
 
+def hourly_trend_so_far(
+    spark: SparkSession,
+    tables: ClickTables,
+    length: str = DEFAULT_WINDOW,
+    slide: str = DEFAULT_SLIDE,
+    by: Sequence[str] = ("click_day", "adv_id"),
+) -> DataFrame:
+    """The sliding trend of the clean clicks so far, from the stored minute counts.
+
+    Late clicks count in the windows that they belong to, windows still open show
+    what they hold now, and no streaming state is kept. Exact where window and
+    slide are whole minutes and the window a whole number of slides; other
+    lengths raise.
+    """
+    step = interval_seconds(slide)
+    if not bucketable(length, slide) or step % 60:
+        raise ValueError(f"minute counts give no exact windows of {length!r} every {slide!r}")
+    minutes = read_batches(spark, tables.minute_counts, MINUTE_COUNT_SCHEMA)
+    return spread_buckets(minutes.withColumnRenamed("minute", "bucket"), length, slide, by)
+
+
 def stream_committed_offsets(spark: SparkSession, tables: ClickTables, group_id: str) -> DataFrame:
     return committed_offsets(read_batches(spark, tables.ledger, LEDGER_LOG_SCHEMA), group_id)

@@ -1,148 +1,115 @@
 """Compaction of a click stream's tables.
 
-Every micro-batch adds one directory per (day, batch) to the count tables and
-one per batch to `flagged` and the ledger. Sums are associative, so all
-batches up to `through` can be merged into one partition per day, labelled
-`batch_id = through`, without changing any report or the blacklist: the
-stream's reads ("batches before k", "days this batch touched") still see the
-same totals for every later batch.
+Every micro-batch adds one folder to each table. Sums are associative, so the rows
+of all batches up to `through` can be merged without changing any report or the
+blacklist: the stream's reads ("batches before k") still see the same totals.
 
 When: between runs (never over the last batch of a run, which a restart may
-replay), or inside the stream at the start of batch `k` over the batches
-before `k` (`process_batch(compact_every=...)`): batch `k` reads only those,
-and its own writes come after the compaction.
-
-How: per table, phase 1 writes the merged copy to the table's staging folder
-and records `through` in a marker; phase 2 replaces each day directory (or the
-small tables as a whole) from that copy and records `through` in a second
-marker. An interrupted compaction is finished by the next call (the replay of
-the same batch, or the next compaction) before anything else is merged, so no
-directory is ever left half replaced and the staging folder is reused: one copy
-per table at most.
+replay), or inside the stream at the start of batch `k` over the batches before
+`k` (`process_batch(compact_every=...)`).
+
+How: the days that batches since the last compaction touched are merged with their
+earlier merged rows into a new version beside the live data; days that no such batch
+touched keep their files. The manifest that names each day's version is written
+last, as one file. Until then readers see the table as before; an interrupted
+compaction leaves nothing but an unnamed folder, and the next one starts from the
+live data again. Folders of batches are removed one compaction after they were
+merged, so a reader that began before keeps its files.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adpulse.schema import CITY_COUNT_SCHEMA, COUNT_SCHEMA, LEDGER_LOG_SCHEMA, MINUTE_COUNT_SCHEMA
-from adpulse.sinks.writers import read_batches
-from adpulse.streaming.feedback import FLAGGED_SCHEMA, ClickTables
-
-MARKER_SCHEMA = T.StructType([T.StructField("through", T.LongType())])
-
-
-def _marker(spark: SparkSession, path: str) -> int | None:
-    try:
-        row = spark.read.schema(MARKER_SCHEMA).parquet(path).first()
-    except AnalysisException:
-        return None
-    return None if row is None else row["through"]
-
-
-def _mark(spark: SparkSession, path: str, through: int) -> None:
-    spark.createDataFrame([(through,)], MARKER_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
-
-
-def _merge(rows: DataFrame, through: int, keys: Sequence[str], measures: dict[str, F.Column]) -> DataFrame:
-    """Batches <= `through` merged per key into one row labelled `through`; later batches kept as they are."""
-    early = rows.where(F.col("batch_id") <= through)
-    if measures:
-        merged = early.groupBy(*keys).agg(*[agg.alias(name) for name, agg in measures.items()])
-    else:
-        merged = early.select(*keys).distinct()
-    later = rows.where(F.col("batch_id") > through)
-    return merged.withColumn("batch_id", F.lit(through).cast("long")).unionByName(later.select(merged.columns + ["batch_id"]))
-
-
-def _two_phase(
-    spark: SparkSession,
-    staging: str,
-    through: int,
-    stage: Callable[[int, str], None],
-    apply: Callable[[str], None],
-) -> None:
-    """Run `stage(through, data_path)` then `apply(data_path)` once per `through`, restartably."""
-    data, phase1, phase2 = f"{staging}/data", f"{staging}/_phase1", f"{staging}/_phase2"
-    staged, applied = _marker(spark, phase1), _marker(spark, phase2)
-    if staged is not None and staged != applied:  # an earlier compaction stopped in phase 2: finish it first
-        apply(data)
-        _mark(spark, phase2, staged)
-        applied = staged
-    if applied is not None and applied >= through:
-        return
-    stage(through, data)
-    _mark(spark, phase1, through)
-    apply(data)
-    _mark(spark, phase2, through)
-
-
-def _compact_by_day(
-    spark: SparkSession, table: str, schema: T.StructType, through: int, measures: dict[str, F.Column], staging: str
-) -> None:
-    keys = [f.name for f in schema.fields if f.name not in measures and f.name != "batch_id"]
-
-    def stage(upto: int, data: str) -> None:
-        rows = read_batches(spark, table, schema)
-        days = [r.click_day for r in rows.where(F.col("batch_id") < upto).select("click_day").distinct().collect()]
-        touched = rows.where(F.col("click_day").isin(days))
-        merged = _merge(touched, upto, keys, measures)
-        merged.write.mode("overwrite").partitionBy("click_day", "batch_id").parquet(data)
-
-    def apply(data: str) -> None:
-        copy = spark.read.schema(schema).option("basePath", data).parquet(data)
-        for (day,) in copy.select("click_day").distinct().collect():
-            part = copy.where(F.col("click_day") == day).drop("click_day")
-            part.write.mode("overwrite").partitionBy("batch_id").parquet(f"{table}/click_day={day.isoformat()}")
-
-    _two_phase(spark, staging, through, stage, apply)
-
-
-def _compact_whole(
+from adpulse.sinks.writers import (
+    MANIFEST_SCHEMA,
+    batch_path,
+    current_manifest,
+    manifest_path,
+    merged_path,
+    read_live,
+    read_merged,
+    replace_folder,
+)
+from adpulse.streaming.feedback import BY_DAY, FLAGGED_SCHEMA, ClickTables
+
+
+def write_manifest(rows: DataFrame, table: str, through: int) -> None:
+    """Make `rows` (`day`, `version`, `marker`) the current manifest: the switch of a compaction."""
+    replace_folder(rows.coalesce(1), f"{manifest_path(table)}/through={through}")
+
+
+def _remove_batches(spark: SparkSession, table: str, upto: int) -> None:
+    """Delete the live folders of batches `<= upto`."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(batch_path(table, 0)).getParent()
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith("batch_id=") and int(name.removeprefix("batch_id=")) <= upto:
+            files.delete(status.getPath(), True)
+
+
+def compact_table(
     spark: SparkSession,
     table: str,
     schema: T.StructType,
     through: int,
-    merge: Callable[[DataFrame, int], DataFrame],
-    staging: str,
+    keys: Sequence[str],
+    measures: dict[str, Column],
 ) -> None:
-    def stage(upto: int, data: str) -> None:
-        merge(read_batches(spark, table, schema), upto).write.mode("overwrite").partitionBy("batch_id").parquet(data)
-
-    def apply(data: str) -> None:
-        copy = spark.read.schema(schema).option("basePath", data).parquet(data)
-        copy.write.mode("overwrite").partitionBy("batch_id").parquet(table)
-
-    _two_phase(spark, staging, through, stage, apply)
+    """Merge the batches `<= through` of one table, one row per `keys` (see module doc)."""
+    before, manifest = current_manifest(spark, table)
+    if before >= through:
+        return
+    by_day = "click_day" in keys
+    live = read_live(spark, table, schema).where((F.col("batch_id") > before) & (F.col("batch_id") <= through))
+    rows = live
+    if manifest is not None:
+        earlier = read_merged(spark, table, schema, manifest)
+        if by_day:
+            touched = live.select(F.col("click_day").alias("_touched")).distinct()
+            earlier = earlier.join(touched, F.col("click_day").eqNullSafe(F.col("_touched")), "left_semi")
+        rows = rows.unionByName(earlier)
+    grouped = rows.groupBy(*keys)
+    merged = grouped.agg(*[agg.alias(name) for name, agg in measures.items()]) if measures else rows.select(*keys).distinct()
+    version = f"{merged_path(table)}/version={through}"
+    replace_folder(merged, version, BY_DAY if by_day else ())
+
+    new = F.lit(through).cast("long").alias("version")
+    plain = F.lit(False).alias("marker")
+    none = F.lit(None).cast("date").alias("day")
+    marker = spark.range(1).select(none, new, F.lit(True).alias("marker"))
+    if by_day:
+        days = live.select(F.col("click_day").alias("day")).distinct().select("day", new, plain)
+        if manifest is not None:
+            kept = manifest.where(~F.col("marker")).select("day", "version", "marker")
+            renamed = days.select(F.col("day").alias("_day"))
+            kept = kept.join(renamed, F.col("day").eqNullSafe(F.col("_day")), "left_anti")
+            days = days.unionByName(kept)
+    else:
+        days = spark.range(1).select(none, new, plain)
+    write_manifest(days.unionByName(marker).select(*MANIFEST_SCHEMA.fieldNames()[:3]), table, through)
+    _remove_batches(spark, table, before)
 
 
 def compact_tables(spark: SparkSession, tables: ClickTables, through: int) -> None:
-    """Merge the partitions of batches `<= through` of every table of `tables` (see module doc)."""
-    staging = f"{tables.root}/_compaction"
+    """Merge the batches `<= through` of every table of `tables`."""
     clicks = {"clicks": F.sum("clicks")}
-    _compact_by_day(spark, tables.user_counts, COUNT_SCHEMA, through, clicks, f"{staging}/user_counts")
-    _compact_by_day(spark, tables.city_counts, CITY_COUNT_SCHEMA, through, clicks, f"{staging}/city_counts")
     minutes = {"clicks": F.sum("clicks"), "on_minute": F.sum("on_minute")}
-    _compact_by_day(spark, tables.minute_counts, MINUTE_COUNT_SCHEMA, through, minutes, f"{staging}/minute_counts")
-    _compact_whole(
-        spark,
-        tables.flagged,
-        FLAGGED_SCHEMA,
-        through,
-        lambda rows, upto: _merge(rows, upto, ["user_id"], {}).distinct(),
-        f"{staging}/flagged",
-    )
     latest = {"offset": F.max_by("offset", "batch_id")}
-    _compact_whole(
-        spark,
-        tables.ledger,
-        LEDGER_LOG_SCHEMA,
-        through,
-        lambda rows, upto: _merge(rows, upto, ["group_id", "topic", "partition"], latest),
-        f"{staging}/ledger",
+    plans = (
+        (tables.user_counts, COUNT_SCHEMA, clicks),
+        (tables.city_counts, CITY_COUNT_SCHEMA, clicks),
+        (tables.minute_counts, MINUTE_COUNT_SCHEMA, minutes),
+        (tables.flagged, FLAGGED_SCHEMA, {}),
+        (tables.blacklist, FLAGGED_SCHEMA, {}),
+        (tables.ledger, LEDGER_LOG_SCHEMA, latest),
     )
+    for table, schema, measures in plans:
+        keys = [f.name for f in schema.fields if f.name not in measures and f.name != "batch_id"]
+        compact_table(spark, table, schema, through, keys, measures)

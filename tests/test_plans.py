@@ -5,7 +5,7 @@ import pytest
 from __spark_entry__ import queries
 from adpulse.plans import catalog
 
-BATCH = [n for n in queries() if not n.startswith("stream_")]
+BATCH = list(catalog.batch_queries())
 
 
 def plan(df, capsys):
@@ -55,3 +55,21 @@ def test_blacklist_filter_is_an_anti_join(spark, sf_small, capsys):
 def test_counts_aggregate_map_side(spark, sf_small, capsys):
     text = plan(catalog.q_click_counts(spark, sf_small), capsys)
     assert text.count("HashAggregate") >= 2  # partial + final
+
+
+def test_reports_shuffle_the_counts_once(spark, sf_small):
+    """Once run, the offenders and the counts share an exchange; nothing is dealt by user alone, nothing is windowed by user."""
+    df = catalog.q_hourly_trend(spark, sf_small)
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    final = text.split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in text or final.count("Exchange hashpartitioning") >= 1
+    assert "Window [" not in final and "REPARTITION" not in final
+
+
+def test_building_a_query_runs_no_job_and_no_single_partition(spark, sf_small, capsys):
+    for name in ("parse_click_log", "daily_city_ad_clicks", "filter_blacklisted"):
+        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+        text = plan(queries()[name](spark, sf_small), capsys)
+        after = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+        assert "SinglePartition" not in text and after - before <= 6  # schema inference of the five tables only

@@ -12,7 +12,6 @@ from adpulse.session import fresh_dir
 from adpulse.sinks.writers import read_batches
 from adpulse.sources.fixtures import messages_from_events
 from adpulse.sources.stream import message_slices, read_click_stream
-from adpulse.streaming.trend import start_hourly_trend, streaming_hourly_trend
 from adpulse.functions.parse import parse_clicks
 
 
@@ -124,31 +123,19 @@ def test_failed_batch_replays_without_double_counting(spark, fixture_messages, m
     assert tables_state(spark, crashed)[:3] == tables_state(spark, clean_run)[:3]
 
 
-def test_late_click_is_not_counted(spark):
-    def msg(i, t):
-        body = f'{{"userId":"u","accessTime":"{t}","province":"P","city":"C","advId":"1"}}'
-        return ("t", 0, i, body)
-
-    log, out = fresh_dir(spark, "late_log"), fresh_dir(spark, "late_out")
-
-    def run():
-        clicks = parse_clicks(read_click_stream(spark, path=log))
-        trend = streaming_hourly_trend(clicks, "1 hour", "10 minutes", "10 minutes")
-        q = start_hourly_trend(trend, f"{out}/data", f"{out}/ck", {"availableNow": True})
-        q.awaitTermination()
-        return trend.schema
-
-    spark.createDataFrame([msg(0, "2024-01-01 10:00:00"), msg(1, "2024-01-01 12:00:00")], MESSAGE_SCHEMA).write.parquet(log)
-    run()
-    # 08:00 is behind the watermark (11:50): dropped. 11:55 is within lateness: counted.
-    spark.createDataFrame([msg(2, "2024-01-01 08:00:00"), msg(3, "2024-01-01 11:55:00"), msg(4, "2024-01-01 14:00:00")],
-                          MESSAGE_SCHEMA).write.mode("append").parquet(log)
-    schema = run()
-    got = spark.read.schema(schema).parquet(f"{out}/data")
-    starts = {r.window_start: r.clicks for r in got.collect()}
-    assert all(w.hour >= 9 for w in starts)  # no window from the late 08:00 click
-    assert starts[dt.datetime(2024, 1, 1, 11, 10)] == 2  # [11:10, 12:10) holds 11:55 and 12:00
-    assert starts[dt.datetime(2024, 1, 1, 11, 0)] == 1  # [11:00, 12:00) holds 11:55 only
+def test_late_clicks_and_open_windows_count(spark):
+    body = '{{"userId":"u","accessTime":"{}","province":"P","city":"C","advId":"1"}}'
+    tables = fb.ClickTables(fresh_dir(spark, "late"))
+    tables.create(spark)
+    for k, times in enumerate((["2024-01-01 10:00:00", "2024-01-01 12:00:00"], ["2024-01-01 08:00:00", "2024-01-01 11:55:00"])):
+        batch = spark.createDataFrame([("t", k, i, body.format(t)) for i, t in enumerate(times)], MESSAGE_SCHEMA)
+        fb.process_batch(spark, batch, k, tables, group_id="g")
+    starts = {r.window_start: r.clicks for r in fb.hourly_trend_so_far(spark, tables).collect()}
+    assert starts[dt.datetime(2024, 1, 1, 8, 0)] == 1 and starts[dt.datetime(2024, 1, 1, 7, 10)] == 1
+    assert starts[dt.datetime(2024, 1, 1, 11, 10)] == 2 and starts[dt.datetime(2024, 1, 1, 11, 0)] == 1
+    assert starts[dt.datetime(2024, 1, 1, 12, 0)] == 1  # still open
+    with pytest.raises(ValueError):
+        fb.hourly_trend_so_far(spark, tables, "1 hour", "90 seconds")
 
 
 def test_trend_from_minute_counts_is_exact_at_the_span_borders(spark):
@@ -261,29 +248,116 @@ def test_compaction_inside_the_stream_and_after_an_interruption(spark, fixture_m
         for k, part in parts[:5]:
             fb.process_batch(spark, part, k, t, threshold=1, group_id="g", compact_every=every)
     batches = {r.batch_id for r in read_batches(spark, inline.user_counts, COUNT_SCHEMA).select("batch_id").distinct().collect()}
-    assert batches == {3, 4}  # compacted through 1 at batch 2, through 3 at batch 4
-
-    # Batch 5 compacts through 4; its first attempt dies after phase 1 of the first table.
-    real = mt._compact_by_day
-    state = {"failed": False}
-
-    def dying(spark_, table, schema, through, measures, staging):
-        if not state["failed"]:
-            state["failed"] = True
-            rows = read_batches(spark_, table, schema)
-            keys = [f.name for f in schema.fields if f.name not in measures and f.name != "batch_id"]
-            merged = mt._merge(rows, through, keys, measures)
-            merged.write.mode("overwrite").partitionBy("click_day", "batch_id").parquet(f"{staging}/data")
-            mt._mark(spark_, f"{staging}/_phase1", through)
-            raise RuntimeError("executor lost before phase 2")
-        return real(spark_, table, schema, through, measures, staging)
-
-    monkeypatch.setattr(mt, "_compact_by_day", dying)
+    assert batches <= {1, 3, 4}  # compacted through 1 at batch 2, through 3 at batch 4
+
+    # Batch 5 compacts through 4; its first attempt dies before the manifest of the first table is switched.
+    real = mt.write_manifest
+
+    def dying(*args, **kwargs):
+        raise RuntimeError("executor lost before the switch")
+
+    monkeypatch.setattr(mt, "write_manifest", dying)
     fb.process_batch(spark, parts[5][1], 5, plain, threshold=1, group_id="g", compact_every=None)
     with pytest.raises(RuntimeError):
         fb.process_batch(spark, parts[5][1], 5, inline, threshold=1, group_id="g", compact_every=5)
-    monkeypatch.setattr(mt, "_compact_by_day", real)
+    monkeypatch.setattr(mt, "write_manifest", real)
     fb.process_batch(spark, parts[5][1], 5, inline, threshold=1, group_id="g", compact_every=5)  # the replay
     for read in (fb.daily_city_counts, fb.top_ads_so_far, fb.published_blacklist, fb.minute_trend_so_far):
         assert rows_of(read(spark, inline)) == rows_of(read(spark, plain))
     assert rows_of(fb.stream_committed_offsets(spark, inline, "g")) == rows_of(fb.stream_committed_offsets(spark, plain, "g"))
+
+
+BODY = '{{"userId":"{}","accessTime":"2024-01-0{} 10:00:00","province":"P","city":"C","advId":"1"}}'
+
+
+def small_batch(spark, *clicks):
+    rows = [("t", 0, i, BODY.format(user, day)) for i, (user, day) in enumerate(clicks)]
+    return spark.createDataFrame(rows, MESSAGE_SCHEMA)
+
+
+def city_total(spark, tables):
+    return sum(r.clicks for r in fb.daily_city_counts(spark, tables).collect())
+
+
+def fresh_tables(spark, name):
+    tables = fb.ClickTables(fresh_dir(spark, name))
+    tables.create(spark)
+    return tables
+
+
+def test_batches_after_an_interrupted_compaction_are_kept(spark, monkeypatch):
+    import adpulse.streaming.maintenance as mt
+
+    tables = fresh_tables(spark, "interrupted")
+    for k in range(3):
+        fb.process_batch(spark, small_batch(spark, (f"u{k}", 1)), k, tables, group_id="g", compact_every=None)
+    real = mt.write_manifest
+
+    def dying(rows, table, through):
+        if table == tables.city_counts:
+            raise RuntimeError("lost")
+        real(rows, table, through)
+
+    monkeypatch.setattr(mt, "write_manifest", dying)
+    with pytest.raises(RuntimeError):
+        mt.compact_tables(spark, tables, through=1)
+    monkeypatch.setattr(mt, "write_manifest", real)
+    for k in range(3, 6):
+        fb.process_batch(spark, small_batch(spark, (f"u{k}", 1)), k, tables, group_id="g", compact_every=None)
+    mt.compact_tables(spark, tables, through=4)
+    assert city_total(spark, tables) == 6
+
+
+def test_compaction_under_dynamic_overwrite(spark):
+    import adpulse.streaming.maintenance as mt
+
+    tables = fresh_tables(spark, "dynamic")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for k in range(3):
+            fb.process_batch(spark, small_batch(spark, (f"u{k}", 1)), k, tables, group_id="g", compact_every=None)
+        mt.compact_tables(spark, tables, through=1)
+        assert city_total(spark, tables) == 3
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_replay_after_the_seed_grew_leaves_no_stale_day(spark):
+    seed = fresh_dir(spark, "grown_seed")
+    spark.createDataFrame([], "user_id string").write.parquet(seed)
+    tables = fresh_tables(spark, "stale")
+    batch = small_batch(spark, ("u1", 1), ("u2", 2))
+    fb.process_batch(spark, batch, 0, tables, group_id="g", seed_path=seed)
+    spark.createDataFrame([("u1",)], "user_id string").write.mode("append").parquet(seed)
+    fb.process_batch(spark, batch, 0, tables, group_id="g", seed_path=seed)
+    assert city_total(spark, tables) == 1
+
+
+def test_readers_see_full_totals_during_compaction_and_untouched_days_keep_their_files(spark, monkeypatch):
+    import os
+
+    import adpulse.streaming.maintenance as mt
+
+    tables = fresh_tables(spark, "reader")
+    for k, day in enumerate((1, 2, 3, 3)):
+        fb.process_batch(spark, small_batch(spark, (f"u{k}", day)), k, tables, group_id="g", compact_every=None)
+    started = fb.daily_city_counts(spark, tables)
+    seen = []
+    real = mt.write_manifest
+
+    def watched(rows, table, through):
+        seen.append(city_total(spark, tables))
+        real(rows, table, through)
+        seen.append(city_total(spark, tables))
+
+    monkeypatch.setattr(mt, "write_manifest", watched)
+    mt.compact_tables(spark, tables, through=2)
+    assert set(seen) == {4} and sum(r.clicks for r in started.collect()) == 4
+    root = tables.city_counts.removeprefix("file:") + "/merged/version=2"
+    files = {f: os.stat(f"{d}/{f}").st_mtime_ns for d, _, names in os.walk(root) for f in names}
+    fb.process_batch(spark, small_batch(spark, ("u9", 3)), 4, tables, group_id="g", compact_every=None)
+    mt.compact_tables(spark, tables, through=4)
+    after = {f: os.stat(f"{d}/{f}").st_mtime_ns for d, _, names in os.walk(root) for f in names}
+    assert after == files and city_total(spark, tables) == 5
+    new = os.listdir(tables.city_counts.removeprefix("file:") + "/merged/version=4")
+    assert [n for n in new if n.startswith("click_day")] == ["click_day=2024-01-03"]
