@@ -225,8 +225,8 @@ def _distinct_texts(docs: DataFrame) -> DataFrame:
     )
     path = fresh_dir(spark, "suffix_texts")
     table = path.rsplit("/", 1)[1].replace("-", "_")
-    # Half the usual number: every later pass writes a file per bucket, and its rows are fewer than the text's.
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
+    # As many as shuffle partitions: the grouping's own partitions are the buckets, and joins need no other shuffle.
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     spark.conf.set(setting, "true")
     (
@@ -247,7 +247,7 @@ def _spans(texts: DataFrame) -> DataFrame:
     extents = marked.groupBy("mark", "extent").agg(F.sum("times").alias("all_times"))
     # Marks that occur once are settled; the extents of the others, with the number of extents of the mark.
     kinds = extents.groupBy("mark").agg(F.sum("all_times").alias("n"), F.count("*").alias("kinds")).filter("n > 1")
-    shared = extents.join(kinds, "mark").select("mark", "extent", "all_times", "kinds")
+    shared = staged(extents.join(kinds, "mark").select("mark", "extent", "all_times", "kinds"), "suffix_extents")
     members = staged(marked.join(shared, ["mark", "extent"]), "suffix_members")
     whole = members.filter("all_times > 1 AND times = 1").select(*text, "start", "starts")
 
