@@ -75,11 +75,12 @@ class Decoder:
         targets = self.code[labels].astype(float)
         share = np.bincount(labels, minlength=len(languages))[labels]
         scale = np.sqrt(n / (len(languages) * share))[:, None]
-        xs = x * scale
-        gram = xs @ xs.T + RIDGE * n / len(languages) * np.eye(n) / 10
-        inverse = np.linalg.inv(gram)
+        x *= scale.astype(x.dtype)  # in place: the sample is the largest thing on the driver
+        inverse = (x @ x.T).astype(np.float64)
+        inverse[np.diag_indices(n)] += RIDGE * n / len(languages) / 10
+        inverse = np.linalg.inv(inverse)
         duals = inverse @ (targets * scale)
-        self.weights = xs.T @ duals
+        self.weights = (x.T @ duals.astype(x.dtype)).astype(np.float64)
         # What each classifier says of a document that it was not fitted on, in closed form.
         left_out = targets - (duals / np.diag(inverse)[:, None]) / scale
         right = (np.sign(left_out) == targets).mean(axis=0)
@@ -136,8 +137,11 @@ def fit(docs: DataFrame) -> Decoder | None:
     languages = sorted({r["lang"] for r in rows})
     if not languages:
         return None
-    x = np.array([np.frombuffer(r["x"], np.float16) for r in rows], dtype=np.float64)
-    return Decoder(languages, x, np.array([languages.index(r["lang"]) for r in rows]))
+    labels = np.array([languages.index(r["lang"]) for r in rows])
+    x = np.empty((len(rows), BINS), np.float32)
+    while rows:
+        x[len(rows) - 1] = np.frombuffer(rows.pop()["x"], np.float16)
+    return Decoder(languages, x, labels)
 
 
 def has_letter(text: str | None) -> bool:

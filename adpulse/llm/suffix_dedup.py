@@ -277,9 +277,8 @@ def _cut_texts(docs: DataFrame, with_text: bool) -> DataFrame:
     """Per distinct text of LENGTH bytes and more that loses bytes: its cuts as figures, and the kept text if asked."""
     small_batches(docs.sparkSession)
     texts = _distinct_texts(docs)
-    spans = (
-        _spans(texts).groupBy("text_a", "text_b").agg(F.collect_list(F.struct("start", "starts")).alias("spans"))
-    )
+    spans = _spans(texts).groupBy("text_a", "text_b").agg(F.collect_list(F.struct("start", "starts")).alias("spans"))
+    spans = staged(spans, "suffix_spans")
     return (
         texts.join(spans, ["text_a", "text_b"], "left")
         .filter("copies > 1 OR spans IS NOT NULL")
