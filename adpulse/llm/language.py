@@ -139,8 +139,8 @@ def fit(docs: DataFrame) -> Decoder | None:
         return None
     labels = np.array([languages.index(r["lang"]) for r in rows])
     x = np.empty((len(rows), BINS), np.float32)
-    while rows:
-        x[len(rows) - 1] = np.frombuffer(rows.pop()["x"], np.float16)
+    for at in reversed(range(len(rows))):
+        x[at] = np.frombuffer(rows.pop()["x"], np.float16)
     return Decoder(languages, x, labels)
 
 
