@@ -9,7 +9,7 @@ partitions except the scans of the log itself, which are partial aggregates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PARTITION_KEYS = ("topic", "partition")
@@ -61,22 +61,29 @@ def start_positions(latest: DataFrame, committed: DataFrame | None = None, mode:
     )
 
 
+def _any_of(conditions: list[Column]) -> Column:
+    """The conditions joined by OR as a balanced tree, so that many topic partitions give no deep expression."""
+    if len(conditions) == 1:
+        return conditions[0]
+    half = len(conditions) // 2
+    return _any_of(conditions[:half]) | _any_of(conditions[half:])
+
+
 def resume_read(messages: DataFrame, starts: DataFrame) -> DataFrame:
-    """Messages at or after each partition's start offset.
+    """Messages at or after each partition's start offset; `messages` may be a stream.
 
     `starts` holds one row per topic partition: its size is bounded by the
-    topic's partition count, not by the data, so it is broadcast and the log is
-    never shuffled. Partitions without a start position are not read.
+    topic's partition count, not by the data. Its rows are read when the query is
+    built and become literal predicates on `topic`, `partition` and `offset`, so
+    a stored log skips the files and row groups below the start, and the log is
+    neither joined nor shuffled. Partitions without a start position are not read.
     """
-    bounds = starts.select(
-        F.col("topic").alias("_s_topic"), F.col("partition").alias("_s_partition"), F.col("start_offset").alias("_s_start")
-    )
-    cond = (
-        (F.col("topic") == F.col("_s_topic"))
-        & (F.col("partition") == F.col("_s_partition"))
-        & (F.col("offset") >= F.col("_s_start"))
-    )
-    return messages.join(F.broadcast(bounds), cond, "left_semi")
+    rows = starts.select(*PARTITION_KEYS, "start_offset").na.drop().collect()
+    within = [
+        (F.col("topic") == row["topic"]) & (F.col("partition") == row["partition"]) & (F.col("offset") >= row["start_offset"])
+        for row in rows
+    ]
+    return messages.where(_any_of(within) if within else F.lit(False))
 
 
 def batch_offset_ranges(messages: DataFrame, batch_col: str | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from adpulse.functions.parse import parse_clicks
 from adpulse.operators.blacklist import (
+    BLACKLIST_SQL,
     blacklist_rows,
     blacklist_sql,
     derive_blacklist,
@@ -40,7 +41,7 @@ from adpulse.operators.reports import (
 )
 from adpulse.schema import DEFAULT_THRESHOLD
 from adpulse.session import fresh_dir
-from adpulse.sinks.writers import append_click_counts, archive_messages
+from adpulse.sinks.writers import append_click_counts, archive_messages, register_views
 from adpulse.sources.fixtures import (
     LEDGER_GROUP,
     TOPIC,
@@ -240,6 +241,22 @@ def q_archive_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def q_archive_messages_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every raw message appended to a one-column table, then read back."""
+    path = fresh_dir(spark, "archive_table")
+    archive_messages(messages_from_events(spark, sf_dir), path, format="table")
+    return read_table(spark, "messages", path=path)
+
+
+def q_blacklist_view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blacklist rule in SQL over a registered view of the stored partial counts."""
+    table = fresh_dir(spark, "clickcount_view")
+    partials = click_counts(with_batch(clicks_from_events(spark, sf_dir, geography=False)), batch_col="batch_id")
+    append_click_counts(partials, table)
+    register_views(spark, clickcount=read_table(spark, "clickcount", path=table))
+    return spark.sql(BLACKLIST_SQL.format(counts="clickcount"), args={"threshold": TEST_THRESHOLD})
+
+
 def batch_queries() -> dict[str, Query]:
     return {
         "parse_click_log": q_parse_click_log,
@@ -263,4 +280,6 @@ def batch_queries() -> dict[str, Query]:
         "typed_click_counts": q_typed_click_counts,
         "preview": q_preview,
         "archive_messages": q_archive_messages,
+        "archive_messages_table": q_archive_messages_table,
+        "blacklist_view_sql": q_blacklist_view_sql,
     }

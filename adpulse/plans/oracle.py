@@ -54,6 +54,12 @@ FROM clicks k, (SELECT min(event_id) AS lo, max(event_id) AS hi FROM clicks) b""
         ("sliced", "crossed"),
         """SELECT s.* FROM sliced s LEFT JOIN crossed c ON c.user_id = s.user_id
 WHERE c.last_slice IS NULL OR s.slice <= c.last_slice""",
+    ),
+    # The outside blacklist drops its users from the first slice on.
+    "seeded_clean": (
+        ("stream_clean",),
+        """SELECT * FROM stream_clean s
+WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey % 7 = 0 AND CAST(c.c_custkey AS VARCHAR) = s.user_id)""",
     ),
     "messages": (
         ("clicks",),
@@ -206,6 +212,8 @@ FROM messages GROUP BY batch_id, topic, "partition\"""",
     ),
     "preview": with_views(f"SELECT event_id, {CLICK_OUT} FROM clicks ORDER BY event_id LIMIT 10", "clicks"),
     "archive_messages": with_views("SELECT value FROM messages", "messages"),
+    "archive_messages_table": with_views("SELECT value FROM messages", "messages"),
+    "blacklist_view_sql": with_views("SELECT user_id FROM counts WHERE clicks > 1 AND user_id IS NOT NULL", "counts"),
 }
 
 STATEMENTS.update(
@@ -218,5 +226,15 @@ STATEMENTS.update(
             'SELECT topic, "partition", latest_offset AS committed_offset FROM latest', "latest"
         ),
         "stream_hourly_trend": _hourly_trend("stream_clean"),
+        "stream_clean_clicks": with_views(f"SELECT {CLICK_OUT} FROM stream_clean", "stream_clean"),
+        "stream_seeded_blacklist": _daily_city_ad_clicks("seeded_clean"),
+        "stream_resume": with_views(
+            f"""SELECT {CLICK_OUT} FROM (
+  SELECT k.* FROM clicks k JOIN starts s ON k.topic = s.topic AND k."partition" = s."partition"
+  WHERE k."offset" >= s.start_offset
+)""",
+            "clicks",
+            "starts",
+        ),
     }
 )

@@ -14,14 +14,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from adpulse.plans.catalog import TREND_AS_OF, present
+from adpulse.plans.catalog import CLICK_OUT, TREND_AS_OF, present
+from adpulse.operators.offsets import committed_offsets, latest_offsets, start_positions
 from adpulse.session import fresh_dir
-from adpulse.sources.fixtures import LEDGER_GROUP, messages_from_events
+from adpulse.schema import DEFAULT_THRESHOLD
+from adpulse.sources.fixtures import LEDGER_GROUP, TOPIC, ledger_from_messages, messages_from_events, read_fixture
 from adpulse.sources.stream import message_slices, read_click_stream
+from adpulse.sources.tables import read_table
 from adpulse.streaming.feedback import (
+    CleanSink,
     ClickTables,
+    SeedReader,
     daily_city_counts,
     hourly_trend_so_far,
     published_blacklist,
@@ -30,9 +36,12 @@ from adpulse.streaming.feedback import (
     top_ads_so_far,
     trend_last_hour_so_far,
 )
+from adpulse.streaming.sinks import clean_click_table, clean_clicks_so_far
 
 STREAM_SLICES = 5
 TEST_THRESHOLD = 1
+SEED_EVERY = 7  # the outside blacklist names each customer whose key this divides
+FILES_PER_TRIGGER = 2  # admission cap of the resumed stream
 
 
 def _await(query: StreamingQuery) -> None:
@@ -55,14 +64,21 @@ def replay_in_slices(spark: SparkSession, sf_dir: str, start: Callable[[str], St
         _await(start(log))
 
 
-def run_fixture_stream(spark: SparkSession, sf_dir: str, threshold: int) -> ClickTables:
+def run_fixture_stream(
+    spark: SparkSession,
+    sf_dir: str,
+    threshold: int,
+    seed: SeedReader | None = None,
+    clean_to: CleanSink | None = None,
+) -> ClickTables:
     tables = ClickTables(fresh_dir(spark, "click_stream"))
 
     def start(log: str) -> StreamingQuery:
         stream = read_click_stream(spark, path=log)
         return run_click_stream(
-            spark, stream, tables, group_id=LEDGER_GROUP, threshold=threshold, trigger={"availableNow": True}
-        )
+            spark, stream, tables, group_id=LEDGER_GROUP, threshold=threshold, seed_path=seed,
+            trigger={"availableNow": True}, clean_to=clean_to,
+        )
 
     replay_in_slices(spark, sf_dir, start)
     return tables
@@ -97,6 +113,45 @@ def q_stream_hourly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(hourly_trend_so_far(spark, run_fixture_stream(spark, sf_dir, TEST_THRESHOLD)))
 
 
+def q_stream_clean_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filtered clicks themselves: what each micro-batch let through."""
+    kept = fresh_dir(spark, "clean_clicks")
+    run_fixture_stream(spark, sf_dir, TEST_THRESHOLD, clean_to=clean_click_table(kept))
+    return present(clean_clicks_so_far(spark, kept).select(*CLICK_OUT))
+
+
+def q_stream_seeded_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counts under an outside blacklist that is a stored table, re-read every batch; a number is its first column."""
+    table = fresh_dir(spark, "outside_blacklist")
+    named = read_fixture(spark, sf_dir, "customer").where(F.col("c_custkey") % SEED_EVERY == 0)
+    named.select("c_custkey", "c_name").write.parquet(table)
+    tables = run_fixture_stream(spark, sf_dir, TEST_THRESHOLD, seed=lambda s: read_table(s, "blacklist", path=table))
+    return present(daily_city_counts(spark, tables))
+
+
+def q_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that starts where the group's ledger says, else at the end, under an admission cap of files.
+
+    The log lies there as files when the stream starts; `availableNow` drains it in
+    batches of `FILES_PER_TRIGGER` files. The default threshold flags nobody in
+    `events` (FIXTURES.md), so the rows do not depend on where batches end.
+    """
+    log, kept = fresh_dir(spark, "message_log"), fresh_dir(spark, "resumed_clicks")
+    messages_from_events(spark, sf_dir).write.parquet(log)
+    stored = spark.read.parquet(log)
+    committed = committed_offsets(ledger_from_messages(stored), LEDGER_GROUP, TOPIC)
+    starts = start_positions(latest_offsets(stored), committed)
+    stream = read_click_stream(spark, path=log, starting_offsets=starts, max_files_per_trigger=FILES_PER_TRIGGER)
+    tables = ClickTables(fresh_dir(spark, "resumed_stream"))
+    _await(
+        run_click_stream(
+            spark, stream, tables, group_id=LEDGER_GROUP, threshold=DEFAULT_THRESHOLD,
+            trigger={"availableNow": True}, clean_to=clean_click_table(kept),
+        )
+    )
+    return present(clean_clicks_so_far(spark, kept).select(*CLICK_OUT))
+
+
 def stream_queries() -> dict:
     return {
         "stream_daily_city_ad_clicks": q_stream_daily_city_ad_clicks,
@@ -105,4 +160,7 @@ def stream_queries() -> dict:
         "stream_committed_offsets": q_stream_committed_offsets,
         "stream_trend_last_hour": q_stream_trend_last_hour,
         "stream_hourly_trend": q_stream_hourly_trend,
+        "stream_clean_clicks": q_stream_clean_clicks,
+        "stream_seeded_blacklist": q_stream_seeded_blacklist,
+        "stream_resume": q_stream_resume,
     }

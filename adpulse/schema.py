@@ -44,6 +44,11 @@ CLICK_SCHEMA = T.StructType(
     ]
 )
 
+# A click that the stream let through, where it stood in the log, and its micro-batch.
+CLEAN_CLICK_SCHEMA = T.StructType(
+    [*MESSAGE_SCHEMA.fields[:3], *CLICK_SCHEMA.fields, T.StructField("batch_id", T.LongType())]
+)
+
 # Partial click counts of the stream's tables. Partition columns come last:
 # `click_day` then `batch_id` (one directory per day and micro-batch), so a
 # batch reads back only the days it touched and replaces only its own batch.

@@ -11,6 +11,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adpulse.operators.offsets import resume_read
 from adpulse.schema import MESSAGE_SCHEMA
 
 
@@ -51,9 +52,17 @@ def read_click_stream(
     read and parsed by a single task.
 
     Files (`path`): a stored message log with the same columns;
-    `max_files_per_trigger` is the cap.
+    `max_files_per_trigger` is the cap. `starting_offsets` is "earliest" or a
+    `start_positions` DataFrame, read now: messages below it are skipped by
+    `resume_read`. A file log keeps no start in its checkpoint, so give a query the
+    same start positions each time it is restarted. Options that only the other
+    source has raise.
     """
     if bootstrap_servers is not None:
+        if path is not None or max_files_per_trigger is not None:
+            raise ValueError("path and max_files_per_trigger belong to a message log, not to Kafka")
+        if topic is None:
+            raise ValueError("give the topic to read from Kafka")
         reader = (
             spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", bootstrap_servers)
@@ -74,14 +83,17 @@ def read_click_stream(
         )
     if path is None:
         raise ValueError("give bootstrap_servers and topic (Kafka) or path (message log)")
-    if starting_offsets is not None or max_offsets_per_trigger is not None or min_partitions is not None:
-        raise ValueError("a message log is read from its start by whole files: give max_files_per_trigger instead")
+    if topic is not None or max_offsets_per_trigger is not None or min_partitions is not None:
+        raise ValueError("topic, max_offsets_per_trigger and min_partitions belong to Kafka, not to a message log")
+    if isinstance(starting_offsets, str) and starting_offsets != "earliest":
+        raise ValueError("a message log starts at 'earliest' or at the rows of a start_positions DataFrame")
     reader = spark.readStream.schema(MESSAGE_SCHEMA).format(file_format)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    return reader.load(path)
+    log = reader.load(path)
+    return resume_read(log, starting_offsets) if isinstance(starting_offsets, DataFrame) else log
 
 
 def message_slices(messages: DataFrame, slices: int, order: str = "event_id") -> list[DataFrame]:

@@ -122,6 +122,7 @@ class ClickTables:
 
 
 SeedReader = Callable[[SparkSession], DataFrame]
+CleanSink = Callable[[DataFrame, int], None]
 
 
 def _seed(spark: SparkSession, seed: str | SeedReader | None) -> DataFrame:
@@ -151,9 +152,14 @@ def process_batch(
     seed_path: str | SeedReader | None = None,
     parse_mode: str = "FAILFAST",
     compact_every: int | None = DEFAULT_COMPACT_EVERY,
+    clean_to: CleanSink | None = None,
 ) -> None:
     """One micro-batch of the click stream (steps 1-5 of the module doc).
 
+    `clean_to(clicks, batch_id)` gets the batch's clean clicks after the count tables are written
+    and before the ledger moves, so a replay calls it again under the same id
+    (`clean_click_table`, `clean_click_preview` in `adpulse.streaming.sinks`).
+
     The clean clicks are cached and counted before anything reads them; the
     count tables are then written as concurrent Spark jobs of the query's own
     job group, so stopping the query stops them too.
@@ -199,6 +205,9 @@ def process_batch(
             for done in [pool.submit(write, rows, table, batch_id, by) for rows, table, by in writes]:
                 done.result()
 
+        if clean_to is not None:
+            clean_to(clean, batch_id)
+
         # Totals of the groups that this batch touched, from what is stored now.
         stored = read_batches(spark, tables.user_counts, COUNT_SCHEMA).where(F.col("batch_id") <= batch_id)
         now = stored.where(F.col("batch_id") == batch_id)
@@ -234,6 +243,7 @@ def run_click_stream(
     trigger: dict | None = None,
     query_name: str | None = None,
     compact_every: int | None = DEFAULT_COMPACT_EVERY,
+    clean_to: CleanSink | None = None,
 ) -> StreamingQuery:
     """Start the click stream over a streaming `messages` DataFrame (see `read_click_stream`).
 
@@ -244,7 +254,8 @@ def run_click_stream(
 
     `trigger` is passed to `DataStreamWriter.trigger`: the reference's 5 s
     batches are `{"processingTime": "5 seconds"}` (the default);
-    `{"availableNow": True}` drains what is there and stops.
+    `{"availableNow": True}` drains what is there and stops. `clean_to` receives
+    every batch's filtered clicks (see `process_batch`).
     """
     tables.create(spark)
 
@@ -259,6 +270,7 @@ def run_click_stream(
             seed_path=seed_path,
             parse_mode=parse_mode,
             compact_every=compact_every,
+            clean_to=clean_to,
         )
 
     writer = messages.writeStream.foreachBatch(each).option("checkpointLocation", tables.checkpoint)

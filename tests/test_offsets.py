@@ -109,3 +109,46 @@ def test_read_table_with_schema_types_partitions(spark):
     df = read_table(spark, "clickcount", path=path, schema=schema)
     assert dict(df.dtypes) == {"user_id": "string", "clicks": "bigint", "batch_id": "bigint"}
     assert [tuple(r) for r in df.collect()] == [("u", 3, 7)]
+
+
+def test_resume_predicates_reach_the_scan_of_a_stored_log(spark, capsys):
+    from adpulse.session import fresh_dir
+
+    path = fresh_dir(spark, "resume_log")
+    log(spark).write.parquet(path)
+    starts = spark.createDataFrame([("t", 0, 8), ("t", 1, 0)], "topic string, partition int, start_offset long")
+    got = resume_read(spark.read.parquet(path), starts)
+    capsys.readouterr()
+    got.explain(mode="formatted")
+    text = capsys.readouterr().out
+    assert "GreaterThanOrEqual(offset,8)" in text and "EqualTo(partition,0)" in text
+    assert "Join" not in text and "Exchange" not in text
+    assert got.count() == 12
+
+
+def test_resume_read_without_starts_null_starts_and_many_partitions(spark):
+    kind = "topic string, partition int, start_offset long"
+    assert resume_read(log(spark), spark.createDataFrame([], kind)).count() == 0
+    nulls = [("t", 0, None), ("t", None, 0), (None, 1, 0), ("t", 2, 9)]
+    assert [(r.partition, r.offset) for r in resume_read(log(spark), spark.createDataFrame(nulls, kind)).collect()] == [(2, 9)]
+    many = spark.range(2000).selectExpr("'t' AS topic", "CAST(id AS INT) AS partition", "5L AS start_offset")
+    assert resume_read(log(spark), many).count() == 15
+
+
+def test_a_log_and_kafka_refuse_each_others_options(spark, tmp_path):
+    import pytest
+
+    from adpulse import read_click_stream
+
+    for options in (
+        {"path": str(tmp_path), "starting_offsets": "latest"},
+        {"path": str(tmp_path), "max_offsets_per_trigger": 5},
+        {"path": str(tmp_path), "min_partitions": 5},
+        {"path": str(tmp_path), "topic": "t"},
+        {"bootstrap_servers": "b:1", "topic": "t", "max_files_per_trigger": 1},
+        {"bootstrap_servers": "b:1", "topic": "t", "path": str(tmp_path)},
+        {"bootstrap_servers": "b:1"},
+        {},
+    ):
+        with pytest.raises(ValueError):
+            read_click_stream(spark, **options)

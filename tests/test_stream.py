@@ -361,3 +361,38 @@ def test_readers_see_full_totals_during_compaction_and_untouched_days_keep_their
     assert after == files and city_total(spark, tables) == 5
     new = os.listdir(tables.city_counts.removeprefix("file:") + "/merged/version=4")
     assert [n for n in new if n.startswith("click_day")] == ["click_day=2024-01-03"]
+
+
+def test_clean_clicks_are_kept_once_and_previewed(spark, fixture_messages, capsys):
+    from adpulse.streaming.sinks import clean_click_preview, clean_click_table, clean_clicks_so_far
+
+    tables, kept = fb.ClickTables(fresh_dir(spark, "clean")), fresh_dir(spark, "clean_rows")
+    tables.create(spark)
+    store = clean_click_table(kept)
+    for k, part in enumerate(message_slices(fixture_messages, 2)):
+        for _ in range(2):  # each batch is replayed
+            fb.process_batch(spark, part, k, tables, threshold=1, group_id="g", clean_to=store)
+    counted = sum(r.clicks for r in fb.daily_city_counts(spark, tables).collect())
+    rows = clean_clicks_so_far(spark, kept)
+    assert rows.count() == counted and {r.batch_id for r in rows.select("batch_id").distinct().collect()} == {0, 1}
+    capsys.readouterr()
+    clean_click_preview(2)(rows.drop("batch_id"), 0)
+    assert "only showing top 2 rows" in capsys.readouterr().out
+
+
+def test_log_starts_at_the_ledger_under_a_cap(spark):
+    from adpulse.streaming.sinks import clean_click_table, clean_clicks_so_far
+
+    log, kept = fresh_dir(spark, "resume_log"), fresh_dir(spark, "resume_rows")
+    body = '{"userId":"u","accessTime":"2024-01-01 00:00:00","province":"P","city":"C","advId":"1"}'
+    for i in range(3):
+        rows = spark.createDataFrame([("t", 0, i * 10 + j, body) for j in range(10)], MESSAGE_SCHEMA)
+        rows.coalesce(1).write.mode("append").parquet(log)  # ten test rows, one file
+    starts = spark.createDataFrame([("t", 0, 13)], "topic string, partition int, start_offset long")
+    tables = fb.ClickTables(fresh_dir(spark, "resume"))
+    for _ in range(2):  # the second run finds nothing new
+        stream = read_click_stream(spark, path=log, starting_offsets=starts, max_files_per_trigger=1)
+        q = fb.run_click_stream(spark, stream, tables, group_id="g", trigger={"availableNow": True}, clean_to=clean_click_table(kept))
+        q.awaitTermination()
+    assert sorted(r.offset for r in clean_clicks_so_far(spark, kept).collect()) == list(range(13, 30))
+    assert fb.stream_committed_offsets(spark, tables, "g").collect()[0].committed_offset == 30
