@@ -1,4 +1,4 @@
-"""The click stream: replay safety, the feedback invariant, restart, watermark."""
+"""The click stream: replay safety, the feedback invariant, restart, late clicks, compaction."""
 
 import datetime as dt
 
