@@ -14,15 +14,15 @@ NOTES = {
     "blacklist_users": "Aggregate, filter over the aggregate (HAVING), distinct: all partial-aggregated before shuffles.",
     "filter_blacklisted": "Anti join of the clicks with the derived blacklist, broadcast while the blacklist is small; "
     "beyond the broadcast threshold a shuffle join with AQE skew splitting.",
-    "daily_city_ad_clicks": "One read of events: per-user counts, the blacklist applied to them by windows over the "
-    "counts partitioned by user (no join, no second scan), then the geography join on counts, never on clicks.",
+    "daily_city_ad_clicks": "One read of events: per-user counts, the offenders (HAVING) joined back to the "
+    "same counts (one shared shuffle once it runs), then the geography join on counts, never on clicks.",
     "top_ads_by_province": "WindowGroupLimit before and after the shuffle: at most n rows per province per task move.",
-    "hourly_trend": "One read of events: counts per (day, user, ad, 10-minute bucket), the blacklist applied to them "
-    "by windows over user partitions, then the bucket counts spread over the six sliding windows (no click is copied).",
+    "hourly_trend": "One read of events: counts per (day, user, ad, 10-minute bucket), the offenders "
+    "joined back to them, then the bucket counts spread over the six sliding windows (no click is copied).",
     "trend_last_hour": "The time range reaches the Parquet scan (PushedFilters on ts): only row groups of that hour are read.",
-    "resume_read": "Start positions (one row per topic partition) broadcast; the log is not shuffled.",
-    "parse_click_log": "Narrow: JSON encode and decode stay in one codegen stage per task; the geography lookup is a "
-    "broadcast join after a bounded count of customer (else a shuffle join with AQE skew splitting).",
+    "resume_read": "Start positions (one row per topic partition) are literal predicates; the log is neither joined with them nor shuffled.",
+    "parse_click_log": "Narrow: JSON encode and decode stay in one codegen stage per task; the geography join has no "
+    "hint: AQE broadcasts customer while its runtime size allows it, else a shuffle join with skew splitting.",
     "blacklist_rows": "Partial counts per batch, then their sum: two aggregations, both combined map-side.",
     "blacklist_rows_sql": "The same rule as SQL text: Catalyst gives the same aggregate-then-filter plan.",
     "blacklist_default_threshold": "One scan of three lineitem columns, partial + final aggregate, filter.",
@@ -31,45 +31,43 @@ NOTES = {
     "start_positions": "Two aggregates of a few rows each (one per topic partition) and a full outer join of them.",
     "earliest_positions": "The partitions of the log, each starting at 0.",
     "batch_offset_ranges": "One partial aggregate per (batch, topic partition).",
-    "partial_then_final_counts": "Partials written per batch (range-partitioned on batch and user, so files grow with "
-    "batches + tasks, not batches x tasks), read back and summed.",
+    "partial_then_final_counts": "Partials written per batch (rebalanced by batch, so files number about as the batches and "
+    "AQE splits a large one), read back and summed.",
     "typed_click_counts": "A stored count table read back with casts: narrow.",
     "preview": "Top-k by event_id (each task keeps 10), then only those users' geography rows are joined: the customer "
     "table is cut by a broadcast of at most 10 ids, never shuffled whole.",
     "archive_messages": "Narrow write of the message text, read back.",
+    "archive_messages_table": "The same as a one-column table.",
+    "blacklist_view_sql": "The rule as SQL over a registered view of stored partials: the same plan as `blacklist_rows_sql`.",
 }
 
 STREAMS = """## Stream queries
 
 `explain` shows one micro-batch at a time; per batch of the click stream (`adpulse.streaming.feedback`):
 
-- parse (narrow) and anti join with the blacklist snapshot (`flagged` of earlier batches plus the seed: small,
-  broadcast while under the threshold), persisted once;
+- parse (narrow) and anti join with the blacklist snapshot (`flagged` of earlier batches plus the seed), persisted
+  once and counted before anything else reads it;
 - counts per (day, user, ad), (day, province, city, ad) and (minute, ad): partial + final aggregates of the batch,
-  written as four concurrent jobs into (day, batch) partitions;
-- flagged users: earlier partials of the groups this batch touched (partition pruning reads only the days it touched)
-  plus the batch's own, summed and filtered;
-- publish and ledger: the flagged table (one row per blacklisted user) and one row per topic partition.
+  written as concurrent jobs into the batch's own folders;
+- flagged users: stored totals of the groups that this batch touched, by a semi join, summed and filtered;
+- published blacklist: the users new to it; ledger: one row per topic partition.
 
-Per batch, the work grows with the batch and the days it touches, not with the history; `compact_tables` keeps the
-number of directories bounded. The watermarked trend is one stateful aggregation whose state (windows not yet
-closed) lives in RocksDB, one state partition per core.
+The semi join reads the stored counts of all days, so a batch's work grows with the history of counts, though
+`compact_tables` bounds the number of folders. The trends are read from the minute counts; there is no streaming state.
 """
 
 
-
 def main(argv: list[str]) -> None:
     sys.path.insert(0, ".")
-    from __spark_entry__ import queries
+    from adpulse.plans.catalog import batch_queries
     from adpulse.session import local_session
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     spark = local_session(8)
     spark.sparkContext.setLogLevel("ERROR")
     out = ["# Physical plans", "", f"`python -m tools.plan_report {sf_dir}` (formatted explain, tree part, before AQE re-planning).", ""]
-    for name, query in queries().items():
-        if name.startswith("stream_"):
-            continue
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for name, query in batch_queries().items():
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             query(spark, sf_dir).explain(mode="formatted")
