@@ -58,7 +58,7 @@ def pick(df: DataFrame, *names: str, **renamed: str) -> DataFrame:
     return plain.select(*[F.col(f"c{where[old]}").alias(new) for new, old in wanted.items()])
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """`df` written to a new folder of the shared storage and read again: cuts the lineage, survives executors.
 
     The shuffle files of the write are removed once it is done.
@@ -68,7 +68,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(setting, None)
     spark.conf.set(setting, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     finally:
         if before is None:
             spark.conf.unset(setting)
