@@ -1,11 +1,12 @@
 """Operator 6: near duplicates by min-max hashing, confirmed on whole shingle sets.
 
 Every permutation `h -> a*h + b (mod 2**64)` of a document's shingle hashes keeps
-its minimum and its maximum, so `PERMUTATIONS` evaluations give twice as many
-signature values. `BANDS` bands of 6 values (3 permutations) put documents into
-buckets; a pair at the threshold 0.85 shares no bucket with probability
-(1 - 0.85**6)**30 < 1e-6. Documents that share a bucket, directly or through
-others, form a cluster, and within a cluster links are confirmed on whole sets:
+its minimum and its maximum, so n evaluations give 2 * n signature values. Bands
+of 6 values (3 permutations) put documents into buckets. There are as many bands as
+it takes that a pair at the threshold shares no bucket with probability below
+`MISSED`: (1 - 0.85**6)**30 or (1 - 0.8**6)**46. Documents that share a bucket,
+directly or through others, form a cluster, and within a cluster links are
+confirmed on whole sets:
 
 * documents with the same set are one node (copies are never expanded);
 * a cluster is cut into chunks of bounded rows and shingles; first every chunk
@@ -21,6 +22,7 @@ doc_id are one node. Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,61 +46,68 @@ from adpulse.llm.common import (
 
 WORDS = 5
 PERCENT = 85
-BANDS = 30
+MISSED = 1e-6
 PER_BAND = 3
-PERMUTATIONS = BANDS * PER_BAND
 CHUNK_ROWS = 256
 CHUNK_SHINGLES = 1_000_000
-_FACTORS = scrambled(PERMUTATIONS, 11) | U64(1)
-_SHIFTS = scrambled(PERMUTATIONS, 12)
 _BAND_FACTORS = scrambled(2 * PER_BAND, 13) | U64(1)
 
 
-def min_max(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def n_bands(percent: int) -> int:
+    """The fewest bands that miss a pair at the threshold with probability below MISSED."""
+    same = (percent / 100) ** (2 * PER_BAND)
+    return math.ceil(math.log(MISSED) / math.log1p(-same)) if same < 1 else 1
+
+
+def min_max(shingles: np.ndarray, permutations: int) -> tuple[np.ndarray, np.ndarray]:
     """Minimum and maximum of the set under every permutation."""
-    low = np.full(PERMUTATIONS, np.iinfo(np.uint64).max, np.uint64)
-    high = np.zeros(PERMUTATIONS, np.uint64)
+    factors, shifts = scrambled(permutations, 11) | U64(1), scrambled(permutations, 12)
+    low = np.full(permutations, np.iinfo(np.uint64).max, np.uint64)
+    high = np.zeros(permutations, np.uint64)
     for at in range(0, len(shingles), 1024):
-        values = shingles[at : at + 1024, None] * _FACTORS + _SHIFTS
+        values = shingles[at : at + 1024, None] * factors + shifts
         np.minimum(low, values.min(axis=0), out=low)
         np.maximum(high, values.max(axis=0), out=high)
     return low, high
 
 
-def band_keys(shingles: np.ndarray) -> np.ndarray:
+def band_keys(shingles: np.ndarray, bands: int) -> np.ndarray:
     """One 64-bit key per band over the minima and maxima of its permutations."""
-    low, high = min_max(shingles)
-    values = np.concatenate([low.reshape(BANDS, PER_BAND), high.reshape(BANDS, PER_BAND)], axis=1)
+    low, high = min_max(shingles, bands * PER_BAND)
+    values = np.concatenate([low.reshape(bands, PER_BAND), high.reshape(bands, PER_BAND)], axis=1)
     return mix((values * _BAND_FACTORS).sum(axis=1, dtype=np.uint64))
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        counts, first, second, bands = [], [], [], []
-        for data in batch.column("text").cast(pa.binary()).to_pylist():
-            shingles = shingle_set(data or b"", WORDS)
-            counts.append(len(shingles))
-            if len(shingles):
-                first.append(as_long(mix(shingles).sum(keepdims=True))[0])
-                second.append(as_long(np.bitwise_xor.reduce(mix(shingles ^ U64(0x5851F42D4C957F2D)), keepdims=True))[0])
-                bands.append(as_long(band_keys(shingles)))
-            else:
-                first.append(None)
-                second.append(None)
-                bands.append(None)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                pa.array(counts, pa.int64()),
-                pa.array(first, pa.int64()),
-                pa.array(second, pa.int64()),
-                pa.array(bands, pa.list_(pa.int64())),
-            ],
-            names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
-        )
-
-
-def linked(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
+def _signatures(n: int):
+    def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, first, second, bands = [], [], [], []
+            for data in batch.column("text").cast(pa.binary()).to_pylist():
+                shingles = shingle_set(data or b"", WORDS)
+                counts.append(len(shingles))
+                if len(shingles):
+                    first.append(as_long(mix(shingles).sum(keepdims=True))[0])
+                    second.append(as_long(np.bitwise_xor.reduce(mix(shingles ^ U64(0x5851F42D4C957F2D)), keepdims=True))[0])
+                    bands.append(as_long(band_keys(shingles, n)))
+                else:
+                    first.append(None)
+                    second.append(None)
+                    bands.append(None)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.array(counts, pa.int64()),
+                    pa.array(first, pa.int64()),
+                    pa.array(second, pa.int64()),
+                    pa.array(bands, pa.list_(pa.int64())),
+                ],
+                names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+            )
+
+    return signatures
+
+
+def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """Boolean matrix of 100 * intersection >= percent * union over all pairs of the (non-empty) sets."""
     n = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
@@ -122,34 +131,40 @@ def linked(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
     return 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table in runs(batches, ["cluster", "part_a", "part_b"]):
-        ids = np.array(table.column("node").to_pylist(), np.int64)
-        sets = [shingle_set(data or b"", WORDS) for data in table.column("text").cast(pa.binary()).to_pylist()]
-        some = [at for at, s in enumerate(sets) if len(s)]
-        if len(some) < 2:
-            continue
-        left, right = spanning_links(linked([sets[at] for at in some]))
-        ids = ids[some]
-        if len(left):
-            yield pa.RecordBatch.from_arrays([pa.array(ids[left]), pa.array(ids[right])], names=["a", "b"])
+def _confirm(percent: int):
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs(batches, ["cluster", "part_a", "part_b"]):
+            ids = np.array(table.column("node").to_pylist(), np.int64)
+            sets = [shingle_set(data or b"", WORDS) for data in table.column("text").cast(pa.binary()).to_pylist()]
+            some = [at for at, s in enumerate(sets) if len(s)]
+            if len(some) < 2:
+                continue
+            left, right = spanning_links(linked([sets[at] for at in some], percent))
+            ids = ids[some]
+            if len(left):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[left]), pa.array(ids[right])], names=["a", "b"])
 
+    return confirm
 
-def _confirmed(tasks: DataFrame, texts: DataFrame) -> DataFrame:
+
+def _confirmed(tasks: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Links within each (cluster, part_a, part_b) of `tasks`."""
     rows = tasks.join(texts, "node").select("cluster", "part_a", "part_b", "node", "text")
     dealt = rows.repartition("cluster", "part_a", "part_b").sortWithinPartitions("cluster", "part_a", "part_b")
-    return dealt.mapInArrow(_confirm, "a long, b long")
+    return dealt.mapInArrow(_confirm(percent), "a long, b long")
+
 
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """`doc_id`, `n_shingles`, `component_id`, `kept` for every row of `docs` (`doc_id`, `text`).
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """`doc_id`, `n_shingles`, `component_id`, `kept` for every row of `docs` (`doc_id`, `text`)."""
+    Documents link at `percent` of Jaccard similarity and above.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     docs = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     signed = staged(
         docs.mapInArrow(
-            _signatures, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
+            _signatures(n_bands(percent)), "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
         ),
         "near_signatures",
     )
@@ -186,7 +201,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.array("chunk")
     )
     tasks = nodes.select("cluster", F.lit(0).cast("long").alias("part_a"), F.explode(other).alias("part_b"), "node")
-    links = staged(_confirmed(tasks, texts), "near_links")
+    links = staged(_confirmed(tasks, texts, percent), "near_links")
 
     # Larger clusters: what lies outside the largest component so far meets every chunk.
     large = nodes.filter("chunks > 1")
@@ -206,7 +221,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         large.join(deals, "cluster")
         .select("cluster", F.explode(F.sequence(zero, F.col("deals") - 1)).alias("part_a"), F.col("chunk").alias("part_b"), "node")
     )
-    more = staged(_confirmed(rest_rows.unionAll(all_rows).distinct(), texts), "near_more")
+    more = staged(_confirmed(rest_rows.unionAll(all_rows).distinct(), texts, percent), "near_more")
 
     groups = connected_components(links.unionAll(more), "near_groups")
     named = sets.select("set_a", "set_b", "n_shingles", "node").join(groups, "node", "left")
