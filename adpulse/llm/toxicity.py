@@ -1,6 +1,7 @@
 """Operator 7: toxicity by compression with two zstandard dictionaries.
 
-Two dictionaries are trained on sampled labelled documents. Word beginnings that far
+Two dictionaries are built from sampled labelled documents, as raw content: they are not
+trained by zstandard, which measured worse (README). Word beginnings that far
 more toxic than ordinary documents hold are grown to the longest form that nearly
 all of them share; these forms make up the toxic part. The ordinary dictionary holds
 what the same letters look like in ordinary text: the forms' three-byte pieces, and
@@ -44,7 +45,6 @@ SHORTEST, LONGEST = 3, 12
 TIMES, DOUBT, LEAST = 10, 3, 3
 #: A form grows while the longer one occurs in this share of the shorter one's documents.
 SAME = 0.8
-MOST_FORMS = 256
 GAP = b"\x00"
 _CODES = scrambled(256, 77).view(np.uint8).reshape(256, 8)[:, :WIDTH]
 _WORDS = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
@@ -107,7 +107,6 @@ class Scorer:
         if self.constant is not None:
             return
         forms, found = toxic_forms(toxic, ordinary)
-        forms = forms[-MOST_FORMS:]
         pieces = ordinary_pieces(forms, found, ordinary)
         self.ordinary_part = recoded(GAP.join(pieces) + GAP)
         self.toxic_part = recoded(GAP.join(b" " + form for form in forms) + GAP)
@@ -129,8 +128,10 @@ class Scorer:
 
     def _ready(self):
         if self.compressors is None:
+            # However many forms there are, the whole dictionary is within reach.
+            log = (len(self.toxic_part) + len(self.ordinary_part)).bit_length()
             settings = zstandard.ZstdCompressionParameters(
-                window_log=15, hash_log=12, chain_log=12, search_log=6, min_match=6, target_length=64,
+                window_log=max(15, log + 1), hash_log=max(12, log), chain_log=max(12, log + 1), search_log=6, min_match=6, target_length=64,
                 strategy=zstandard.STRATEGY_BTLAZY2, write_content_size=False,
             )
             self.compressors = []
