@@ -6,11 +6,13 @@ The others are judged by the template of their path:
 1. Path segments become classes: numbers are `<n>`, long hexadecimal strings `<x>`,
    a file extension stays. Beyond `DEPTH` segments the rest is one segment `**`.
 2. Per host and parent template, segment by segment, values that are many and rare
-   become the wildcard `*`.
+   become a wildcard: `*block` or `*allow` where more of the value's urls have that
+   label than the other and than none, else `*`. So a wildcard never brings blocked
+   values and unlabelled ones together, however wide the host is.
 3. Sibling branches whose urls are labelled alike (rule blocks, rule allows, no rule;
    a chi-squared test against all siblings together) merge into the branch `~`.
-4. A template is rejected if its smoothed purity, the share of blocked among its
-   labelled urls drawn toward the share over all urls, reaches `PURITY`.
+4. A template is rejected if its smoothed purity reaches `PURITY`: the share of blocked
+   among its urls, labelled or not, drawn toward the share over all labelled urls.
 
 Counts are aggregated by (host, classes) before the tree is grown, so its size is
 that of the distinct paths after step 1, and hot hosts are summed before the shuffle.
@@ -37,7 +39,7 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 DEPTH = 6
-#: Values under one parent become `*` if there are more than MANY and a value has less than RARE of the urls.
+#: Values under one parent become a wildcard if there are more than MANY and a value has less than RARE of the urls.
 MANY = 12
 RARE = 0.05
 #: 95 % point of chi-squared with two degrees of freedom.
@@ -101,8 +103,10 @@ def template_tree(counts: DataFrame) -> DataFrame:
             F.lit(0.0),
         )
         alike = (F.col("kinds") > 1) & (apart <= ALIKE)
+        most = lambda c, *others: F.col(c) > F.greatest(*others)
+        wildcard = F.when(most("blocked", "allowed", "open"), "*block").when(most("allowed", "blocked", "open"), "*allow").otherwise("*")
         named = kids.join(parents, ["host", "template"]).select(
-            "host", "template", "segment", F.when(rare, F.lit("*")).when(alike, F.lit("~")).otherwise(F.col("segment")).alias("name")
+            "host", "template", "segment", F.when(rare, wildcard).when(alike, F.lit("~")).otherwise(F.col("segment")).alias("name")
         )
         grown = rows.join(named, ["host", "template", "segment"], "left").withColumn(
             "template", F.when(F.col("name").isNull(), F.col("template")).otherwise(F.concat("template", F.array("name")))
@@ -126,7 +130,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES)
     overall = tree.agg(
         (F.sum("blocked") / F.greatest(F.sum("blocked") + F.sum("allowed"), F.lit(1))).alias("prior")
     ).first()["prior"] or 0.0
-    purity = (F.sum("blocked") + PRIOR_URLS * overall) / (F.sum("blocked") + F.sum("allowed") + PRIOR_URLS)
+    purity = (F.sum("blocked") + PRIOR_URLS * overall) / (F.sum("blocked") + F.sum("allowed") + F.sum("open") + PRIOR_URLS)
     templates = tree.groupBy("host", "template").agg(purity.alias("purity"))
     judged = tree.select("host", "classes", "template").join(templates, ["host", "template"])
     by_template = F.when(F.col("purity") >= PURITY, F.lit("block")).otherwise(F.lit("allow"))
