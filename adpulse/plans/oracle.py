@@ -225,6 +225,13 @@ STATEMENTS.update(
         "stream_committed_offsets": with_views(
             'SELECT topic, "partition", latest_offset AS committed_offset FROM latest', "latest"
         ),
+        "stream_offset_ranges": with_views(
+            """SELECT slice AS batch_id, topic, "partition",
+       CAST(min("offset") AS BIGINT) AS from_offset, CAST(max("offset") + 1 AS BIGINT) AS until_offset
+FROM sliced GROUP BY slice, topic, "partition\"""",
+            "sliced",
+        ),
+        "stream_interval": _daily_city_ad_clicks("clicks"),
         "stream_hourly_trend": _hourly_trend("stream_clean"),
         "stream_clean_clicks": with_views(f"SELECT {CLICK_OUT} FROM stream_clean", "stream_clean"),
         "stream_seeded_blacklist": _daily_city_ad_clicks("seeded_clean"),

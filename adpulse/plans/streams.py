@@ -33,6 +33,7 @@ from adpulse.streaming.feedback import (
     published_blacklist,
     run_click_stream,
     stream_committed_offsets,
+    stream_offset_ranges,
     top_ads_so_far,
     trend_last_hour_so_far,
 )
@@ -42,6 +43,8 @@ STREAM_SLICES = 5
 TEST_THRESHOLD = 1
 SEED_EVERY = 7  # the outside blacklist names each customer whose key this divides
 FILES_PER_TRIGGER = 2  # admission cap of the resumed stream
+BYTES_PER_TRIGGER = 4 << 30  # admission cap of the sliced streams: above a slice, so that each is one micro-batch
+INTERVAL = "5 seconds"  # the default micro-batch interval, for the stream that runs on the clock
 
 
 def _await(query: StreamingQuery) -> None:
@@ -74,7 +77,7 @@ def run_fixture_stream(
     tables = ClickTables(fresh_dir(spark, "click_stream"))
 
     def start(log: str) -> StreamingQuery:
-        stream = read_click_stream(spark, path=log)
+        stream = read_click_stream(spark, path=log, max_bytes_per_trigger=BYTES_PER_TRIGGER)
         return run_click_stream(
             spark, stream, tables, group_id=LEDGER_GROUP, threshold=threshold, seed_path=seed,
             trigger={"availableNow": True}, clean_to=clean_to,
@@ -102,6 +105,11 @@ def q_stream_committed_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_committed_offsets(spark, tables, LEDGER_GROUP)
 
 
+def q_stream_offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The range of offsets that each micro-batch read, observed while it counted its clicks."""
+    return stream_offset_ranges(spark, run_fixture_stream(spark, sf_dir, TEST_THRESHOLD), LEDGER_GROUP)
+
+
 def q_stream_trend_last_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-minute clicks per ad in the hour up to 2024-01-15 12:00, from the stream's minute counts."""
     tables = run_fixture_stream(spark, sf_dir, TEST_THRESHOLD)
@@ -129,38 +137,72 @@ def q_stream_seeded_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(daily_city_counts(spark, tables))
 
 
+def _stored_log(spark: SparkSession, sf_dir: str) -> str:
+    log = fresh_dir(spark, "message_log")
+    messages_from_events(spark, sf_dir).write.parquet(log)
+    return log
+
+
 def q_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream that starts where the group's ledger says, else at the end, under an admission cap of files.
 
-    The log lies there as files when the stream starts; `availableNow` drains it in
-    batches of `FILES_PER_TRIGGER` files. The default threshold flags nobody in
-    `events` (FIXTURES.md), so the rows do not depend on where batches end.
+    The log lies there as files when the stream starts. The first run is stopped after a batch of `FILES_PER_TRIGGER` files or
+    more; the second finds the kept start record and drains the rest, also though its own ledger has moved by then. The
+    default threshold flags nobody in `events` (FIXTURES.md), so the rows do not depend on where batches end.
     """
-    log, kept = fresh_dir(spark, "message_log"), fresh_dir(spark, "resumed_clicks")
-    messages_from_events(spark, sf_dir).write.parquet(log)
-    stored = spark.read.parquet(log)
-    committed = committed_offsets(ledger_from_messages(stored), LEDGER_GROUP, TOPIC)
-    starts = start_positions(latest_offsets(stored), committed)
-    stream = read_click_stream(spark, path=log, starting_offsets=starts, max_files_per_trigger=FILES_PER_TRIGGER)
+    log, kept = _stored_log(spark, sf_dir), fresh_dir(spark, "resumed_clicks")
     tables = ClickTables(fresh_dir(spark, "resumed_stream"))
-    _await(
-        run_click_stream(
+    tables.create(spark)
+
+    def starts() -> DataFrame:
+        stored = spark.read.parquet(log)
+        committed = committed_offsets(ledger_from_messages(stored), LEDGER_GROUP, TOPIC)
+        return start_positions(latest_offsets(stored), committed)
+
+    def start(trigger: dict) -> StreamingQuery:
+        stream = read_click_stream(
+            spark, path=log, starting_offsets=tables.started(spark, starts), max_files_per_trigger=FILES_PER_TRIGGER
+        )
+        return run_click_stream(
             spark, stream, tables, group_id=LEDGER_GROUP, threshold=DEFAULT_THRESHOLD,
-            trigger={"availableNow": True}, clean_to=clean_click_table(kept),
+            trigger=trigger, clean_to=clean_click_table(kept),
         )
-    )
+
+    first = start({"processingTime": "0 seconds"})
+    while first.isActive and first.lastProgress is None:
+        first.awaitTermination(1)
+    first.stop()
+    _await(start({"availableNow": True}))
     return present(clean_clicks_so_far(spark, kept).select(*CLICK_OUT))
 
 
+def q_stream_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counts of a stream on the default interval: a micro-batch every 5 seconds until the log is drained.
+
+    At the default threshold, where the cut into batches cannot matter. One batch may take up to half of the files.
+    """
+    log, tables = _stored_log(spark, sf_dir), ClickTables(fresh_dir(spark, "interval_stream"))
+    n_files = len(spark.read.parquet(log).inputFiles())
+    stream = read_click_stream(spark, path=log, max_files_per_trigger=-(-n_files // 2))
+    query = run_click_stream(
+        spark, stream, tables, group_id=LEDGER_GROUP, threshold=DEFAULT_THRESHOLD, trigger={"processingTime": INTERVAL}
+    )
+    query.processAllAvailable()
+    query.stop()
+    return present(daily_city_counts(spark, tables))
+
+
 def stream_queries() -> dict:
     return {
         "stream_daily_city_ad_clicks": q_stream_daily_city_ad_clicks,
         "stream_blacklist_users": q_stream_blacklist_users,
         "stream_top_ads_by_province": q_stream_top_ads_by_province,
         "stream_committed_offsets": q_stream_committed_offsets,
+        "stream_offset_ranges": q_stream_offset_ranges,
         "stream_trend_last_hour": q_stream_trend_last_hour,
         "stream_hourly_trend": q_stream_hourly_trend,
         "stream_clean_clicks": q_stream_clean_clicks,
         "stream_seeded_blacklist": q_stream_seeded_blacklist,
         "stream_resume": q_stream_resume,
+        "stream_interval": q_stream_interval,
     }

@@ -49,43 +49,41 @@ CLEAN_CLICK_SCHEMA = T.StructType(
     [*MESSAGE_SCHEMA.fields[:3], *CLICK_SCHEMA.fields, T.StructField("batch_id", T.LongType())]
 )
 
-# Partial click counts of the stream's tables. Partition columns come last:
-# `click_day` then `batch_id` (one directory per day and micro-batch), so a
-# batch reads back only the days it touched and replaces only its own batch.
-COUNT_SCHEMA = T.StructType(
-    [
-        T.StructField("user_id", T.StringType()),
-        T.StructField("adv_id", T.StringType()),
-        T.StructField("clicks", T.LongType()),
-        T.StructField("click_day", T.DateType()),
-        T.StructField("batch_id", T.LongType()),
-    ]
-)
-
-CITY_COUNT_SCHEMA = T.StructType(
-    [
-        T.StructField("province", T.StringType()),
-        T.StructField("city", T.StringType()),
-        T.StructField("adv_id", T.StringType()),
-        T.StructField("clicks", T.LongType()),
-        T.StructField("click_day", T.DateType()),
-        T.StructField("batch_id", T.LongType()),
-    ]
-)
+# Partial click counts of the stream's tables: three kinds of groups in one table, so that one aggregation and
+# one write fill it. `user` counts (day, user, ad), `city` counts (day, province, city, ad) and `minute` counts
+# (minute, ad); a column that is not of a row's kind is null. Stored by day and kind; a reader sees one kind.
+KIND_COLUMNS = {
+    "user": ("user_id", "adv_id", "clicks", "click_day", "batch_id"),
+    "city": ("province", "city", "adv_id", "clicks", "click_day", "batch_id"),
+    "minute": ("minute", "adv_id", "clicks", "on_minute", "click_day", "batch_id"),
+}
 
 # `on_minute`: the clicks whose time is exactly the minute (no seconds), which
 # an open span start leaves out and a closed span end keeps.
-MINUTE_COUNT_SCHEMA = T.StructType(
+ALL_COUNTS_SCHEMA = T.StructType(
     [
+        T.StructField("user_id", T.StringType()),
+        T.StructField("province", T.StringType()),
+        T.StructField("city", T.StringType()),
         T.StructField("minute", T.TimestampType()),
         T.StructField("adv_id", T.StringType()),
         T.StructField("clicks", T.LongType()),
         T.StructField("on_minute", T.LongType()),
         T.StructField("click_day", T.DateType()),
+        T.StructField("kind", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
 
+
+def _kind_schema(kind: str) -> T.StructType:
+    return T.StructType([ALL_COUNTS_SCHEMA[name] for name in KIND_COLUMNS[kind]])
+
+
+COUNT_SCHEMA = _kind_schema("user")
+CITY_COUNT_SCHEMA = _kind_schema("city")
+MINUTE_COUNT_SCHEMA = _kind_schema("minute")
+
 BLACKLIST_SCHEMA = T.StructType([T.StructField("user_id", T.StringType())])
 
 # Committed position of a consumer group: the next offset to read.
@@ -99,3 +97,11 @@ LEDGER_SCHEMA = T.StructType(
 )
 
 LEDGER_LOG_SCHEMA = T.StructType(list(LEDGER_SCHEMA.fields) + [T.StructField("batch_id", T.LongType())])
+
+# The stream's ledger also keeps where each batch's range began.
+RANGE_LOG_SCHEMA = T.StructType(
+    [*LEDGER_SCHEMA.fields, T.StructField("from_offset", T.LongType()), T.StructField("batch_id", T.LongType())]
+)
+
+# Where a reader of a stored log started.
+START_SCHEMA = T.StructType([*MESSAGE_SCHEMA.fields[:2], T.StructField("start_offset", T.LongType())])

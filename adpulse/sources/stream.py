@@ -38,6 +38,7 @@ def read_click_stream(
     path: str | None = None,
     file_format: str = "parquet",
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """A streaming DataFrame of click messages: `topic, partition, offset, value`.
@@ -52,15 +53,16 @@ def read_click_stream(
     read and parsed by a single task.
 
     Files (`path`): a stored message log with the same columns;
-    `max_files_per_trigger` is the cap. `starting_offsets` is "earliest" or a
+    `max_files_per_trigger` or `max_bytes_per_trigger` is the cap (one of the two;
+    a single file is never split). `starting_offsets` is "earliest" or a
     `start_positions` DataFrame, read now: messages below it are skipped by
-    `resume_read`. A file log keeps no start in its checkpoint, so give a query the
-    same start positions each time it is restarted. Options that only the other
-    source has raise.
+    `resume_read`. A file log keeps no start in its checkpoint, so a query must get the
+    same start positions each time it is restarted: `ClickTables.started` keeps them
+    with the stream's tables. Options that only the other source has raise.
     """
     if bootstrap_servers is not None:
-        if path is not None or max_files_per_trigger is not None:
-            raise ValueError("path and max_files_per_trigger belong to a message log, not to Kafka")
+        if path is not None or max_files_per_trigger is not None or max_bytes_per_trigger is not None:
+            raise ValueError("path, max_files_per_trigger and max_bytes_per_trigger belong to a message log, not to Kafka")
         if topic is None:
             raise ValueError("give the topic to read from Kafka")
         reader = (
@@ -90,6 +92,10 @@ def read_click_stream(
     reader = spark.readStream.schema(MESSAGE_SCHEMA).format(file_format)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger is not None:
+        if max_files_per_trigger is not None:
+            raise ValueError("give max_files_per_trigger or max_bytes_per_trigger, not both")
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     log = reader.load(path)

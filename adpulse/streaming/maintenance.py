@@ -14,7 +14,8 @@ touched keep their files. The manifest that names each day's version is written
 last, as one file. Until then readers see the table as before; an interrupted
 compaction leaves nothing but an unnamed folder, and the next one starts from the
 live data again. Folders of batches are removed one compaction after they were
-merged, so a reader that began before keeps its files.
+merged, and merged versions one compaction after the last manifest that names them,
+so a reader that began before keeps its files.
 """
 
 from __future__ import annotations
@@ -25,18 +26,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adpulse.schema import CITY_COUNT_SCHEMA, COUNT_SCHEMA, LEDGER_LOG_SCHEMA, MINUTE_COUNT_SCHEMA
+from adpulse.schema import ALL_COUNTS_SCHEMA, RANGE_LOG_SCHEMA
 from adpulse.sinks.writers import (
     MANIFEST_SCHEMA,
     batch_path,
     current_manifest,
     manifest_path,
     merged_path,
+    numbered_folders,
     read_live,
     read_merged,
+    remove_folder,
     replace_folder,
 )
-from adpulse.streaming.feedback import BY_DAY, FLAGGED_SCHEMA, ClickTables
+from adpulse.streaming.feedback import BUCKET_FIELD, BY_KIND, FLAGGED_SCHEMA, ClickTables, user_bucket
 
 
 def write_manifest(rows: DataFrame, table: str, through: int) -> None:
@@ -54,6 +57,19 @@ def _remove_batches(spark: SparkSession, table: str, upto: int) -> None:
             files.delete(status.getPath(), True)
 
 
+def _remove_superseded(spark: SparkSession, table: str, manifest: DataFrame | None, before: int, through: int) -> None:
+    """Delete manifests older than the last one, and merged versions that neither it nor the new one names."""
+    current = current_manifest(spark, table)[1]
+    named = current if manifest is None else current.unionByName(manifest)
+    kept = {row["version"] for row in named.select("version").distinct().collect()}
+    for version in numbered_folders(spark, merged_path(table), "version"):
+        if version not in kept:
+            remove_folder(spark, f"{merged_path(table)}/version={version}")
+    for old in numbered_folders(spark, manifest_path(table), "through"):
+        if old not in (before, through):
+            remove_folder(spark, f"{manifest_path(table)}/through={old}")
+
+
 def compact_table(
     spark: SparkSession,
     table: str,
@@ -61,8 +77,13 @@ def compact_table(
     through: int,
     keys: Sequence[str],
     measures: dict[str, Column],
+    buckets: int | None = None,
 ) -> None:
-    """Merge the batches `<= through` of one table, one row per `keys` (see module doc)."""
+    """Merge the batches `<= through` of one table, one row per `keys` (see module doc).
+
+    With `buckets` the merged rows of kind `user` are also stored by a hash of their user, so that a batch's
+    lookup of its groups opens the buckets of its own users only.
+    """
     before, manifest = current_manifest(spark, table)
     if before >= through:
         return
@@ -78,7 +99,11 @@ def compact_table(
     grouped = rows.groupBy(*keys)
     merged = grouped.agg(*[agg.alias(name) for name, agg in measures.items()]) if measures else rows.select(*keys).distinct()
     version = f"{merged_path(table)}/version={through}"
-    replace_folder(merged, version, BY_DAY if by_day else ())
+    if buckets is not None:
+        of_user = F.when(F.col("kind") == "user", user_bucket(buckets)).otherwise(F.lit(0))
+        replace_folder(merged.withColumn(BUCKET_FIELD.name, of_user), version, (*BY_KIND, BUCKET_FIELD.name))
+    else:
+        replace_folder(merged, version)
 
     new = F.lit(through).cast("long").alias("version")
     plain = F.lit(False).alias("marker")
@@ -95,21 +120,19 @@ def compact_table(
         days = spark.range(1).select(none, new, plain)
     write_manifest(days.unionByName(marker).select(*MANIFEST_SCHEMA.fieldNames()[:3]), table, through)
     _remove_batches(spark, table, before)
+    _remove_superseded(spark, table, manifest, before, through)
 
 
 def compact_tables(spark: SparkSession, tables: ClickTables, through: int) -> None:
     """Merge the batches `<= through` of every table of `tables`."""
-    clicks = {"clicks": F.sum("clicks")}
-    minutes = {"clicks": F.sum("clicks"), "on_minute": F.sum("on_minute")}
-    latest = {"offset": F.max_by("offset", "batch_id")}
+    counts = {"clicks": F.sum("clicks"), "on_minute": F.sum("on_minute")}
+    latest = {"offset": F.max_by("offset", "batch_id"), "from_offset": F.max_by("from_offset", "batch_id")}
     plans = (
-        (tables.user_counts, COUNT_SCHEMA, clicks),
-        (tables.city_counts, CITY_COUNT_SCHEMA, clicks),
-        (tables.minute_counts, MINUTE_COUNT_SCHEMA, minutes),
-        (tables.flagged, FLAGGED_SCHEMA, {}),
-        (tables.blacklist, FLAGGED_SCHEMA, {}),
-        (tables.ledger, LEDGER_LOG_SCHEMA, latest),
+        (tables.counts, ALL_COUNTS_SCHEMA, counts, tables.user_buckets),
+        (tables.flagged, FLAGGED_SCHEMA, {}, None),
+        (tables.blacklist, FLAGGED_SCHEMA, {}, None),
+        (tables.ledger, RANGE_LOG_SCHEMA, latest, None),
     )
-    for table, schema, measures in plans:
+    for table, schema, measures, buckets in plans:
         keys = [f.name for f in schema.fields if f.name not in measures and f.name != "batch_id"]
-        compact_table(spark, table, schema, through, keys, measures)
+        compact_table(spark, table, schema, through, keys, measures, buckets)

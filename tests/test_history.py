@@ -1,0 +1,191 @@
+"""The lookup of a batch's groups does not read history; one pass counts; manifests and versions switch atomically."""
+
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+import adpulse.streaming.feedback as fb
+from adpulse.operators.counts import click_counts
+from adpulse.operators.reports import daily_city_ad_clicks
+from adpulse.functions.parse import parse_clicks
+from adpulse.schema import BLACKLIST_SCHEMA, CITY_COUNT_SCHEMA, COUNT_SCHEMA, MESSAGE_SCHEMA, MINUTE_COUNT_SCHEMA
+from adpulse.session import fresh_dir
+from adpulse.sinks.writers import current_manifest, publish_blacklist, read_batches, read_blacklist
+from adpulse.streaming.maintenance import compact_tables
+
+BODY = '{{"userId":"{}","accessTime":"2024-01-{:02d} 10:00:00","province":"P","city":"C","advId":"{}"}}'
+
+
+def day_batch(spark, day, users=6):
+    rows = [("t", 0, day * 100 + i, BODY.format(f"u{i}", day, i % 2)) for i in range(users)]
+    return spark.createDataFrame(rows, MESSAGE_SCHEMA)
+
+
+def scans(df):
+    """The file scans of a plan that has run, also those inside its query stages."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif name == "FileSourceScanExec":
+            found.append(node)
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return found
+
+
+def files_read(df):
+    df.collect()
+    return sum(scan.metrics().apply("numFiles").value() for scan in scans(df))
+
+
+def test_files_read_per_batch_stay_flat_over_new_days(spark):
+    tables = fb.ClickTables(fresh_dir(spark, "flat"))
+    tables.create(spark)
+    read, whole = [], []
+    for k in range(12):
+        fb.process_batch(spark, day_batch(spark, k + 1), k, tables, group_id="g", compact_every=5)
+        if k in (2, 6, 11):
+            read.append(files_read(fb.touched_counts(spark, tables, k)))
+            whole.append(files_read(read_batches(spark, tables.user_counts, COUNT_SCHEMA)))
+    assert read[0] == read[1] == read[2] and whole[2] > whole[0] > read[0] // 2
+
+
+def test_the_lookup_is_pruned_by_day_and_by_bucket(spark, capsys):
+    tables = fb.ClickTables(fresh_dir(spark, "pruned"))
+    tables.create(spark)
+    for k in range(3):
+        fb.process_batch(spark, day_batch(spark, k % 2 + 1, users=60), k, tables, group_id="g", compact_every=None)
+    compact_tables(spark, tables, through=2)
+    fb.process_batch(spark, day_batch(spark, 1, users=1), 3, tables, group_id="g", compact_every=None)
+    found = fb.touched_counts(spark, tables, 3)
+    capsys.readouterr()
+    found.explain(mode="formatted")
+    text = capsys.readouterr().out
+    filters = [line for line in text.splitlines() if "PartitionFilters" in line]
+    assert any("dynamicpruning" in line and "click_day" in line for line in filters)
+    assert any("dynamicpruning" in line and "user_bucket" in line for line in filters)
+    assert any("click_day" in line and "IN (2024-01-01)" in line or "= 2024-01-01" in line for line in filters)
+    rows = sorted((r.user_id, r.clicks) for r in found.collect())
+    assert rows == [("u0", 1), ("u0", 2)]  # batch 3's own, and those of batches 0 and 2 merged
+    merged = [s for s in scans(found) if "user_bucket" in s.output().mkString(",")]
+    assert merged and all(s.metrics().apply("numFiles").value() == 1 for s in merged)
+
+
+def test_groups_with_null_users_and_ads_are_totalled(spark):
+    body = '{"accessTime":"2024-01-01 10:00:00","province":null,"city":"C"}'
+    tables = fb.ClickTables(fresh_dir(spark, "nulls"))
+    tables.create(spark)
+    for k in range(3):
+        batch = spark.createDataFrame([("t", 0, k, body)], MESSAGE_SCHEMA)
+        fb.process_batch(spark, batch, k, tables, group_id="g", compact_every=2)
+    found = fb.touched_counts(spark, tables, 2).collect()
+    assert sum(r.clicks for r in found) == 3
+    city = fb.daily_city_counts(spark, tables).collect()
+    assert [(r.province, r.city, r.adv_id, r.clicks) for r in city] == [(None, "C", None, 3)]
+
+
+def test_one_aggregation_gives_all_counts(spark, capsys):
+    rows = [
+        ("t", 0, 0, BODY.format("a", 1, 1)), ("t", 0, 1, BODY.format("a", 1, 1)), ("t", 0, 2, BODY.format("b", 2, 1)),
+        ("t", 0, 3, '{"userId":null,"accessTime":"2024-01-02","province":null,"city":null,"advId":"2"}'),
+        ("t", 0, 4, '{"userId":"a","accessTime":"2024-01-02 10:00:30","province":"P","city":null,"advId":null}'),
+    ]
+    clicks = parse_clicks(spark.createDataFrame(rows, MESSAGE_SCHEMA))
+    counted = fb.batch_counts(clicks)
+    capsys.readouterr()
+    counted.explain(mode="formatted")
+    text = capsys.readouterr().out
+    assert text.count("Expand\n") >= 1 and text.count("Exchange\n") <= 4  # one in the initial plan (tree and details)
+
+    def of(kind, schema):
+        names = [n for n in schema.fieldNames() if n != "batch_id"]
+        return sorted((tuple(r) for r in counted.where(F.col("kind") == kind).select(*names).collect()), key=repr)
+
+    def rows_of(df, schema):
+        names = [n for n in schema.fieldNames() if n != "batch_id"]
+        return sorted((tuple(r) for r in df.select(*names).collect()), key=repr)
+
+    assert of("user", COUNT_SCHEMA) == rows_of(click_counts(clicks), COUNT_SCHEMA)
+    assert of("city", CITY_COUNT_SCHEMA) == rows_of(daily_city_ad_clicks(clicks), CITY_COUNT_SCHEMA)
+    minutes = of("minute", MINUTE_COUNT_SCHEMA)
+    assert sum(r[2] for r in minutes) == 4 and sum(r[3] for r in minutes) == 3  # a bare day has no minute
+
+
+def test_only_a_missing_manifest_reads_as_never_merged(spark, tmp_path):
+    table = str(tmp_path / "t")
+    assert current_manifest(spark, table) == (-1, None)
+    (tmp_path / "t" / "manifest" / "through=3").mkdir(parents=True)
+    assert current_manifest(spark, table) == (-1, None)  # its write has not ended
+    (tmp_path / "t" / "manifest" / "through=3" / "_SUCCESS").touch()
+    (tmp_path / "t" / "manifest" / "through=3" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        current_manifest(spark, table)[1].collect()
+
+
+def test_superseded_versions_and_manifests_go_after_the_next_compaction(spark):
+    import os
+
+    tables = fb.ClickTables(fresh_dir(spark, "superseded"))
+    tables.create(spark)
+    for k in range(8):
+        fb.process_batch(spark, day_batch(spark, 1), k, tables, group_id="g", compact_every=None)
+        if k % 2:
+            compact_tables(spark, tables, through=k)
+    total = sum(r.clicks for r in fb.daily_city_counts(spark, tables).collect())
+    assert total == 48
+    for table in (tables.counts, tables.flagged, tables.ledger):
+        root = table.removeprefix("file:")
+        assert sorted(n for n in os.listdir(f"{root}/merged")) == ["version=5", "version=7"]
+        assert sorted(n for n in os.listdir(f"{root}/manifest")) == ["through=5", "through=7"]
+
+
+def test_a_reader_meets_whole_lists_only_during_replacements(spark):
+    path = fresh_dir(spark, "published")
+    assert read_blacklist(spark, path, BLACKLIST_SCHEMA).count() == 0
+    publish_blacklist(spark.range(50).selectExpr("'v0' AS user_id").repartition(4), path=path)
+    seen, failed, done = set(), [], threading.Event()
+
+    def reader():
+        while not done.is_set():
+            try:
+                rows = [r.user_id for r in read_blacklist(spark, path, BLACKLIST_SCHEMA).collect()]
+            except Exception as error:
+                failed.append(error)
+                return
+            seen.add((len(rows), len(set(rows))))
+
+    thread = threading.Thread(target=reader)
+    thread.start()
+    try:
+        for k in range(1, 21):
+            publish_blacklist(spark.range(50).selectExpr(f"'v{k}' AS user_id").repartition(4), path=path)
+    finally:
+        done.set()
+        thread.join()
+    assert not failed and seen == {(50, 1)}
+    assert {r.user_id for r in read_blacklist(spark, path, BLACKLIST_SCHEMA).collect()} == {"v20"}
+    with pytest.raises(ValueError):
+        publish_blacklist(spark.range(1), batch_id=None)
+
+
+def test_any_as_of_from_minutes_and_clean_clicks(spark):
+    from adpulse.operators.reports import trend_last_hour
+    from adpulse.streaming.sinks import clean_click_table, clean_clicks_so_far
+
+    times = ["11:00:10", "11:00:30", "11:00:30.5", "11:00:45", "11:01:00", "11:30:00", "11:59:59", "12:00:00", "12:00:30", "12:00:30.5"]
+    body = '{{"userId":"u","accessTime":"2024-01-15 {}","province":"P","city":"C","advId":"1"}}'
+    tables, kept = fb.ClickTables(fresh_dir(spark, "as_of")), fresh_dir(spark, "as_of_clicks")
+    tables.create(spark)
+    batch = spark.createDataFrame([("t", 0, i, body.format(t)) for i, t in enumerate(times)], MESSAGE_SCHEMA)
+    fb.process_batch(spark, batch, 0, tables, group_id="g", clean_to=clean_click_table(kept))
+    clicks = clean_clicks_so_far(spark, kept)
+    for as_of in ("2024-01-15 12:00:30", "2024-01-15 12:00:00", "2024-01-15 12:00:30.250000", "2024-01-15 11:01:00.5"):
+        stored = fb.trend_last_hour_so_far(spark, tables, as_of, clicks=clicks).collect()
+        direct = trend_last_hour(parse_clicks(batch), as_of).collect()
+        assert sorted(map(tuple, stored)) == sorted(map(tuple, direct)), as_of

@@ -48,7 +48,7 @@ def test_earliest(spark):
 def test_resume_read(spark):
     starts = spark.createDataFrame([("t", 0, 8), ("t", 1, 0)], "topic string, partition int, start_offset long")
     got = resume_read(log(spark), starts)
-    assert got.count() == 2 + 10  # partition 2 has no start position: not read
+    assert got.count() == 2 + 10 + 10  # partition 2 has no start position: read from its beginning
     assert got.columns == ["topic", "partition", "offset", "value"]
 
 
@@ -123,14 +123,15 @@ def test_resume_predicates_reach_the_scan_of_a_stored_log(spark, capsys):
     text = capsys.readouterr().out
     assert "GreaterThanOrEqual(offset,8)" in text and "EqualTo(partition,0)" in text
     assert "Join" not in text and "Exchange" not in text
-    assert got.count() == 12
+    assert got.count() == 2 + 10 + 10
 
 
 def test_resume_read_without_starts_null_starts_and_many_partitions(spark):
     kind = "topic string, partition int, start_offset long"
-    assert resume_read(log(spark), spark.createDataFrame([], kind)).count() == 0
+    assert resume_read(log(spark), spark.createDataFrame([], kind)).count() == 30
     nulls = [("t", 0, None), ("t", None, 0), (None, 1, 0), ("t", 2, 9)]
-    assert [(r.partition, r.offset) for r in resume_read(log(spark), spark.createDataFrame(nulls, kind)).collect()] == [(2, 9)]
+    got = {(r.partition, r.offset) for r in resume_read(log(spark), spark.createDataFrame(nulls, kind)).collect()}
+    assert got == {(p, o) for p in (0, 1) for o in range(10)} | {(2, 9)}
     many = spark.range(2000).selectExpr("'t' AS topic", "CAST(id AS INT) AS partition", "5L AS start_offset")
     assert resume_read(log(spark), many).count() == 15
 
