@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -58,25 +59,74 @@ def pick(df: DataFrame, *names: str, **renamed: str) -> DataFrame:
     return plain.select(*[F.col(f"c{where[old]}").alias(new) for new, old in wanted.items()])
 
 
-def staged(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
-    """`df` written to a new folder of the shared storage and read again: cuts the lineage, survives executors.
+#: Tables staged by this application and not yet removed: folder name -> (path, catalog table if it has one).
+_staged: dict[str, tuple[str, str | None]] = {}
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-    The shuffle files of the write are removed once it is done.
-    """
-    spark = df.sparkSession
-    path, setting = fresh_dir(spark, name), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(setting, None)
-    spark.conf.set(setting, "true")
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a write are removed once it is done."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path, compression=compression)
+        yield
     finally:
         if before is None:
-            spark.conf.unset(setting)
+            spark.conf.unset(_CLEANUP)
         else:
-            spark.conf.set(setting, before)
+            spark.conf.set(_CLEANUP, before)
+
+
+def staged(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """`df` written to a new folder of the shared storage and read again: cuts the lineage, survives executors."""
+    spark = df.sparkSession
+    path = fresh_dir(spark, name)
+    _staged[path.rsplit("/", 1)[1]] = path, None
+    with _shuffles_removed(spark):
+        df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_in_buckets(df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
+    """Like `staged`, as a table bucketed and sorted by `keys`: joins on them need no shuffle of it."""
+    spark = df.sparkSession
+    path = fresh_dir(spark, name)
+    folder = path.rsplit("/", 1)[1]
+    table = folder.replace("-", "_")
+    _staged[folder] = path, table
+    with _shuffles_removed(spark):
+        writer = df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).option("compression", "zstd")
+        writer.saveAsTable(table)
+    return spark.table(table)
+
+
+def staged_folders() -> set[str]:
+    """Names of the staged folders that are still there."""
+    return set(_staged)
+
+
+def folders_of(*frames: DataFrame) -> set[str]:
+    """Names of the staged folders that `frames` read."""
+    return {file.rsplit("/", 2)[1] for frame in frames for file in frame.inputFiles()} & set(_staged)
+
+
+def remove_staged(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Delete staged tables. Whoever calls knows that what was made from them is written: nothing reads them again."""
+    for folder in folders:
+        path, table = _staged.pop(folder)
+        if table is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the staged tables that `frames` read, once what was made from them is staged itself."""
+    if frames:
+        remove_staged(frames[0].sparkSession, folders_of(*frames))
+
+
 def fold(doc_id) -> "F.Column":
     """`crc32(doc_id as text) mod 5`; 0 marks the held-out documents. A null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS
@@ -128,7 +178,8 @@ def connected_components(edges: DataFrame, name: str) -> DataFrame:
         large = staged(large, f"{name}_large")
         low = staged(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}_low")
         moved = large.join(low, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = staged(moved.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), name)
+        last, now = now, staged(moved.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), name)
+        discard(last, least, large, low)
         after = now.agg(F.count("*"), sum_of).first()
         if after == mark:
             break

@@ -17,7 +17,9 @@ confirmed on whole sets:
 
 Null or word-less texts have an empty set and link with nothing. Rows with a null
 doc_id link with nothing, have a null component and are kept. Rows that repeat a
-doc_id are one node. Extra columns are ignored.
+doc_id are one node: rows of different texts get the smallest component that any of
+them reaches (a row without words keeps its own id). Very long texts are read whole, their
+words block by block. Empty tables give no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from adpulse.llm.common import (
     U64,
     as_long,
     connected_components,
+    discard,
     mix,
     pick,
     runs,
@@ -173,6 +176,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands")
     )
     sets = staged(sets, "near_sets")
+    # Every row with its set, without the bands: what the end needs.
+    rows = staged(signed.drop("bands"), "near_rows")
+    discard(signed)
 
     # Buckets: every member points to the smallest node of its bucket.
     members = sets.select("node", F.posexplode("bands").alias("band", "key"))
@@ -182,18 +188,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.col("node").alias("a"), F.col("low").alias("b")
     )
     clusters = connected_components(pairs, "near_clusters")
+    banded, sets = sets, staged(sets.drop("bands"), "near_nodes_of_sets")
+    discard(banded)
 
     # One row per candidate node, with the chunk of its cluster.
     roots = clusters.select("component").distinct().select(F.col("component").alias("node"), "component")
     sizes = sets.groupBy("node").agg(F.max("n_shingles").alias("n"))
     nodes = clusters.unionAll(roots).select("node", F.col("component").alias("cluster")).join(sizes, "node")
+    # Figures of a cluster are written before they are joined to its nodes: then AQE can split a hot cluster.
     chunks = nodes.groupBy("cluster").agg(
         F.greatest(F.ceil(F.count("*") / CHUNK_ROWS), F.ceil(F.sum("n") / CHUNK_SHINGLES)).alias("chunks")
     )
+    chunks = staged(chunks, "near_chunks")
     nodes = staged(
         nodes.join(chunks, "cluster").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks"))),
         "near_nodes",
     )
+    discard(clusters, chunks)
     texts = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("node"), "text")
 
     # Every chunk with chunk 0 of its cluster (a cluster of one chunk with itself).
@@ -208,9 +219,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     parts = connected_components(links, "near_parts")
     found = large.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
     weights = found.groupBy("cluster", "part").agg(F.count("*").alias("n"))
-    main = weights.groupBy("cluster").agg(F.max(F.struct("n", "part")).alias("main"))
-    rest = found.join(main, "cluster").filter("part <> main.part").select("cluster", "node", "chunks")
-    deals = rest.groupBy("cluster").agg(F.ceil(F.count("*") / CHUNK_ROWS).alias("deals"))
+    main = staged(weights.groupBy("cluster").agg(F.max(F.struct("n", "part")).alias("main")), "near_main")
+    rest = staged(found.join(main, "cluster").filter("part <> main.part").select("cluster", "node", "chunks"), "near_rest")
+    deals = staged(rest.groupBy("cluster").agg(F.ceil(F.count("*") / CHUNK_ROWS).alias("deals")), "near_deals")
     zero = F.lit(0).cast("long")
     rest_rows = (
         rest.join(deals, "cluster")
@@ -223,11 +234,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     more = staged(_confirmed(rest_rows.unionAll(all_rows).distinct(), texts, percent), "near_more")
 
-    groups = connected_components(links.unionAll(more), "near_groups")
-    named = sets.select("set_a", "set_b", "n_shingles", "node").join(groups, "node", "left")
+    # A doc_id over rows with different sets is one node: it ties their sets' nodes together.
+    with_set = rows.filter("doc_id IS NOT NULL AND n_shingles > 0")
+    a_set = F.struct("set_a", "set_b", "n_shingles")
+    several = with_set.groupBy("doc_id").agg(F.min(a_set).alias("low"), F.max(a_set).alias("high")).filter("low <> high")
+    ties = with_set.join(staged(several.select("doc_id"), "near_several"), "doc_id").join(sets, ["set_a", "set_b", "n_shingles"])
+    ties = ties.select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    groups = connected_components(links.unionAll(more).unionAll(ties), "near_groups")
+    discard(nodes, links, more, parts, main, rest, deals)
+    named = sets.join(groups, "node", "left")
     named = named.select("set_a", "set_b", "n_shingles", F.coalesce("component", "node").alias("component_id"))
-    # A doc_id repeated over rows with different texts is one node: it takes the smallest of its components.
-    joined = signed.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b", "n_shingles"], "left")
+    joined = rows.join(named, ["set_a", "set_b", "n_shingles"], "left")
     component = F.coalesce("component_id", "doc_id")
     return joined.select(
         "doc_id",
