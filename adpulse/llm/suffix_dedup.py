@@ -1,9 +1,8 @@
 """Operator 8: remove bytes covered by a 200-byte string that starts at another place too.
 
-External induction on a sampled suffix set. Sorting every suffix of the corpus
-(8 bytes and more for each byte of text, moved several times) does not fit the
-disk limit, so, as induced sorting sorts only marked suffixes and derives the
-others, this sorts content-marked places and derives the rest from them:
+Content-marked hashing, not induced sorting of all suffixes: that moves 8 bytes and more for each byte of
+text several times, beyond the disk limit (README.md). As induced sorting sorts only marked suffixes and
+derives the others, this aggregates content-marked places and derives the rest from them:
 
 1. *Marked places.* Among the GRAM-byte strings of each 200-byte string the one
    with the smallest hash marks it. Equal strings have equal marks wherever they
@@ -27,8 +26,8 @@ bits each.
 Null texts are empty. Matches never cross documents. Cuts may split a UTF-8
 character: bytes are kept exactly, and `kept_text` leaves out what no longer forms
 a character. Repeated rows are documents of their own, so they remove each other
-(from 200 bytes on). Extra columns are ignored by `repeated_spans`, kept by
-`remove_repeats`.
+(from 200 bytes on). Very long texts are marked and opened piece by piece. Empty tables
+give no rows. Extra columns are ignored by `repeated_spans`, kept by `remove_repeats`.
 """
 
 from __future__ import annotations
@@ -41,8 +40,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adpulse.llm.common import BYTE_VALUES, U64, as_long, mix, pick, powers, runs, small_batches, staged
-from adpulse.session import fresh_dir
+from adpulse.llm.common import (
+    BYTE_VALUES,
+    U64,
+    as_long,
+    discard,
+    mix,
+    pick,
+    powers,
+    runs,
+    small_batches,
+    staged,
+    staged_in_buckets,
+)
 
 LENGTH = 200
 GRAM = 80
@@ -223,25 +233,13 @@ def _distinct_texts(docs: DataFrame) -> DataFrame:
         .groupBy("text_a", "text_b")
         .agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     )
-    path = fresh_dir(spark, "suffix_texts")
-    table = path.rsplit("/", 1)[1].replace("-", "_")
     # As many as shuffle partitions: the grouping's own partitions are the buckets, and joins need no other shuffle.
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    spark.conf.set(setting, "true")
-    (
-        texts.write.bucketBy(buckets, "text_a", "text_b")
-        .sortBy("text_a", "text_b")
-        .option("path", path)
-        .option("compression", "zstd")
-        .saveAsTable(table)
-    )
-    spark.conf.unset(setting)
-    return spark.table(table)
+    return staged_in_buckets(texts, "suffix_texts", ["text_a", "text_b"], buckets)
 
 
 def _spans(texts: DataFrame) -> DataFrame:
-    """`text_a`, `text_b`, `start`, `starts`: runs of starts whose LENGTH bytes occur again."""
+    """`text_a`, `text_b`, `spans`: per text the runs of starts (`start`, `starts`) whose LENGTH bytes occur again."""
     text = ["text_a", "text_b"]
     marked = staged(texts.mapInArrow(_mark, MARK_DDL), "suffix_marks")
     extents = marked.groupBy("mark", "extent").agg(F.sum("times").alias("all_times"))
@@ -249,6 +247,7 @@ def _spans(texts: DataFrame) -> DataFrame:
     kinds = extents.groupBy("mark").agg(F.sum("all_times").alias("n"), F.count("*").alias("kinds")).filter("n > 1")
     shared = staged(extents.join(kinds, "mark").select("mark", "extent", "all_times", "kinds"), "suffix_extents")
     members = staged(marked.join(shared, ["mark", "extent"]), "suffix_members")
+    discard(marked, shared)
     whole = members.filter("all_times > 1 AND times = 1").select(*text, "start", "starts")
 
     place = F.struct(*text, "start", "starts", "place")
@@ -259,12 +258,18 @@ def _spans(texts: DataFrame) -> DataFrame:
         F.collect_list(F.struct("start", "starts", "place", "times")).alias("todo")
     )
     blocks = texts.select(*text, "text").join(todo, text).mapInArrow(_open_blocks, PRINT_DDL)
-    todo = _again(staged(blocks, "suffix_blocks")).groupBy(*text).agg(
+    blocks = staged(blocks, "suffix_blocks")
+    todo = _again(blocks).groupBy(*text).agg(
         F.collect_list(F.struct("start", "starts", "times")).alias("todo")
     )
     opened = texts.select(*text, "text").join(todo, text).mapInArrow(_open_starts, PRINT_DDL)
-    single = _again(staged(opened, "suffix_starts"), "times = 1").select(*text, "start", "starts")
-    return whole.unionAll(single)
+    opened = staged(opened, "suffix_starts")
+    discard(blocks)
+    single = _again(opened, "times = 1").select(*text, "start", "starts")
+    spans = whole.unionAll(single).groupBy(*text).agg(F.collect_list(F.struct("start", "starts")).alias("spans"))
+    spans = staged(spans, "suffix_spans")
+    discard(members, opened)
+    return spans
 
 
 def _again(prints: DataFrame, only: str = "true") -> DataFrame:
@@ -277,10 +282,8 @@ def _cut_texts(docs: DataFrame, with_text: bool) -> DataFrame:
     """Per distinct text of LENGTH bytes and more that loses bytes: its cuts as figures, and the kept text if asked."""
     small_batches(docs.sparkSession)
     texts = _distinct_texts(docs)
-    spans = _spans(texts).groupBy("text_a", "text_b").agg(F.collect_list(F.struct("start", "starts")).alias("spans"))
-    spans = staged(spans, "suffix_spans")
     return (
-        texts.join(spans, ["text_a", "text_b"], "left")
+        texts.join(_spans(texts), ["text_a", "text_b"], "left")
         .filter("copies > 1 OR spans IS NOT NULL")
         .select("text_a", "text_b", "text", "copies", "spans")
         .mapInArrow(
