@@ -2,7 +2,8 @@
 
 Sizes are summed per source, targets are shared out by weight, and a document of a
 source with rate r = target / size is emitted floor(r) times plus one more time
-with probability r - floor(r), drawn from a hash of its doc_id and the seed.
+with probability r - floor(r), drawn from a hash of the seed, its doc_id, its text and
+its place among the rows that are equal in both: no two rows share a draw.
 
 Targets: sources in order of code point, null last, weigh `weights` in turn. All
 targets share `share` times the summed sizes; a target stops at `most` times its
@@ -11,7 +12,8 @@ is found in closed form: with sources sorted by cap / weight, the capped ones co
 first, and the others get the rest by weight.
 
 Null and empty texts have size 0: they are emitted as their source's rate says, and
-add no words. Sources of size 0 get rate 0. Rows that repeat a doc_id draw alike. Extra columns are kept by `mixed` (a copy number joins as `copy_name`).
+add no words. Sources of size 0 get rate 0. Rows that repeat
+a doc_id, or have none, draw each on its own. Very long texts are counted whole; empty tables give no rows. Extra columns are kept by `mixed` (a copy number joins as `copy_name`).
 """
 
 from __future__ import annotations
@@ -69,12 +71,52 @@ def source_targets(
     )
 
 
-def _draw(doc_id: Column, seed: int) -> Column:
-    """A number from 0 to 1 by the first 52 bits of md5 of `seed:doc_id`."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+def _draw(doc_id: Column, text: Column, place: Column, seed: int) -> Column:
+    """A number from 0 to 1 by the first 52 bits of md5 of `seed:doc_id:md5 of the text:place`."""
+    named = [F.coalesce(c.cast("string"), F.lit("null")) for c in (doc_id, text, place)]
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *named))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+KEY = ["id_known", "text_known", "key_id", "key_text"]
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """`rows` (`doc_id`, `text_md5` and more) with both as null-free join keys."""
+    return rows.select(
+        "*", F.col("doc_id").isNotNull().alias("id_known"), F.col("text_md5").isNotNull().alias("text_known"),
+        F.coalesce("doc_id", F.lit(0).cast("long")).alias("key_id"), F.coalesce("text_md5", F.lit("")).alias("key_text"),
+    )
+
+
+def _equals(sized: DataFrame) -> DataFrame:
+    """The (doc_id, text) that several rows share: normally few."""
+    return staged(_keyed(sized).groupBy(*KEY).agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "mix_equals")
+
+
+def _drawn(rows: DataFrame, equals: DataFrame, seed: int) -> DataFrame:
+    """`rows` (`doc_id`, `text_md5` and more) with `draw`.
+
+    Only rows that have an equal are numbered, and written for it: within each written partition, whose counts give
+    the offsets, so a group of equal rows of any size is shared by as many tasks as wrote it. The others stay where
+    they are wherever `equals` is small enough to be broadcast.
+    """
+    keyed = _keyed(rows)
+    drawn = keyed.join(equals, KEY, "left_anti").withColumn("place", F.lit(0).cast("long")).select(*rows.columns, "place")
+    if not equals.isEmpty():
+        several = keyed.join(equals, KEY, "left_semi")
+        several = several.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id())
+        several = staged(several, "mix_repeated", compression="zstd")
+        per_part = several.groupBy(*KEY, "part").agg(F.count("*").alias("n"))
+        before = Window.partitionBy(*KEY).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = per_part.select(*KEY, "part", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias("before"))
+        number = F.row_number().over(Window.partitionBy(*KEY, "part").orderBy("at")) - 1
+        places = several.select(*KEY, "part", "at", number.alias("number")).join(offsets, [*KEY, "part"])
+        places = places.select("at", (F.col("before") + F.col("number")).alias("place"))
+        drawn = drawn.unionAll(several.join(places, "at").select(*rows.columns, "place"))
+    return drawn.withColumn("draw", _draw(F.col("doc_id"), F.col("text_md5"), F.col("place"), seed)).drop("place")
+
+
 def _counted(rows: DataFrame, sizes: DataFrame, share: float, most: float, weights: Sequence[float]) -> DataFrame:
     """`rows` (`source`, `draw` and more) with `source_size`, `target` and `copies`."""
     # One row per source, written so that Spark knows its size: small, it is broadcast; large, AQE splits hot sources.
@@ -98,10 +140,10 @@ def mixed(
     names = docs.columns
     row = docs.toDF(*[f"c{at}" for at in range(len(names))])
     at = {name: F.col(f"c{k}") for k, name in reversed(list(enumerate(names)))}
-    rows = row.select(
-        F.struct(*row.columns).alias("row"), at["source"].alias("source"), _draw(at["doc_id"], seed).alias("draw")
-    )
-    sizes = pick(docs, "source", "text").groupBy("source").agg(F.sum(n_words(F.col("text"))).alias("source_size"))
+    key = [at["doc_id"].cast("long").alias("doc_id"), at["source"].alias("source"), F.md5(at["text"]).alias("text_md5")]
+    sized = staged(row.select(*key, n_words(at["text"]).alias("size")), "mix_rows")
+    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    rows = _drawn(row.select(F.struct(*row.columns).alias("row"), *key), _equals(sized), seed)
     taken = _counted(rows, sizes, share, most, weights).filter("copies > 0")
     emitted = taken.select("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
     columns = [F.col(f"row.c{k}").alias(name) for k, name in enumerate(names)]
@@ -116,13 +158,10 @@ def mix_report(
     seed: int = SEED,
 ) -> DataFrame:
     """`doc_id`, `size`, `source_size`, `target`, `taken` (words that the mix takes) for every row of `docs`."""
-    rows = pick(docs, "doc_id", "text", "source")
-    rows = staged(
-        rows.select(
-            "doc_id", "source", n_words(F.col("text")).alias("size"), _draw(F.col("doc_id"), seed).alias("draw")
-        ),
-        "mix_rows",
-    )
+    rows = pick(docs, "doc_id", "text", "source").withColumn("doc_id", F.col("doc_id").cast("long"))
+    sized = rows.select("doc_id", "source", F.md5("text").alias("text_md5"), n_words(F.col("text")).alias("size"))
+    rows = staged(sized, "mix_rows")
+    placed = _drawn(rows, _equals(rows), seed)
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    counted = _counted(rows, sizes, share, most, weights)
+    counted = _counted(placed, sizes, share, most, weights)
     return counted.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

@@ -3,7 +3,8 @@
 STATEMENTS: dict[str, str] = {
     "op1_mix_sources": r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(text) AS hash,
+    row_number() OVER (PARTITION BY doc_id, text) - 1 AS place FROM documents
 ),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -26,7 +27,7 @@ targets AS (
 ),
 rated AS (
   SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate,
-    ('0x' || substr(md5('20250:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
+    ('0x' || substr(md5('20250:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(hash, 'null') || ':' || place), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
 )
 SELECT doc_id, size, source_size, target,
