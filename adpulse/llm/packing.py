@@ -2,7 +2,7 @@
 
 A document's ids are its byte-level BPE ids plus one end id. Whole windows of
 `CAPACITY` ids are cut off first and are sequences of their own; the remainders of
-a group of documents (groups are hash buckets of bounded size) are packed together:
+a group of documents (rows are dealt to groups of bounded size) are packed together:
 
 * the window count starts at the least that can hold the remainders' ids;
 * differencing keeps, for every partial solution, the loads of its windows, and
@@ -13,7 +13,7 @@ a group of documents (groups are hash buckets of bounded size) are packed togeth
   rises by one and differencing starts anew.
 
 Null texts are empty and consist of the end id alone. Rows that repeat a doc_id are
-documents of their own. Extra columns are ignored. A sequence is a group number and
+documents of their own. Very long texts are tokenized whole; empty tables give no rows. Extra columns are ignored. A sequence is a group number and
 a number in its group, so no counter is shared; groups are rows, ids travel once.
 """
 
@@ -107,7 +107,11 @@ _encoders: dict[str, object] = {}
 
 
 def encoder(vocabulary: str):
-    """text -> ids. The same vocabulary is read by the faster of two libraries; the other takes what the first refuses."""
+    """text -> ids, as the `tokenizers` file of the vocabulary gives them with add_special_tokens=False.
+
+    The same vocabulary is read by the faster of two libraries. Its own file takes the texts that hold one of its added
+    tokens (they have ids of their own), and what the fast one refuses.
+    """
     if vocabulary not in _encoders:
         import public_tokenizers
         import tiktoken
@@ -117,13 +121,15 @@ def encoder(vocabulary: str):
             ranks = {base64.b64decode(piece): int(number) for piece, number in map(bytes.split, lines)}
         fast = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         whole = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
-        whole.encode_special_tokens = True
+        added = [token.content for token in whole.get_added_tokens_decoder().values()]
 
         def encode(text: str) -> np.ndarray:
-            try:
-                return np.array(fast.encode_ordinary(text), np.uint32)
-            except Exception:  # its pattern matcher gives up on some very long runs
-                return np.array(whole.encode(text, add_special_tokens=False).ids, np.uint32)
+            if not any(token in text for token in added):
+                try:
+                    return np.array(fast.encode_ordinary(text), np.uint32)
+                except Exception:  # its pattern matcher gives up on some very long runs
+                    pass
+            return np.array(whole.encode(text, add_special_tokens=False).ids, np.uint32)
 
         _encoders[vocabulary] = encode
     return _encoders[vocabulary]
@@ -199,7 +205,9 @@ def packed_sequences(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: in
     docs = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     size = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     groups = max(1, -(-size // GROUP_BYTES))
-    rows = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).alias("group"), "doc_id", "text")
+    # Dealt by where a row was read, not by what it holds: repeated rows spread over the groups like any others.
+    group = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))
+    rows = docs.select(group.alias("group"), "doc_id", "text")
     tokenized = rows.mapInArrow(_tokenized(vocabulary, capacity), ROWS_DDL)
     # The order within a group fixes the packing, whatever order the shuffle brings.
     grouped = tokenized.repartition("group").sortWithinPartitions("group", "doc_id", "start", "length", "ids_crc32", "rest")
