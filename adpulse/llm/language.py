@@ -24,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from adpulse.llm.common import fold, pick, scrambled, small_batches
 
@@ -177,28 +176,35 @@ def identify(docs: DataFrame, decoder: Decoder | None) -> DataFrame:
     return rows.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
-def _accepted(decoder: Decoder | None, names: list[str], text: str):
+def _accepted(decoder: Decoder | None, names: list[str], text: str, lang: str):
     def accepted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(text).to_pylist()
-            known = pa.array([decoder is not None and has_letter(t) for t in texts], pa.bool_())
-            kept = batch.filter(known)
-            if kept.num_rows:
-                found, _, _ = decoder.decode(np.array([features(t.encode()) for t in kept.column(text).to_pylist()]))
-                named = pa.array([decoder.languages[k] for k in found], pa.string())
-                yield pa.RecordBatch.from_arrays([*kept.columns, named], names=[*names, "lang_pred"])
+            kept = batch.filter(pa.array([has_letter(t) for t in batch.column(text).to_pylist()], pa.bool_()))
+            if not kept.num_rows:
+                continue
+            columns = dict(zip(names, kept.columns, strict=True))
+            unnamed = np.flatnonzero(kept.column(lang).is_null().to_numpy(zero_copy_only=False))
+            if decoder is not None and len(unnamed):
+                texts = kept.column(text).take(pa.array(unnamed)).to_pylist()
+                found, _, _ = decoder.decode(np.array([features(t.encode()) for t in texts]))
+                languages = kept.column(lang).to_pylist()
+                for at, k in zip(unnamed.tolist(), found, strict=True):
+                    languages[at] = decoder.languages[k]
+                columns[lang] = pa.array(languages, pa.string())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
 
     return accepted
 
 
 def keep_known(docs: DataFrame, decoder: Decoder | None) -> DataFrame:
-    """The rows of `docs` whose language is known, with the columns of `docs`: `und` ones go.
+    """The rows of `docs` that can have a language, with their columns; a null `lang` becomes the decoder's prediction.
 
-    Ambiguous texts stay: two languages in one text are no fault.
+    Rows are rejected by their letters alone: null texts and texts without a letter (`und`) go. Ambiguous texts stay:
+    two languages in one text are no fault. Where no row is labelled there is no decoder: nothing is predicted, and
+    the same rows stay.
     """
     small_batches(docs.sparkSession)
     names = [f"c{at}" for at in range(len(docs.columns))]
     plain = docs.toDF(*names)
-    schema = T.StructType([*plain.schema.fields, T.StructField("lang_pred", T.StringType())])
-    found = plain.mapInArrow(_accepted(decoder, names, names[docs.columns.index("text")]), schema)
-    return found.drop("lang_pred").toDF(*docs.columns)
+    text, lang = (names[docs.columns.index(name)] for name in ("text", "lang"))
+    return plain.mapInArrow(_accepted(decoder, names, text, lang), plain.schema).toDF(*docs.columns)

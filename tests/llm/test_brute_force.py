@@ -145,7 +145,6 @@ def test_packing(spark):
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    whole.encode_special_tokens = True
     ids = {i: np.array([*whole.encode(t, add_special_tokens=False).ids, 1], "<u4") for i, t in texts(docs)}
     rows = packing.packed_sequences(docs).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
@@ -172,6 +171,22 @@ def test_packing(spark):
     assert padding < 0.02 * sum(map(len, ids.values()))
 
 
+def test_packing_takes_the_ids_of_the_plain_call(spark):
+    """Texts that hold an added token of the vocabulary: the token is one id, as in the file itself."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    added = [t.content for t in whole.get_added_tokens_decoder().values()]
+    assert added
+    rows = [(k, text) for k, t in enumerate(added) for text in (f"a {t} b", t, f"{t}{t}x", f"a{t[:-1]} b")]
+    docs = spark.createDataFrame([(n, text) for n, (_, text) in enumerate(rows)], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in packing.packed_sequences(docs).collect()}
+    for n, (_, text) in enumerate(rows):
+        ids = np.array([*whole.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        assert (found[n]["doc_tokens"], found[n]["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 def test_differencing():
     rng = np.random.default_rng(3)
     for _ in range(30):
