@@ -14,6 +14,9 @@ from adpulse.schema import CLICK_JSON_SCHEMA
 # Fixed value: a bare day in `accessTime`.
 DAY_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 
+# Stands behind a message in the array that checks it.
+SENTINEL = "end of message"
+
 CLICK_COLUMNS = ("user_id", "access_time", "province", "city", "adv_id", "ts", "click_day")
 
 
@@ -36,6 +39,15 @@ def with_click_time(df: DataFrame, access_time: str = "access_time") -> DataFram
     return df.withColumns({"ts": ts, "click_day": day})
 
 
+def is_one_json_value(raw: Column) -> Column:
+    """Whether the text is one JSON value and nothing else (null: null).
+
+    The JSON parser stops at the end of the first value, so `{...} rest` would pass. Put into an array before a
+    sentinel, a text with a rest is no JSON any more, or an array of another length.
+    """
+    return F.coalesce(F.json_array_length(F.concat(F.lit("["), raw, F.lit(f',"{SENTINEL}"]'))) == 2, F.lit(False))
+
+
 def _json_fields(parsed: Column) -> dict[str, Column]:
     return {
         "user_id": parsed["userId"],
@@ -52,7 +64,7 @@ def parse_clicks(
     """Parse the JSON `value` of each message into a click.
 
     Keys match case-sensitively; unknown keys are ignored; numbers become
-    text. Other columns (topic, partition, offset, ...) are carried along and
+    text; JSON that is followed by anything but blanks is malformed. Other columns (topic, partition, offset, ...) are carried along and
     `value` is dropped.
 
     mode="FAILFAST": a malformed, empty or null message, or an `accessTime`
@@ -65,7 +77,11 @@ def parse_clicks(
     if mode == "FAILFAST":
         parsed = F.from_json(raw, CLICK_JSON_SCHEMA, {"mode": "FAILFAST"})
         empty = raw.isNull() | (F.trim(raw) == "")
-        parsed = F.when(empty, F.raise_error(F.lit("empty click message"))).otherwise(parsed)
+        parsed = (
+            F.when(empty, F.raise_error(F.lit("empty click message")))
+            .when(~is_one_json_value(raw), F.raise_error(F.concat(F.lit("malformed click message: "), raw)))
+            .otherwise(parsed)
+        )
         fields = _json_fields(F.col("_j"))
         ts, day, ok = _time_columns(fields["access_time"])
         checked_day = F.when(ok, day).otherwise(
@@ -81,7 +97,12 @@ def parse_clicks(
         ts, day, ok = _time_columns(fields["access_time"])
         error = (
             F.when(raw.isNull() | (F.trim(raw) == ""), F.lit("empty"))
-            .when(F.col("_j").isNull() | F.col("_j").eqNullSafe(F.struct(*[F.lit(None).cast("string")] * 5)), F.lit("malformed"))
+            .when(
+                F.col("_j").isNull()
+                | F.col("_j").eqNullSafe(F.struct(*[F.lit(None).cast("string")] * 5))
+                | ~is_one_json_value(raw),
+                F.lit("malformed"),
+            )
             .when(~ok, F.lit("bad accessTime"))
         )
         staged = messages.withColumn("_j", parsed).withColumn("_err", error)

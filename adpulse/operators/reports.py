@@ -95,8 +95,7 @@ def hourly_trend(
     clicks are first counted per bucket (a tumbling window, no copies) and only
     the bucket counts are spread over the sliding windows. Same result, and the
     raw clicks are read once and never multiplied. `pre_aggregate=False` keeps
-    the one-step form (a stream with a watermark uses it: one stateful
-    aggregation, see `adpulse.streaming.trend`).
+    the one-step form (one aggregation, as a stream with a watermark needs it).
     """
     timed = clicks.where(F.col("ts").isNotNull())
     if pre_aggregate and bucketable(length, slide):

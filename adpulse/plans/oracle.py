@@ -232,6 +232,8 @@ FROM sliced GROUP BY slice, topic, "partition\"""",
             "sliced",
         ),
         "stream_interval": _daily_city_ad_clicks("clicks"),
+        "stream_daily_totals": _daily_city_ad_clicks(),
+        "stream_trend_state": _hourly_trend(),
         "stream_hourly_trend": _hourly_trend("stream_clean"),
         "stream_clean_clicks": with_views(f"SELECT {CLICK_OUT} FROM stream_clean", "stream_clean"),
         "stream_seeded_blacklist": _daily_city_ad_clicks("seeded_clean"),

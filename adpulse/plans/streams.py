@@ -11,16 +11,17 @@ what the stream wrote.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from adpulse.plans.catalog import CLICK_OUT, TREND_AS_OF, present
+from adpulse.plans.catalog import CLICK_OUT, TREND_AS_OF, present, q_blacklist_users
 from adpulse.operators.offsets import committed_offsets, latest_offsets, start_positions
 from adpulse.session import fresh_dir
-from adpulse.schema import DEFAULT_THRESHOLD
+from adpulse.schema import BLACKLIST_SCHEMA, DEFAULT_THRESHOLD
+from adpulse.sinks.writers import publish_blacklist, read_blacklist
 from adpulse.sources.fixtures import LEDGER_GROUP, TOPIC, ledger_from_messages, messages_from_events, read_fixture
 from adpulse.sources.stream import message_slices, read_click_stream
 from adpulse.sources.tables import read_table
@@ -38,12 +39,14 @@ from adpulse.streaming.feedback import (
     trend_last_hour_so_far,
 )
 from adpulse.streaming.sinks import clean_click_table, clean_clicks_so_far
+from adpulse.streaming.stateful import TrendState, daily_city_totals, start_daily_city_counts, start_trend_state, trend_from_state
 
 STREAM_SLICES = 5
 TEST_THRESHOLD = 1
 SEED_EVERY = 7  # the outside blacklist names each customer whose key this divides
 FILES_PER_TRIGGER = 2  # admission cap of the resumed stream
 BYTES_PER_TRIGGER = 4 << 30  # admission cap of the sliced streams: above a slice, so that each is one micro-batch
+LATE_ORDER = (0, 2, 1, 4, 3)  # the order in which the slices reach the stream with a watermark
 INTERVAL = "5 seconds"  # the default micro-batch interval, for the stream that runs on the clock
 
 
@@ -53,8 +56,10 @@ def _await(query: StreamingQuery) -> None:
         raise RuntimeError(f"stream failed: {query.exception()}")
 
 
-def replay_in_slices(spark: SparkSession, sf_dir: str, start: Callable[[str], StreamingQuery]) -> None:
-    """Append the fixture's message log slice by slice; after each, run `start(log_path)` until drained.
+def replay_in_slices(
+    spark: SparkSession, sf_dir: str, start: Callable[[str], StreamingQuery], order: Sequence[int] = tuple(range(STREAM_SLICES))
+) -> None:
+    """Append the fixture's message log slice by slice (in `order`); after each, run `start(log_path)` until drained.
 
     The whole log is written once to shared storage, sorted by `event_id` within
     files, and each slice is a range read of that copy (the range predicate
@@ -62,7 +67,8 @@ def replay_in_slices(spark: SparkSession, sf_dir: str, start: Callable[[str], St
     """
     staged, log = fresh_dir(spark, "message_source"), fresh_dir(spark, "message_log")
     messages_from_events(spark, sf_dir, keep_event_id=True).sortWithinPartitions("event_id").write.parquet(staged)
-    for part in message_slices(spark.read.parquet(staged), STREAM_SLICES):
+    parts = message_slices(spark.read.parquet(staged), STREAM_SLICES)
+    for part in [parts[at] for at in order]:
         part.write.mode("append").parquet(log)
         _await(start(log))
 
@@ -192,6 +198,37 @@ def q_stream_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(daily_city_counts(spark, tables))
 
 
+def _final_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users that the whole log blacklists, published and read back: the list of a stream without feedback."""
+    path = fresh_dir(spark, "published_blacklist")
+    publish_blacklist(q_blacklist_users(spark, sf_dir), path=path)
+    return read_blacklist(spark, path, BLACKLIST_SCHEMA)
+
+
+def q_stream_daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counts out of streaming state in update mode, restarted after each slice."""
+    root, blacklist = fresh_dir(spark, "daily_totals"), _final_blacklist(spark, sf_dir)
+
+    def start(log: str) -> StreamingQuery:
+        stream = read_click_stream(spark, path=log, max_bytes_per_trigger=BYTES_PER_TRIGGER)
+        return start_daily_city_counts(spark, stream, root, blacklist, trigger={"availableNow": True})
+
+    replay_in_slices(spark, sf_dir, start)
+    return present(daily_city_totals(spark, root))
+
+
+def q_stream_trend_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sliding trend out of state under a watermark; two slices of five arrive days late, behind it."""
+    tables, blacklist = TrendState(fresh_dir(spark, "trend_state")), _final_blacklist(spark, sf_dir)
+
+    def start(log: str) -> StreamingQuery:
+        stream = read_click_stream(spark, path=log, max_bytes_per_trigger=BYTES_PER_TRIGGER)
+        return start_trend_state(spark, stream, tables, blacklist, trigger={"availableNow": True})
+
+    replay_in_slices(spark, sf_dir, start, LATE_ORDER)
+    return present(trend_from_state(spark, tables))
+
+
 def stream_queries() -> dict:
     return {
         "stream_daily_city_ad_clicks": q_stream_daily_city_ad_clicks,
@@ -205,4 +242,6 @@ def stream_queries() -> dict:
         "stream_seeded_blacklist": q_stream_seeded_blacklist,
         "stream_resume": q_stream_resume,
         "stream_interval": q_stream_interval,
+        "stream_daily_totals": q_stream_daily_totals,
+        "stream_trend_state": q_stream_trend_state,
     }

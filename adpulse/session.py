@@ -13,8 +13,8 @@ from pyspark.sql import SparkSession
 #   join partitions, turns shuffle joins into broadcasts once a side is small.
 # - Shuffle partitions start high (sized for the largest stage, ~256 MB each at
 #   the target scale); AQE coalesces toward the advisory size.
-# - The stream's window state lives in RocksDB (off-heap, spills to local disk,
-#   checkpointed incrementally) instead of executor heap maps.
+# - The state of the stateful reports (`adpulse.streaming.stateful`) lives in RocksDB (off-heap, spills to local
+#   disk, checkpointed incrementally) instead of executor heap maps.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

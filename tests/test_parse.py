@@ -72,3 +72,15 @@ def test_with_click_time_on_a_text_column(spark):
     rows = with_click_time(df).collect()
     assert [str(r.click_day) for r in rows] == ["2024-01-02", "2024-01-03", "None"]
     assert rows[0].ts is not None and rows[1].ts is None and rows[2].ts is None
+
+
+@pytest.mark.parametrize("rest", [" junk", "{}", ",", "]", "}", "] }", ',{"a":1}', ' "x"', "0"])
+def test_json_followed_by_anything_is_malformed(spark, rest):
+    good = '{"userId":"1","accessTime":"2024-01-01","province":"}{","city":"],[","advId":"2","more":[1,{"a":[]}]}'
+    rows = spark.createDataFrame([("t", 0, 0, good), ("t", 0, 1, good + " \n"), ("t", 0, 2, good + rest)], MESSAGE_SCHEMA)
+    kept, bad = parse_clicks(rows, mode="QUARANTINE")
+    assert [r.offset for r in kept.orderBy("offset").collect()] == [0, 1]
+    assert [(r.offset, r.error) for r in bad.collect()] == [(2, "malformed")]
+    assert parse_clicks(rows.where("offset < 2")).count() == 2
+    with pytest.raises(Exception):
+        parse_clicks(rows).collect()
