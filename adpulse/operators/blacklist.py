@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adpulse.operators.counts import COUNT_KEYS, total_click_counts
@@ -120,6 +120,41 @@ def drop_flagged_users(
     return marked.where(F.col("_flagged").isNull() | F.col("_no_user")).select(*counts.columns)
 
 
+# Bits of the bitmap that `filter_by_bitmap` broadcasts: 16 MB at most, whatever the blacklist's size.
+BITMAP_BITS = 1 << 27
+
+
+def _hashed(user: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(user), F.lit(bits)) + 1
+
+
+def blacklist_bitmap(blacklist: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
+    """`_bucket`, `_bitmap`: the hashed users of a blacklist as bitmaps of 4 KB, one row per bucket of hashes in use."""
+    users = blacklist.select(_hashed(F.col("user_id").cast("string"), bits).alias("_hash"), "user_id")
+    users = users.where(F.col("user_id").isNotNull())
+    buckets = users.groupBy(F.bitmap_bucket_number("_hash").alias("_bucket"))
+    return buckets.agg(F.bitmap_construct_agg(F.bitmap_bit_position("_hash")).alias("_bitmap"))
+
+
+def filter_by_bitmap(clicks: DataFrame, blacklist: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
+    """`filter_blacklisted` for a blacklist that is too large to broadcast, over a log that is not to be shuffled.
+
+    A bitmap of the hashed blacklisted users, bounded by `bits`, is broadcast. Clicks whose bit is not set belong
+    to no blacklisted user and pass as they are; only those that hit it, the blacklisted ones and a share of
+    about `blacklisted users / bits` of the others, enter the exact anti join, whose shuffle so moves the hits
+    and not the log. The log is read twice, once for each part. Null users pass, as in `filter_blacklisted`.
+    """
+    user = F.col("user_id").cast("string")
+    hashed = clicks.withColumn("_hash", _hashed(user, bits))
+    hashed = hashed.withColumn("_bucket", F.bitmap_bucket_number("_hash")).withColumn("_at", F.bitmap_bit_position("_hash"))
+    held = hashed.join(F.broadcast(blacklist_bitmap(blacklist, bits)), "_bucket", "left")
+    byte = F.conv(F.hex(F.substring("_bitmap", F.expr("CAST(_at div 8 AS INT) + 1"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1
+    hit = F.coalesce(F.col("user_id").isNotNull() & is_set, F.lit(False))
+    passed = held.where(~hit).select(*clicks.columns)
+    return passed.unionByName(filter_blacklisted(held.where(hit).select(*clicks.columns), blacklist))
+
+
 # The blacklist rule as SQL text over a table of partial counts.
 BLACKLIST_SQL = """
 SELECT user_id

@@ -99,7 +99,7 @@ def hourly_trend(
     """
     timed = clicks.where(F.col("ts").isNotNull())
     if pre_aggregate and bucketable(length, slide):
-        return spread_buckets(trend_buckets(timed, slide, by), length, slide, by)
+        return spread_buckets(trend_buckets(timed, slide, by), length, slide, by, aligned=True)
     windows = timed.groupBy(*by, F.window("ts", length, slide).alias("w")).agg(F.count(F.lit(1)).alias("clicks"))
     return windows.select(*by, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "clicks")
 
@@ -117,13 +117,28 @@ def trend_buckets(clicks: DataFrame, slide: str = DEFAULT_SLIDE, by: Sequence[st
 
 
 def spread_buckets(
-    buckets: DataFrame, length: str = DEFAULT_WINDOW, slide: str = DEFAULT_SLIDE, by: Sequence[str] = ("click_day", "adv_id")
+    buckets: DataFrame,
+    length: str = DEFAULT_WINDOW,
+    slide: str = DEFAULT_SLIDE,
+    by: Sequence[str] = ("click_day", "adv_id"),
+    aligned: bool = False,
 ) -> DataFrame:
-    """Sliding-window counts from bucket counts (any finer grouping allowed): `by..., window_start, window_end, clicks`."""
-    windows = buckets.groupBy(*by, F.window("bucket", length, slide).alias("w")).agg(
-        F.sum("clicks").cast("bigint").alias("clicks")
-    )
-    return windows.select(*by, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "clicks")
+    """Sliding-window counts from bucket counts (any finer grouping allowed): `by..., window_start, window_end, clicks`.
+
+    `aligned=True` is for buckets that are starts of `slide`-long ones (`trend_buckets`): their windows follow by
+    subtraction, without the filters that `window` puts on its input, so that what stands below keeps a plan
+    that Spark can reuse.
+    """
+    if not aligned:
+        windows = buckets.groupBy(*by, F.window("bucket", length, slide).alias("w")).agg(
+            F.sum("clicks").cast("bigint").alias("clicks")
+        )
+        return windows.select(*by, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "clicks")
+    step, span = interval_seconds(slide), interval_seconds(length)
+    starts = F.array(*[F.col("bucket") - F.expr(f"INTERVAL {at} SECONDS") for at in range(0, span, step)])
+    spread = buckets.select(*by, F.explode(starts).alias("window_start"), "clicks")
+    windows = spread.groupBy(*by, "window_start").agg(F.sum("clicks").cast("bigint").alias("clicks"))
+    return windows.select(*by, "window_start", (F.col("window_start") + F.expr(f"INTERVAL {span} SECONDS")).alias("window_end"), "clicks")
 
 
 def _time_literal(clicks: DataFrame, column: str, value: str) -> Column:

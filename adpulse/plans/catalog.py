@@ -22,6 +22,7 @@ from adpulse.operators.blacklist import (
     derive_blacklist,
     drop_flagged_users,
     filter_blacklisted,
+    filter_by_bitmap,
 )
 from adpulse.operators.counts import click_counts, total_click_counts, typed_click_counts
 from adpulse.operators.offsets import (
@@ -147,6 +148,13 @@ def q_filter_blacklisted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(with_geography(spark, sf_dir, left).select(*CLICK_OUT))
 
 
+def q_filter_by_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as `filter_blacklisted`, by the form for blacklists that cannot be broadcast."""
+    clicks = clicks_from_events(spark, sf_dir)
+    counts = click_counts(clicks_from_events(spark, sf_dir, geography=False))
+    return present(filter_by_bitmap(clicks, derive_blacklist(counts, TEST_THRESHOLD, distinct=False)).select(*CLICK_OUT))
+
+
 # ---- reports -------------------------------------------------------------------
 
 
@@ -172,7 +180,7 @@ def q_hourly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     clicks = clicks_from_events(spark, sf_dir, geography=False)
     buckets = trend_buckets(clicks, "10 minutes", by=("click_day", "user_id", "adv_id"))
     clean = drop_flagged_users(buckets, TEST_THRESHOLD)
-    return present(spread_buckets(clean, "1 hour", "10 minutes", by=("click_day", "adv_id")))
+    return present(spread_buckets(clean, "1 hour", "10 minutes", by=("click_day", "adv_id"), aligned=True))
 
 
 def q_trend_last_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,6 +274,7 @@ def batch_queries() -> dict[str, Query]:
         "blacklist_rows_sql": q_blacklist_rows_sql,
         "blacklist_default_threshold": q_blacklist_default_threshold,
         "filter_blacklisted": q_filter_blacklisted,
+        "filter_by_bitmap": q_filter_by_bitmap,
         "daily_city_ad_clicks": q_daily_city_ad_clicks,
         "top_ads_by_province": q_top_ads_by_province,
         "top_ads_by_day_province": q_top_ads_by_day_province,

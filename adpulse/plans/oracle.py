@@ -218,6 +218,9 @@ FROM messages GROUP BY batch_id, topic, "partition\"""",
 
 STATEMENTS.update(
     {
+        "filter_by_bitmap": STATEMENTS["filter_blacklisted"],
+        "stream_capped_blacklist": STATEMENTS["blacklist_users"],
+        "stream_running_top_ads": _top_ads("province", "province", "stream_clean"),
         "stream_daily_city_ad_clicks": _daily_city_ad_clicks("stream_clean"),
         "stream_blacklist_users": STATEMENTS["blacklist_users"],
         "stream_top_ads_by_province": _top_ads("province", "province", "stream_clean"),

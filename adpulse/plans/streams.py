@@ -33,6 +33,7 @@ from adpulse.streaming.feedback import (
     hourly_trend_so_far,
     published_blacklist,
     run_click_stream,
+    running_top_ads,
     stream_committed_offsets,
     stream_offset_ranges,
     top_ads_so_far,
@@ -79,14 +80,16 @@ def run_fixture_stream(
     threshold: int,
     seed: SeedReader | None = None,
     clean_to: CleanSink | None = None,
+    max_bytes: int = BYTES_PER_TRIGGER,
+    running_totals: bool = False,
 ) -> ClickTables:
     tables = ClickTables(fresh_dir(spark, "click_stream"))
 
     def start(log: str) -> StreamingQuery:
-        stream = read_click_stream(spark, path=log, max_bytes_per_trigger=BYTES_PER_TRIGGER)
+        stream = read_click_stream(spark, path=log, max_bytes_per_trigger=max_bytes)
         return run_click_stream(
             spark, stream, tables, group_id=LEDGER_GROUP, threshold=threshold, seed_path=seed,
-            trigger={"availableNow": True}, clean_to=clean_to,
+            trigger={"availableNow": True}, clean_to=clean_to, running_totals=running_totals,
         )
 
     replay_in_slices(spark, sf_dir, start)
@@ -101,6 +104,19 @@ def q_stream_blacklist_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published_blacklist(spark, run_fixture_stream(spark, sf_dir, TEST_THRESHOLD))
 
 
+def q_stream_capped_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blacklist of a stream whose cap, one byte, cuts every slice into a micro-batch per file.
+
+    Which users are flagged does not depend on where batches end.
+    """
+    return published_blacklist(spark, run_fixture_stream(spark, sf_dir, TEST_THRESHOLD, max_bytes=1))
+
+
+def q_stream_running_top_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top ads per province from running totals that each batch carries on."""
+    return running_top_ads(spark, run_fixture_stream(spark, sf_dir, TEST_THRESHOLD, running_totals=True))
+
+
 def q_stream_top_ads_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_ads_so_far(spark, run_fixture_stream(spark, sf_dir, TEST_THRESHOLD), by=("province",), n=3)
 
@@ -234,6 +250,8 @@ def stream_queries() -> dict:
         "stream_daily_city_ad_clicks": q_stream_daily_city_ad_clicks,
         "stream_blacklist_users": q_stream_blacklist_users,
         "stream_top_ads_by_province": q_stream_top_ads_by_province,
+        "stream_capped_blacklist": q_stream_capped_blacklist,
+        "stream_running_top_ads": q_stream_running_top_ads,
         "stream_committed_offsets": q_stream_committed_offsets,
         "stream_offset_ranges": q_stream_offset_ranges,
         "stream_trend_last_hour": q_stream_trend_last_hour,

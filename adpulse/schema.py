@@ -84,6 +84,16 @@ COUNT_SCHEMA = _kind_schema("user")
 CITY_COUNT_SCHEMA = _kind_schema("city")
 MINUTE_COUNT_SCHEMA = _kind_schema("minute")
 
+# Running totals per province and ad: batch k's rows are the totals of all batches up to k.
+PROVINCE_TOTALS_SCHEMA = T.StructType(
+    [
+        T.StructField("province", T.StringType()),
+        T.StructField("adv_id", T.StringType()),
+        T.StructField("clicks", T.LongType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
 BLACKLIST_SCHEMA = T.StructType([T.StructField("user_id", T.StringType())])
 
 # Committed position of a consumer group: the next offset to read.

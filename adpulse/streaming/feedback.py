@@ -60,6 +60,7 @@ from adpulse.schema import (
     COUNT_SCHEMA,
     DEFAULT_THRESHOLD,
     MINUTE_COUNT_SCHEMA,
+    PROVINCE_TOTALS_SCHEMA,
     RANGE_LOG_SCHEMA,
     START_SCHEMA,
 )
@@ -70,11 +71,13 @@ from adpulse.sinks.writers import (
     ensure_table,
     folder_values,
     is_written,
+    numbered_folders,
     publish_blacklist,
     read_batches,
     read_live,
     read_merged_days,
     read_one_batch,
+    remove_folder,
     write_batch,
 )
 from adpulse.sources.tables import load_blacklist
@@ -135,6 +138,10 @@ class ClickTables:
     def checkpoint(self) -> str:
         return f"{self.root}/_checkpoint"
 
+    @property
+    def province_totals(self) -> str:
+        return f"{self.root}/province_totals"
+
     @property
     def start(self) -> str:
         return f"{self.root}/start"
@@ -236,6 +243,39 @@ def touched_counts(spark: SparkSession, tables: ClickTables, batch_id: int) -> D
     return parts
 
 
+# Batches whose running totals stay readable.
+RETAINED_TOTALS = 10
+
+
+def write_running_totals(spark: SparkSession, tables: ClickTables, batch_id: int) -> None:
+    """Store the clicks per (province, ad) of all batches up to `batch_id`: the batch before's totals and its own counts.
+
+    One row per province and ad, whatever the number of batches. The first batch that keeps totals sums the
+    counts before it once. A replay reads the same batch before and leaves the same rows.
+    """
+    own = read_one_batch(spark, tables.city_counts, CITY_COUNT_SCHEMA, batch_id)
+    path = tables.province_totals
+    if is_written(spark, batch_path(path, batch_id - 1)):
+        before = read_one_batch(spark, path, PROVINCE_TOTALS_SCHEMA, batch_id - 1)
+    else:
+        before = read_batches(spark, tables.city_counts, CITY_COUNT_SCHEMA).where(F.col("batch_id") < batch_id)
+    keys = ("province", "adv_id")
+    rows = before.select(*keys, "clicks").unionByName(own.select(*keys, "clicks"))
+    write_batch(total_click_counts(rows, keys), path, batch_id)
+    for old in numbered_folders(spark, f"{path}/live", "batch_id"):
+        if old <= batch_id - RETAINED_TOTALS:
+            remove_folder(spark, batch_path(path, old))
+
+
+def running_top_ads(spark: SparkSession, tables: ClickTables, n: int = 3) -> DataFrame:
+    """Top-`n` ads per province from the newest running totals: no history is summed."""
+    written = numbered_folders(spark, f"{tables.province_totals}/live", "batch_id")
+    if not written:
+        return top_ads(spark.createDataFrame([], PROVINCE_TOTALS_SCHEMA), by=("province",), n=n, counted=True)
+    newest = read_one_batch(spark, tables.province_totals, PROVINCE_TOTALS_SCHEMA, written[-1])
+    return top_ads(newest, by=("province",), n=n, counted=True)
+
+
 def process_batch(
     spark: SparkSession,
     messages: DataFrame,
@@ -249,6 +289,7 @@ def process_batch(
     compact_every: int | None = DEFAULT_COMPACT_EVERY,
     clean_to: CleanSink | None = None,
     known_partitions: set[tuple[str, int]] | None = None,
+    running_totals: bool = False,
 ) -> None:
     """One micro-batch of the click stream (steps 1-4 of the module doc).
 
@@ -260,6 +301,8 @@ def process_batch(
     again: the clean clicks for `clean_to`, the messages for the quarantine or for ranges that cannot be observed.
     `known_partitions` are the topic partitions whose ranges are observed in that pass; the batch's own are added to it.
 
+    `running_totals` also keeps totals per province and ad (`write_running_totals`, read by `running_top_ads`).
+
     Every `compact_every` batches, the batch first merges the partitions of
     all batches before it (`compact_tables`), which keeps the number of
     directories a batch lists and reads bounded in a stream that never stops.
@@ -294,6 +337,8 @@ def process_batch(
             write_batch(parse_clicks(messages, mode="QUARANTINE")[1], tables.quarantine, batch_id)
         if clean_to is not None:
             clean_to(clean, batch_id)
+        if running_totals:
+            write_running_totals(spark, tables, batch_id)
 
         # Totals of the groups that this batch touched, from what is stored now.
         touched = touched_counts(spark, tables, batch_id).select("click_day", "user_id", "adv_id", "clicks")
@@ -334,6 +379,7 @@ def run_click_stream(
     query_name: str | None = None,
     compact_every: int | None = DEFAULT_COMPACT_EVERY,
     clean_to: CleanSink | None = None,
+    running_totals: bool = False,
 ) -> StreamingQuery:
     """Start the click stream over a streaming `messages` DataFrame (see `read_click_stream`).
 
@@ -365,6 +411,7 @@ def run_click_stream(
             compact_every=compact_every,
             clean_to=clean_to,
             known_partitions=known,
+            running_totals=running_totals,
         )
 
     writer = messages.writeStream.foreachBatch(each).option("checkpointLocation", tables.checkpoint)

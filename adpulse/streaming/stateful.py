@@ -189,5 +189,5 @@ def trend_from_state(spark: SparkSession, tables: TrendState, by: Sequence[str]
     added = rows.where("late").select(*key, "clicks")
     buckets = kept.unionByName(added).select("adv_id", F.timestamp_seconds("bucket").alias("bucket"), "clicks")
     buckets = buckets.withColumn("click_day", F.to_date("bucket"))
-    return spread_buckets(buckets, tables.length, tables.slide, by)
+    return spread_buckets(buckets, tables.length, tables.slide, by, aligned=True)
 

@@ -189,3 +189,67 @@ def test_any_as_of_from_minutes_and_clean_clicks(spark):
         stored = fb.trend_last_hour_so_far(spark, tables, as_of, clicks=clicks).collect()
         direct = trend_last_hour(parse_clicks(batch), as_of).collect()
         assert sorted(map(tuple, stored)) == sorted(map(tuple, direct)), as_of
+
+
+def exchanges(df):
+    """Rows that each shuffle of a plan that has run wrote."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif name == "ShuffleExchangeExec":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return found
+
+
+def test_the_bitmap_keeps_the_log_out_of_the_shuffle(spark):
+    from adpulse.operators.blacklist import filter_blacklisted, filter_by_bitmap
+
+    log, listed = fresh_dir(spark, "bitmap_log"), fresh_dir(spark, "bitmap_list")
+    users = "CASE WHEN id % 50 = 0 THEN NULL ELSE CAST(id AS STRING) END AS user_id"
+    spark.range(40_000).selectExpr(users, "id AS clicks").write.parquet(log)
+    spark.range(0, 200_000, 1).selectExpr("CAST(id * 97 AS STRING) AS user_id").unionByName(
+        spark.createDataFrame([(None,), ("97",)], BLACKLIST_SCHEMA)
+    ).write.parquet(listed)
+    clicks, blacklist = spark.read.parquet(log), spark.read.parquet(listed)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "1k")
+    try:
+        plain, pre = filter_blacklisted(clicks, blacklist), filter_by_bitmap(clicks, blacklist)
+        want, got = sorted(plain.collect(), key=repr), sorted(pre.collect(), key=repr)
+        assert got == want and len(got) == 40_000 - sum(1 for k in range(40_000) if k % 97 == 0 and k % 50)
+        assert 40_000 in exchanges(plain)  # the plain form shuffles the log
+        hits = sum(1 for k in range(40_000) if k % 97 == 0 and k % 50)
+        in_list, in_bitmap = 200_001, range(4_096, 4_096 * 9)  # entries that are not null; a row per bucket and task
+        others = [n for n in exchanges(pre) if n != in_list and n not in in_bitmap]
+        assert len(others) == 1 and hits <= others[0] <= hits + 200  # the hits, and few others by chance
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for bits in (1, 64, 1 << 15, 1 << 20):  # a bitmap that is far too small only lets more clicks into the exact join
+        assert filter_by_bitmap(clicks, blacklist, bits).count() == len(want)
+    assert filter_by_bitmap(clicks, blacklist.where("false")).count() == 40_000
+
+
+def test_running_totals_read_one_batch_whatever_came_before(spark):
+    tables = fb.ClickTables(fresh_dir(spark, "running"))
+    tables.create(spark)
+    assert fb.running_top_ads(spark, tables).count() == 0
+    fb.process_batch(spark, day_batch(spark, 1), 0, tables, group_id="g")  # kept from batch 1 on
+    read = []
+    for k in range(1, 14):
+        for _ in range(2):  # each batch is replayed
+            fb.process_batch(spark, day_batch(spark, k + 1), k, tables, group_id="g", running_totals=True, compact_every=4)
+        if k in (2, 13):
+            report = fb.running_top_ads(spark, tables)
+            read.append(files_read(report))
+            want = fb.top_ads_so_far(spark, tables)
+            assert sorted(map(tuple, report.collect())) == sorted(map(tuple, want.collect()))
+    assert read[0] == read[1]
