@@ -1,20 +1,23 @@
 """Operator 10: shards by a hierarchical weighted hash tree (DataFrame functions only).
 
-A tree of regions, racks and shards; every shard has a weight. A key descends it:
-at each level it goes to the child with the smallest weighted draw. A shard's draw
-is -ln(u) / weight with u from a hash of (key, shard); the draw of a rack or region
-is the smallest of the shards below, which is distributed as a draw with their
-summed weight. So a child is chosen in proportion to the weight below it, and since
-a change of one shard's weight (or a new shard) touches only the draws on its own
-path, keys move only into a shard that grew or out of one that shrank.
-
-The law is `key`: doc_id and the shards decide. Slots number a shard's rows from 0:
-rows are numbered within hash buckets of a shard, and the buckets' sizes give the
-offsets, so no task holds a whole shard.
+A tree of regions, racks and shards; every shard has a weight, a rack or region the sum of those below. A key
+descends it: at each level it goes to the child with the smallest draw -ln(u) / weight, u from a hash of (key,
+child), so children are chosen in proportion to their weights; only the children of the nodes on its way are drawn,
+not the other shards of the tree.
+
+What a change moves: draws of nodes whose weight is unchanged stay as they are, so a key moves only where a node
+on its old or new path changed its weight. A shard that is added in a node of its own (a new region, as the 41st
+shard is here) changes no other weight: keys move into it alone. A shard added inside a rack makes that rack and its
+region heavier: keys also move into that region from others, and within it into that rack, where they may land
+on any of its shards; between subtrees of unchanged weight nothing moves.
+
+The law is `key`: doc_id and the shards decide. Slots number a shard's rows from 0: distinct rows are numbered
+within hash buckets of a shard, equal ones counted, and the buckets' sizes give the offsets, so no task holds a
+whole shard, nor all of many equal rows.
 
 A null doc_id is a key of its own. Rows that repeat a doc_id share its shard and
 have slots of their own. Null texts have no bytes; their crc32 is that of the
-empty text. Extra columns are ignored.
+empty text. Very long texts are measured whole; empty tables give no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ SHARDS_PER_RACK = 5
 RACKS_PER_REGION = 2
 ROW_BYTES = 16
 ROWS_PER_BUCKET = 20_000
+#: So many equal rows are written out by one task.
+EQUALS_PER_TASK = 100_000
 
 
 def hash_tree(weights: Sequence[float]) -> list[list[list[tuple[int, float]]]]:
@@ -45,25 +50,32 @@ def hash_tree(weights: Sequence[float]) -> list[list[list[tuple[int, float]]]]:
 
 def tree_shard(key: Column, weights: Sequence[float]) -> Column:
     """The shard that `key` descends to in the tree of `weights` (0 keeps a shard empty)."""
-    literals = F.array(
-        *[
-            F.array(*[F.array(*[F.struct(F.lit(s).alias("shard"), F.lit(w).alias("weight")) for s, w in rack if w > 0]) for rack in racks if any(w > 0 for _, w in rack)])
-            for racks in hash_tree(weights)
-            if any(w > 0 for rack in racks for _, w in rack)
-        ]
-    )
 
-    def draw(leaf: Column) -> Column:
-        u = (F.shiftrightunsigned(F.xxhash64(key, leaf["shard"]), 11).cast("double") + 0.5) / float(1 << 53)
-        return F.struct((-F.log(u) / leaf["weight"]).alias("draw"), leaf["shard"].alias("shard"))
+    def node(name: str, weight: float, below: Column) -> Column:
+        return F.struct(F.lit(name).alias("name"), F.lit(weight).alias("weight"), below.alias("below"))
+
+    def weight_of(shards: list[tuple[int, float]]) -> float:
+        return sum(w for _, w in shards)
+
+    regions, number = [], 0
+    for at, racks in enumerate(hash_tree(weights)):
+        held = []
+        for rack in racks:
+            shards = F.array(*[node(f"shard {s}", w, F.lit(s)) for s, w in rack if w > 0])
+            if weight_of(rack) > 0:
+                held.append(node(f"rack {number}", weight_of(rack), shards))
+            number += 1
+        if held:
+            regions.append(node(f"region {at}", sum(weight_of(rack) for rack in racks), F.array(*held)))
 
-    def rack_draw(rack: Column) -> Column:
-        return F.array_min(F.transform(rack, draw))
+    def chosen(children: Column) -> Column:
+        def draw(child: Column) -> Column:
+            u = (F.shiftrightunsigned(F.xxhash64(key, child["name"]), 11).cast("double") + 0.5) / float(1 << 53)
+            return F.struct((-F.log(u) / child["weight"]).alias("draw"), child["name"], child["below"].alias("below"))
 
-    def region_draw(region: Column) -> Column:
-        return F.array_min(F.transform(region, rack_draw))
+        return F.array_min(F.transform(children, draw))["below"]
 
-    return F.array_min(F.transform(literals, region_draw))["shard"]
+    return chosen(chosen(chosen(F.array(*regions))))
 
 
 def sharded(docs: DataFrame, weights: Sequence[float] = (1.0,) * SHARDS, grown: Sequence[float] | None = None) -> DataFrame:
@@ -85,15 +97,24 @@ def sharded(docs: DataFrame, weights: Sequence[float] = (1.0,) * SHARDS, grown:
     buckets = max(1, rows.count() // (ROWS_PER_BUCKET * len(weights)) + 1)
     # Bucket numbers are in the order of nothing: they only cut a shard into pieces of bounded size.
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size", "text_crc32", F.lit(3)), F.lit(buckets)))
-    counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias("before"))
-    place = Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size")
-    return (
-        rows.withColumn("place", F.row_number().over(place) - 1)
-        .join(offsets, ["shard", "bucket"])
-        .select(
-            "doc_id", "size", "text_crc32", F.lit("key").alias("law"), F.col("shard").cast("int").alias("shard"),
-            (F.col("before") + F.col("place")).alias("slot"), F.col("grown_shard").cast("int").alias("grown_shard"),
-        )
+    # Equal rows are one row with their number from here on: however many there are, no task sorts them.
+    rows = rows.groupBy("shard", "bucket", "doc_id", "text_crc32", "size", "grown_shard").agg(F.count("*").alias("n"))
+    rows = staged(rows, "shard_distinct")
+    counts = rows.groupBy("shard", "bucket").agg(F.sum("n").alias("n"))
+    unbounded = Window.unboundedPreceding
+    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(unbounded, -1)
+    zero = F.lit(0).cast("long")
+    offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), zero).alias("before"))
+    place = Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size").rowsBetween(unbounded, -1)
+    placed = rows.withColumn("place", F.coalesce(F.sum("n").over(place), zero)).join(offsets, ["shard", "bucket"])
+    many = rows.agg(F.max("n")).first()[0] or 0
+    # Written out in pieces: beyond `EQUALS_PER_TASK` equal rows, other tasks take the rest.
+    pieces = placed.withColumn("piece", F.explode(F.sequence(zero, F.expr(f"(n - 1) div {EQUALS_PER_TASK}"))))
+    if many > EQUALS_PER_TASK:
+        pieces = pieces.repartition("shard", "bucket", "doc_id", "piece")
+    first = F.col("piece") * EQUALS_PER_TASK
+    last = F.least(F.col("n"), first + EQUALS_PER_TASK) - 1
+    return pieces.withColumn("equal", F.explode(F.sequence(first, last))).select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), F.col("shard").cast("int").alias("shard"),
+        (F.col("before") + F.col("place") + F.col("equal")).alias("slot"), F.col("grown_shard").cast("int").alias("grown_shard"),
     )
