@@ -4,7 +4,7 @@ Rules (host, path, verdict) decide the urls they fit; the longest fitting one wi
 The others are judged by the template of their path:
 
 1. Path segments become classes: numbers are `<n>`, long hexadecimal strings `<x>`,
-   a file extension stays. Beyond `DEPTH` segments the rest is one segment `**`.
+   a file extension stays. All segments count, however many.
 2. Per host and parent template, segment by segment, values that are many and rare
    become a wildcard: `*block` or `*allow` where more of the value's urls have that
    label than the other and than none, else `*`. So a wildcard never brings blocked
@@ -19,11 +19,12 @@ that of the distinct paths after step 1, and hot hosts are summed before the shu
 
 A null url or one without `://` has an empty host and path, fits no rule and belongs
 to the template of no segments of the empty host. Rows that repeat are judged alike.
-Extra columns are ignored.
+Very long urls are judged whole; empty tables give no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -38,7 +39,6 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-DEPTH = 6
 #: Values under one parent become a wildcard if there are more than MANY and a value has less than RARE of the urls.
 MANY = 12
 RARE = 0.05
@@ -74,22 +74,28 @@ def segment_classes(path: Column) -> Column:
         segments,
         lambda s: F.regexp_replace(F.regexp_replace(s, r"(?i)^(?=.*\d)[0-9a-f]{8,}(?=$|\.)", "<x>"), r"\d+", "<n>"),
     )
-    return F.when(F.size(classes) > DEPTH, F.concat(F.slice(classes, 1, DEPTH), F.array(F.lit("**")))).otherwise(classes)
+    return classes
 
 
 def template_tree(counts: DataFrame) -> DataFrame:
-    """`host`, `classes`, `template` from `counts` (`host`, `classes`, `blocked`, `allowed`, `open`)."""
+    """`host`, `classes`, `template` from `counts` (`host`, `classes`, `blocked`, `allowed`, `open`).
+
+    Grows by one segment a round, as long as some node has several paths that go on. A path that is alone under its
+    node has nothing left to be merged with: it is its own template from there on, however long it is.
+    """
     tree = staged(counts.withColumn("template", F.array().cast("array<string>")), "url_tree0")
-    for depth in range(1, DEPTH + 2):
-        here = F.when(F.size("classes") >= depth, F.get("classes", F.lit(depth - 1)))
-        rows = tree.withColumn("segment", here)
+    grown_out: list[DataFrame] = []
+    depth = 0
+    while not tree.isEmpty():
+        depth += 1
+        rows = tree.withColumn("segment", F.get("classes", F.lit(depth - 1)))
         kids = (
             rows.filter("segment IS NOT NULL")
             .groupBy("host", "template", "segment")
-            .agg(*[F.sum(c).alias(c) for c in ("blocked", "allowed", "open")])
+            .agg(F.count("*").alias("paths"), *[F.sum(c).alias(c) for c in ("blocked", "allowed", "open")])
         )
         parents = kids.groupBy("host", "template").agg(
-            F.count("*").alias("kinds"), *[F.sum(c).alias(f"all_{c}") for c in ("blocked", "allowed", "open")]
+            F.count("*").alias("kinds"), F.sum("paths").alias("all_paths"), *[F.sum(c).alias(f"all_{c}") for c in ("blocked", "allowed", "open")]
         )
         n = F.col("blocked") + F.col("allowed") + F.col("open")
         whole = F.col("all_blocked") + F.col("all_allowed") + F.col("all_open")
@@ -106,13 +112,19 @@ def template_tree(counts: DataFrame) -> DataFrame:
         most = lambda c, *others: F.col(c) > F.greatest(*others)
         wildcard = F.when(most("blocked", "allowed", "open"), "*block").when(most("allowed", "blocked", "open"), "*allow").otherwise("*")
         named = kids.join(parents, ["host", "template"]).select(
-            "host", "template", "segment", F.when(rare, wildcard).when(alike, F.lit("~")).otherwise(F.col("segment")).alias("name")
-        )
+            "host", "template", "segment", F.when(rare, wildcard).when(alike, F.lit("~")).otherwise(F.col("segment")).alias("name"),
+            (F.col("all_paths") == 1).alias("alone"),
+        )
+        rest = F.slice("classes", depth, F.greatest(F.size("classes") - (depth - 1), F.lit(0)))
+        template = F.when(F.col("name").isNull(), F.col("template")).when(F.col("alone"), F.concat("template", rest))
         grown = rows.join(named, ["host", "template", "segment"], "left").withColumn(
-            "template", F.when(F.col("name").isNull(), F.col("template")).otherwise(F.concat("template", F.array("name")))
+            "template", template.otherwise(F.concat("template", F.array("name")))
         )
-        tree = staged(grown.drop("segment", "name"), f"url_tree{depth}")
-    return tree
+        ended = F.coalesce("alone", F.lit(False)) | (F.size("classes") <= depth)
+        grown = staged(grown.withColumn("ended", ended).drop("segment", "name", "alone"), f"url_tree{depth}")
+        grown_out.append(grown.filter("ended").drop("ended"))
+        tree = grown.filter("NOT ended").drop("ended")
+    return functools.reduce(DataFrame.unionAll, grown_out, tree)
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:

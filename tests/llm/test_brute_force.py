@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import xxhash
 import pytest
 
 from adpulse.llm import (
@@ -238,6 +239,91 @@ def test_template_tree(spark):
     assert {r["verdict"] for r in found if r["path"].startswith("/es")} == {"block"}
 
 
+def _brute_tree(pages):
+    """page -> (template, verdict) by the definition, node by node."""
+    paths = defaultdict(lambda: [0, 0, 0])
+    of = {}
+    for page, url in pages:
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+        host, path = (m[1].lower(), m[2]) if m else ("", "")
+        rules = [(len(h + p), v) for h, p, v in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        said = max(rules, default=(0, None))[1]
+        hexed = [re.sub(r"(?i)^(?=.*\d)[0-9a-f]{8,}(?=$|\.)", "<x>", x) for x in path.split("/") if x]
+        classes = tuple(re.sub(r"\d+", "<n>", x) for x in hexed)
+        paths[host, classes][{"block": 0, "allow": 1, None: 2}[said]] += 1
+        of[page] = host, classes, said
+    template = {}
+
+    def grow(host, node, members, depth):
+        on = [c for c in members if len(c) > depth]
+        template.update({(host, c): node for c in members if len(c) <= depth})
+        kids = defaultdict(list)
+        for c in on:
+            kids[c[depth]].append(c)
+        total = [sum(paths[host, c][k] for c in on) for k in range(3)]
+        named = defaultdict(list)
+        for segment, held in kids.items():
+            own = [sum(paths[host, c][k] for c in held) for k in range(3)]
+            n, whole = sum(own), sum(total)
+            apart = sum((own[k] - n * total[k] / whole) ** 2 / (n * total[k] / whole) for k in range(3) if total[k])
+            name = segment
+            if len(kids) > 12 and n < 0.05 * whole:
+                name = "*block" if own[0] > max(own[1:]) else "*allow" if own[1] > max(own[0], own[2]) else "*"
+            elif len(kids) > 1 and apart <= 5.991:
+                name = "~"
+            named[name] += held
+        for name, held in named.items():
+            grow(host, (*node, name), held, depth + 1)
+
+    for host in {h for h, _ in paths}:
+        grow(host, (), [c for h, c in paths if h == host], 0)
+    blocked, allowed = (sum(n[k] for n in paths.values()) for k in (0, 1))
+    prior = blocked / max(blocked + allowed, 1)
+    counts = defaultdict(lambda: [0, 0])
+    for (host, classes), n in paths.items():
+        counts[host, template[host, classes]][0] += n[0]
+        counts[host, template[host, classes]][1] += sum(n)
+    out = {}
+    for page, (host, classes, said) in of.items():
+        bad, n = counts[host, template[host, classes]]
+        verdict = said or ("block" if (bad + 5 * prior) / (n + 5) >= 0.8 else "allow")
+        out[page] = "/" + "/".join(template[host, classes]), verdict
+    return out
+
+
+def _judged(frame):
+    return {r["page_id"]: (r["template"], r["verdict"]) for r in url_filter.judge_urls(frame).collect()}
+
+
+def test_templates_and_verdicts_equal_brute_force(spark):
+    pages = spark.read.parquet(f"{SF2}/pages.parquet")
+    assert _judged(pages) == _brute_tree([(r["page_id"], r["url"]) for r in pages.collect()])
+    rng = np.random.default_rng(4)
+    urls = []
+    for _ in range(900):  # wide and deep hosts, with rule-blocked branches
+        parts = [f"{rng.choice(list('abcdefghijklmnopqrst'))}{rng.choice(['', 'x'])}" for _ in range(int(rng.integers(0, 12)))]
+        lead = rng.choice(["es", "fr", "it", ""], p=[0.3, 0.1, 0.3, 0.3])
+        urls.append(f"http://{rng.choice(['w', 'v'])}.net/" + "/".join([x for x in [lead, *parts] if x]))
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    assert _judged(frame) == _brute_tree(list(enumerate(urls)))
+
+
+def test_branches_below_the_sixth_segment_have_verdicts_of_their_own(spark):
+    """Two branches that part at segment 8; a rule names the first, and urls that it misses are judged by the template."""
+    deep = "/a/b/c/d/e/f/g"
+    rules = [("h.org", f"{deep}/bad/", "block")]
+    rows = [f"http://h.org{deep}/bad/{k}" for k in range(40)] + [f"http://h.org{deep}/good/{k}" for k in range(40)]
+    long_one = "http://h.org/" + "/".join(f"p{chr(97 + k % 26)}{'q' * (k // 26)}" for k in range(2000))
+    rows += [long_one, long_one + "/x"]
+    frame = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    found = {r["page_id"]: r for r in url_filter.judge_urls(frame.filter("page_id < 80"), rules).collect()}
+    assert {found[k]["template"] for k in range(40)} == {f"{deep}/bad/<n>"}
+    assert {found[k]["template"] for k in range(40, 80)} == {f"{deep}/good/<n>"}
+    assert {found[k]["verdict"] for k in range(40)} == {"block"} and {found[k]["verdict"] for k in range(40, 80)} == {"allow"}
+    lone = url_filter.judge_urls(frame.filter("page_id = 80 OR page_id < 3"), rules).collect()
+    assert [len(r["template"].split("/")) for r in lone if r["page_id"] == 80] == [2001]
+
+
 # 5, 7 ---------------------------------------------------------------------------------------
 
 
@@ -436,7 +522,60 @@ def test_weights_and_movement(spark):
     count = Counter(r["shard"] for r in rows)
     for shard, weight in enumerate(weights):
         assert abs(count[shard] - 20000 * weight / sum(weights)) < 5 * math.sqrt(20000 * weight / sum(weights)) + 1e-9
-    assert all(r["grown_shard"] in (r["shard"], 3) for r in rows)
+    # Region 0 has the racks of shards 0-4 and 5-9. Keys move only where a weight on their path changed.
+    for r in rows:
+        old, new = r["shard"], r["grown_shard"]
+        if old // 10 != new // 10:
+            assert new // 10 == 0
+        elif old // 5 != new // 5:
+            assert new // 5 == 0
+        else:
+            assert new in (old, 3)
+    assert sum(r["grown_shard"] != r["shard"] for r in rows) < 20000 * 2.5 * 2 / sum(grown)
+
+
+def _descent(key: str, weights: list[float]) -> int:
+    """The shard by the tree's definition: level by level, the child of the least -ln(u) / weight."""
+
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+
+    def draw(name, weight):
+        first = xxhash.xxh64_intdigest(key.encode(), seed=42)
+        u = ((xxhash.xxh64_intdigest(name.encode(), seed=first) >> 11) + 0.5) / (1 << 53)
+        return -math.log(u) / weight
+
+    shards = [(k, w) for k, w in enumerate(weights) if w > 0]
+    for width, name in ((10, "region"), (5, "rack"), (1, "shard")):
+        total = Counter()
+        for k, w in shards:
+            total[k // width] += w
+        best = min(total, key=lambda at: draw(f"{name} {at}", total[at]))
+        shards = [(k, w) for k, w in shards if k // width == best]
+    return shards[0][0]
+
+
+def test_every_key_descends_the_tree(spark):
+    docs = spark.read.parquet(f"{SF2}/documents.parquet")
+    weights = [1.0] * 40
+    for r in sharding.sharded(docs).collect():
+        key = str(r["doc_id"])
+        assert (r["shard"], r["grown_shard"]) == (_descent(key, weights), _descent(key, [*weights, 1.0]))
+    uneven = [1.0, 2.0, 0.0, 4.0, 1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0, 5.0, 0.5]
+    keys = spark.range(500).selectExpr("id AS doc_id", "'' AS text")
+    for r in sharding.sharded(keys, uneven).collect():
+        assert r["shard"] == _descent(str(r["doc_id"]), uneven)
+
+
+def test_many_equal_rows_have_slots_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "EQUALS_PER_TASK", 7)
+    rows = [(None, "same")] * 400 + [(3, "x")] * 30 + [(3, "y")] * 20 + [(k, "z") for k in range(100)]
+    found = sharding.sharded(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    slots = defaultdict(list)
+    for r in found:
+        slots[r["shard"]].append(r["slot"])
+    assert len(found) == len(rows) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert Counter(r["doc_id"] for r in found)[None] == 400 and len({r["shard"] for r in found if r["doc_id"] is None}) == 1
 
 
 def test_repeated_lines(spark):
