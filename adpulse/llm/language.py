@@ -7,12 +7,14 @@ chance its classifier did on documents left out of its fit. A text whose two bes
 codewords are close is flagged ambiguous.
 
 The fit takes a sample of labelled documents of at most about `PER_LANGUAGE` rows
-per language, chosen by a hash of doc_id among those that are not held out
-(crc32(doc_id) mod 5 is not 0). Predictions take the whole text and nothing else.
+per language and `MOST_ROWS` in all, chosen by a hash of doc_id and text among those that are not
+held out (crc32(doc_id) mod 5 is not 0); equal rows count once. The driver holds 32 KB a row, and solves in the
+rows or in the `BINS` features, whichever are fewer. Predictions take the whole text and nothing else.
 
 A null text, or one without a letter, is `und` with score 0 (so is every text if
 nothing could be learned). Rows that repeat a doc_id are predicted one by one. Rows
-with a null doc_id count as the empty id. Extra columns are ignored.
+with a null doc_id count as the empty id. Very long texts are read whole, piece by piece; empty tables give no
+rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 from adpulse.llm.common import fold, pick, scrambled, small_batches
 
 PER_LANGUAGE = 400
+MOST_ROWS = 16_384
 BINS = 1 << 13
 RIDGE = 0.02
 #: Two codewords are close if their shares of the summed likelihood differ by less.
@@ -75,13 +78,24 @@ class Decoder:
         share = np.bincount(labels, minlength=len(languages))[labels]
         scale = np.sqrt(n / (len(languages) * share))[:, None]
         x *= scale.astype(x.dtype)  # in place: the sample is the largest thing on the driver
-        inverse = (x @ x.T).astype(np.float64)
-        inverse[np.diag_indices(n)] += RIDGE * n / len(languages) / 10
-        inverse = np.linalg.inv(inverse)
-        duals = inverse @ (targets * scale)
-        self.weights = (x.T @ duals.astype(x.dtype)).astype(np.float64)
-        # What each classifier says of a document that it was not fitted on, in closed form.
-        left_out = targets - (duals / np.diag(inverse)[:, None]) / scale
+        ridge = RIDGE * n / len(languages) / 10
+        # Beside the weights, what each classifier says of a document that it was not fitted on, in closed form.
+        if n <= BINS:
+            inverse = (x @ x.T).astype(np.float64)
+            inverse[np.diag_indices(n)] += ridge
+            inverse = np.linalg.inv(inverse)
+            duals = inverse @ (targets * scale)
+            self.weights = (x.T @ duals.astype(x.dtype)).astype(np.float64)
+            missed = duals / np.diag(inverse)[:, None]
+        else:
+            inverse = (x.T @ x).astype(np.float64)
+            inverse[np.diag_indices(BINS)] += ridge
+            inverse = np.linalg.inv(inverse).astype(x.dtype)
+            self.weights = (inverse @ (x.T @ (targets * scale).astype(x.dtype))).astype(np.float64)
+            said = x @ self.weights.astype(x.dtype)
+            reach = np.concatenate([((p @ inverse) * p).sum(axis=1) for p in np.array_split(x, -(-n // 1024))])
+            missed = (targets * scale - said) / (1 - reach)[:, None]
+        left_out = targets - missed / scale
         right = (np.sign(left_out) == targets).mean(axis=0)
         self.bit_weights = np.maximum(2 * right - 1, 0.01)
         self.bit_weights /= self.bit_weights.sum()
@@ -111,12 +125,14 @@ def _sampled(docs: DataFrame) -> DataFrame:
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 0))
     counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
     # One row per language.
-    shares = {r["lang"]: min(1.0, PER_LANGUAGE / r["n"]) for r in counts.toLocalIterator()}
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(5), "doc_id"), 11).cast("double") / F.lit(float(1 << 53))
+    held = {r["lang"]: r["n"] for r in counts.toLocalIterator()}
+    wanted = min(PER_LANGUAGE, max(1, MOST_ROWS // max(1, len(held))))
+    shares = {lang: min(1.0, wanted / n) for lang, n in held.items()}
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(5), "doc_id", "text"), 11).cast("double") / F.lit(float(1 << 53))
     if not shares:
         return labelled.filter("false")
     keep = F.element_at(F.create_map(*[F.lit(v) for pair in shares.items() for v in pair]), F.col("lang"))
-    return labelled.filter(draw < keep)
+    return labelled.filter(draw < keep).dropDuplicates(["doc_id", "lang", "text"])
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
