@@ -12,13 +12,13 @@ less bytes with the toxic one) is a feature; a logistic calibration over the gai
 of a document's windows, fitted on the same sample, gives its score.
 
 The sample is at most about `PER_CLASS` documents of each label, chosen by a hash of
-doc_id among documents that are not held out, of at most `SAMPLE_BYTES` bytes each.
+doc_id and text among documents that are not held out, of at most `SAMPLE_BYTES` bytes each; equal rows count once.
 Scores see whole texts, window by window, and nothing else.
 
 A null or empty text has no windows and gets the calibrated score of a text without
 gains. Where one label has no example, all scores are 0 (or 1 if all are toxic).
 Rows that repeat a doc_id are scored one by one; a doc_id labelled twice is toxic if
-one label says so. Extra columns are ignored.
+one label says so. Very long texts are scored whole, empty tables give no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ SAMPLE_BYTES = 1 << 16
 WINDOW = 96
 STEP = 80
 WIDTH = 2
-SHORTEST, LONGEST = 3, 12
+SHORTEST = 3
 #: A beginning is toxic if this many times as frequent (plus DOUBT documents) among toxic documents, and in LEAST of them.
 TIMES, DOUBT, LEAST = 10, 3, 3
 #: A form grows while the longer one occurs in this share of the shorter one's documents.
@@ -50,22 +50,33 @@ _CODES = scrambled(256, 77).view(np.uint8).reshape(256, 8)[:, :WIDTH]
 _WORDS = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 
 
-def beginnings(data: bytes) -> set[bytes]:
-    """Word beginnings of SHORTEST to LONGEST bytes."""
-    return {w[:n] for w in set(_WORDS.findall(data)) for n in range(SHORTEST, min(len(w), LONGEST) + 1)}
+def frequent_beginnings(toxic: list[bytes], ordinary: list[bytes]) -> tuple[Counter[bytes], Counter[bytes]]:
+    """Word beginnings from SHORTEST bytes on that LEAST toxic documents hold: in how many toxic and ordinary ones.
+
+    Byte by byte, as long as some beginning is that frequent: a longer one can be so only if the shorter one is.
+    """
+    toxic_words, ordinary_words = ([set(_WORDS.findall(data)) for data in docs] for docs in (toxic, ordinary))
+    count: Counter[bytes] = Counter()
+    normal: Counter[bytes] = Counter()
+    size = SHORTEST
+    while toxic_words:
+        here = Counter(p for words in toxic_words for p in {w[:size] for w in words if len(w) >= size})
+        here = Counter({p: n for p, n in here.items() if n >= LEAST})
+        count.update(here)
+        toxic_words, ordinary_words = (
+            [kept for words in held if (kept := {w for w in words if w[:size] in here})] for held in (toxic_words, ordinary_words)
+        )
+        normal.update(p for words in ordinary_words for p in {w[:size] for w in words})
+        size += 1
+    return count, normal
 
 
 def toxic_forms(toxic: list[bytes], ordinary: list[bytes]) -> tuple[list[bytes], set[bytes]]:
     """Forms, rarest first, and all toxic beginnings. Equal documents count once."""
     toxic, ordinary = list(dict.fromkeys(toxic)), list(dict.fromkeys(ordinary))
-    count: Counter[bytes] = Counter()
-    normal: Counter[bytes] = Counter()
-    for data in toxic:
-        count.update(beginnings(data))
-    for data in ordinary:
-        normal.update(beginnings(data))
+    count, normal = frequent_beginnings(toxic, ordinary)
     odds = TIMES * len(toxic) / len(ordinary)
-    found = {p for p, n in count.items() if n >= LEAST and n >= odds * (normal[p] + DOUBT)}
+    found = {p for p, n in count.items() if n >= odds * (normal[p] + DOUBT)}
     longer: dict[bytes, list[bytes]] = {}
     for p in found:
         longer.setdefault(p[:-1], []).append(p)
@@ -107,6 +118,8 @@ class Scorer:
         if self.constant is not None:
             return
         forms, found = toxic_forms(toxic, ordinary)
+        # Windows overlap by the longest form, so that each form lies whole in one of them.
+        self.window = STEP + max(WINDOW - STEP, 1 + max(map(len, forms), default=0))
         pieces = ordinary_pieces(forms, found, ordinary)
         self.ordinary_part = recoded(GAP.join(pieces) + GAP)
         self.toxic_part = recoded(GAP.join(b" " + form for form in forms) + GAP)
@@ -142,13 +155,13 @@ class Scorer:
         return self.compressors
 
     def gains(self, data: bytes) -> tuple[float, float, float, float]:
-        """Mean positive gain, mean gain, share of windows that gain clearly, and the largest gain."""
+        """Mean positive gain, mean gain, share of windows that gain clearly, and the largest gain (its logarithm)."""
         plain, toxic = self._ready()
         data = recoded(b" " + data.lower())
-        step, size = STEP * WIDTH, WINDOW * WIDTH
+        step, size = STEP * WIDTH, self.window * WIDTH
         windows = (data[at : at + size] for at in range(0, len(data), step))
         found = np.array([len(plain(w)) - len(toxic(w)) for w in windows])
-        return found.clip(0).mean(), found.mean(), (found >= 2).mean(), min(found.max(), 12)
+        return found.clip(0).mean(), found.mean(), (found >= 2).mean(), np.log1p(max(found.max(), 0))
 
     def score(self, data: bytes) -> float:
         if self.constant is not None:
@@ -162,14 +175,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
     known = pick(labels, "doc_id", "toxic").select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
     known = known.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (fold(F.col("doc_id")) != 0))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(7), "doc_id"), 11).cast("double") / F.lit(float(1 << 53))
-    share = F.when(F.col("toxic") == 1, PER_CLASS / max(1, counts.get(1, 0))).otherwise(PER_CLASS / max(1, counts.get(0, 0)))
-    chosen = known.filter(draw < share)
     texts = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    texts = texts.filter((F.octet_length("text") <= SAMPLE_BYTES) & (fold(F.col("doc_id")) != 0) & (draw < F.lit(
-        PER_CLASS / max(1, min(counts.values(), default=1)))))
-    rows = texts.join(chosen, "doc_id").select("doc_id", "toxic", "text").collect()  # the bounded sample
+    texts = texts.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") <= SAMPLE_BYTES) & (fold(F.col("doc_id")) != 0))
+    per_label = texts.select("doc_id").join(known, "doc_id").groupBy("toxic").agg(F.count("*").alias("n"))
+    counts = {r["toxic"]: r["n"] for r in per_label.collect()}  # two rows
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(7), "doc_id", "text"), 11).cast("double") / F.lit(float(1 << 53))
+    share = F.when(F.col("toxic") == 1, PER_CLASS / max(1, counts.get(1, 0))).otherwise(PER_CLASS / max(1, counts.get(0, 0)))
+    most = PER_CLASS / max(1, min(counts.values(), default=1))
+    drawn = texts.withColumn("draw", draw).filter(F.col("draw") < most)
+    rows = drawn.join(known, "doc_id").filter(F.col("draw") < share).dropDuplicates(["doc_id", "text"])
+    rows = rows.select("doc_id", "toxic", "text").collect()  # the bounded sample
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     sample = {k: [r["text"].encode().lower() for r in rows if r["toxic"] == k] for k in (0, 1)}
     return Scorer(sample[1], sample[0])
