@@ -13,19 +13,21 @@ that precedes it in descending order, and a block is read as a sorted stream.
 
 Null and empty texts have the empty fingerprint; two empty ones are alike (1.0),
 an empty and another one are not (0.0). Rows with a null doc_id come last in the
-descending order; rows that repeat a doc_id are ordered by a hash of their text.
-A single document is its own neighbour. Extra columns are ignored.
+descending order; rows that repeat a doc_id are ordered by a hash of their text, and first by
+block where they fill several. A single document is its own neighbour. Very long texts are parsed whole; empty
+tables give no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adpulse.llm.common import U64, mix, pick, powers, small_batches
@@ -134,52 +136,67 @@ def _fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_pylist(done, schema=schema)
 
 
-def _block_of(key, borders: list[int]):
+def _longs(values: list[int]) -> Column:
+    """An array literal, parsed in one call."""
+    return F.expr(f"array({', '.join(f'{x}L' if x > _NULL_ID else f'CAST({x} AS LONG)' for x in values)})")
+
+
+def _block_of(key: Column, borders: list[int]) -> Column:
     """The number of `borders` (ascending) below `key`, looked up in two steps."""
     if not borders:
         return F.lit(0)
     width = max(1, math.isqrt(len(borders)))
     groups = [borders[at : at + width] for at in range(0, len(borders), width)]
-    group = F.size(F.filter(F.array(*[F.lit(g[-1]) for g in groups]), lambda x: x < key))
-    table = F.array(*[F.array(*[F.lit(x) for x in g]) for g in groups])
-    within = F.element_at(table, F.least(group, F.lit(len(groups) - 1)) + 1)
+    group = F.size(F.filter(_longs([g[-1] for g in groups]), lambda x: x < key))
+    within = F.slice(_longs(borders), group * width + 1, F.lit(width))
     inner = F.when(group < len(groups), F.size(F.filter(within, lambda x: x < key))).otherwise(0)
     return F.least(group * width, F.lit(len(borders))) + inner
 
 
+def _dealt(docs: DataFrame, blocks: int) -> DataFrame:
+    """`docs` with `key`, `tie` and `block`, ascending blocks holding ascending keys.
+
+    An id that fills several blocks alone (null ids, say, or one that repeats) gets as many blocks of its own, between
+    those of smaller and greater ids; its rows are dealt to them by where they were read.
+    """
+    key = F.coalesce("doc_id", F.lit(_NULL_ID))
+    keyed = docs.select("doc_id", "text", key.alias("key"), F.xxhash64("text").alias("tie"))
+    shares = [k / blocks for k in range(1, blocks)]
+    # A number per block comes to the driver, however many documents there are.
+    found = keyed.agg(F.percentile_approx("key", shares, 10 * blocks)).first()[0] or []
+    borders = sorted(set(found))
+    hot = {x: n for x, n in Counter(found).items() if n > 1}
+    wide = max(hot.values(), default=0) + 1
+    block = _block_of(F.col("key"), borders) * wide
+    if hot:
+        own = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.element_at(_longs(list(hot.values())), F.col("at_hot"))) + 1
+        keyed = keyed.withColumn("at_hot", F.array_position(_longs(list(hot)), F.col("key")).cast("int"))
+        block = block + F.when(F.col("at_hot") > 0, own).otherwise(0)
+    return keyed.select("doc_id", "text", "key", "tie", block.cast("long").alias("block"))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """One row per row of `docs` (`doc_id`, `text`): its fingerprint, its edited text's, and both likenesses."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    key = F.coalesce("doc_id", F.lit(_NULL_ID))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = BLOCKS_PER_PARTITION * parts
-    shares = [k / blocks for k in range(1, blocks)]
-    # A number per block comes to the driver, however many documents there are.
-    borders = docs.select(key.alias("key")).agg(F.percentile_approx("key", shares, 10 * blocks)).first()[0] or []
-    borders = sorted(set(borders))
-    keyed = docs.select("doc_id", "text", key.alias("key"), _block_of(key, borders).alias("block"))
-    tops = {
-        r["block"]: r["top"]
-        for r in docs.select(key.alias("key"), _block_of(key, borders).alias("block"))
-        .groupBy("block")
-        .agg(F.max("key").alias("top"))
-        .toLocalIterator()
-    }
-    if not tops:
-        return keyed.select("doc_id", "text").mapInArrow(_fingerprinted, FINGERPRINT_DDL)
-    used = sorted(tops)
-    above = {b: used[(i + 1) % len(used)] for i, b in enumerate(used)}
-    n = max(used) + 1
-    top = F.element_at(F.array(*[F.lit(tops.get(b)).cast("long") for b in range(n)]), F.col("block") + 1)
-    target = F.element_at(F.array(*[F.lit(above.get(b)).cast("int") for b in range(n)]), F.col("block") + 1)
-    own = F.struct(F.col("block").cast("int").alias("block"), F.lit(0).alias("ahead"))
-    halo = F.struct(target.alias("block"), F.lit(1).alias("ahead"))
-    dealt = keyed.withColumn("place", F.explode(F.when(F.col("key") == top, F.array(own, halo)).otherwise(F.array(own))))
-    rows = dealt.select(
-        "place.block", "place.ahead", "key", F.xxhash64("text").alias("tie"), "doc_id", "text"
+    keyed = _dealt(docs, BLOCKS_PER_PARTITION * parts)
+    # The first row of each block in descending order also goes to the next block above, whose last row it follows. A row
+    # per block comes to the driver.
+    first = keyed.groupBy("block").agg(F.max(F.struct("key", F.bitwise_not("tie").alias("tie"))).alias("top"))
+    tops = sorted((r["block"], r["top"]["key"], ~r["top"]["tie"]) for r in first.toLocalIterator())
+    above = {block: tops[(at + 1) % len(tops)][0] for at, (block, _, _) in enumerate(tops)}
+    halo = spark.createDataFrame(
+        [(block, key, tie, above[block]) for block, key, tie in tops], "block long, top long, top_tie long, target long"
     )
+    found = keyed.join(F.broadcast(halo), "block", "left")  # a row per block
+    is_first = (F.col("key") == F.col("top")) & (F.col("tie") == F.col("top_tie"))
+    own = F.struct("block", F.lit(0).alias("ahead"))
+    ahead = F.struct(F.col("target").alias("block"), F.lit(1).alias("ahead"))
+    places = F.explode(F.when(is_first, F.array(own, ahead)).otherwise(F.array(own)))
+    rows = found.select(places.alias("place"), "key", "tie", "doc_id", "text")
+    rows = rows.select("place.block", "place.ahead", "key", "tie", "doc_id", "text")
     order = [F.col("block"), F.col("ahead"), F.col("key").desc(), F.col("tie")]
     return (
         rows.repartition(parts, "block")
