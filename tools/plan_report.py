@@ -14,11 +14,13 @@ NOTES = {
     "blacklist_users": "Aggregate, filter over the aggregate (HAVING), distinct: all partial-aggregated before shuffles.",
     "filter_blacklisted": "Anti join of the clicks with the derived blacklist, broadcast while the blacklist is small; "
     "beyond the broadcast threshold a shuffle join with AQE skew splitting.",
+    "filter_by_bitmap": "A bitmap of the hashed blacklisted users (16 MB at most) is broadcast; clicks that miss it pass without a "
+    "shuffle, those that hit it go through the exact anti join. The log is read once for each part.",
     "daily_city_ad_clicks": "One read of events: per-user counts, the offenders (HAVING) joined back to the "
     "same counts (one shared shuffle once it runs), then the geography join on counts, never on clicks.",
     "top_ads_by_province": "WindowGroupLimit before and after the shuffle: at most n rows per province per task move.",
     "hourly_trend": "One read of events: counts per (day, user, ad, 10-minute bucket), the offenders "
-    "joined back to them, then the bucket counts spread over the six sliding windows (no click is copied).",
+    "joined back to them (one shared scan and exchange once it runs), then the bucket counts spread over the six sliding windows.",
     "trend_last_hour": "The time range reaches the Parquet scan (PushedFilters on ts): only row groups of that hour are read.",
     "resume_read": "Start positions (one row per topic partition) are literal predicates; the log is neither joined with them nor shuffled.",
     "parse_click_log": "Narrow: JSON encode and decode stay in one codegen stage per task; the geography join has no "
@@ -45,15 +47,16 @@ STREAMS = """## Stream queries
 
 `explain` shows one micro-batch at a time; per batch of the click stream (`adpulse.streaming.feedback`):
 
-- parse (narrow) and anti join with the blacklist snapshot (`flagged` of earlier batches plus the seed), persisted
-  once and counted before anything else reads it;
-- counts per (day, user, ad), (day, province, city, ad) and (minute, ad): partial + final aggregates of the batch,
-  written as concurrent jobs into the batch's own folders;
-- flagged users: stored totals of the groups that this batch touched, by a semi join, summed and filtered;
-- published blacklist: the users new to it; ledger: one row per topic partition.
+- parse (narrow), anti join with the blacklist snapshot (`flagged` of earlier batches plus the seed), and one GROUPING SETS
+  aggregation per (day, user, ad), (day, province, city, ad) and (minute, ad): one pass over the messages, one write
+  into the batch's own folder of `counts` (by day and kind); the offset ranges are observed in the same pass;
+- flagged users: stored totals of the groups that this batch touched. The semi join is an equality on the day, so the
+  scan of the batches since the last compaction is pruned to the batch's days, and of the merged rows only these days'
+  folders and the users' buckets are opened (`dynamicpruning` on `click_day` and `user_bucket`);
+- published blacklist: the users new to it; ledger: one row per topic partition, from the observed ranges.
 
-The semi join reads the stored counts of all days, so a batch's work grows with the history of counts, though
-`compact_tables` bounds the number of folders. The trends are read from the minute counts; there is no streaming state.
+`compact_tables` bounds the number of folders. The trends are read from the minute counts. `adpulse.streaming.stateful` keeps
+daily counts (update mode) and the trend's open buckets (watermark, corrections) in Spark's state instead.
 """
 
 
