@@ -35,7 +35,7 @@ MIN_REPEAT = 64
 MAX_COVERED = 0.3
 MAX_REPEAT = 600
 MIN_WORDS = 50
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 16
 #: Bytes that order suffixes at first; the key's eighth byte says how many of them the text still has.
 HEAD = 7
 FEW = 64
@@ -46,8 +46,8 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _CONTINUED = (np.arange(256) & 0xC0) == 0x80
 
 
-def suffix_ranks(data: np.ndarray, text: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, rank) of all suffixes, text by text.
+def suffix_order(data: np.ndarray, text: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, key) of all suffixes, text by text; a key is a suffix's first HEAD bytes and how many of them there are.
 
     `data` holds the texts one after another, `text` each byte's text, `stop` the end of that text.
     """
@@ -90,18 +90,21 @@ def suffix_ranks(data: np.ndarray, text: np.ndarray, stop: np.ndarray) -> tuple[
         rank[suffix] = group[tied]
         tied = tied[~new | ~np.concatenate([new[1:], [True]])]
         size *= 2
-    return order, rank
+    return order, key
 
 
-def _common(data: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of data[a:] and data[b:], at most `most`."""
+def _common(data: np.ndarray, key: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of data[a:] and data[b:], at most `most`: HEAD bytes at a time."""
     length = np.zeros(len(a), np.int64)
     open_ = np.flatnonzero(most > 0)
     while len(open_) > FEW:
         here = length[open_]
-        same = data[a[open_] + here] == data[b[open_] + here]
+        apart = (key[a[open_] + here] ^ key[b[open_] + here]) >> np.uint64(8)
+        same = apart == 0
+        length[open_[same]] += HEAD
+        rest = apart[~same]
+        length[open_[~same]] += sum((rest < np.uint64(1 << (8 * k))).astype(np.int64) for k in range(1, HEAD))
         open_ = open_[same]
-        length[open_] += 1
         open_ = open_[length[open_] < most[open_]]
     for k in open_.tolist():
         step, x, y, end = 64, int(a[k]), int(b[k]), int(most[k])
@@ -114,13 +117,13 @@ def _common(data: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) ->
                 break
             done, step = to, 2 * step
         length[k] = done
-    return length
+    return np.minimum(length, most)
 
 
 def prefix_depths(data: np.ndarray, text: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """For every byte: length of the longest string that starts there and elsewhere in its text."""
     n = len(data)
-    order, rank = suffix_ranks(data, text, stop)
+    order, key = suffix_order(data, text, stop)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = np.where(text[order[1:]] == text[order[:-1]], order[:-1], -1)
     # An entry is reducible where the bytes before the two neighbours are equal: then it is the last one less 1.
@@ -133,12 +136,12 @@ def prefix_depths(data: np.ndarray, text: np.ndarray, stop: np.ndarray) -> np.nd
     first = np.flatnonzero(irreducible)
     pair = first[before[first] >= 0]
     end = at.copy()
-    end[pair] += _common(data, pair, before[pair], stop[pair] - np.maximum(pair, before[pair]))
+    end[pair] += _common(data, key, pair, before[pair], stop[pair] - np.maximum(pair, before[pair]))
     lcp = np.maximum.accumulate(np.where(irreducible, end, 0)) - at
     # The deepest interval of a suffix is the deeper of those shared with its two neighbours in the order.
     depth = lcp.copy()
     has = before >= 0
-    np.maximum.at(depth, before[has], lcp[has])
+    depth[before[has]] = np.maximum(depth[before[has]], lcp[has])  # each suffix comes before one other at most
     return depth
 
 
