@@ -48,7 +48,6 @@ from adpulse.llm.common import (
     mix,
     pick,
     powers,
-    runs,
     small_batches,
     staged,
     staged_in_buckets,
