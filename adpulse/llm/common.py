@@ -18,6 +18,8 @@ from adpulse.session import fresh_dir
 #: Rows of one Arrow batch handed to Python: texts can be long, so batches stay small.
 ARROW_ROWS = 256
 FOLDS = 5
+#: Rows of two or three numbers in one file of an intermediate table, and the fewest files of one.
+ROWS_PER_FILE, FEWEST_FILES = 200_000, 8
 
 
 _shipped: set[str] = set()
@@ -162,31 +164,44 @@ def connected_components(edges: DataFrame, name: str) -> DataFrame:
     the shared folder; the number of rounds grows with the logarithm of the
     longest chain. Minima are pre-aggregated and written before they are joined, so
     that each join has a shuffle on both sides and AQE can split a hot node's rows.
+    Edges that are stars already need no further round. A round writes as many files as
+    its edges need, not one per shuffle partition.
     """
     now = staged(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct(), name
     )
-    sum_of = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-    mark = now.agg(F.count("*"), sum_of).first()
-    while mark[0]:
+    while not _are_stars(now):
+        parts = files_for(now.count())
         both = now.select(F.col("u").alias("x"), F.col("v").alias("y")).unionAll(
             now.select(F.col("v").alias("x"), F.col("u").alias("y"))
         )
         least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        least = staged(least, f"{name}_least")
-        large = both.join(least, "x").filter("y > x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
-        large = staged(large, f"{name}_large")
-        low = staged(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}_low")
+        least = staged(least.coalesce(parts), f"{name}_least")
+        # Equal edges may come several times here, never more than there were before; the round's end removes them.
+        large = both.join(least, "x").filter("y > x").select(F.col("y").alias("u"), F.col("m").alias("v"))
+        large = staged(large.coalesce(parts), f"{name}_large")
+        low = staged(large.groupBy("u").agg(F.min("v").alias("m")).coalesce(parts), f"{name}_low")
         moved = large.join(low, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        last, now = now, staged(moved.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), name)
+        edges = moved.unionAll(low.select("u", F.col("m").alias("v"))).distinct()
+        last, now = now, staged(edges.coalesce(parts), name)
         discard(last, least, large, low)
-        after = now.agg(F.count("*"), sum_of).first()
-        if after == mark:
-            break
-        mark = after
     return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
+def files_for(n_rows: int) -> int:
+    """How many files a written table of so many narrow rows gets; never one for all."""
+    return max(FEWEST_FILES, n_rows // ROWS_PER_FILE)
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every `u` has one `v`, and no `v` is a `u`: then each `v` is the smallest node of its component."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    per_node = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return per_node.filter("up > 1 OR (up = 1 AND down = 1)").isEmpty()
+
+
 def spanning_links(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row pairs that join what the symmetric boolean matrix joins, one fewer than the rows at most."""
     left, right = [], []

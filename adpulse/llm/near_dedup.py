@@ -37,6 +37,7 @@ from adpulse.llm.common import (
     as_long,
     connected_components,
     discard,
+    files_for,
     mix,
     pick,
     runs,
@@ -151,7 +152,9 @@ def _confirm(percent: int):
 
 
 def _confirmed(tasks: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Links within each (cluster, part_a, part_b) of `tasks`."""
+    """Links within each (cluster, part_a, part_b) of `tasks`, written."""
+    # Written first: where they are few, Spark broadcasts them and moves only the texts that are compared.
+    tasks = staged(tasks, "near_tasks")
     rows = tasks.join(texts, "node").select("cluster", "part_a", "part_b", "node", "text")
     dealt = rows.repartition("cluster", "part_a", "part_b").sortWithinPartitions("cluster", "part_a", "part_b")
     return dealt.mapInArrow(_confirm(percent), "a long, b long")
@@ -176,9 +179,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands")
     )
     sets = staged(sets, "near_sets")
-    # Every row with its set, without the bands: what the end needs.
-    rows = staged(signed.drop("bands"), "near_rows")
-    discard(signed)
+    rows = signed.drop("bands")
 
     # Buckets: every member points to the smallest node of its bucket.
     members = sets.select("node", F.posexplode("bands").alias("band", "key"))
@@ -188,8 +189,6 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.col("node").alias("a"), F.col("low").alias("b")
     )
     clusters = connected_components(pairs, "near_clusters")
-    banded, sets = sets, staged(sets.drop("bands"), "near_nodes_of_sets")
-    discard(banded)
 
     # One row per candidate node, with the chunk of its cluster.
     roots = clusters.select("component").distinct().select(F.col("component").alias("node"), "component")
@@ -211,37 +210,46 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     other = F.when(F.col("chunk") == 0, F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(
         F.array("chunk")
     )
-    tasks = nodes.select("cluster", F.lit(0).cast("long").alias("part_a"), F.explode(other).alias("part_b"), "node")
+    zero = F.lit(0).cast("long")
+    tasks = nodes.select("cluster", zero.alias("part_a"), F.explode(other).alias("part_b"), "node")
     links = staged(_confirmed(tasks, texts, percent), "near_links")
 
     # Larger clusters: what lies outside the largest component so far meets every chunk.
     large = nodes.filter("chunks > 1")
-    parts = connected_components(links, "near_parts")
-    found = large.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
-    weights = found.groupBy("cluster", "part").agg(F.count("*").alias("n"))
-    main = staged(weights.groupBy("cluster").agg(F.max(F.struct("n", "part")).alias("main")), "near_main")
-    rest = staged(found.join(main, "cluster").filter("part <> main.part").select("cluster", "node", "chunks"), "near_rest")
-    deals = staged(rest.groupBy("cluster").agg(F.ceil(F.count("*") / CHUNK_ROWS).alias("deals")), "near_deals")
-    zero = F.lit(0).cast("long")
-    rest_rows = (
-        rest.join(deals, "cluster")
-        .withColumn("part_a", F.pmod(F.xxhash64("node", F.lit(1)), F.col("deals")))
-        .select("cluster", "part_a", F.explode(F.sequence(zero, F.col("chunks") - 1)).alias("part_b"), "node")
-    )
-    all_rows = (
-        large.join(deals, "cluster")
-        .select("cluster", F.explode(F.sequence(zero, F.col("deals") - 1)).alias("part_a"), F.col("chunk").alias("part_b"), "node")
-    )
-    more = staged(_confirmed(rest_rows.unionAll(all_rows).distinct(), texts, percent), "near_more")
+    if not large.isEmpty():
+        parts = connected_components(links, "near_parts")
+        found = large.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
+        weights = found.groupBy("cluster", "part").agg(F.count("*").alias("n"))
+        few = files_for(nodes.count())
+        main = weights.groupBy("cluster").agg(F.max(F.struct("n", "part")).alias("main"))
+        main = staged(main.coalesce(few), "near_main")
+        rest = found.join(main, "cluster").filter("part <> main.part").select("cluster", "node", "chunks")
+        rest = staged(rest.coalesce(few), "near_rest")
+        deals = rest.groupBy("cluster").agg(F.ceil(F.count("*") / CHUNK_ROWS).alias("deals"))
+        deals = staged(deals.coalesce(few), "near_deals")
+        rest_rows = (
+            rest.join(deals, "cluster")
+            .withColumn("part_a", F.pmod(F.xxhash64("node", F.lit(1)), F.col("deals")))
+            .select("cluster", "part_a", F.explode(F.sequence(zero, F.col("chunks") - 1)).alias("part_b"), "node")
+        )
+        all_rows = large.join(deals, "cluster").select(
+            "cluster", F.explode(F.sequence(zero, F.col("deals") - 1)).alias("part_a"), F.col("chunk").alias("part_b"), "node"
+        )
+        more = staged(_confirmed(rest_rows.unionAll(all_rows).distinct(), texts, percent), "near_more")
+        discard(parts, main, rest, deals)
+        links = links.unionAll(more)
 
     # A doc_id over rows with different sets is one node: it ties their sets' nodes together.
     with_set = rows.filter("doc_id IS NOT NULL AND n_shingles > 0")
     a_set = F.struct("set_a", "set_b", "n_shingles")
     several = with_set.groupBy("doc_id").agg(F.min(a_set).alias("low"), F.max(a_set).alias("high")).filter("low <> high")
-    ties = with_set.join(staged(several.select("doc_id"), "near_several"), "doc_id").join(sets, ["set_a", "set_b", "n_shingles"])
-    ties = ties.select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    groups = connected_components(links.unionAll(more).unionAll(ties), "near_groups")
-    discard(nodes, links, more, parts, main, rest, deals)
+    several = staged(several.select("doc_id"), "near_several")
+    ties = links
+    if not several.isEmpty():
+        tied = with_set.join(several, "doc_id").join(sets, ["set_a", "set_b", "n_shingles"])
+        ties = links.unionAll(tied.select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
+    groups = connected_components(ties, "near_groups")
+    discard(nodes, links, several)
     named = sets.join(groups, "node", "left")
     named = named.select("set_a", "set_b", "n_shingles", F.coalesce("component", "node").alias("component_id"))
     joined = rows.join(named, ["set_a", "set_b", "n_shingles"], "left")

@@ -1,11 +1,12 @@
 """Null ids, repeated ids and repeated rows: a third of the table and more."""
 
-from collections import Counter
+import hashlib
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
-from adpulse.llm import common, language, mixing, near_dedup, packing, suffix_dedup
+from adpulse.llm import common, fingerprints, language, mixing, near_dedup, packing, suffix_dedup
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -78,9 +79,35 @@ def test_intermediate_tables_go_once_their_results_are_written(spark, small_docs
     before = common.staged_folders()
     near = near_dedup.near_duplicates(small_docs)
     left = common.staged_folders() - before
-    assert not {f.rsplit("-", 1)[0] for f in left} & {"near_signatures", "near_sets", "near_links", "near_nodes"}
+    assert not {f.rsplit("-", 1)[0] for f in left} & {"near_links", "near_nodes", "near_chunks", "near_several"}
     assert near.count() == small_docs.count()
     before = common.staged_folders()
     cut = suffix_dedup.repeated_spans(small_docs)
     left = {f.rsplit("-", 1)[0] for f in common.staged_folders() - before}
     assert left == {"suffix_texts", "suffix_spans"} and cut.count() == small_docs.count()
+
+
+@pytest.mark.parametrize("kind", ["null ids", "one id", "equal rows"])
+def test_a_hot_id_is_dealt_to_several_blocks_of_fingerprints(spark, kind):
+    hot = {"null ids": lambda k: (None, f"hot text number {k}"), "one id": lambda k: (500, f"hot text number {k}"),
+           "equal rows": lambda k: (500, "hot text")}[kind]
+    rows = [hot(k) for k in range(600)] + [(k, f"other text {k}") for k in range(600) if k != 500]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    dealt = fingerprints._dealt(docs, 32).groupBy("block").agg(F.count("*").alias("n"), F.min("key"), F.max("key")).collect()
+    assert sum(r["n"] for r in dealt) == len(rows) and max(r["n"] for r in dealt) < 150
+    ends = sorted((r["block"], r[2], r[3]) for r in dealt)
+    assert all(a[2] <= b[1] for a, b in zip(ends, ends[1:]))  # blocks ascend with the ids
+    found = fingerprints.fingerprints(docs).collect()
+    assert Counter(r["doc_id"] for r in found) == Counter(i for i, _ in rows)
+    # Every text is the next one of exactly one document: the edited texts are halves of neighbours in one cycle.
+    tails = Counter(t for _, t in rows)
+    order = defaultdict(Counter)
+    for r in found:
+        order[r["doc_id"]][r["edited_sha256"]] += 1
+    singles = sorted((i for i, _ in rows if i is not None and i != 500), reverse=True)
+    text = dict((i, t) for i, t in rows if i is not None and i != 500)
+    for a, b in zip(singles, singles[1:]):
+        if not (kind != "null ids" and a > 500 > b):
+            edited = text[a][: len(text[a]) - len(text[a]) // 2] + text[b][: len(text[a]) // 2]
+            assert order[a][hashlib.sha256(edited.encode()).hexdigest()] == 1
+    assert sum(tails.values()) == len(found)
