@@ -35,6 +35,9 @@ BINS = 1 << 13
 RIDGE = 0.02
 #: Two codewords are close if their shares of the summed likelihood differ by less.
 AMBIGUOUS = 0.2
+#: A language is trusted if so many of its left-out documents are named rightly and without a close second
+#: (rule of succession: right + 1 of all + 2, so a handful of documents is never enough).
+TRUSTED = 0.9
 PIECE = 1 << 20
 UNKNOWN = "und"
 _LOWER = np.arange(256, dtype=np.uint32)
@@ -72,6 +75,7 @@ class Decoder:
         self.languages, self.code = languages, codewords(len(languages))
         n, bits = len(x), self.code.shape[1]
         self.weights, self.bit_weights, self.sharpness = np.zeros((BINS, bits)), np.ones(bits), 1.0
+        self.trusted = np.zeros(len(languages), bool)
         if not bits:
             return
         targets = self.code[labels].astype(float)
@@ -105,19 +109,25 @@ class Decoder:
             fit = np.log(np.maximum(shares[np.arange(n), labels], 1e-12)).mean()
             if fit > best:
                 best, self.sharpness = fit, sharpness
+        found, _, close = self._nearest(left_out)
+        right = np.bincount(labels[(found == labels) & ~close], minlength=len(languages))
+        self.trusted = (right + 1) / (np.bincount(labels, minlength=len(languages)) + 2) >= TRUSTED
 
     def _shares(self, margins: np.ndarray, sharpness: float) -> np.ndarray:
         loss = np.einsum("nlb,b->nl", np.exp(-margins[:, None, :].clip(-3, 3) * self.code[None]), self.bit_weights)
         likely = np.exp(-sharpness * (loss - loss.min(axis=1, keepdims=True)))
         return likely / likely.sum(axis=1, keepdims=True)
 
+    def _nearest(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        shares = self._shares(margins, self.sharpness)
+        ordered = np.sort(shares, axis=1)
+        return shares.argmax(axis=1), ordered[:, -1], ordered[:, -1] - ordered[:, -2] < AMBIGUOUS
+
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Number of the nearest codeword, its share, and whether the second is close."""
         if len(self.languages) == 1:
             return np.zeros(len(x), int), np.ones(len(x)), np.zeros(len(x), bool)
-        shares = self._shares(x @ self.weights, self.sharpness)
-        ordered = np.sort(shares, axis=1)
-        return shares.argmax(axis=1), ordered[:, -1], ordered[:, -1] - ordered[:, -2] < AMBIGUOUS
+        return self._nearest(x @ self.weights)
 
 
 def _sampled(docs: DataFrame) -> DataFrame:
@@ -194,30 +204,35 @@ def identify(docs: DataFrame, decoder: Decoder | None) -> DataFrame:
 
 def _accepted(decoder: Decoder | None, names: list[str], text: str, lang: str):
     def accepted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = {} if decoder is None else {name: k for k, name in enumerate(decoder.languages)}
         for batch in batches:
             kept = batch.filter(pa.array([has_letter(t) for t in batch.column(text).to_pylist()], pa.bool_()))
             if not kept.num_rows:
                 continue
-            columns = dict(zip(names, kept.columns, strict=True))
-            unnamed = np.flatnonzero(kept.column(lang).is_null().to_numpy(zero_copy_only=False))
-            if decoder is not None and len(unnamed):
-                texts = kept.column(text).take(pa.array(unnamed)).to_pylist()
-                found, _, _ = decoder.decode(np.array([features(t.encode()) for t in texts]))
-                languages = kept.column(lang).to_pylist()
-                for at, k in zip(unnamed.tolist(), found, strict=True):
-                    languages[at] = decoder.languages[k]
-                columns[lang] = pa.array(languages, pa.string())
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
+            if decoder is not None:
+                found, _, close = decoder.decode(np.array([features(t.encode()) for t in kept.column(text).to_pylist()]))
+                stated = kept.column(lang).to_pylist()
+                claimed = [k if name is None else number.get(name) for name, k in zip(stated, found, strict=True)]
+                stays = [
+                    c is None or not decoder.trusted[c] or bool(k == c and not near)
+                    for c, k, near in zip(claimed, found, close, strict=True)
+                ]
+                languages = [decoder.languages[k] if name is None else name for name, k in zip(stated, found, strict=True)]
+                columns = dict(zip(names, kept.columns, strict=True)) | {lang: pa.array(languages, pa.string())}
+                kept = pa.RecordBatch.from_arrays(list(columns.values()), names=names).filter(pa.array(stays, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(kept.columns, names=names)
 
     return accepted
 
 
 def keep_known(docs: DataFrame, decoder: Decoder | None) -> DataFrame:
-    """The rows of `docs` that can have a language, with their columns; a null `lang` becomes the decoder's prediction.
+    """The rows of `docs` whose language can be told, with their columns; a null `lang` becomes the decoder's prediction.
 
-    Rows are rejected by their letters alone: null texts and texts without a letter (`und`) go. Ambiguous texts stay:
-    two languages in one text are no fault. Where no row is labelled there is no decoder: nothing is predicted, and
-    the same rows stay.
+    Null texts and texts without a letter (`und`) go. Every other text is decoded, and goes where the decoder does not
+    bear out the row's language (`lang`, or the prediction where that is null): another codeword is nearer, or a second
+    one is close. It judges trusted languages only (`TRUSTED`, by documents left out of the fit); a `lang` that was not
+    learned, or from too few documents, stands. Where no row is labelled there is no decoder: nothing is predicted, and
+    every text with a letter stays.
     """
     small_batches(docs.sparkSession)
     names = [f"c{at}" for at in range(len(docs.columns))]
