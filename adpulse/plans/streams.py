@@ -48,6 +48,8 @@ SEED_EVERY = 7  # the outside blacklist names each customer whose key this divid
 FILES_PER_TRIGGER = 2  # admission cap of the resumed stream
 BYTES_PER_TRIGGER = 4 << 30  # admission cap of the sliced streams: above a slice, so that each is one micro-batch
 LATE_ORDER = (0, 2, 1, 4, 3)  # the order in which the slices reach the stream with a watermark
+CAPPED_FILES = 3  # files of a slice where the cap takes one file a batch
+ROW_GROUP_BYTES = 16 << 20  # row groups of those files, before compression
 INTERVAL = "5 seconds"  # the default micro-batch interval, for the stream that runs on the clock
 
 
@@ -58,19 +60,30 @@ def _await(query: StreamingQuery) -> None:
 
 
 def replay_in_slices(
-    spark: SparkSession, sf_dir: str, start: Callable[[str], StreamingQuery], order: Sequence[int] = tuple(range(STREAM_SLICES))
+    spark: SparkSession,
+    sf_dir: str,
+    start: Callable[[str], StreamingQuery],
+    order: Sequence[int] = tuple(range(STREAM_SLICES)),
+    files: int | None = None,
 ) -> None:
     """Append the fixture's message log slice by slice (in `order`); after each, run `start(log_path)` until drained.
 
     The whole log is written once to shared storage, sorted by `event_id` within
     files, and each slice is a range read of that copy (the range predicate
     reaches the scan), so nothing is cached on executors that could be lost.
+
+    `files` is the number of files that each slice is dealt to, whatever the cores and splits of the session; their
+    row groups are small, so that many tasks read one file. By default a slice has as many as its read has tasks.
     """
     staged, log = fresh_dir(spark, "message_source"), fresh_dir(spark, "message_log")
     messages_from_events(spark, sf_dir, keep_event_id=True).sortWithinPartitions("event_id").write.parquet(staged)
     parts = message_slices(spark.read.parquet(staged), STREAM_SLICES)
     for part in [parts[at] for at in order]:
-        part.write.mode("append").parquet(log)
+        if files is None:
+            part.write.mode("append").parquet(log)
+        else:
+            dealt = part.repartition(files, "partition", "offset", "value")
+            dealt.write.mode("append").option("parquet.block.size", ROW_GROUP_BYTES).parquet(log)
         _await(start(log))
 
 
@@ -82,6 +95,7 @@ def run_fixture_stream(
     clean_to: CleanSink | None = None,
     max_bytes: int = BYTES_PER_TRIGGER,
     running_totals: bool = False,
+    files: int | None = None,
 ) -> ClickTables:
     tables = ClickTables(fresh_dir(spark, "click_stream"))
 
@@ -92,7 +106,7 @@ def run_fixture_stream(
             trigger={"availableNow": True}, clean_to=clean_to, running_totals=running_totals,
         )
 
-    replay_in_slices(spark, sf_dir, start)
+    replay_in_slices(spark, sf_dir, start, files=files)
     return tables
 
 
@@ -107,9 +121,11 @@ def q_stream_blacklist_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_capped_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The blacklist of a stream whose cap, one byte, cuts every slice into a micro-batch per file.
 
-    Which users are flagged does not depend on where batches end.
+    Which users are flagged does not depend on where batches end. A slice has `CAPPED_FILES` files, so the number of
+    batches does not follow the cores of the session, and a batch's messages grow as the log does.
     """
-    return published_blacklist(spark, run_fixture_stream(spark, sf_dir, TEST_THRESHOLD, max_bytes=1))
+    tables = run_fixture_stream(spark, sf_dir, TEST_THRESHOLD, max_bytes=1, files=CAPPED_FILES)
+    return published_blacklist(spark, tables)
 
 
 def q_stream_running_top_ads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,3 +77,30 @@ def test_hot_user_results_are_exact(spark, forced_skew_split):
         best = sorted(((a, n) for (q, a), n in per.items() if q == p), key=lambda x: (-x[1], x[0]))[:2]
         expected |= {(p, a, n) for a, n in best}
     assert ranked == expected
+
+
+def test_the_capped_log_has_as_many_files_whatever_the_splits(spark, tmp_path, monkeypatch):
+    from types import SimpleNamespace
+
+    from adpulse.plans import streams
+    from adpulse.sources.fixtures import messages_from_events
+
+    for name in ("customer", "nation", "region"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"/root/testdata/sf0.001/{name}.parquet")
+    at = "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)"
+    rows = spark.range(900).selectExpr("id event_id", f"{at} ts", "id % 40 user_id", "concat('{\"k\": ', id % 7, '}') props")
+    rows.repartition(9).write.parquet(str(tmp_path / "events.parquet"))
+    logs, read = [], streams.read_click_stream
+
+    def stopped(spark, stream, tables, **_):
+        tables.create(spark)
+        return SimpleNamespace(awaitTermination=lambda: None, exception=lambda: None)
+
+    monkeypatch.setattr(streams, "run_click_stream", stopped)
+    monkeypatch.setattr(streams, "read_click_stream", lambda s, path, **k: logs.append(path) or read(s, path=path, **k))
+    streams.q_stream_capped_blacklist(spark, str(tmp_path))
+    assert len(logs) == 5 and len(set(logs)) == 1
+    log = spark.read.parquet(logs[0])
+    assert len(log.inputFiles()) == 15
+    found, want = log.select("offset", "value"), messages_from_events(spark, str(tmp_path)).select("offset", "value")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
