@@ -38,6 +38,8 @@ AMBIGUOUS = 0.2
 #: A language is trusted if so many of its left-out documents are named rightly and without a close second
 #: (rule of succession: right + 1 of all + 2, so a handful of documents is never enough).
 TRUSTED = 0.9
+#: The least share with which a prediction overrules the language that a row states.
+SURE = 0.99
 PIECE = 1 << 20
 UNKNOWN = "und"
 _LOWER = np.arange(256, dtype=np.uint32)
@@ -210,12 +212,12 @@ def _accepted(decoder: Decoder | None, names: list[str], text: str, lang: str):
             if not kept.num_rows:
                 continue
             if decoder is not None:
-                found, _, close = decoder.decode(np.array([features(t.encode()) for t in kept.column(text).to_pylist()]))
+                found, share, close = decoder.decode(np.array([features(t.encode()) for t in kept.column(text).to_pylist()]))
                 stated = kept.column(lang).to_pylist()
                 claimed = [k if name is None else number.get(name) for name, k in zip(stated, found, strict=True)]
                 stays = [
-                    c is None or not decoder.trusted[c] or bool(k == c and not near)
-                    for c, k, near in zip(claimed, found, close, strict=True)
+                    c is None or not decoder.trusted[c] or not (near if name is None else k != c and sure >= SURE)
+                    for name, c, k, near, sure in zip(stated, claimed, found, close, share, strict=True)
                 ]
                 languages = [decoder.languages[k] if name is None else name for name, k in zip(stated, found, strict=True)]
                 columns = dict(zip(names, kept.columns, strict=True)) | {lang: pa.array(languages, pa.string())}
@@ -228,9 +230,8 @@ def _accepted(decoder: Decoder | None, names: list[str], text: str, lang: str):
 def keep_known(docs: DataFrame, decoder: Decoder | None) -> DataFrame:
     """The rows of `docs` whose language can be told, with their columns; a null `lang` becomes the decoder's prediction.
 
-    Null texts and texts without a letter (`und`) go. Every other text is decoded, and goes where the decoder does not
-    bear out the row's language (`lang`, or the prediction where that is null): another codeword is nearer, or a second
-    one is close. It judges trusted languages only (`TRUSTED`, by documents left out of the fit); a `lang` that was not
+    Null texts and texts without a letter (`und`) go. Every other text is decoded, and goes where the decoder is
+    sure (`SURE`) of another language than the row's `lang`, or, where that is null, a second codeword is close. It judges trusted languages only (`TRUSTED`, by documents left out of the fit); a `lang` that was not
     learned, or from too few documents, stands. Where no row is labelled there is no decoder: nothing is predicted, and
     every text with a letter stays.
     """

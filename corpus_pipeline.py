@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages over `documents`, each written as Parquet and read again by the next.
 
-language     documents whose language cannot be told go (no text, no letter, or a text that does not bear out its
-             lang by the decoder); the decoder names the language of those whose lang is null
+language     documents whose language cannot be told go (no text, no letter; by the decoder: surely another
+             language than lang, or no lang and two languages are close); the decoder names the language of those whose lang is null
 near_dedup   of each group of near duplicates (Jaccard similarity of 5-word shingles from 0.8 on) one row
              stays: the smallest doc_id, null ids last
 suffix_dedup bytes of repeated 200-byte strings are cut out of the texts
